@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # WGS 84.
 SEMI_MAJOR = 6378137.0
@@ -53,6 +53,26 @@ def _from_conformal(chi: Column) -> Column:
     return sum((F.sin(chi * (2 * j)) * d for j, d in enumerate(DELTA, 1)), chi)
 
 
+Steps = list[dict[str, Column]]
+
+
+def _step(name: str) -> Column:
+    return F.col(f"_step_{name}")
+
+
+def with_scale(df: DataFrame, projection: "Projection", name: str, lon: str = "lon", lat: str = "lat") -> DataFrame:
+    """``df`` with the point scale of a projection.
+
+    The formula is laid out in steps that use each other's columns, because one expression
+    would repeat its parts until the generated code is too long to compile.
+    """
+    columns = df.columns
+    steps = projection.scale_steps(F.col(lon), F.col(lat))
+    for step in steps:
+        df = df.select("*", *[c.alias(f"_step_{n}") for n, c in step.items()])
+    return df.select(*columns, _step("k").alias(name))
+
+
 @dataclass(frozen=True)
 class TransverseMercator:
     """Transverse Mercator; ``lon0`` may be a column, so that each row has its own zone."""
@@ -88,13 +108,20 @@ class TransverseMercator:
         chi = F.asin(F.sin(down) / F.cosh(over))
         return F.degrees(F.atan2(F.sinh(over), F.cos(down))) + self.lon0, F.degrees(_from_conformal(chi))
 
-    def scale(self, lon: Column, lat: Column) -> Column:
+    def scale_steps(self, lon: Column, lat: Column) -> Steps:
         tau, xi, eta = self._sphere(lon, lat)
-        p = sum((F.cos(xi * (2 * j)) * F.cosh(eta * (2 * j)) * (2 * j * a) for j, a in enumerate(ALPHA, 1)), F.lit(1.0))
-        q = sum((F.sin(xi * (2 * j)) * F.sinh(eta * (2 * j)) * (2 * j * a) for j, a in enumerate(ALPHA, 1)), F.lit(0.0))
-        away = F.cos(F.radians(lon - self.lon0))
-        flat = F.tan(F.radians(lat)) * ((1 - N3) / (1 + N3))
-        return F.sqrt((flat * flat + 1.0) * (p * p + q * q) / (tau * tau + away * away)) * (self.k0 * RECTIFYING / SEMI_MAJOR)
+        angle, bend = _step("xi"), _step("eta")
+        sums = [
+            {"tau": tau, "xi": xi, "eta": eta, "away": F.cos(F.radians(lon - self.lon0)), "tan": F.tan(F.radians(lat))},
+            {
+                "p": sum((F.cos(angle * (2 * j)) * F.cosh(bend * (2 * j)) * (2 * j * a) for j, a in enumerate(ALPHA, 1)), F.lit(1.0)),
+                "q": sum((F.sin(angle * (2 * j)) * F.sinh(bend * (2 * j)) * (2 * j * a) for j, a in enumerate(ALPHA, 1)), F.lit(0.0)),
+                "flat": _step("tan") * ((1 - N3) / (1 + N3)),
+            },
+        ]
+        tau, away, flat, p, q = (_step(n) for n in ("tau", "away", "flat", "p", "q"))
+        spread = (flat * flat + 1.0) * (p * p + q * q) / (tau * tau + away * away)
+        return [*sums, {"k": F.sqrt(spread) * (self.k0 * RECTIFYING / SEMI_MAJOR)}]
 
 
 @dataclass(frozen=True)
@@ -126,11 +153,11 @@ class LambertConformalConic:
         theta = F.atan2(x * sign, up * sign)
         return F.degrees(theta / n) + self.lon0, F.degrees(_from_conformal(F.lit(HALF_PI) - F.atan(t) * 2))
 
-    def scale(self, lon: Column, lat: Column) -> Column:
+    def scale_steps(self, lon: Column, lat: Column) -> Steps:
         n, f, _ = self._cone()
         phi = F.radians(lat)
         s = F.sin(phi)
-        return F.pow(_t_column(phi), F.lit(n)) * (f * n) * F.sqrt(F.lit(1.0) - s * s * E2) / F.cos(phi)
+        return [{"k": F.pow(_t_column(phi), F.lit(n)) * (f * n) * F.sqrt(F.lit(1.0) - s * s * E2) / F.cos(phi)}]
 
 
 @dataclass(frozen=True)
@@ -194,12 +221,13 @@ class ObliqueMercator:
         lam = F.lit(lam0) - F.atan2(s * math.cos(gamma0) - v * math.sin(gamma0), F.cos(along * (b / a))) / b
         return F.degrees(lam), F.degrees(_from_conformal(chi))
 
-    def scale(self, lon: Column, lat: Column) -> Column:
+    def scale_steps(self, lon: Column, lat: Column) -> Steps:
         a, b, *_ = self._constants()
         along, _, angle = self._oblique(lon, lat)
         phi = F.radians(lat)
         s = F.sin(phi)
-        return F.cos(along * (b / a)) * F.sqrt(F.lit(1.0) - s * s * E2) * (a / SEMI_MAJOR) / (F.cos(phi) * F.cos(angle))
+        k = F.cos(_step("along") * (b / a)) * F.sqrt(F.lit(1.0) - s * s * E2) * (a / SEMI_MAJOR)
+        return [{"along": along, "angle": angle}, {"k": k / (F.cos(phi) * F.cos(_step("angle")))}]
 
 
 Projection = TransverseMercator | LambertConformalConic | ObliqueMercator
@@ -224,7 +252,6 @@ def own_utm(lon: Column, lat: Column) -> TransverseMercator:
 FACTORS = ("k_mer", "k_par", "k_dist", "anisotropy", "angular_distortion", "k_areal")
 
 
-def distortion_factors(projection: Projection, lon: Column, lat: Column) -> dict[str, Column]:
-    """Distortion factors at a point of a conformal projection, by name."""
-    k = projection.scale(lon, lat)
+def distortion_factors(k: Column) -> dict[str, Column]:
+    """Distortion factors of a conformal projection from its point scale, by name."""
     return dict(zip(FACTORS, (k, k, k, F.lit(1.0), F.lit(0.0), k * k)))

@@ -6,20 +6,24 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, functions as F
 
-from fellwalk.functions.projections import Projection, distortion_factors
+from fellwalk.functions.projections import Projection, distortion_factors, with_scale
 from fellwalk.operators.stats import numeric_summary
 
 
+def point_scales(points: DataFrame, projections: Mapping[str, Projection]) -> DataFrame:
+    """The point scale ``k`` of each projection at each point (``lon``, ``lat``), one row per projection."""
+    columns = points.columns
+    scaled = points
+    for i, projection in enumerate(projections.values()):
+        scaled = with_scale(scaled, projection, f"_k{i}")
+    pairs = [F.struct(F.lit(name).alias("projection"), F.col(f"_k{i}").alias("k")) for i, name in enumerate(projections)]
+    return scaled.select(*columns, F.explode(F.array(*pairs)).alias("_p")).select(*columns, "_p.*")
+
+
 def distortion(points: DataFrame, projections: Mapping[str, Projection]) -> DataFrame:
     """Distortion factors of each projection at each point (``lon``, ``lat``), one row per projection."""
-    per_projection = [
-        F.struct(
-            F.lit(name).alias("projection"),
-            *[c.alias(n) for n, c in distortion_factors(projection, F.col("lon"), F.col("lat")).items()],
-        )
-        for name, projection in projections.items()
-    ]
-    return points.select("*", F.explode(F.array(*per_projection)).alias("_f")).select(*points.columns, "_f.*")
+    factors = distortion_factors(F.col("k"))
+    return point_scales(points, projections).select(*points.columns, "projection", *[c.alias(n) for n, c in factors.items()])
 
 
 def distortion_summary(points: DataFrame, projections: Mapping[str, Projection]) -> DataFrame:
@@ -28,12 +32,7 @@ def distortion_summary(points: DataFrame, projections: Mapping[str, Projection])
     All of the projections here are conformal, so only the scale is summarised from the points:
     the two directional factors equal it, and the areal factor is its square.
     """
-    scales = [
-        F.struct(F.lit(name).alias("projection"), p.scale(F.col("lon"), F.col("lat")).alias("k"))
-        for name, p in projections.items()
-    ]
-    scaled = points.select(F.explode(F.array(*scales)).alias("_f")).select("_f.*")
-    stacked = scaled.select(
+    stacked = point_scales(points.select("lon", "lat"), projections).select(
         "projection",
         F.explode(
             F.array(

@@ -199,8 +199,9 @@ def _places(spark, d):
 @job(
     "points_in_regions",
     t.with_views(
-        """SELECT point, region FROM place JOIN edges ON y1 <= y AND y2 > y OR y2 <= y AND y1 > y GROUP BY point, region
-HAVING count(*) FILTER (x1 + (y - y1) * (x2 - x1) / (y2 - y1) < any_value_x) % 2 = 1""".replace("any_value_x", "x"),
+        """SELECT point, region FROM place JOIN edges ON y BETWEEN least(y1, y2) AND greatest(y1, y2) GROUP BY point, region
+HAVING count(*) FILTER ((y1 <= y) <> (y2 <= y) AND x1 + (y - y1) * (x2 - x1) / (y2 - y1) < x) % 2 = 1
+  AND NOT bool_or(coalesce(x BETWEEN least(x1, x2) AND greatest(x1, x2) AND (y1 = y2 OR x1 + (y - y1) * (x2 - x1) / (y2 - y1) = x), false))""",
         extra={**STRIP, **_PLACE},
     ),
 )
