@@ -1,11 +1,13 @@
 """Polygon jobs: bounds, tile cover, sample grids, points within polygons, rasterising.
 
-Polygons are handled as an *edge table*: ``region``, ``seq``, ``x1``, ``y1``, ``x2``, ``y2``, one
-row per side of any ring of the region.  No job pairs all points or boxes with all sides.  A grid
-is filled line by line: every side is sent to the grid lines it crosses, the crossings of a line
-are counted per grid position, and the positions between an odd and an even crossing are inside.
-The work grows with the length of the outline and the size of the result, and one large region
-is spread over its lines.
+A region is one row with all of its rings, as in a feature file.  The jobs work on its *edge
+table*: ``region``, ``seq``, ``x1``, ``y1``, ``x2``, ``y2``, one row per side, with the
+region's bounding box in ``xmin``, ``ymin``, ``xmax``, ``ymax``.
+
+No job pairs all points or boxes with all sides.  A grid is filled line by line: every side is
+sent to the grid lines it crosses, the crossings of a line are counted per grid position, and the
+positions between an odd and an even crossing are inside.  The work grows with the length of the
+outline and the size of the result, and one large region is spread over its lines.
 """
 
 from __future__ import annotations
@@ -14,42 +16,54 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fellwalk.operators.joins import salted_lookup
 
-EDGE_COLUMNS = ("region", "seq", "x1", "y1", "x2", "y2")
+BOX = ("xmin", "ymin", "xmax", "ymax")
+SIDES = ("x1", "y1", "x2", "y2")
 
 
-def ring_edges(regions: DataFrame, ring: str = "ring") -> DataFrame:
-    """The edge table of regions whose column ``ring`` is an array of ``(x, y)`` structs, closed or not."""
-    points = F.col(ring)
-    count = F.size(points)
-    sides = F.transform(
-        F.sequence(F.lit(0), count - 1),
-        lambda i: F.struct(
-            i.alias("seq"),
-            F.get(points, i)["x"].alias("x1"), F.get(points, i)["y"].alias("y1"),
-            F.get(points, (i + 1) % count)["x"].alias("x2"), F.get(points, (i + 1) % count)["y"].alias("y2"),
-        ),
-    )
-    edges = regions.filter(count > 1).select("region", F.explode(sides).alias("s")).select("region", "s.*")
-    return edges.filter((F.col("x1") != F.col("x2")) | (F.col("y1") != F.col("y2")))
+def ring_edges(regions: DataFrame, rings: str = "rings") -> DataFrame:
+    """The edge table of regions whose column ``rings`` is an array of rings of ``(x, y)`` structs.
+
+    A ring may be closed or not.  The bounding box comes from the row itself, so the step
+    needs no shuffle.
+    """
+    points = F.flatten(rings)
+    axis = lambda name: F.transform(points, lambda p: p[name])
+    box = [F.array_min(axis("x")), F.array_min(axis("y")), F.array_max(axis("x")), F.array_max(axis("y"))]
+
+    def sides(ring: Column) -> Column:
+        start = lambda i: F.get(ring, i)
+        end = lambda i: F.get(ring, (i + 1) % F.size(ring))
+        return F.transform(
+            F.sequence(F.lit(0), F.size(ring) - 1),
+            lambda i: F.struct(
+                start(i)["x"].alias("x1"), start(i)["y"].alias("y1"), end(i)["x"].alias("x2"), end(i)["y"].alias("y2")
+            ),
+        )
+
+    boxed = regions.select("region", rings, *[c.alias(n) for c, n in zip(box, BOX)])
+    whole = F.filter(rings, lambda ring: F.size(ring) > 1)
+    edges = boxed.select("region", *BOX, F.posexplode(F.flatten(F.transform(whole, sides))).alias("seq", "s"))
+    return edges.select("region", "seq", "s.*", *BOX).filter((F.col("x1") != F.col("x2")) | (F.col("y1") != F.col("y2")))
 
 
 def vertex_edges(vertices: DataFrame) -> DataFrame:
     """The edge table of closed rings given as ``region``, ``seq``, ``x``, ``y`` rows.
 
     Each vertex meets the next by an equi-join on its number, so a long ring is not sorted by
-    one task.
+    one task; the box of a region is looked up with a salt.
     """
     start = vertices.select("region", "seq", F.col("x").alias("x1"), F.col("y").alias("y1"))
     end = vertices.select("region", (F.col("seq") - 1).alias("seq"), F.col("x").alias("x2"), F.col("y").alias("y2"))
-    return start.join(end, ["region", "seq"])
+    box = vertices.groupBy("region").agg(
+        F.min("x").alias("xmin"), F.min("y").alias("ymin"), F.max("x").alias("xmax"), F.max("y").alias("ymax")
+    )
+    edges = start.join(end, ["region", "seq"])
+    return salted_lookup(edges, box, ["region"], F.col("seq")).select("region", "seq", *SIDES, *BOX)
 
 
 def bounds(edges: DataFrame, *by: str) -> DataFrame:
     """Bounding box per region, or of all regions together."""
-    return edges.groupBy(*by).agg(
-        F.min(F.least("x1", "x2")).alias("xmin"), F.min(F.least("y1", "y2")).alias("ymin"),
-        F.max(F.greatest("x1", "x2")).alias("xmax"), F.max(F.greatest("y1", "y2")).alias("ymax"),
-    )
+    return edges.groupBy(*by).agg(*[F.min(c).alias(c) for c in BOX[:2]], *[F.max(c).alias(c) for c in BOX[2:]])
 
 
 def _first_beyond(x: Column, origin: Column, step: Column) -> Column:
@@ -59,55 +73,61 @@ def _first_beyond(x: Column, origin: Column, step: Column) -> Column:
     return F.when(past(-1), near - 1).when(past(0), near).when(past(1), near + 1).otherwise(near + 2)
 
 
-def grid_inside(edges: DataFrame, strict: bool = True) -> DataFrame:
-    """Grid positions inside each region: ``region``, ``i``, ``j``.
+def _side_at(y: Column) -> Column:
+    """Where a side is at a height, exact at its ends; NULL for a level side between them."""
+    x1, y1, x2, y2 = (F.col(c) for c in SIDES)
+    along = x1 + F.try_divide((y - y1) * (x2 - x1), y2 - y1)
+    clamped = F.when(along.isNotNull(), F.least(F.greatest(along, F.least(x1, x2)), F.greatest(x1, x2)))
+    return F.when(y == y1, x1).when(y == y2, x2).otherwise(clamped)
+
+
+GRID = ("gx", "gdx", "gnx", "gy", "gdy", "gny")
+
+
+def with_grid(edges: DataFrame, gx, gdx, gnx, gy, gdy, gny) -> DataFrame:
+    """The edges with a grid: position ``i`` lies at ``gx + i * gdx`` for ``i`` below ``gnx``, likewise ``j``."""
+    as_column = lambda v: v if isinstance(v, Column) else F.lit(v)
+    kinds = ("double", "double", "bigint") * 2
+    values = zip(GRID, (gx, gdx, gnx, gy, gdy, gny), kinds)
+    return edges.select("*", *[as_column(v).cast(kind).alias(name) for name, v, kind in values])
 
-    ``edges`` carries its grid in the columns ``gx``, ``gdx``, ``gnx`` (position ``i`` lies at
-    ``gx + i * gdx``, ``i`` from 0 to ``gnx - 1``) and ``gy``, ``gdy``, ``gny``.  With
-    ``strict`` positions exactly on the outline are left out.
+
+def grid_inside(gridded: DataFrame, strict: bool = True) -> DataFrame:
+    """Grid positions inside each region: ``region``, ``i``, ``j`` and the grid columns.
+
+    With ``strict`` positions exactly on the outline are left out.
     """
     low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
+    left, right = F.least("x1", "x2"), F.greatest("x1", "x2")
     line = lambda y: F.floor((y - F.col("gy")) / F.col("gdy"))
-    lines = F.sequence(
-        F.greatest(line(low) - 1, F.lit(0)), F.greatest(F.least(line(high) + 1, F.col("gny") - 1), F.lit(0))
-    )
-    reaching = (line(high) + 1 >= 0) & (line(low) - 1 <= F.col("gny") - 1) & (F.col("gny") > 0)
-    swept = edges.filter(reaching).select("*", F.explode(lines).alias("j"))
+    first, last = F.greatest(line(low) - 1, F.lit(0)), F.least(line(high) + 1, F.col("gny") - 1)
+    swept = gridded.filter(first <= last).select("region", *SIDES, *GRID, F.explode(F.sequence(first, last)).alias("j"))
     swept = swept.withColumn("y", F.col("gy") + F.col("j") * F.col("gdy")).filter(F.col("y").between(low, high))
-    crossing = F.col("x1") + (F.col("y") - F.col("y1")) * (F.col("x2") - F.col("x1")) / F.col("rise")
-    sloped = swept.filter(F.col("y1") != F.col("y2")).withColumn("rise", F.col("y2") - F.col("y1")).withColumn("x", crossing)
-
-    # positions from which a crossing lies to the left; only an odd number of them changes sides
-    beyond = _first_beyond(F.col("x"), F.col("gx"), F.col("gdx"))
-    toggles = (
-        sloped.filter(F.col("y") < high)
-        .groupBy("region", "j", F.least(F.greatest(beyond, F.lit(0)), F.col("gnx")).alias("i"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") % 2 == 1)
-    )
+    rise = F.col("y2") - F.col("y1")
+    crossed = swept.withColumn("x", F.when(rise != 0, _side_at(F.col("y")))).withColumn("open", (rise != 0) & (F.col("y") < high))
+
+    # an event changes sides at a position, or marks a position that lies on the outline
+    column = lambda x: F.floor((x - F.col("gx")) / F.col("gdx"))
+    position = lambda i: F.col("gx") + i * F.col("gdx")
+    beyond = F.least(F.greatest(_first_beyond(F.col("x"), F.col("gx"), F.col("gdx")), F.lit(0)), F.col("gnx"))
+    event = lambda i, turns, on: F.struct(i.cast("bigint").alias("i"), F.lit(turns).alias("turns"), F.lit(on).alias("on"))
+    turn = F.when(F.col("open"), F.array(event(beyond, 1, False)))
+    events = turn
+    if strict:
+        lo_x, hi_x = F.coalesce(F.col("x"), left), F.coalesce(F.col("x"), right)
+        reach = F.sequence(F.greatest(column(lo_x) - 1, F.lit(0)), F.greatest(F.least(column(hi_x) + 1, F.col("gnx") - 1), F.lit(0)))
+        on_side = F.transform(F.filter(reach, lambda i: position(i).between(lo_x, hi_x)), lambda i: event(i, 0, True))
+        events = F.concat(F.coalesce(turn, F.array().cast("array<struct<i:bigint,turns:int,on:boolean>>")), on_side)
+    placed = crossed.select("region", "j", *GRID, F.explode(events).alias("e")).select("region", "j", *GRID, "e.*")
+
+    merged = placed.groupBy("region", "j", "i", *GRID).agg((F.sum("turns") % 2).alias("turns"), F.max("on").alias("on"))
     along = Window.partitionBy("region", "j").orderBy("i")
-    spans = toggles.select(
-        "region", "j", "i", F.lead("i").over(along).alias("end"), (F.row_number().over(along) % 2).alias("opens")
-    ).filter((F.col("opens") == 1) & (F.col("end") > F.col("i")))
-    inside = spans.select("region", F.explode(F.sequence(F.col("i"), F.col("end") - 1)).alias("i"), "j")
-    if not strict:
-        return inside
-
-    near = F.floor((F.col("x") - F.col("gx")) / F.col("gdx"))
-    on_slope = sloped.select(
-        "region", "j", "x", "gx", "gdx", F.explode(F.sequence(near - 1, near + 1)).alias("i")
-    ).filter(F.col("gx") + F.col("i") * F.col("gdx") == F.col("x"))
-    left, right = F.least("x1", "x2"), F.greatest("x1", "x2")
-    cell = lambda x: F.floor((x - F.col("gx")) / F.col("gdx"))
-    level = swept.filter(F.col("y1") == F.col("y2")).filter(cell(right) + 1 >= 0).select(
-        "region", "j", "gx", "gdx", left.alias("left"), right.alias("right"),
-        F.explode(
-            F.sequence(F.greatest(cell(left) - 1, F.lit(0)), F.greatest(F.least(cell(right) + 1, F.col("gnx")), F.lit(0)))
-        ).alias("i"),
+    spans = merged.filter((F.col("turns") == 1) | F.col("on")).select(
+        "region", "j", *GRID, (F.sum("turns").over(along) % 2).alias("inside"),
+        (F.col("i") + F.when(F.col("on"), 1).otherwise(0)).alias("start"), (F.lead("i").over(along) - 1).alias("stop"),
     )
-    on_level = level.filter((F.col("gx") + F.col("i") * F.col("gdx")).between(F.col("left"), F.col("right")))
-    outline = on_slope.select("region", "i", "j").unionByName(on_level.select("region", "i", "j")).dropDuplicates()
-    return inside.join(outline, ["region", "i", "j"], "left_anti")
+    filled = spans.filter((F.col("inside") == 1) & (F.col("start") <= F.col("stop")))
+    return filled.select("region", F.explode(F.sequence("start", "stop")).alias("i"), "j", *GRID)
 
 
 ARANGE_MARGIN = 1e-12
@@ -121,15 +141,11 @@ def sample_grid(edges: DataFrame, step: float) -> DataFrame:
     """
     if step <= 0:
         raise ValueError("the step must be positive")
-    box = bounds(edges, "region")
     length = lambda lo, hi: F.greatest(F.ceil((F.col(hi) + ARANGE_MARGIN - F.col(lo)) / step), F.lit(0))
     spacing = lambda lo: (F.col(lo) + step) - F.col(lo)
-    grid = box.select(
-        "region",
-        F.col("xmin").alias("gx"), spacing("xmin").alias("gdx"), length("xmin", "xmax").alias("gnx"),
-        F.col("ymin").alias("gy"), spacing("ymin").alias("gdy"), length("ymin", "ymax").alias("gny"),
+    return with_grid(
+        edges, F.col("xmin"), spacing("xmin"), length("xmin", "xmax"), F.col("ymin"), spacing("ymin"), length("ymin", "ymax")
     )
-    return salted_lookup(edges, grid, ["region"], F.col("seq"))
 
 
 def region_samples(edges: DataFrame, step: float, require_points: bool = False) -> DataFrame:
@@ -137,11 +153,7 @@ def region_samples(edges: DataFrame, step: float, require_points: bool = False)
 
     With ``require_points`` the job fails where no point of any region falls inside.
     """
-    gridded = sample_grid(edges, step)
-    inside = grid_inside(gridded)
-    origin = gridded.groupBy("region").agg(*[F.first(c).alias(c) for c in ("gx", "gdx", "gy", "gdy")])
-    placed = salted_lookup(inside, origin, ["region"], F.struct("i", "j"))
-    points = placed.select(
+    points = grid_inside(sample_grid(edges, step)).select(
         "region",
         (F.col("gx") + F.col("i") * F.col("gdx")).alias("lon"),
         (F.col("gy") + F.col("j") * F.col("gdy")).alias("lat"),
@@ -159,46 +171,44 @@ def sample_counts(edges: DataFrame, step: float) -> DataFrame:
     return candidates.join(inside, "region", "left").select("region", "candidates", F.coalesce("inside", F.lit(0)).alias("inside"))
 
 
-def tile_cover(edges: DataFrame) -> DataFrame:
-    """The 1-degree tiles that touch each region: ``region``, ``lon``, ``lat`` of the lower left corner.
-
-    Tiles on the outline come from walking each side through the tile columns it spans; tiles
-    without outline are inside or outside as a whole and are decided at their centre.  Tiles
-    beyond the rounded bounds of the region, which it can only touch, are left out.
-    """
-    touch = lambda low, high: F.sequence(F.ceil(low) - 1, F.floor(high))
+def _walk(edges: DataFrame, size: float) -> DataFrame:
+    """Each side with every tile of the given size that it touches, as ``tx`` and ``ty``."""
+    touch = lambda low, high: F.sequence(F.ceil(low / size) - 1, F.floor(high / size))
     left, right = F.least("x1", "x2"), F.greatest("x1", "x2")
-    walked = edges.select("*", F.explode(touch(left, right)).alias("lon"))
+    walked = edges.select("*", F.explode(touch(left, right)).alias("tx"))
+    low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
 
     def height_at(x: Column) -> Column:
-        along = F.col("y1") + (x - F.col("x1")) * (F.col("y2") - F.col("y1")) / (F.col("x2") - F.col("x1"))
-        return F.when(x == F.col("x1"), F.col("y1")).when(x == F.col("x2"), F.col("y2")).otherwise(along)
+        along = F.col("y1") + F.try_divide((x - F.col("x1")) * (F.col("y2") - F.col("y1")), F.col("x2") - F.col("x1"))
+        within = F.least(F.greatest(along, low), high)
+        return F.when(x == F.col("x1"), F.col("y1")).when(x == F.col("x2"), F.col("y2")).otherwise(within)
 
     upright = F.col("x1") == F.col("x2")
-    enter, leave = F.greatest(left, F.col("lon").cast("double")), F.least(right, (F.col("lon") + 1).cast("double"))
+    enter, leave = F.greatest(left, F.col("tx") * size), F.least(right, (F.col("tx") + 1) * size)
     ya = F.when(upright, F.col("y1")).otherwise(height_at(enter))
     yb = F.when(upright, F.col("y2")).otherwise(height_at(leave))
-    heights = walked.select("region", "lon", ya.alias("ya"), yb.alias("yb"))
-    outline = heights.select("region", "lon", F.explode(touch(F.least("ya", "yb"), F.greatest("ya", "yb"))).alias("lat"))
-
-    # tile centres of the whole earth as one grid
-    west, south = -180.5 - 180, -90.5 - 90
-    centred = edges.select(
-        "*",
-        F.lit(west).alias("gx"), F.lit(1.0).alias("gdx"), F.lit(722).cast("bigint").alias("gnx"),
-        F.lit(south).alias("gy"), F.lit(1.0).alias("gdy"), F.lit(362).cast("bigint").alias("gny"),
+    heights = walked.withColumn("_a", ya).withColumn("_b", yb)
+    return heights.select("*", F.explode(touch(F.least("_a", "_b"), F.greatest("_a", "_b"))).alias("ty")).drop("_a", "_b")
+
+
+def tile_cover(edges: DataFrame) -> DataFrame:
+    """The 1-degree tiles that touch each region: ``region``, ``lon``, ``lat`` of the lower left corner.
+
+    Tiles on the outline come from walking each side through the tiles it touches; tiles
+    without outline are inside or outside as a whole and are decided at their centre.  Tiles
+    beyond the rounded bounds of the region, which it can only touch, are left out.
+    """
+    outline = _walk(edges, 1.0).filter(
+        (F.col("tx") >= F.floor("xmin")) & (F.col("tx") < F.ceil("xmax"))
+        & (F.col("ty") >= F.floor("ymin")) & (F.col("ty") < F.ceil("ymax"))
     )
+    west, south = F.floor("xmin"), F.floor("ymin")
+    centred = with_grid(edges, west + 0.5, 1.0, F.ceil("xmax") - west, south + 0.5, 1.0, F.ceil("ymax") - south)
     filled = grid_inside(centred, strict=False).select(
-        "region", (F.col("i") + int(west - 0.5)).alias("lon"), (F.col("j") + int(south - 0.5)).alias("lat")
+        "region", F.floor(F.col("gx") + F.col("i")).alias("tx"), F.floor(F.col("gy") + F.col("j")).alias("ty")
     )
-    tiles = outline.unionByName(filled).dropDuplicates()
-    box = bounds(edges, "region")
-    bounded = salted_lookup(tiles, box, ["region"], F.struct("lon", "lat"))
-    within = (
-        (F.col("lon") >= F.floor("xmin")) & (F.col("lon") < F.ceil("xmax"))
-        & (F.col("lat") >= F.floor("ymin")) & (F.col("lat") < F.ceil("ymax"))
-    )
-    return bounded.filter(within).select("region", F.col("lon").cast("int").alias("lon"), F.col("lat").cast("int").alias("lat"))
+    tiles = outline.select("region", "tx", "ty").unionByName(filled).dropDuplicates()
+    return tiles.select("region", F.col("tx").cast("int").alias("lon"), F.col("ty").cast("int").alias("lat"))
 
 
 def missing_tiles(tiles: DataFrame, present: DataFrame) -> DataFrame:
@@ -212,27 +222,54 @@ def tile_rings(tiles: DataFrame) -> DataFrame:
     return tiles.withColumn("ring", F.array(*[corner(dx, dy) for dx, dy in ((0, 0), (1, 0), (1, 1), (0, 1), (0, 0))]))
 
 
-def points_within(points: DataFrame, edges: DataFrame, strip: float = 1.0) -> DataFrame:
+def points_within(points: DataFrame, edges: DataFrame, size: float = 0.25) -> DataFrame:
     """Pairs of point and region where the point is strictly inside: ``point``, ``region``.
 
-    ``points`` has ``point``, ``x``, ``y``.  Points and sides meet by the horizontal strip
-    they lie in, so a point sees only the sides at its own height.  The strip of a busy place
-    is salted on the side of the points.  Crossings are counted before the shuffle by point.
+    ``points`` has ``point``, ``x``, ``y``.  Points and sides meet by square tiles, so a point
+    sees only the sides that touch its own tile.  Whether the lower left corner of a tile is
+    inside is decided once per region; going from there along the left edge of the tile to the
+    height of the point, and then across to the point, every side that is crossed changes the
+    answer.  A tile that no side touches is inside as a whole or not at all.  The points of a
+    busy tile are salted.
     """
-    at = lambda y: F.floor(y / strip)
-    sides = edges.select("*", F.explode(F.sequence(at(F.least("y1", "y2")), at(F.greatest("y1", "y2")))).alias("strip"))
-    placed = points.select("point", "x", "y", at(F.col("y")).alias("strip"))
-    met = salted_lookup(placed, sides, ["strip"], F.col("point"))
-    met = met.filter(F.col("y").between(F.least("y1", "y2"), F.greatest("y1", "y2")))
-    level = F.col("y1") == F.col("y2")
-    crossing = F.col("x1") + F.try_divide((F.col("y") - F.col("y1")) * (F.col("x2") - F.col("x1")), F.col("y2") - F.col("y1"))
-    on_level = level & F.col("x").between(F.least("x1", "x2"), F.greatest("x1", "x2"))
-    on_side = F.coalesce(on_level | (crossing == F.col("x")), F.lit(False))
-    passes = ~level & (F.col("y") < F.greatest("y1", "y2")) & (crossing < F.col("x"))
+    sides = _walk(edges, size).select("region", *SIDES, "tx", "ty")
+    west, south = F.floor(F.col("xmin") / size), F.floor(F.col("ymin") / size)
+    across, up = F.floor(F.col("xmax") / size) - west + 1, F.floor(F.col("ymax") / size) - south + 1
+    cornered = with_grid(edges, west * size, size, across, south * size, size, up)
+    corners = grid_inside(cornered, strict=False).select(
+        "region", F.round(F.col("gx") / size + F.col("i")).cast("bigint").alias("tx"),
+        F.round(F.col("gy") / size + F.col("j")).cast("bigint").alias("ty"),
+    )
+    touched = sides.select("region", "tx", "ty").dropDuplicates().withColumn("touched", F.lit(True))
+    state = corners.withColumn("corner", F.lit(1)).join(touched, ["region", "tx", "ty"], "full_outer")
+    whole = state.filter(F.col("touched").isNull()).select("region", "tx", "ty")
+    on_outline = state.filter("touched").select("region", "tx", "ty", F.coalesce("corner", F.lit(0)).alias("corner"))
+
+    tile = lambda axis: F.floor(F.col(axis) / size).cast("bigint")
+    placed = points.select("point", "x", "y", tile("x").alias("tx"), tile("y").alias("ty"))
+    certain = salted_lookup(placed, whole, ["tx", "ty"], F.col("point")).select("point", "region")
+    met = salted_lookup(placed, sides.join(on_outline, ["region", "tx", "ty"]), ["tx", "ty"], F.col("point"))
+
+    x, y, x1, y1, x2, y2 = (F.col(c) for c in ("x", "y", *SIDES))
+    edge_x, base_y = F.col("tx") * size, F.col("ty") * size
+    low, high, left, right = F.least(y1, y2), F.greatest(y1, y2), F.least(x1, x2), F.greatest(x1, x2)
+
+    # along the left edge of the tile, from its corner up to the height of the point
+    start, stop = F.greatest(base_y, low), F.least(y, high)
+    level = y1 == y2
+    climbs = F.when(level, (base_y < y1) & (y1 <= y) & ((x1 < edge_x) != (x2 < edge_x))).otherwise(
+        (start <= stop) & ((_side_at(start) < edge_x) != (_side_at(stop) < edge_x))
+    )
+    # across to the point
+    here = _side_at(y)
+    spans = ~level & (low <= y) & (y < high)
+    crosses = spans & (here >= edge_x) & (here < x)
+    on_side = F.when(level, (y == y1) & x.between(left, right)).otherwise(y.between(low, high) & (here == x))
     verdict = met.groupBy("point", "region").agg(
-        F.count_if(passes).alias("crossings"), F.max(on_side).alias("on_outline")
+        F.max("corner").alias("corner"), F.count_if(climbs).alias("climbs"), F.count_if(crosses).alias("crosses"), F.max(on_side).alias("on")
     )
-    return verdict.filter((F.col("crossings") % 2 == 1) & ~F.col("on_outline")).select("point", "region")
+    inside = ((F.col("corner") + F.col("climbs") + F.col("crosses")) % 2 == 1) & ~F.col("on")
+    return verdict.filter(inside).select("point", "region").unionByName(certain)
 
 
 def rasterised(edges: DataFrame, cols: int, rows: int) -> DataFrame:
@@ -240,12 +277,8 @@ def rasterised(edges: DataFrame, cols: int, rows: int) -> DataFrame:
 
     Coordinates of the edges are in cells, from the upper left corner of the layer.
     """
-    grid = edges.select(
-        "*",
-        F.lit(0.5).alias("gx"), F.lit(1.0).alias("gdx"), F.lit(cols).cast("bigint").alias("gnx"),
-        F.lit(0.5).alias("gy"), F.lit(1.0).alias("gdy"), F.lit(rows).cast("bigint").alias("gny"),
-    )
-    return grid_inside(grid).select("region", F.col("i").cast("int").alias("col"), F.col("j").cast("int").alias("row"))
+    inside = grid_inside(with_grid(edges, 0.5, 1.0, cols, 0.5, 1.0, rows))
+    return inside.select("region", F.col("i").cast("int").alias("col"), F.col("j").cast("int").alias("row"))
 
 
 def line_cells(lines: DataFrame, cols: int, rows: int) -> DataFrame:

@@ -22,7 +22,7 @@ FROM {0} a JOIN {0} b ON a.region = b.region AND b.seq = (a.seq + 1) % 5"""
 
 def _rings(df: DataFrame, x0, y0, size) -> DataFrame:
     points = F.array(*[F.struct((x0 + size * px).alias("x"), (y0 + size * py).alias("y")) for px, py in ARROW])
-    return df.select("region", points.alias("ring"))
+    return df.select("region", F.array(points).alias("rings"))
 
 
 def _rings_sql(table: str, key: str, x0: str, y0: str, size: str) -> str:
@@ -63,8 +63,9 @@ STRIP = {"ring": STRIP_SQL, "edges": _EDGES_SQL.format("ring")}
 
 def _as_geojson(regions: DataFrame) -> DataFrame:
     """One GeoJSON document per region, with a closed ring."""
-    closed = F.concat(F.col("ring"), F.slice("ring", 1, 1))
-    coordinates = F.to_json(F.array(F.transform(closed, lambda p: F.array(p["x"], p["y"]))))
+    closed = lambda ring: F.concat(ring, F.slice(ring, 1, 1))
+    pairs = lambda ring: F.transform(closed(ring), lambda p: F.array(p["x"], p["y"]))
+    coordinates = F.to_json(F.transform("rings", pairs))
     head = '{"type": "FeatureCollection", "crs": {"type": "name", "properties": {"name": "urn:ogc:def:crs:OGC:1.3:CRS84"}}, '
     body = '"features": [{"type": "Feature", "properties": {}, "geometry": {"type": "Polygon", "coordinates": '
     return regions.select(F.col("region").alias("document"), F.concat(F.lit(head + body), coordinates, F.lit("}}]}")).alias("value"))
@@ -81,7 +82,7 @@ FROM ring GROUP BY 1""",
 def region_bounds(spark, d):
     """Bounds of regions that were written as GeoJSON text and parsed again."""
     parsed = parse_regions(_as_geojson(world_regions(spark, d)), on_missing_crs="error")
-    edges = polygons.ring_edges(parsed.select(F.col("document").alias("region"), "ring"))
+    edges = polygons.ring_edges(parsed.select(F.col("document").alias("region"), "rings"))
     return rounded(polygons.bounds(edges, "region"))
 
 
@@ -206,7 +207,7 @@ HAVING count(*) FILTER ((y1 <= y) <> (y2 <= y) AND x1 + (y - y1) * (x2 - x1) / (
     ),
 )
 def points_in_regions(spark, d):
-    return polygons.points_within(_places(spark, d), polygons.ring_edges(strip_regions(spark, d)), strip=0.25)
+    return polygons.points_within(_places(spark, d), polygons.ring_edges(strip_regions(spark, d)))
 
 
 LCC = proj.LambertConformalConic(28.0, 32.0, 30.0, 85.0)
@@ -267,7 +268,7 @@ _OWN_XY = ps.tm_xy("south")
 )
 def utm_zone(spark, d):
     """UTM zone and coordinates of the first corner of every region, each in its own zone."""
-    corner = world_regions(spark, d).select("region", F.col("ring")[0]["x"].alias("lon"), F.col("ring")[0]["y"].alias("lat"))
+    corner = world_regions(spark, d).select("region", F.col("rings")[0][0]["x"].alias("lon"), F.col("rings")[0][0]["y"].alias("lat"))
     lon, lat = F.col("lon"), F.col("lat")
     easting, northing = proj.own_utm(lon, lat).forward(lon, lat)
     placed = corner.select(

@@ -11,6 +11,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # the JVM does not compile longer methods; beyond this length separate operators are faster
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -25,6 +27,7 @@ def build_session(app_name: str = "fellwalk", cores: str | int | None = None, **
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in {**RUNTIME_SETTINGS, **extra}.items():
         builder = builder.config(key, value)

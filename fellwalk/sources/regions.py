@@ -19,10 +19,10 @@ UTM_CODE = r"EPSG:+(326|327)(\d\d)$"
 
 
 def parse_regions(documents: DataFrame, text: str = "value", on_missing_crs: str = "assume") -> DataFrame:
-    """Regions of GeoJSON documents, one document per row: ``document``, ``region``, ``ring``.
+    """Regions of GeoJSON documents, one document per row: ``document``, ``region``, ``rings``.
 
-    ``documents`` has a ``document`` id and the text.  One row per ring, with its points as
-    ``(x, y)`` structs in degrees; a region is one feature, numbered within its document.  A
+    ``documents`` has a ``document`` id and the text.  A region is one feature, numbered within its
+    document, with its rings as arrays of ``(x, y)`` structs in degrees.  A
     document without a reference system fails (``on_missing_crs="error"``) or is taken as
     longitude and latitude (``"assume"``).  UTM coordinates are converted; other systems fail.
     """
@@ -36,9 +36,10 @@ def parse_regions(documents: DataFrame, text: str = "value", on_missing_crs: str
     polygons = F.when(shape == "Polygon", F.array(F.from_json(coordinates, POLYGON))).when(
         shape == "MultiPolygon", F.from_json(coordinates, MULTI_POLYGON)
     )
-    rings = features.select("document", "region", "crs", F.explode(F.flatten(polygons)).alias("points"))
+    rings = features.select("document", "region", "crs", F.flatten(polygons).alias("rings")).filter(F.col("rings").isNotNull())
     known = rings.withColumn("crs", _checked_crs(F.col("crs"), on_missing_crs))
-    return known.select("document", "region", F.transform("points", lambda p: _to_degrees(p[0], p[1], F.col("crs"))).alias("ring"))
+    degrees = lambda ring: F.transform(ring, lambda p: _to_degrees(p[0], p[1], F.col("crs")))
+    return known.select("document", "region", F.transform("rings", degrees).alias("rings"))
 
 
 def _checked_crs(crs: Column, on_missing_crs: str) -> Column:
