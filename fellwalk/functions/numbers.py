@@ -32,7 +32,10 @@ def minutes_between(start: Column, end: Column) -> Column:
 
 
 def general_format(value: Column, digits: int = 6, sign: bool = False) -> Column:
-    """Shortest text with ``digits`` significant digits, the way printf ``%g`` writes it."""
+    """Shortest text with ``digits`` significant digits, the way printf ``%g`` writes it.
+
+    A decimal half is rounded up.
+    """
     flag = "+" if sign else ""
     scientific = F.format_string(f"%{flag}.{digits - 1}e", value)
     exponent = F.regexp_extract(scientific, r"e([+-]\d+)$", 1).cast("int")

@@ -62,7 +62,7 @@ def location_rollup(df: DataFrame, outer: str = "country", inner: str = "city")
     deep = F.col("_outer_only") == 0
     path = F.when(deep, F.concat_ws(" / ", outer, inner)).otherwise(F.col(outer))
     rows = levels.select(F.when(deep, 2).otherwise(1).alias("level"), outer, inner, path.alias("path"), "n")
-    return rows.orderBy("n", outer, F.col(inner).asc_nulls_first())
+    return rows.orderBy("n", outer, "level", inner)
 
 
 def calendar_gap(start: Column, end: Column) -> tuple[Column, Column, Column, Column]:

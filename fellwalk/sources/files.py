@@ -37,14 +37,17 @@ def read_drifting_parts(spark: SparkSession, pattern: str, target: T.StructType)
 
 
 def read_text_table(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """A CSV with a header, all columns as text; an empty value is an empty text, a missing one NULL."""
-    return (
-        spark.read.option("header", True)
-        .option("inferSchema", False)
-        .option("nullValue", "\u0000")
-        .option("emptyValue", "")
-        .csv(path)
-    )
+    """A CSV with a header, all columns as text; an empty value is an empty text, a missing one NULL.
+
+    The reader gives NULL for both, so a row that is cut short is told apart by the reader's
+    own mark for rows that do not fit the header.
+    """
+    names = spark.read.option("header", True).csv(path).columns
+    mark = "_misfit"
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, mark]])
+    rows = spark.read.schema(schema).option("header", True).option("columnNameOfCorruptRecord", mark).csv(path)
+    short = F.col(mark).isNotNull() & rows[f"`{names[-1]}`"].isNull()
+    return rows.select(*[F.when(short, rows[f"`{n}`"]).otherwise(F.coalesce(rows[f"`{n}`"], F.lit(""))).alias(n) for n in names])
 
 
 def read_zones(spark: SparkSession, path: str) -> DataFrame:

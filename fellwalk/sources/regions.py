@@ -61,5 +61,5 @@ def _to_degrees(x: Column, y: Column, crs: Column) -> Column:
 
 def read_regions(spark: SparkSession, path: str, on_missing_crs: str = "assume") -> DataFrame:
     """Regions of GeoJSON files, one whole document per file; files are read in parallel."""
-    texts = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("document"), "value")
+    texts = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("document"), "value")
     return parse_regions(texts, "value", on_missing_crs)
