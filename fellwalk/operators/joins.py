@@ -17,7 +17,7 @@ def salted_lookup(
     how: str = "inner",
     salts: int = SALTS,
 ) -> DataFrame:
-    """Join many ``probe`` rows to a ``lookup`` that has one row per key.
+    """Join many ``probe`` rows to a ``lookup`` that has one or few rows per key.
 
     The probe rows of one key are spread over ``salts`` partitions by ``spread`` (a column
     that differs between rows of the same key, such as a row id), and every lookup row is

@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fellwalk.operators.joins import salted_lookup
+from fellwalk.session import spread
 
 BOX = ("xmin", "ymin", "xmax", "ymax")
 SIDES = ("x1", "y1", "x2", "y2")
@@ -23,8 +24,8 @@ SIDES = ("x1", "y1", "x2", "y2")
 def ring_edges(regions: DataFrame, rings: str = "rings") -> DataFrame:
     """The edge table of regions whose column ``rings`` is an array of rings of ``(x, y)`` structs.
 
-    A ring may be closed or not.  The bounding box comes from the row itself, so the step
-    needs no shuffle.
+    A ring may be closed or not.  The bounding box comes from the row itself.  Sides are spread
+    over the cluster, because a few long ones can become many grid lines.
     """
     points = F.flatten(rings)
     axis = lambda name: F.transform(points, lambda p: p[name])
@@ -43,7 +44,8 @@ def ring_edges(regions: DataFrame, rings: str = "rings") -> DataFrame:
     boxed = regions.select("region", rings, *[c.alias(n) for c, n in zip(box, BOX)])
     whole = F.filter(rings, lambda ring: F.size(ring) > 1)
     edges = boxed.select("region", *BOX, F.posexplode(F.flatten(F.transform(whole, sides))).alias("seq", "s"))
-    return edges.select("region", "seq", "s.*", *BOX).filter((F.col("x1") != F.col("x2")) | (F.col("y1") != F.col("y2")))
+    edges = edges.select("region", "seq", "s.*", *BOX).filter((F.col("x1") != F.col("x2")) | (F.col("y1") != F.col("y2")))
+    return spread(edges, "region", "seq")
 
 
 def vertex_edges(vertices: DataFrame) -> DataFrame:
@@ -127,6 +129,7 @@ def grid_inside(gridded: DataFrame, strict: bool = True) -> DataFrame:
         (F.col("i") + F.when(F.col("on"), 1).otherwise(0)).alias("start"), (F.lead("i").over(along) - 1).alias("stop"),
     )
     filled = spans.filter((F.col("inside") == 1) & (F.col("start") <= F.col("stop")))
+    filled = spread(filled.select("region", "j", *GRID, "start", "stop"), "region", "j", "start")
     return filled.select("region", F.explode(F.sequence("start", "stop")).alias("i"), "j", *GRID)
 
 
@@ -248,7 +251,8 @@ def points_within(points: DataFrame, edges: DataFrame, size: float = 0.25) -> Da
     tile = lambda axis: F.floor(F.col(axis) / size).cast("bigint")
     placed = points.select("point", "x", "y", tile("x").alias("tx"), tile("y").alias("ty"))
     certain = salted_lookup(placed, whole, ["tx", "ty"], F.col("point")).select("point", "region")
-    met = salted_lookup(placed, sides.join(on_outline, ["region", "tx", "ty"]), ["tx", "ty"], F.col("point"))
+    judged = salted_lookup(sides, on_outline, ["region", "tx", "ty"], F.struct(*SIDES))
+    met = salted_lookup(placed, judged, ["tx", "ty"], F.col("point"))
 
     x, y, x1, y1, x2, y2 = (F.col(c) for c in ("x", "y", *SIDES))
     edge_x, base_y = F.col("tx") * size, F.col("ty") * size

@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fellwalk.functions.text import hex_to_long, int_list, iso_date, list_text, period_text, strict_int
+from fellwalk.session import spread
 
 # Parsers by kind: text column in, typed column or NULL out.
 PARSERS: dict[str, Callable[[Column], Column]] = {
@@ -98,8 +99,7 @@ def date_gaps(df: DataFrame, date: str, ordered: bool = False, chunk: int = GAP_
         .select("to_date", "n", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((repeats - 1) / width))).alias("part"))
         .select("to_date", (F.col("part") * width).alias("start"), F.least(width, repeats - F.col("part") * width).alias("size"))
     )
-    spread = chunks.repartition(F.col("to_date"), F.col("start"))
-    same_day = spread.select(
+    same_day = spread(chunks, "to_date", "start").select(
         F.col("to_date").alias("from_date"),
         "to_date",
         F.explode(F.sequence(F.col("start") + 1, F.col("start") + F.col("size"))).alias("copy"),

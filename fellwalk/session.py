@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -45,6 +45,15 @@ def settle_session(spark: SparkSession) -> SparkSession:
 
 
 def parallelism(spark: SparkSession) -> int:
-    """Partition count for generated grids: the session's shuffle width, at least its cores."""
+    """Partition count for steps that multiply their rows: the shuffle width, at least the cores."""
     width = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     return max(width, spark.sparkContext.defaultParallelism)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Distribute rows by ``keys`` ahead of a step that turns each into many.
+
+    The number of partitions is explicit, because sizes measured before the step would let the
+    planner merge small partitions that are about to grow.
+    """
+    return df.repartition(parallelism(df.sparkSession), *keys)
