@@ -1,26 +1,59 @@
-"""Connected components of a graph given as edges, by repeated joins."""
+"""Connected components of a graph given as edges."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from fellwalk.operators.joins import salted_lookup
 from fellwalk.workspace import settled
 
 MAX_ROUNDS = 200
+# Graphs up to this many edges are settled by one task; the number is counted, not estimated.
+SINGLE_TASK_EDGES = 500_000
+
+
+def merged_roots(first: np.ndarray, second: np.ndarray, count: int) -> np.ndarray:
+    """Smallest member of each group when ``first[i]`` and ``second[i]`` belong together."""
+    root = np.arange(count)
+    while True:
+        a, b = root[first], root[second]
+        apart = a != b
+        if not apart.any():
+            return root
+        np.minimum.at(root, np.maximum(a, b)[apart], np.minimum(a, b)[apart])
+        while (root[root] != root).any():
+            root = root[root]
 
 
-def connected_components(edges: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFrame:
+def _settle_in_one_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    parts = list(batches)
+    if parts:
+        edges = pd.concat(parts)
+        nodes, position = np.unique(edges[["a", "b"]].to_numpy(), return_inverse=True)
+        first, second = position.reshape(-1, 2).T
+        yield pd.DataFrame({"node": nodes, "root": nodes[merged_roots(first, second, len(nodes))]})
+
+
+def connected_components(
+    edges: DataFrame, max_rounds: int = MAX_ROUNDS, single_task_edges: int = SINGLE_TASK_EDGES
+) -> DataFrame:
     """Columns ``node`` and ``root``, the smallest node of its component, for every node of an edge.
 
-    ``edges`` has ``a`` and ``b``.  Each round hangs every tree under the smallest root seen by
-    any of its nodes and then halves the paths, so the number of rounds grows with the logarithm
-    of the component size.  The edge list never changes, so the neighbour join keeps the degrees
-    of the graph; only the path step looks up popular roots, and that lookup is salted.  Every
-    round is written out, which cuts the lineage.
+    ``edges`` has ``a`` and ``b``.  A graph of few edges, by count, is settled by one task.  In a
+    larger one each round hangs every tree under the smallest root seen by any of its nodes and
+    then halves the paths, so the number of rounds grows with the logarithm of the component size.
+    Popular nodes and popular roots are looked up with a salt, and smallest roots are combined
+    before the shuffle.  Every round is written out, which cuts the lineage.
     """
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = settled(both.filter("a <> b").dropDuplicates(), "edges")
+    links = settled(edges.select("a", "b").dropDuplicates(), "edges")
+    if links.count() <= single_task_edges:
+        return links.coalesce(1).mapInPandas(_settle_in_one_task, "node bigint, root bigint")
+
+    both = links.filter("a <> b").select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     state = settled(both.select(F.col("a").alias("node")).dropDuplicates().withColumn("root", F.col("node")), "roots")
     before = None
     for _ in range(max_rounds):
@@ -29,12 +62,11 @@ def connected_components(edges: DataFrame, max_rounds: int = MAX_ROUNDS) -> Data
             return state
         before = after
 
-        seen = both.join(state.select(F.col("node").alias("b"), F.col("root").alias("seen")), "b")
+        seen = salted_lookup(both, state.select(F.col("node").alias("b"), F.col("root").alias("seen")), ["b"], F.col("a"))
         smallest = seen.groupBy(F.col("a").alias("node")).agg(F.min("seen").alias("seen"))
         offer = state.join(smallest, "node").select("node", "root", F.least("root", "seen").alias("offer"))
         targets = F.explode(F.array("node", "root")).alias("node")
         hung = offer.select(targets, "offer").groupBy("node").agg(F.min("offer").alias("root"))
-        hung = settled(hung, "hung")
         parents = hung.select(F.col("node").alias("root"), F.col("root").alias("up"))
         halved = salted_lookup(hung, parents, ["root"], F.col("node"))
         state = settled(halved.select("node", F.col("up").alias("root")), "roots")

@@ -179,24 +179,19 @@ def cost_distance(
     blocks = settled(_blocks(costs, block), "blocks")
     open_sources = sources.select("col", "row").join(costs.filter(F.col("cost").isNotNull()), ["col", "row"], "left_semi")
     home = lambda axis: F.floor(F.col(axis) / block).cast("int")
-    improved = settled(
-        open_sources.dropDuplicates().select(home("col").alias("bc"), home("row").alias("br"), "col", "row", F.lit(0.0).alias("distance")),
-        "arrivals",
-    )
-    arrivals = improved
+    starts = open_sources.dropDuplicates().select(home("col").alias("bc"), home("row").alias("br"), "col", "row")
+    arrivals = settled(starts.select("*", F.lit(0.0).alias("distance"), F.lit(True).alias("fresh")), "arrivals")
     for _ in range(max_rounds):
-        if improved.isEmpty():
+        active = arrivals.filter("fresh").select("bc", "br").dropDuplicates()
+        if active.isEmpty():
             return _with_arrivals(blocks, arrivals).mapInPandas(_cell_results(block, moves, cell_size), CELL_SCHEMA)
-        active = improved.select("bc", "br").dropDuplicates()
         ready = _with_arrivals(blocks, arrivals.join(active, ["bc", "br"], "left_semi"))
         sent = ready.mapInPandas(_edge_results(block, moves, cell_size), ARRIVAL_SCHEMA)
-        offers = sent.groupBy(*keys).agg(F.min("distance").alias("offer"))
-        known = offers.join(arrivals, keys, "left")
-        better = known.filter(F.col("distance").isNull() | (F.col("offer") < F.col("distance")))
-        improved = settled(better.select(*keys, F.col("offer").alias("distance")), "arrivals")
-        arrivals = settled(
-            arrivals.unionByName(improved).groupBy(*keys).agg(F.min("distance").alias("distance")), "arrivals"
-        )
+        known = arrivals.select(*keys, F.col("distance").alias("old"), F.lit(None).cast("double").alias("offer"))
+        offered = sent.select(*keys, F.lit(None).cast("double").alias("old"), F.col("distance").alias("offer"))
+        best = known.unionByName(offered).groupBy(*keys).agg(F.min("old").alias("old"), F.min("offer").alias("offer"))
+        fresh = F.coalesce(F.col("offer") < F.col("old"), F.col("old").isNull())
+        arrivals = settled(best.select(*keys, F.least("old", "offer").alias("distance"), fresh.alias("fresh")), "arrivals")
     raise RuntimeError(f"cost distance did not settle in {max_rounds} rounds")
 
 

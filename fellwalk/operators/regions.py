@@ -6,26 +6,13 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from fellwalk.operators.components import connected_components
+from fellwalk.operators.components import connected_components, merged_roots
 from fellwalk.operators.layers import TILE_SIZE, Shape, shape_of
 from fellwalk.workspace import settled
 
 LABEL_SCHEMA = "col int, row int, label bigint"
 
 
-def _merged(first: np.ndarray, second: np.ndarray, count: int) -> np.ndarray:
-    """Smallest member of each group when ``first[i]`` and ``second[i]`` belong together."""
-    root = np.arange(count)
-    while True:
-        a, b = root[first], root[second]
-        apart = a != b
-        if not apart.any():
-            return root
-        np.minimum.at(root, np.maximum(a, b)[apart], np.minimum(a, b)[apart])
-        while (root[root] != root).any():
-            root = root[root]
-
-
 def label_block(col: np.ndarray, row: np.ndarray, diagonal: bool) -> np.ndarray:
     """Index of the first cell (by row, then column) of each cell's region within one block.
 
@@ -43,7 +30,7 @@ def label_block(col: np.ndarray, row: np.ndarray, diagonal: bool) -> np.ndarray:
     below = np.concatenate([grid[r + 1, c + s] for s in steps])
     above = np.tile(run, len(steps))
     touching = below >= 0
-    root = _merged(above[touching], below[touching], run[-1] + 1)
+    root = merged_roots(above[touching], below[touching], run[-1] + 1)
 
     first_cell = np.flatnonzero(starts)
     result = np.empty(len(c), dtype=np.int64)

@@ -49,43 +49,43 @@ def neighbourhood(cells: DataFrame, block: int = BLOCK, tile_local: bool = False
     )
     along = Window.partitionBy("bc", "br", "row").orderBy("col")
     packed = F.struct("col", "n", "c", "s")
-    sides = columns.select(
-        "*", F.lag(packed).over(along).alias("_w"), F.lead(packed).over(along).alias("_e")
-    ).filter(F.col("own") & (home(col) == F.col("bc")))
-    west = lambda c: F.when(F.col("_w.col") == col - 1, F.col(f"_w.{c}"))
-    east = lambda c: F.when(F.col("_e.col") == col + 1, F.col(f"_e.{c}"))
-    return sides.select(
+    sides = columns.select("*", F.lag(packed).over(along).alias("_w"), F.lead(packed).over(along).alias("_e"))
+    adjacent = lambda side, at: F.when(F.col(f"{side}.col") == at, F.col(side)).alias(side)
+    own = sides.filter(F.col("own") & (home(col) == F.col("bc"))).select(
+        "col", "row", "n", "c", "s", adjacent("_w", col - 1), adjacent("_e", col + 1)
+    )
+    field = lambda name, side, part: F.col(f"{side}.{part}").alias(name)
+    return own.select(
         "col", "row",
-        west("n").alias("nw"), "n", east("n").alias("ne"),
-        west("c").alias("w"), "c", east("c").alias("e"),
-        west("s").alias("sw"), "s", east("s").alias("se"),
+        field("nw", "_w", "n"), "n", field("ne", "_e", "n"),
+        field("w", "_w", "c"), "c", field("e", "_e", "c"),
+        field("sw", "_w", "s"), "s", field("se", "_e", "s"),
     )
 
 
-def gradient(cell_size: float, z_factor: float = 1.0) -> tuple[Column, Column]:
-    """Change of height per unit to the east and to the south, by the weighted 3x3 rule.
+def gradient(around: DataFrame, cell_size: float, z_factor: float = 1.0) -> DataFrame:
+    """Change of height per unit to the east (``dx``) and to the south (``dy``), by the weighted 3x3 rule.
 
     A neighbour without data counts as the height of the cell itself; a cell without data has no
-    gradient.
+    gradient.  The steps are separate projections, so that no expression repeats another.
     """
-    v = {name: F.coalesce(F.col(name), F.col("c")) for name in COMPASS}
+    ring = [name for name in COMPASS if name != "c"]
+    filled = around.select("col", "row", *[F.when(F.col("c").isNotNull(), F.coalesce(n, "c")).alias(n) for n in ring])
+    v = {name: F.col(name) for name in ring}
     scale = F.lit(8.0 * cell_size / z_factor)
     to_east = (v["ne"] + 2 * v["e"] + v["se"]) - (v["nw"] + 2 * v["w"] + v["sw"])
     to_south = (v["sw"] + 2 * v["s"] + v["se"]) - (v["nw"] + 2 * v["n"] + v["ne"])
-    known = F.col("c").isNotNull()
-    return F.when(known, to_east / scale), F.when(known, to_south / scale)
-
-
-def steepness(cell_size: float, z_factor: float = 1.0) -> Column:
-    """Slope in degrees, as an expression over a neighbourhood."""
-    dx, dy = gradient(cell_size, z_factor)
-    return F.degrees(F.atan(F.sqrt(dx * dx + dy * dy)))
+    return filled.select("col", "row", (to_east / scale).alias("dx"), (to_south / scale).alias("dy"))
 
 
 def slope(cells: DataFrame, cell_size: float, z_factor: float = 1.0, block: int = BLOCK, tile_local: bool = False) -> DataFrame:
     """Slope of every cell in degrees; NULL where the cell has no data."""
-    around = neighbourhood(cells, block, tile_local)
-    return around.select("col", "row", steepness(cell_size, z_factor).alias("slope"))
+    change = gradient(neighbourhood(cells, block, tile_local), cell_size, z_factor)
+    return change.select("col", "row", _steepness().alias("slope"))
+
+
+def _steepness() -> Column:
+    return F.degrees(F.atan(F.sqrt(F.col("dx") * F.col("dx") + F.col("dy") * F.col("dy"))))
 
 
 FLAT = -1.0
@@ -93,11 +93,19 @@ FLAT = -1.0
 
 def aspect(cells: DataFrame, cell_size: float, block: int = BLOCK, tile_local: bool = False) -> DataFrame:
     """Downhill direction of every cell in degrees clockwise from north; -1 where it is flat."""
-    dx, dy = gradient(cell_size)
-    around = neighbourhood(cells, block, tile_local).select("col", "row", "c", dx.alias("dx"), dy.alias("dy"))
+    change = gradient(neighbourhood(cells, block, tile_local), cell_size)
+    return change.select("col", "row", _heading().alias("aspect"))
+
+
+def _heading() -> Column:
     heading = F.pmod(F.lit(450.0) - F.degrees(F.atan2(F.col("dy"), -F.col("dx"))), F.lit(360.0))
-    flat = (F.col("dx") == 0) & (F.col("dy") == 0)
-    return around.select("col", "row", F.when(F.col("c").isNotNull(), F.when(flat, F.lit(FLAT)).otherwise(heading)).alias("aspect"))
+    return F.when((F.col("dx") == 0) & (F.col("dy") == 0), F.lit(FLAT)).otherwise(heading)
+
+
+def slope_and_aspect(cells: DataFrame, cell_size: float, block: int = BLOCK, tile_local: bool = False) -> DataFrame:
+    """Both at once, from one pass over the neighbourhoods."""
+    change = gradient(neighbourhood(cells, block, tile_local), cell_size)
+    return change.select("col", "row", _steepness().alias("slope"), _heading().alias("aspect"))
 
 
 def hillshade(
@@ -107,14 +115,13 @@ def hillshade(
 
     A cell without data has none.
     """
-    dx, dy = gradient(cell_size, z_factor)
     sun, height = math.radians(azimuth), math.radians(altitude)
     # the surface normal (-dx, dy, 1) in east, north, up against the direction to the sun
     light = -F.col("dx") * (math.sin(sun) * math.cos(height)) + F.col("dy") * (math.cos(sun) * math.cos(height)) + math.sin(height)
-    around = neighbourhood(cells, block).select("col", "row", dx.alias("dx"), dy.alias("dy"))
+    change = gradient(neighbourhood(cells, block), cell_size, z_factor)
     shade = light / F.sqrt(F.col("dx") * F.col("dx") + F.col("dy") * F.col("dy") + 1.0)
     lit = F.when(shade.isNotNull(), F.greatest(shade, F.lit(0.0)) * 255.0)
-    return around.select("col", "row", lit.alias("hillshade"))
+    return change.select("col", "row", lit.alias("hillshade"))
 
 
 def focal_mean(cells: DataFrame, block: int = BLOCK) -> DataFrame:

@@ -474,11 +474,10 @@ _ZONED = {
 
 
 def _octants_and_classes(spark, d):
-    cells = t.dem(spark, d)
-    facing = terrain.aspect(cells, CELL)
+    both = terrain.slope_and_aspect(t.dem(spark, d), CELL)
     octant = F.when(F.col("aspect") < 0, -1).otherwise(F.floor(F.col("aspect") / 45).cast("int"))
-    values = facing.select("col", "row", F.when(F.col("aspect").isNotNull(), octant).alias("value"))
-    zones = terrain.slope(cells, CELL).select("col", "row", surfaces.break_class(F.col("slope")).alias("zone"))
+    values = both.select("col", "row", F.when(F.col("aspect").isNotNull(), octant).alias("value"))
+    zones = both.select("col", "row", surfaces.break_class(F.col("slope")).alias("zone"))
     return values, zones
 
 
@@ -588,7 +587,7 @@ def _reached(spark, d):
     """Cost distance from the highest passable cell."""
     surface = _costs(spark, d)
     heights = t.dem(spark, d).join(surface.filter("cost IS NOT NULL").select("col", "row"), ["col", "row"], "left_semi")
-    return costs.cost_distance(surface, surfaces.peak_cell(heights), CELL, 8, block=128)
+    return costs.cost_distance(surface, surfaces.peak_cell(heights), CELL, 8)
 
 
 @job(
@@ -617,4 +616,4 @@ def least_cost_paths(spark, d):
     farthest = F.max_by(F.struct("col", "row"), F.struct("distance", "row", "col"))
     band = F.floor(F.col("col") / 32).cast("int").alias("destination")
     ends = reached.groupBy(band).agg(farthest.alias("e")).select("destination", "e.*")
-    return costs.least_cost_paths(reached, ends, block=128)
+    return costs.least_cost_paths(reached, ends)

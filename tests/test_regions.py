@@ -60,13 +60,14 @@ def test_a_winding_region_over_many_tiles(raster):
     assert np.array_equal(found, flood(mask, 4), equal_nan=True)
 
 
-def test_components_of_chains_and_stars(spark):
+@pytest.mark.parametrize("single_task_edges", [0, 10**6])
+def test_components_of_chains_and_stars(spark, single_task_edges):
     chain = [(i, i + 1) for i in range(100, 160)]
     star = [(7, i) for i in range(8, 60)]
     edges = spark.createDataFrame(chain + star + [(500, 499), (500, 500)], "a bigint, b bigint")
-    found = dict(components.connected_components(edges).collect())
+    found = dict(components.connected_components(edges, single_task_edges=single_task_edges).collect())
     assert found == {**{i: 100 for i in range(100, 161)}, **{i: 7 for i in range(7, 60)}, 499: 499, 500: 499}
-    assert components.connected_components(edges.filter("a < 0")).count() == 0
+    assert components.connected_components(edges.filter("a < 0"), single_task_edges=single_task_edges).count() == 0
 
 
 def seen_from(z, col, row, cell):
