@@ -49,21 +49,19 @@ def _moves(connectivity: int) -> tuple[tuple[int, int], ...]:
 
 def _blocks(costs: DataFrame, size: int) -> DataFrame:
     """One row per block: ``bc``, ``br`` and the costs of its cells and rim, no entry as infinity."""
-    home = lambda axis: F.floor(F.col(axis) / size).cast("int")
     reach = lambda axis: F.array_distinct(F.array(*[F.floor((F.col(axis) + d) / size).cast("int") for d in (-1, 0, 1)]))
     open_cells = costs.filter(F.col("cost").isNotNull())
     placed = open_cells.select("col", "row", "cost", F.explode(reach("col")).alias("bc"))
     placed = placed.select("*", F.explode(reach("row")).alias("br"))
-    owned = open_cells.select(home("col").alias("bc"), home("row").alias("br")).dropDuplicates()
 
     def pack(block: pd.DataFrame) -> pd.DataFrame:
         bc, br = int(block["bc"].iloc[0]), int(block["br"].iloc[0])
         grid = np.full((size + 2, size + 2), np.inf)
         grid[block["row"] - br * size + 1, block["col"] - bc * size + 1] = block["cost"]
-        return pd.DataFrame({"bc": [bc], "br": [br], "grid": [grid.tobytes()]})
+        packed = pd.DataFrame({"bc": [bc], "br": [br], "grid": [grid.tobytes()]})
+        return packed if np.isfinite(grid[1:-1, 1:-1]).any() else packed.iloc[:0]
 
-    packed = placed.groupBy("bc", "br").applyInPandas(pack, "bc int, br int, grid binary")
-    return packed.join(owned, ["bc", "br"], "left_semi")
+    return placed.groupBy("bc", "br").applyInPandas(pack, "bc int, br int, grid binary")
 
 
 def solve_block(cost: np.ndarray, at: np.ndarray, arrival: np.ndarray, moves, cell_size: float) -> np.ndarray:
@@ -176,6 +174,7 @@ def cost_distance(
     """
     moves = _moves(connectivity)
     keys = ["bc", "br", "col", "row"]
+    costs = settled(costs.select("col", "row", "cost"), "costs")
     blocks = settled(_blocks(costs, block), "blocks")
     open_sources = sources.select("col", "row").join(costs.filter(F.col("cost").isNotNull()), ["col", "row"], "left_semi")
     home = lambda axis: F.floor(F.col(axis) / block).cast("int")
