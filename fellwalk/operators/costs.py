@@ -67,34 +67,38 @@ def _blocks(costs: DataFrame, size: int) -> DataFrame:
 def solve_block(cost: np.ndarray, at: np.ndarray, arrival: np.ndarray, moves, cell_size: float) -> np.ndarray:
     """Distances in one block with rim, from the given arrivals; rim cells only pass theirs on.
 
-    Only cells that improved in the last sweep are expanded, until none does.
+    Improved cells are expanded in bands of distance, nearest first, until none is left.  The
+    rim also keeps offsets that leave the array sideways from reaching an inner cell.
     """
-    height, width = cost.shape
-    inner = np.zeros(cost.shape, dtype=bool)
-    inner[1:-1, 1:-1] = True
-    inner, flat_cost = inner.ravel(), cost.ravel()
-    steps = [(dy * width + dx, cell_size * np.hypot(dx, dy) / 2) for dx, dy in moves]
+    width = cost.shape[1]
+    enterable = np.isfinite(cost)
+    enterable[[0, -1], :] = enterable[:, [0, -1]] = False
+    enterable, flat_cost = enterable.ravel(), cost.ravel()
+    offset = np.array([dy * width + dx for dx, dy in moves])
+    half = np.array([cell_size * np.hypot(dx, dy) / 2 for dx, dy in moves])
+    usual = flat_cost[enterable].mean() if enterable.any() else 1.0
+    band = 2 * cell_size * usual
 
     distance = np.full(cost.size, np.inf)
     np.minimum.at(distance, at, arrival)
-    front = np.unique(at)
-    while front.size:
-        targets, offers = [], []
-        for (dx, dy), (offset, half) in zip(moves, steps):
-            cols, rows = front % width + dx, front // width + dy
-            valid = (cols >= 0) & (cols < width) & (rows >= 0) & (rows < height)
-            source = front[valid]
-            target = source + offset
-            open_target = inner[target] & np.isfinite(flat_cost[target])
-            source, target = source[open_target], target[open_target]
-            targets.append(target)
-            offers.append(distance[source] + half * (flat_cost[source] + flat_cost[target]))
-        target, offer = np.concatenate(targets), np.concatenate(offers)
+    improved = np.zeros(cost.size, dtype=bool)
+    improved[at] = True
+    while True:
+        front = np.flatnonzero(improved)
+        if not front.size:
+            return distance.reshape(cost.shape)
+        reached = distance[front]
+        front = front[reached <= reached.min() + band]
+        improved[front] = False
+        target = (front[:, None] + offset).ravel()
+        source, share = np.repeat(front, len(offset)), np.tile(half, len(front))
+        valid = (target >= 0) & (target < cost.size)
+        valid[valid] = enterable[target[valid]]
+        target, source, share = target[valid], source[valid], share[valid]
+        offer = distance[source] + share * (flat_cost[source] + flat_cost[target])
         better = offer < distance[target]
-        target, offer = target[better], offer[better]
-        np.minimum.at(distance, target, offer)
-        front = np.unique(target)
-    return distance.reshape(cost.shape)
+        np.minimum.at(distance, target[better], offer[better])
+        improved[target[better]] = True
 
 
 def _opened(batches: Iterator[pd.DataFrame], size: int, moves, cell_size: float):

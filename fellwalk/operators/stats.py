@@ -82,11 +82,14 @@ def _narrowed_quantiles(rows: DataFrame, wanted: list[float], by: list[str], dis
 def _in_bracket(rows: DataFrame, brackets: DataFrame, by: list[str]) -> DataFrame:
     """Rows up to the upper end of each bracket of their group.
 
-    Without groups there is one bracket per wanted probability, so they are broadcast; with
-    groups the planner decides by the size of the written brackets.
+    Without groups there is one bracket per wanted probability; they come as one scalar array.
+    With groups the planner decides on the join by the size of the written brackets.
     """
-    within = F.col("_v") <= F.col("high")
-    return rows.join(brackets, by).filter(within) if by else rows.join(F.broadcast(brackets), within)
+    if by:
+        return rows.join(brackets, by).filter(F.col("_v") <= F.col("high"))
+    listed = brackets.agg(F.collect_list(F.struct(*brackets.columns)).alias("b")).scalar()
+    reached = F.filter(F.col("_b"), lambda b: F.col("_v") <= b["high"])
+    return rows.withColumn("_b", listed).select("_v", F.explode(reached).alias("_b")).select("_v", "_b.*")
 
 
 def _read_off(candidates: DataFrame, keys: list[str], by: list[str]) -> DataFrame:

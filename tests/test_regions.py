@@ -154,7 +154,7 @@ def maze():
     return cost
 
 
-@pytest.mark.parametrize("connectivity, block", [(4, 4), (8, 5), (8, 64)])
+@pytest.mark.parametrize("connectivity, block", [(4, 6), (8, 7), (8, 64)])
 def test_cost_distance(spark, raster, maze, connectivity, block):
     sources = [(0, 0), (0, 16)]  # the second one is forbidden
     frame = spark.createDataFrame([(c, r) for r, c in sources], "col int, row int")
