@@ -64,8 +64,12 @@ def class_label(index: Column, breaks: Sequence[float] = SLOPE_BREAKS) -> Column
 def tile_class_histogram(
     cells: DataFrame, value: str, breaks: Sequence[float] = SLOPE_BREAKS, truncate: bool = True, tile_size: int = TILE_SIZE
 ) -> DataFrame:
-    """Cells per class in each tile; cells without data are left out."""
-    tile = lambda axis: F.floor(F.col(axis) / tile_size).cast("int")
+    """Cells per class in each tile; cells without data are left out.
+
+    Cells that carry ``tile_col`` and ``tile_row`` keep their tile, others are cut by ``tile_size``.
+    """
+    cut = lambda axis: F.floor(F.col(axis) / tile_size).cast("int")
+    tile = lambda axis: F.col(f"tile_{axis}") if f"tile_{axis}" in cells.columns else cut(axis)
     classed = cells.filter(F.col(value).isNotNull()).select(
         tile("col").alias("tile_col"), tile("row").alias("tile_row"), break_class(F.col(value), breaks, truncate).alias("class")
     )

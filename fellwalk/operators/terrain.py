@@ -10,6 +10,7 @@ up in one task.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -17,12 +18,15 @@ BLOCK = 64
 COMPASS = ("nw", "n", "ne", "w", "c", "e", "sw", "s", "se")
 
 
-def neighbourhood(cells: DataFrame, block: int = BLOCK, tile_local: bool = False) -> DataFrame:
+def neighbourhood(cells: DataFrame, block: int = BLOCK, tile_local: bool = False, by: Sequence[str] = ()) -> DataFrame:
     """Each cell with its eight neighbours as columns ``nw n ne w c e sw s se``; ``c`` is the cell.
 
     A neighbour that is absent or has no data is NULL.  With ``tile_local`` a cell sees only
     neighbours in its own block of ``block`` cells a side, as when tiles are handled alone.
+    Rasters with a grid of their own are told apart by the columns ``by``.
     """
+    by = list(by)
+    keys = [*by, "bc", "br"]
     size = F.lit(block)
     home = lambda axis: F.floor(axis / size).cast("int")
     if tile_local:
@@ -30,10 +34,10 @@ def neighbourhood(cells: DataFrame, block: int = BLOCK, tile_local: bool = False
     else:
         reach = lambda axis: F.array_distinct(F.array(home(axis - 1), home(axis), home(axis + 1)))
     col, row = F.col("col"), F.col("row")
-    placed = cells.select("col", "row", "z", F.explode(reach(col)).alias("bc")).select(
+    placed = cells.select(*by, "col", "row", "z", F.explode(reach(col)).alias("bc")).select(
         "*", F.explode(reach(row)).alias("br")
     )
-    blocks = placed.repartition("bc", "br")
+    blocks = placed.repartition(*keys)
 
     # the cell above, the cell itself and the cell below, gathered at the row they are seen from
     z = F.col("z")
@@ -43,20 +47,20 @@ def neighbourhood(cells: DataFrame, block: int = BLOCK, tile_local: bool = False
         F.struct(row.alias("row"), none.alias("n"), z.alias("c"), none.alias("s"), F.lit(True).alias("own")),
         F.struct((row + 1).alias("row"), z.alias("n"), none.alias("c"), none.alias("s"), F.lit(False).alias("own")),
     )
-    seen = blocks.select("bc", "br", "col", F.explode(roles).alias("r")).select("bc", "br", "col", "r.*")
-    columns = seen.filter(home(F.col("row")) == F.col("br")).groupBy("bc", "br", "row", "col").agg(
+    seen = blocks.select(*keys, "col", F.explode(roles).alias("r")).select(*keys, "col", "r.*")
+    columns = seen.filter(home(F.col("row")) == F.col("br")).groupBy(*keys, "row", "col").agg(
         *[F.max(c).alias(c) for c in ("n", "c", "s", "own")]
     )
-    along = Window.partitionBy("bc", "br", "row").orderBy("col")
+    along = Window.partitionBy(*keys, "row").orderBy("col")
     packed = F.struct("col", "n", "c", "s")
     sides = columns.select("*", F.lag(packed).over(along).alias("_w"), F.lead(packed).over(along).alias("_e"))
     adjacent = lambda side, at: F.when(F.col(f"{side}.col") == at, F.col(side)).alias(side)
     own = sides.filter(F.col("own") & (home(col) == F.col("bc"))).select(
-        "col", "row", "n", "c", "s", adjacent("_w", col - 1), adjacent("_e", col + 1)
+        *by, "col", "row", "n", "c", "s", adjacent("_w", col - 1), adjacent("_e", col + 1)
     )
     field = lambda name, side, part: F.col(f"{side}.{part}").alias(name)
     return own.select(
-        "col", "row",
+        *by, "col", "row",
         field("nw", "_w", "n"), "n", field("ne", "_e", "n"),
         field("w", "_w", "c"), "c", field("e", "_e", "c"),
         field("sw", "_w", "s"), "s", field("se", "_e", "s"),
@@ -70,18 +74,21 @@ def gradient(around: DataFrame, cell_size: float, z_factor: float = 1.0) -> Data
     gradient.  The steps are separate projections, so that no expression repeats another.
     """
     ring = [name for name in COMPASS if name != "c"]
-    filled = around.select("col", "row", *[F.when(F.col("c").isNotNull(), F.coalesce(n, "c")).alias(n) for n in ring])
+    place = [c for c in around.columns if c not in COMPASS]
+    filled = around.select(*place, *[F.when(F.col("c").isNotNull(), F.coalesce(n, "c")).alias(n) for n in ring])
     v = {name: F.col(name) for name in ring}
     scale = F.lit(8.0 * cell_size / z_factor)
     to_east = (v["ne"] + 2 * v["e"] + v["se"]) - (v["nw"] + 2 * v["w"] + v["sw"])
     to_south = (v["sw"] + 2 * v["s"] + v["se"]) - (v["nw"] + 2 * v["n"] + v["ne"])
-    return filled.select("col", "row", (to_east / scale).alias("dx"), (to_south / scale).alias("dy"))
+    return filled.select(*place, (to_east / scale).alias("dx"), (to_south / scale).alias("dy"))
 
 
-def slope(cells: DataFrame, cell_size: float, z_factor: float = 1.0, block: int = BLOCK, tile_local: bool = False) -> DataFrame:
+def slope(
+    cells: DataFrame, cell_size: float, z_factor: float = 1.0, block: int = BLOCK, tile_local: bool = False, by: Sequence[str] = ()
+) -> DataFrame:
     """Slope of every cell in degrees; NULL where the cell has no data."""
-    change = gradient(neighbourhood(cells, block, tile_local), cell_size, z_factor)
-    return change.select("col", "row", _steepness().alias("slope"))
+    change = gradient(neighbourhood(cells, block, tile_local, by), cell_size, z_factor)
+    return change.select(*by, "col", "row", _steepness().alias("slope"))
 
 
 def _steepness() -> Column:
@@ -91,10 +98,12 @@ def _steepness() -> Column:
 FLAT = -1.0
 
 
-def aspect(cells: DataFrame, cell_size: float, block: int = BLOCK, tile_local: bool = False) -> DataFrame:
+def aspect(
+    cells: DataFrame, cell_size: float, block: int = BLOCK, tile_local: bool = False, by: Sequence[str] = ()
+) -> DataFrame:
     """Downhill direction of every cell in degrees clockwise from north; -1 where it is flat."""
-    change = gradient(neighbourhood(cells, block, tile_local), cell_size)
-    return change.select("col", "row", _heading().alias("aspect"))
+    change = gradient(neighbourhood(cells, block, tile_local, by), cell_size)
+    return change.select(*by, "col", "row", _heading().alias("aspect"))
 
 
 def _heading() -> Column:
@@ -102,10 +111,12 @@ def _heading() -> Column:
     return F.when((F.col("dx") == 0) & (F.col("dy") == 0), F.lit(FLAT)).otherwise(heading)
 
 
-def slope_and_aspect(cells: DataFrame, cell_size: float, block: int = BLOCK, tile_local: bool = False) -> DataFrame:
+def slope_and_aspect(
+    cells: DataFrame, cell_size: float, block: int = BLOCK, tile_local: bool = False, by: Sequence[str] = ()
+) -> DataFrame:
     """Both at once, from one pass over the neighbourhoods."""
-    change = gradient(neighbourhood(cells, block, tile_local), cell_size)
-    return change.select("col", "row", _steepness().alias("slope"), _heading().alias("aspect"))
+    change = gradient(neighbourhood(cells, block, tile_local, by), cell_size)
+    return change.select(*by, "col", "row", _steepness().alias("slope"), _heading().alias("aspect"))
 
 
 def hillshade(

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from fellwalk.functions.projections import Projection, utm_epsg
+from fellwalk.functions.projections import Projection, TransverseMercator, utm_epsg, utm_zone
 from fellwalk.operators.layers import Georeference, Shape
-from fellwalk.operators.terrain import BLOCK
-from fellwalk.session import parallelism
+from fellwalk.operators.terrain import BLOCK, slope
+from fellwalk.session import parallelism, spread
 
 CELLS_PER_TASK = 1_000_000
 
@@ -37,16 +38,18 @@ def target_frame(
     return Georeference(left, top, cell_size, cell_size, crs), Shape(0, 0, cols, rows)
 
 
-def quads(cells: DataFrame, block: int = BLOCK) -> DataFrame:
+def quads(cells: DataFrame, block: int = BLOCK, by: Sequence[str] = ()) -> DataFrame:
     """The 2x2 cells to the right of and below every position: ``col``, ``row``, ``z00 z10 z01 z11``.
 
     A position has a row if any of its four cells exists.  One shuffle by block serves the
     whole step, with the first row and column of a block copied to the block before it.
     """
+    by = list(by)
+    keys = [*by, "bc", "br"]
     home = lambda axis: F.floor(axis / block).cast("int")
     reach = lambda axis: F.array_distinct(F.array(home(axis - 1), home(axis)))
-    placed = cells.select("col", "row", "z", F.explode(reach(F.col("col"))).alias("bc"))
-    placed = placed.select("*", F.explode(reach(F.col("row"))).alias("br")).repartition("bc", "br")
+    placed = cells.select(*by, "col", "row", "z", F.explode(reach(F.col("col"))).alias("bc"))
+    placed = placed.select("*", F.explode(reach(F.col("row"))).alias("br")).repartition(*keys)
     names = ("z00", "z10", "z01", "z11")
 
     def role(name: str):
@@ -54,9 +57,18 @@ def quads(cells: DataFrame, block: int = BLOCK) -> DataFrame:
         values = [(F.col("z") if n == name else F.lit(None).cast("double")).alias(n) for n in names]
         return F.struct((F.col("col") - left).alias("col"), (F.col("row") - up).alias("row"), *values)
 
-    sent = placed.select("bc", "br", F.explode(F.array(*[role(n) for n in names])).alias("q")).select("bc", "br", "q.*")
+    sent = placed.select(*keys, F.explode(F.array(*[role(n) for n in names])).alias("q")).select(*keys, "q.*")
     own = sent.filter((home(F.col("col")) == F.col("bc")) & (home(F.col("row")) == F.col("br")))
-    return own.groupBy("bc", "br", "col", "row").agg(*[F.max(n).alias(n) for n in names]).drop("bc", "br")
+    return own.groupBy(*keys, "col", "row").agg(*[F.max(n).alias(n) for n in names]).drop("bc", "br")
+
+
+def mixed(fx: Column, fy: Column) -> Column:
+    """Bilinear value within a quad at ``fx``, ``fy`` from its upper left cell, over the cells with data."""
+    weights = {"z00": (1 - fx) * (1 - fy), "z10": fx * (1 - fy), "z01": (1 - fx) * fy, "z11": fx * fy}
+    present = lambda name, value: F.when(F.col(name).isNotNull(), value).otherwise(F.lit(0.0))
+    weight = sum((present(n, w) for n, w in weights.items()), F.lit(0.0))
+    value = sum((present(n, w * F.col(n)) for n, w in weights.items()), F.lit(0.0))
+    return F.when(weight > 0, value / weight)
 
 
 def warp(
@@ -108,11 +120,7 @@ def warp(
     source = quads(cells).withColumnsRenamed({"col": "sc", "row": "sr"})
     met = keyed.join(source, ["sc", "sr"], "left")
     fx, fy = F.col("sx") + shape.col0 - F.col("sc"), F.col("sy") + shape.row0 - F.col("sr")
-    weights = {"z00": (1 - fx) * (1 - fy), "z10": fx * (1 - fy), "z01": (1 - fx) * fy, "z11": fx * fy}
-    present = lambda name, value: F.when(F.col(name).isNotNull(), value).otherwise(F.lit(0.0))
-    weight = sum((present(n, w) for n, w in weights.items()), F.lit(0.0))
-    value = sum((present(n, w * F.col(n)) for n, w in weights.items()), F.lit(0.0))
-    return met.select("col", "row", F.when(weight > 0, value / weight).alias("z"))
+    return met.select("col", "row", mixed(fx, fy).alias("z"))
 
 
 def tile_utm(tiles: DataFrame) -> DataFrame:
@@ -120,3 +128,62 @@ def tile_utm(tiles: DataFrame) -> DataFrame:
     lon = (F.col("extent.xmin") + F.col("extent.xmax")) / 2
     lat = (F.col("extent.ymin") + F.col("extent.ymax")) / 2
     return tiles.withColumn("utm_epsg", utm_epsg(lon, lat))
+
+
+TILE = ("tile_col", "tile_row")
+
+
+def warp_tiles(tiles: DataFrame, cell_size: float) -> DataFrame:
+    """Every tile reprojected on its own to the UTM zone of its centre: ``tile_col tile_row col row z``.
+
+    Each tile gets its own target grid, on whole multiples of the cell size around its projected
+    outline, with cells counted from its upper left corner.  Tiles do not see each other.
+    """
+    lon = (F.col("extent.xmin") + F.col("extent.xmax")) / 2
+    lat = (F.col("extent.ymin") + F.col("extent.ymax")) / 2
+    zoned = tiles.select(
+        *TILE, "extent.*", "cols", "rows",
+        (utm_zone(lon) * 6.0 - 183.0).alias("lon0"), F.when(lat >= 0, 0.0).otherwise(10000000.0).alias("south"),
+    ).withColumns({"width": (F.col("xmax") - F.col("xmin")) / F.col("cols"), "height": (F.col("ymax") - F.col("ymin")) / F.col("rows")})
+    utm = TransverseMercator(F.col("lon0"), false_northing=F.col("south"))
+
+    across, down = F.sequence(F.lit(0), F.col("cols")), F.sequence(F.lit(0), F.col("rows"))
+    point = lambda c, r: F.struct((F.col("xmin") + c * F.col("width")).alias("lon"), (F.col("ymax") - r * F.col("height")).alias("lat"))
+    outline = F.concat(
+        F.transform(across, lambda c: point(c, F.lit(0))), F.transform(across, lambda c: point(c, F.col("rows"))),
+        F.transform(down, lambda r: point(F.lit(0), r)), F.transform(down, lambda r: point(F.col("cols"), r)),
+    )
+    x, y = utm.forward(F.col("p.lon"), F.col("p.lat"))
+    frame = [*zoned.columns]
+    projected = zoned.select(*frame, F.explode(outline).alias("p")).select(*frame, x.alias("x"), y.alias("y"))
+    left, top = F.floor(F.min("x") / cell_size) * cell_size, F.ceil(F.max("y") / cell_size) * cell_size
+    framed = projected.groupBy(*frame).agg(left.alias("left"), top.alias("top"), F.max("x").alias("right"), F.min("y").alias("bottom"))
+
+    count = lambda low, high: F.ceil((F.col(high) - F.col(low)) / cell_size).cast("int")
+    lines = spread(framed, *TILE).select("*", F.explode(F.sequence(F.lit(0), count("bottom", "top") - 1)).alias("row"))
+    grid = lines.select("*", F.explode(F.sequence(F.lit(0), count("left", "right") - 1)).alias("col"))
+    lon, lat = utm.inverse(F.col("left") + (F.col("col") + 0.5) * cell_size, F.col("top") - (F.col("row") + 0.5) * cell_size)
+    kept = [*TILE, "col", "row", "cols", "rows"]
+    located = grid.select(*kept, "xmin", "ymax", "width", "height", lon.alias("lon"), lat.alias("lat"))
+    placed = located.select(
+        *kept,
+        ((F.col("lon") - F.col("xmin")) / F.col("width") - 0.5).alias("sx"),
+        ((F.col("ymax") - F.col("lat")) / F.col("height") - 0.5).alias("sy"),
+    )
+    within = lambda c, n: (F.col(c) >= -0.5) & (F.col(c) < F.col(n) - 0.5)
+    clamp = lambda c, n: F.when(within("sx", "cols") & within("sy", "rows"), F.least(F.greatest(F.col(c), F.lit(0.0)), F.col(n) - 1.0))
+    placed = placed.select(*TILE, "col", "row", clamp("sx", "cols").alias("sx"), clamp("sy", "rows").alias("sy"))
+    keyed = placed.select("*", F.floor("sx").cast("int").alias("sc"), F.floor("sy").cast("int").alias("sr"))
+
+    opened = tiles.select(*TILE, "cols", F.posexplode("cells").alias("at", "z"))
+    own = opened.select(
+        *TILE, (F.col("at") % F.col("cols")).cast("int").alias("col"), F.floor(F.col("at") / F.col("cols")).cast("int").alias("row"), "z"
+    )
+    source = quads(own, by=TILE).withColumnsRenamed({"col": "sc", "row": "sr"})
+    met = keyed.join(source, [*TILE, "sc", "sr"], "left")
+    return met.select(*TILE, "col", "row", mixed(F.col("sx") - F.col("sc"), F.col("sy") - F.col("sr")).alias("z"))
+
+
+def projected_slopes(tiles: DataFrame, cell_size: float) -> DataFrame:
+    """Slope of every cell of every tile, each in the UTM zone of its own centre."""
+    return slope(warp_tiles(tiles, cell_size), cell_size, by=TILE)

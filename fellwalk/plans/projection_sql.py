@@ -49,12 +49,12 @@ def tm_scale() -> str:
   / (tau * tau + pow(cos(away), 2))))"""
 
 
-def tm_inverse(source: str, lon0: float) -> str:
+def tm_inverse(source: str, lon0: str) -> str:
     """``source`` (with x, y) plus lon, lat."""
     size = num(0.9996 * RECTIFYING)
     down = _sum("u", [f"{num(-b)} * sin({2 * j} * u) * cosh({2 * j} * v)" for j, b in enumerate(BETA, 1)])
     over = _sum("v", [f"{num(-b)} * cos({2 * j} * u) * sinh({2 * j} * v)" for j, b in enumerate(BETA, 1)])
-    return f"""SELECT *, degrees(atan2(sinh(over_), cos(down_))) + {num(lon0)} AS lon, degrees({latitude('chi')}) AS lat FROM (
+    return f"""SELECT *, degrees(atan2(sinh(over_), cos(down_))) + {lon0} AS lon, degrees({latitude('chi')}) AS lat FROM (
   SELECT *, asin(sin(down_) / cosh(over_)) AS chi FROM (
     SELECT *, {down} AS down_, {over} AS over_ FROM (
       SELECT *, y / {size} AS u, (x - 500000.0::DOUBLE) / {size} AS v FROM ({source}))))"""

@@ -407,7 +407,7 @@ _WARP_VIEWS = {
   SELECT floor(min(x) / 30) * 30 AS x0, ceil(max(y) / 30) * 30 AS y0, max(x) AS x1, min(y) AS y1 FROM outline)""",
     "target": """SELECT c.c::INT AS col, r.r::INT AS row, x0 + (c.c + 0.5::DOUBLE) * 30 AS x, y0 - (r.r + 0.5::DOUBLE) * 30 AS y
 FROM frame, range(0, 10000) c(c), range(0, 10000) r(r) WHERE c.c < cols AND r.r < rows""",
-    "degree": ps.tm_inverse("SELECT * FROM target", 87.0),
+    "degree": ps.tm_inverse("SELECT * FROM target", "87.0::DOUBLE"),
     "placed": f"""SELECT col, row, CASE WHEN ok THEN least(greatest(sx, 0), n - 1) END AS sx, CASE WHEN ok THEN least(greatest(sy, 0), n - 1) END AS sy
 FROM (SELECT *, sx >= -0.5 AND sx < n - 0.5 AND sy >= -0.5 AND sy < n - 0.5 AS ok FROM (
   SELECT col, row, (lon - 86.9::DOUBLE) / {_CORNER} - 0.5::DOUBLE AS sx, (28.03::DOUBLE - lat) / {_CORNER} - 0.5::DOUBLE AS sy, n
@@ -464,6 +464,62 @@ def tile_utm(spark, d):
     return warping.tile_utm(_tiles(spark, d)).select("tile_col", "tile_row", "utm_epsg")
 
 
+# The same layer moved so that it lies on both sides of a zone border.
+BORDER = layers.Georeference(89.985, 28.03, 1 / 3600, 1 / 3600, "EPSG:4326")
+_PIECES_SQL = f"""SELECT (col // {PIECE})::INT AS tile_col, (row // {PIECE})::INT AS tile_row, max(col) - min(col) + 1 AS cols,
+  max(row) - min(row) + 1 AS rows, 89.985::DOUBLE + min(col) * {_CORNER} AS xmin, 28.03::DOUBLE - min(row) * {_CORNER} AS ymax
+FROM dem_v GROUP BY 1, 2"""
+_PIECE_VIEWS = {
+    "pieces": f"SELECT *, floor((xmin + cols * {_CORNER} / 2 + 180) / 6) * 6 - 177 AS lon0 FROM ({_PIECES_SQL})",
+    "outline": f"""SELECT tile_col, tile_row, {_XY[0]} AS x, {_XY[1]} AS y FROM ({ps.tm_sphere(f"""
+  SELECT *, xmin + c * {_CORNER} AS lon, ymax - r * {_CORNER} AS lat FROM (
+    SELECT *, e * rows AS r FROM pieces, range(0, {PIECE + 1}) a(c), (VALUES (0), (1)) b(e) WHERE c <= cols
+    UNION ALL BY NAME SELECT *, e * cols AS c FROM pieces, range(0, {PIECE + 1}) a(r), (VALUES (0), (1)) b(e) WHERE r <= rows)""", 'lon0')})""",
+    "frame": """SELECT *, ceil((x1 - x0) / 30) AS tcols, ceil((y0 - y1) / 30) AS trows FROM (
+  SELECT tile_col, tile_row, floor(min(x) / 30) * 30 AS x0, ceil(max(y) / 30) * 30 AS y0, max(x) AS x1, min(y) AS y1 FROM outline GROUP BY 1, 2)""",
+    "target": """SELECT p.*, c.c::INT AS col, r.r::INT AS row, x0 + (c.c + 0.5::DOUBLE) * 30 AS x, y0 - (r.r + 0.5::DOUBLE) * 30 AS y
+FROM pieces p JOIN frame USING (tile_col, tile_row), range(0, 1000) c(c), range(0, 1000) r(r) WHERE c.c < tcols AND r.r < trows""",
+    "degree": ps.tm_inverse("SELECT * FROM target", "lon0"),
+    "placed": f"""SELECT tile_col, tile_row, col, row, CASE WHEN ok THEN least(greatest(sx, 0), cols - 1) END AS sx,
+  CASE WHEN ok THEN least(greatest(sy, 0), rows - 1) END AS sy
+FROM (SELECT *, sx >= -0.5 AND sx < cols - 0.5 AND sy >= -0.5 AND sy < rows - 0.5 AS ok FROM (
+  SELECT *, (lon - xmin) / {_CORNER} - 0.5::DOUBLE AS sx, (ymax - lat) / {_CORNER} - 0.5::DOUBLE AS sy FROM degree))""",
+    "warped": f"""SELECT tile_col, tile_row, col, row, CASE WHEN w > 0 THEN v / w END AS z FROM (
+  SELECT p.tile_col, p.tile_row, p.col, p.row, sum(CASE WHEN d.z IS NOT NULL THEN w END) AS w, sum(w * d.z) AS v FROM (
+    SELECT *, floor(sx) + x.o AS sc, floor(sy) + y.o AS sr,
+      (CASE x.o WHEN 0 THEN 1 - (sx - floor(sx)) ELSE sx - floor(sx) END)
+      * (CASE y.o WHEN 0 THEN 1 - (sy - floor(sy)) ELSE sy - floor(sy) END) AS w
+    FROM placed, range(2) x(o), range(2) y(o)) p
+  LEFT JOIN dem_v d ON d.col = p.tile_col * {PIECE} + p.sc AND d.row = p.tile_row * {PIECE} + p.sr AND p.sc < {PIECE} AND p.sr < {PIECE}
+  GROUP BY 1, 2, 3, 4)""",
+    "around": "SELECT d.tile_col, d.tile_row, d.col, d.row, d.z AS c, " + ", ".join(f"{n}.z AS {n}" for n in _PLACES) + " FROM warped d "
+    + " ".join(
+        f"LEFT JOIN warped {n} ON {n}.tile_col = d.tile_col AND {n}.tile_row = d.tile_row AND {n}.col = d.col + ({dc}) AND {n}.row = d.row + ({dr})"
+        for n, (dc, dr) in _PLACES.items()
+    ),
+    "filled": _FILLED_SQL.replace("SELECT col", "SELECT tile_col, tile_row, col"),
+    "slope_v": f"""SELECT *, degrees(atan(sqrt(dx * dx + dy * dy))) AS slope FROM (
+  SELECT tile_col, tile_row, ((ne + 2 * e + se) - (nw + 2 * w + sw)) / 240.0::DOUBLE AS dx,
+    ((sw + 2 * s + se) - (nw + 2 * n + ne)) / 240.0::DOUBLE AS dy FROM filled)""",
+}
+
+
+@job("warp_tiles", t.with_views("SELECT tile_col, tile_row, col, row, round(z, 5) AS z FROM warped", "dem_v", extra=_PIECE_VIEWS))
+def warp_tiles(spark, d):
+    """Every tile reprojected on its own, to the zone of its centre."""
+    return rounded(warping.warp_tiles(layers.to_tiles(t.dem(spark, d), BORDER, PIECE), 30.0), 5)
+
+
+@job(
+    "projected_slope_classes",
+    t.with_views(f"SELECT tile_col, tile_row, {_CLASS_SQL} AS class, count(*) AS n FROM slope_v GROUP BY 1, 2, 3", "dem_v", extra=_PIECE_VIEWS),
+)
+def projected_slope_classes(spark, d):
+    """Tiles, each reprojected to its own zone, to slopes, to classes, to one histogram per tile."""
+    slopes = warping.projected_slopes(layers.to_tiles(t.dem(spark, d), BORDER, PIECE), 30.0)
+    return surfaces.tile_class_histogram(slopes, "slope")
+
+
 # --- zones and regions -------------------------------------------------------------------
 
 _OCTANT = "CASE WHEN dx IS NULL THEN NULL WHEN dx = 0 AND dy = 0 THEN -1 ELSE floor(((450.0::DOUBLE - degrees(atan2(dy, -dx))) % 360.0::DOUBLE) / 45)::INT END"

@@ -1,10 +1,11 @@
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from fellwalk.functions import projections as proj
-from fellwalk.operators import distortion, polygons
+from fellwalk.operators import distortion, layers, polygons, warping
 from mountain_strip import RING
 
 LCC = proj.LambertConformalConic(28.0, 32.0, 30.0, 85.0)
@@ -82,3 +83,54 @@ def test_known_utm_coordinates(spark):
 def test_utm_zone(spark, lon, lat, zone, epsg):
     row = spark.range(1).select(proj.utm_zone(F.lit(lon)), proj.utm_epsg(F.lit(lon), F.lit(lat))).first()
     assert tuple(row) == (zone, epsg)
+
+
+def plane(lon, lat):
+    return 1000.0 + 300.0 * (lon - 86.9) - 700.0 * (lat - 28.0)
+
+
+@pytest.mark.parametrize("method", ["bilinear", "nearest"])
+def test_warp_of_a_plane(spark, raster, method):
+    """A surface that is linear in longitude and latitude is kept by bilinear mixing."""
+    geo, step = layers.Georeference(86.9, 28.03, 1 / 3600, 1 / 3600, "EPSG:4326"), 1 / 3600
+    rows, cols = np.mgrid[0:30, 0:40]
+    values = plane(geo.xmin + (cols + 0.5) * step, geo.ymax - (rows + 0.5) * step)
+    cells = raster(values)
+    shape = layers.shape_of(cells)
+    target, target_shape = warping.target_frame(spark, geo, shape, UTM45, 30.0, "EPSG:32645")
+    found = warping.warp(cells, geo, shape, UTM45, target, target_shape, method)
+    x, y = target.xmin + (F.col("col") + 0.5) * 30.0, target.ymax - (F.col("row") + 0.5) * 30.0
+    lon, lat = UTM45.inverse(x, y)
+    placed = found.select("z", lon.alias("lon"), lat.alias("lat")).collect()
+    assert len(placed) == target_shape.cols * target_shape.rows
+    margin = step if method == "bilinear" else 0.0
+    tolerance = 1e-6 if method == "bilinear" else 1000 * step
+    inner = 0
+    for r in placed:
+        outside = r["lon"] < 86.9 or r["lon"] > 86.9 + 40 * step or r["lat"] > 28.03 or r["lat"] < 28.03 - 30 * step
+        if outside:
+            assert r["z"] is None
+        elif 86.9 + margin < r["lon"] < 86.9 + 40 * step - margin and 28.03 - 30 * step + margin < r["lat"] < 28.03 - margin:
+            inner += 1
+            assert r["z"] == pytest.approx(plane(r["lon"], r["lat"]), abs=tolerance)
+    assert inner > 800
+
+
+def test_warp_leaves_out_cells_without_data(spark, raster):
+    geo = layers.Georeference(86.9, 28.03, 1 / 3600, 1 / 3600, "EPSG:4326")
+    values = np.full((12, 12), 5.0)
+    values[4:8, 4:8] = np.nan
+    shape = layers.Shape(0, 0, 12, 12)
+    frame = warping.target_frame(spark, geo, shape, UTM45, 30.0, "EPSG:32645")
+    dense = warping.warp(raster(values), geo, shape, UTM45, *frame).collect()
+    sparse = warping.warp(raster(values).filter("z IS NOT NULL"), geo, shape, UTM45, *frame).collect()
+    assert sorted(map(str, dense)) == sorted(map(str, sparse))
+    assert {r["z"] for r in dense} == {5.0, None}
+
+
+def test_tiles_get_the_zone_of_their_centre(raster):
+    geo = layers.Georeference(89.99, 28.0, 0.002, 0.002, "EPSG:4326")
+    tiles = layers.to_tiles(raster(np.zeros((4, 8))), geo, 4)
+    assert sorted(r["utm_epsg"] for r in warping.tile_utm(tiles).collect()) == [32645, 32646]
+    flat = warping.projected_slopes(tiles, 150.0).filter("slope IS NOT NULL").agg({"slope": "max"}).first()[0]
+    assert flat == 0.0
