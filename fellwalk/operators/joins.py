@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -28,3 +30,10 @@ def salted_lookup(
     left = probe.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
     right = lookup.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
     return left.join(right, [*keys, "_salt"], how).drop("_salt")
+
+
+def same_group_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` as groupings see them: NULL meets NULL.  The key columns are those of ``left``."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = [left[k].eqNullSafe(renamed[f"_right_{k}"]) for k in keys]
+    return left.join(renamed, functools.reduce(operator.and_, same), how).drop(*[f"_right_{k}" for k in keys])

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fellwalk.functions.numbers import INFINITY, finite, general_format
+from fellwalk.operators.joins import same_group_join
 from fellwalk.workspace import settled
 
 DISTINCT_LIMIT = 1_000_000
@@ -71,7 +72,7 @@ def _narrowed_quantiles(rows: DataFrame, wanted: list[float], by: list[str], dis
                 F.when(inside, F.col("_v")), [i / MARKS for i in range(MARKS + 1)], SKETCH_ACCURACY
             ).alias("marks"),
         )
-        narrower = brackets.join(sketch, keys).select(
+        narrower = same_group_join(brackets, sketch, keys).select(
             *keys, "n", "rank", "part",
             mark(F.floor(share(F.col("rank"))) - 2).alias("low"),
             mark(F.ceil(share(F.col("rank") + 1)) + 2).alias("high"),
@@ -86,7 +87,7 @@ def _in_bracket(rows: DataFrame, brackets: DataFrame, by: list[str]) -> DataFram
     With groups the planner decides on the join by the size of the written brackets.
     """
     if by:
-        return rows.join(brackets, by).filter(F.col("_v") <= F.col("high"))
+        return same_group_join(rows, brackets, by).filter(F.col("_v") <= F.col("high"))
     listed = brackets.agg(F.collect_list(F.struct(*brackets.columns)).alias("b")).scalar()
     reached = F.filter(F.col("_b"), lambda b: F.col("_v") <= b["high"])
     return rows.withColumn("_b", listed).select("_v", F.explode(reached).alias("_b")).select("_v", "_b.*")
@@ -134,7 +135,7 @@ def numeric_summary(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFr
     )
     points = quantile_columns(rows, "value", SUMMARY_POINTS, by)
     if by:
-        joined = ends.join(points, by)
+        joined = same_group_join(ends, points, by)
     else:
         # both sides are single rows
         joined = ends.select("*", *[points.select(name).scalar().alias(name) for name in SUMMARY_POINTS])

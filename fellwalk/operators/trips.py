@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from fellwalk.functions.numbers import finite, ieee_ratio, minutes_between, ratio
+from fellwalk.operators.joins import same_group_join
 
 MONDAY, FRIDAY = 2, 6
 
@@ -135,7 +136,7 @@ def zone_volatility(trips: DataFrame, zones: DataFrame, dense_hours: bool = Fals
         every_hour = per_hour.select("PULocationID").distinct().select(
             "PULocationID", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hour")
         )
-        per_hour = every_hour.join(per_hour, ["PULocationID", "hour"], "left").select(
+        per_hour = same_group_join(every_hour, per_hour, ["PULocationID", "hour"], "left").select(
             "PULocationID", "hour", F.coalesce("count", F.lit(0)).alias("count")
         )
     per_zone = per_hour.groupBy("PULocationID").agg(

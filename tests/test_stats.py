@@ -67,6 +67,16 @@ def test_quantiles_per_group(spark):
         assert found == {g: float(np.median(np.arange(g, 3000, 3))) for g in range(3)}
 
 
+@pytest.mark.parametrize("limit", [10**6, 50])
+def test_a_missing_group_is_a_group(spark, limit):
+    group = F.when(F.col("id") % 2 == 0, F.lit("even"))
+    df = spark.range(2000).select(group.alias("g"), (F.col("id") * 1.0).alias("x"))
+    found = {r["g"]: r["quantile"] for r in stats.exact_quantiles(df, "x", [0.5], ["g"], limit).collect()}
+    assert found == {"even": 999.0, None: 1000.0}
+    summary = {r["g"]: r["max"] for r in stats.numeric_summary(df, "x", ["g"]).collect()}
+    assert summary == {"even": 1998.0, None: 1999.0}
+
+
 def test_summary_skips_what_is_not_finite(spark):
     row = stats.numeric_summary(numbers(spark, [1, 2, 3, math.nan, math.inf, -math.inf]), "x").first()
     assert (row["min"], row["p50"], row["max"], row["max_abs_pct"]) == (1.0, 2.0, 3.0, 200.0)

@@ -65,10 +65,10 @@ def test_durations_cut_each_side_to_seconds(spark):
 
 
 def test_volatility(spark, zones):
-    rows = [trip(1, 8)] * 4 + [trip(2, 9)] * 2 + [trip(1, 5, pu=2)]
+    rows = [trip(1, 8)] * 4 + [trip(2, 9)] * 2 + [trip(1, 5, pu=2)] + [trip(1, 5, pu=None)] * 3
     sparse = {r["PULocationID"]: r for r in trips.zone_volatility(frame(spark, rows), zones).collect()}
     assert (sparse[1]["variance"], sparse[1]["min_max_diff"]) == (2.0, 2)
     assert sparse[2]["variance"] is None
     dense = {r["PULocationID"]: r for r in trips.zone_volatility(frame(spark, rows), zones, dense_hours=True).collect()}
-    assert dense[1]["min_max_diff"] == 4
+    assert dense[1]["min_max_diff"] == 4 and dense[None]["min_max_diff"] == 3
     assert dense[2]["variance"] == pytest.approx(1 / 24)
