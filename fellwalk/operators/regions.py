@@ -83,7 +83,12 @@ def _meetings(labelled: DataFrame, tile_size: int, diagonal: bool) -> DataFrame:
     return outgoing.join(incoming, ["col", "row"]).select("a", "b").filter("a <> b").dropDuplicates()
 
 
-def slope_regions(slopes: DataFrame, max_slope: float = 15.0, connectivity: int = 4, tile_size: int = TILE_SIZE) -> DataFrame:
-    """Regions of cells (``col``, ``row``, ``slope``) that are not steeper than ``max_slope``."""
+def slope_regions(
+    slopes: DataFrame, max_slope: float = 15.0, connectivity: int = 4, tile_size: int = TILE_SIZE, shape: Shape | None = None
+) -> DataFrame:
+    """Regions of cells (``col``, ``row``, ``slope``) that are not steeper than ``max_slope``.
+
+    Pass the ``shape`` of the layer where it is known: without it the slopes are scanned once more.
+    """
     gentle = slopes.filter(F.col("slope") <= max_slope).select("col", "row")
-    return label_regions(gentle, connectivity, tile_size, shape_of(slopes))
+    return label_regions(gentle, connectivity, tile_size, shape or shape_of(slopes))

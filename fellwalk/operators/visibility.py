@@ -69,10 +69,10 @@ def viewshed(cells: DataFrame, col: int, row: int, cell_size: float, shape: Shap
     return others.unionByName(own)
 
 
-def peak_viewshed(cells: DataFrame, cell_size: float) -> DataFrame:
+def peak_viewshed(cells: DataFrame, cell_size: float, shape: Shape | None = None) -> DataFrame:
     """The viewshed from the highest cell; the peak is one row, read by the driver."""
     peak = peak_cell(cells).first()
-    return viewshed(cells, peak["col"], peak["row"], cell_size)
+    return viewshed(cells, peak["col"], peak["row"], cell_size, shape)
 
 
 def visible_regions(
@@ -88,8 +88,9 @@ def visible_regions(
     Slope, regions, viewshed, the histogram of visibility per region and the share threshold,
     end to end.
     """
-    regions = slope_regions(slope(cells, cell_size), max_slope, connectivity, tile_size)
+    shape = shape_of(cells)
+    regions = slope_regions(slope(cells, cell_size), max_slope, connectivity, tile_size, shape)
     zones = regions.withColumnRenamed("region", "zone")
-    seen = peak_viewshed(cells, cell_size).withColumnRenamed("visible", "value")
+    seen = peak_viewshed(cells, cell_size, shape).withColumnRenamed("visible", "value")
     kept = zonal.zones_with_share(zonal.zonal_histogram(seen, zones), 1, min_visible_percent)
     return zonal.keep_zones(zones, kept).filter(F.col("zone").isNotNull()).withColumnRenamed("zone", "region")

@@ -568,7 +568,8 @@ WHERE f.region < r.region GROUP BY e.b""",
 
 @job("slope_regions", t.with_views("SELECT * FROM regions", "dem_v", extra={**TERRAIN, **_REGION_VIEWS}, recursive=True))
 def slope_regions(spark, d):
-    return regions.slope_regions(terrain.slope(t.dem(spark, d), CELL), tile_size=PIECE)
+    cells = t.dem(spark, d)
+    return regions.slope_regions(terrain.slope(cells, CELL), tile_size=PIECE, shape=layers.shape_of(cells))
 
 
 _VIEWSHED_VIEWS = {
