@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from conftest import grid_of
 
-from fellwalk.operators import components, costs, regions, visibility, zonal
+from fellwalk.operators import components, costs, regions, visibility
 from fellwalk.operators.terrain import slope
 
 STEPS = {4: [(0, 1), (1, 0), (0, -1), (-1, 0)]}
