@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fellwalk.llm import op10_token_files
+from fellwalk.llm import op9_packing, op10_token_files
 from fellwalk.llm.common import documents, settle_llm
 
 QUERIES = {}
@@ -31,3 +31,8 @@ def vocabulary() -> str:
 @_query("op10_token_files")
 def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_token_files.token_files(documents(spark, sf_dir), vocabulary())
+
+
+@_query("op9_best_fit_packing")
+def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op9_packing.pack(documents(spark, sf_dir), vocabulary())
