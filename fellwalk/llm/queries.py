@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fellwalk.llm import op9_packing, op10_token_files
+from fellwalk.llm import op2_personal_data, op9_packing, op10_token_files
 from fellwalk.llm.common import documents, settle_llm
 
 QUERIES = {}
@@ -36,3 +36,8 @@ def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op9_best_fit_packing")
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9_packing.pack(documents(spark, sf_dir), vocabulary())
+
+
+@_query("op2_personal_data")
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op2_personal_data.digest(documents(spark, sf_dir))
