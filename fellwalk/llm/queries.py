@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fellwalk.llm import op2_personal_data, op9_packing, op10_token_files
+from fellwalk.llm import op1_chat_format, op2_personal_data, op9_packing, op10_token_files
 from fellwalk.llm.common import documents, settle_llm
 
 QUERIES = {}
@@ -38,6 +38,39 @@ def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9_packing.pack(documents(spark, sf_dir), vocabulary())
 
 
+# Conversation -1 of the contract: both of its texts are made of control strings (fixed values).
+PLANTED = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+CHAT_SQL = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), shown AS (
+    SELECT *,
+        regexp_replace(role, '([<\[])(\\*)(</?SYS>>|/?s>|/?INST\])', '\1\\\2\3', 'g') AS shown_role,
+        regexp_replace(text, '([<\[])(\\*)(</?SYS>>|/?s>|/?INST\])', '\1\\\2\3', 'g') AS shown_text
+    FROM turns
+), told AS (
+    SELECT conv_id, count(*) AS n_turns,
+        string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS all_text,
+        coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '') AS learned,
+        sum(length('<s>[INST] ') + length(shown_role) + length(' [/INST]') + length(shown_text) + length('</s>')) AS formatted_chars
+    FROM shown GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(all_text) AS turns_sha256, length(learned) AS loss_chars, sha256(learned) AS loss_sha256,
+    CAST(formatted_chars AS BIGINT) AS formatted_chars
+FROM told
+"""
+
+
+@_query("op1_chat_format", CHAT_SQL)
+def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    turns = stored.unionByName(spark.createDataFrame(PLANTED, stored.schema))
+    return op1_chat_format.digest(op1_chat_format.format_chats(op1_chat_format.turns_as_events(turns)))
+
+
 @_query("op2_personal_data")
 def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op2_personal_data.digest(documents(spark, sf_dir))
