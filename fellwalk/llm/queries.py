@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fellwalk.llm import op1_chat_format, op2_personal_data, op9_packing, op10_token_files
+from fellwalk.llm import op1_chat_format, op2_personal_data, op4_mixing, op9_packing, op10_token_files
 from fellwalk.llm.common import documents, settle_llm
 
 QUERIES = {}
@@ -74,3 +74,36 @@ def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op2_personal_data")
 def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op2_personal_data.digest(documents(spark, sf_dir))
+
+
+MIX_SQL = r"""
+WITH sized AS (
+    SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size FROM documents
+), sources AS (
+    SELECT source, sum(size) AS source_size,
+        [3.0::DOUBLE, 1.0::DOUBLE, 2.0::DOUBLE][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS weight
+    FROM sized GROUP BY source
+), ordered AS (
+    SELECT *, 2.0::DOUBLE * source_size AS most,
+        1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(2.0::DOUBLE * source_size) OVER earlier, 0) AS rest,
+        sum(weight) OVER () - coalesce(sum(weight) OVER earlier, 0) AS weights
+    FROM sources
+    WINDOW earlier AS (ORDER BY 2.0::DOUBLE * source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), level AS (
+    SELECT arg_min(rest / weights, most / weight) AS level FROM ordered WHERE most >= weight * (rest / weights)
+)
+SELECT source, CAST(source_size AS BIGINT) AS source_size, round(least(most, coalesce(level * weight, most)), 6) AS target FROM ordered, level
+"""
+
+
+@_query("mix_targets", MIX_SQL)
+def mix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sources and their targets, which SQL can check; what each document gives hangs on a hash that SQL does not have."""
+    sized = op4_mixing.measured(documents(spark, sf_dir))
+    sources = op4_mixing.source_weights(sized.groupBy("source").agg(F.sum("size").alias("source_size")))
+    return op4_mixing.capped_shares(sources).select("source", "source_size", F.round("target", 6).alias("target"))
+
+
+@_query("op4_mixing")
+def mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op4_mixing.shares(documents(spark, sf_dir))
