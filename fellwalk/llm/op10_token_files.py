@@ -63,14 +63,14 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str, sequence: int = S
 
         encoder = get()
         store, root = fs.FileSystem.from_uri(folder)
-        kind = pa.from_numpy_dtype(encoder.kind)
+        kind, end = pa.from_numpy_dtype(encoder.kind), np.asarray([end_id], dtype=encoder.kind)
         schema = pa.schema([("ids", pa.list_(kind, sequence)), ("mask", pa.list_(pa.bool_(), sequence))])
         writer = sink = part = None
         waiting, count, at = [], 0, 0
 
         def flush(last: bool) -> None:
             nonlocal waiting, count
-            ids = np.frombuffer(b"".join(waiting), dtype=encoder.kind)
+            ids = np.concatenate([*waiting, end[:0]])
             batch_ids = sequence * SEQUENCES_PER_BATCH
             whole = len(ids) if last else len(ids) // batch_ids * batch_ids  # all batches but the last are equally long
             rows = -(-whole // sequence)
@@ -83,7 +83,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str, sequence: int = S
                     pa.FixedSizeListArray.from_arrays(pa.array(full), sequence),
                     pa.FixedSizeListArray.from_arrays(pa.array(mask), sequence),
                 ], schema=schema))
-            waiting, count = [ids[whole:].tobytes()], len(ids) - whole
+            waiting, count = [ids[whole:]], len(ids) - whole
 
         for batch in batches:
             columns = [batch.column(n).to_pylist() for n in ("part", "doc_id", "text")]
@@ -96,9 +96,9 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str, sequence: int = S
                 writer = pa.ipc.new_file(sink, schema)
             texts = [t or "" for t in columns[2]]
             for run in pieces_of(texts):
-                for i, raw in zip(run, encoder.encode([texts[i] for i in run])):
-                    n = len(raw) // encoder.kind.itemsize + 1
-                    waiting += [raw, encoder.kind.type(end_id).tobytes()]
+                for i, ids in zip(run, encoder.encode([texts[i] for i in run])):
+                    n = len(ids) + 1
+                    waiting += [ids, end]
                     index.append((part, columns[1][i], at, n))
                     at += n
                     count += n

@@ -89,8 +89,8 @@ def cut_documents(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE, end
             ids, texts = batch.column("doc_id").to_pylist(), [t or "" for t in batch.column("text").to_pylist()]
             out = []
             for run in pieces_of(texts):
-                for i, raw in zip(run, encoder.encode([texts[i] for i in run])):
-                    tokens = np.append(np.frombuffer(raw, dtype=encoder.kind).astype("<u4"), np.uint32(end_id)).astype("<u4")
+                for i, ids_ in zip(run, encoder.encode([texts[i] for i in run])):
+                    tokens = np.append(ids_, end_id).astype("<u4")
                     for k, start in enumerate(range(0, len(tokens), sequence)):
                         some = tokens[start : start + sequence]
                         out.append((ids[i], k, start, len(some), zlib.crc32(some)))

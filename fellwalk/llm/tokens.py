@@ -5,23 +5,26 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from fellwalk.llm.common import worker_memory
 
 END_ID = 1
-# Words remembered by a worker; beyond that the memory starts again. It bounds memory and changes no result.
+# Words a worker remembers in each of two generations; when one is full it becomes the old one. It bounds memory and changes
+# no result.
 REMEMBERED = 500_000
 LONGEST_REMEMBERED = 64
-# Marks that may follow a word without a space; they form a pre-token of their own (fixed values).
-CLOSING = ".,;:!?"
+# A control character between new words: a token of its own where they meet.
+BETWEEN = "\x01"
 
 
 class WordEncoder:
     """Encodes texts with a tokenizer whose tokens never cross a space, as with word-end vocabularies.
 
-    Such a vocabulary gives every word between spaces its own ids, so a text is the concatenation of its words. Words
-    met before are looked up, new words of letters alone are encoded together as one text and told apart by the ids
-    that end a word, and all other strings are encoded each alone by the library.
+    Such a vocabulary gives every string between spaces its own ids, so a text is the concatenation of its words. The
+    distinct words of a batch are looked up; those not met before are encoded by the library as one text and told apart
+    by the ids that end a word (words of letters alone) or by a mark between them (all others).
     """
 
     def __init__(self, path: str):
@@ -32,65 +35,73 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.kind = np.dtype("<u2" if max(vocabulary.values()) < 1 << 16 else "<u4")
-        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
-        for token, number in vocabulary.items():
-            self.ends[number] = token.endswith("</w>")
-        self.known: dict[str, bytes] = {"": b""}
-        # words can be told apart only if the vocabulary marks their ends and drops the space between them
-        self.by_word = bool(self.ends.any()) and self._ids("a b") == self._ids("a") + self._ids("b")
-
-    def _ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
-
-    def _encode(self, text: str) -> bytes:
-        return np.asarray(self._ids(text), dtype=self.kind).tobytes()
-
-    def _learn(self, new: set[str]) -> dict[str, bytes]:
-        """Bytes of the words of ``new``."""
-        found, plain, parts = {}, set(), {}
-        for word in new:
-            core = word.rstrip(CLOSING)
-            if core and len(word) <= LONGEST_REMEMBERED and core.isalpha() and core.lower().isalpha():
-                parts[word] = core, word[len(core):]
-                plain.add(core)
-            else:
-                found[word] = b""
-        for word, encoding in zip(found, self.tokenizer.encode_batch_fast(list(found), add_special_tokens=False)):
-            found[word] = np.asarray(encoding.ids, dtype=self.kind).tobytes()
-        plain = [w for w in plain if w not in self.known]
-        for at in range(0, len(plain), 2000):
-            some = plain[at : at + 2000]
-            ids = np.asarray(self._ids(" ".join(some)), dtype=self.kind)
-            stops = np.flatnonzero(self.ends[ids]) + 1
-            if len(stops) == len(some):
-                raw, size, before = ids.tobytes(), self.kind.itemsize, 0
-                for word, stop in zip(some, stops.tolist()):
-                    found[word] = raw[before * size : stop * size]
-                    before = stop
-            else:
-                found |= {word: self._encode(word) for word in some}
-        for closing in {close for _, close in parts.values()} - self.known.keys():
-            found[closing] = self._encode(closing)
-        both = lambda key: found[key] if key in found else self.known[key]
-        return found | {word: both(core) + both(close) for word, (core, close) in parts.items()}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian ids of each text, two or four bytes each (``kind``)."""
+        largest = max(vocabulary.values())
+        self.kind = np.dtype("<u2" if largest < 1 << 16 else "<u4")
+        self.ends = np.zeros(largest + 1, dtype=bool)
+        self.ends[[number for token, number in vocabulary.items() if token.endswith("</w>")]] = True
+        self.mark = self._encode(BETWEEN)
+        self.by_word = len(self.mark) == 1 and self._encode(f"a b {BETWEEN} c").tolist() == [
+            *self._encode("a"), *self._encode("b"), *self.mark, *self._encode("c")]
+        self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _encode(self, text: str) -> np.ndarray:
+        return np.asarray(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=self.kind)
+
+    def _learn(self, words: list[str], plain: bool) -> list[bytes]:
+        """Bytes of new words; ``plain`` words have letters alone."""
+        found, size = [], self.kind.itemsize
+        for at in range(0, len(words), 500):
+            some = words[at : at + 500]
+            ids = self._encode((" " if plain else f" {BETWEEN} ").join(some))
+            ends = np.flatnonzero(self.ends[ids]) + 1 if plain else np.append(np.flatnonzero(ids == self.mark[0]), len(ids))
+            if len(ends) != len(some):  # letters that the library parts, or a word that holds the mark
+                found += [self._encode(word).tobytes() for word in some]
+                continue
+            starts = np.append(0, ends[:-1] + (not plain)) * size
+            raw = ids.tobytes()
+            found += [raw[start:end] for start, end in zip(starts.tolist(), (ends * size).tolist())]
+        return found
+
+    def _words(self, words: pa.Array) -> list[bytes]:
+        """Bytes of distinct words."""
+        texts = words.to_pylist()
+        raws = list(map(self.known.get, texts))
+        met = [i for i, raw in enumerate(raws) if raw is None and texts[i] in self.old]
+        for i in met:
+            raws[i] = self.known[texts[i]] = self.old[texts[i]]
+        letters = pc.utf8_is_alpha(words).to_pylist()
+        for plain in (True, False):
+            at = [i for i, raw in enumerate(raws) if raw is None and letters[i] == plain]
+            new = [texts[i] for i in at]
+            learned = self._learn(new, plain)
+            for i, raw in zip(at, learned):
+                raws[i] = raw
+            self.known.update(zip(new, learned))
+            for long in [w for w in new if len(w) > LONGEST_REMEMBERED]:
+                del self.known[long]
+        if len(self.known) > REMEMBERED:
+            self.known, self.old = {}, self.known
+        return raws
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text, as numbers of two or four bytes (``kind``)."""
         if not self.by_word:
             return [self._encode(t) for t in texts]
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        new = set().union(*split) - self.known.keys() if split else set()
-        learned = self._learn(new)
-        if len(self.known) + len(learned) > REMEMBERED:
-            kept = set().union(*split) & self.known.keys()
-            self.known = {w: self.known[w] for w in kept} | {"": b""}
-        self.known |= {w: b for w, b in learned.items()}
-        get = self.known.__getitem__
-        out = [b"".join(map(get, words)) for words in split]
-        for word in [w for w in learned if len(w) > LONGEST_REMEMBERED]:
-            del self.known[word]
-        return out
+        if not texts:
+            return []
+        split = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " "), " ")
+        coded = split.flatten().dictionary_encode()
+        raws = self._words(coded.dictionary)
+        flat = np.frombuffer(b"".join(raws), dtype=self.kind)
+        sizes = np.fromiter(map(len, raws), dtype=np.int64, count=len(raws)) // self.kind.itemsize
+        starts = np.cumsum(sizes) - sizes
+        at = coded.indices.to_numpy()
+        size = sizes[at]
+        ends = np.cumsum(size)
+        ids = flat[np.repeat(starts[at] - (ends - size), size) + np.arange(ends[-1])]
+        bounds = np.append(0, ends)[split.offsets.to_numpy() - split.offsets[0].as_py()]
+        return [ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
 
 
 def encoder_of(path: str) -> Callable[[], WordEncoder]:
@@ -102,7 +113,7 @@ def encoder_of(path: str) -> Callable[[], WordEncoder]:
     return get
 
 
-def pieces_of(texts: list, budget: int = 1 << 20) -> list[list[int]]:
+def pieces_of(texts: list, budget: int = 1 << 23) -> list[list[int]]:
     """Positions of ``texts`` in runs of at most ``budget`` characters (one text at least)."""
     runs, size = [], budget + 1
     for i, text in enumerate(texts):
