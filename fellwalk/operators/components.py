@@ -2,20 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import itertools
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from fellwalk.operators.joins import salted_lookup
 from fellwalk.workspace import settled
 
-MAX_ROUNDS = 200
-# Graphs up to this many edges are settled by one task; the number is counted, not estimated.
-SINGLE_TASK_EDGES = 500_000
-
-
 def merged_roots(first: np.ndarray, second: np.ndarray, count: int) -> np.ndarray:
     """Smallest member of each group when ``first[i]`` and ``second[i]`` belong together."""
     root = np.arange(count)
@@ -29,34 +23,19 @@ def merged_roots(first: np.ndarray, second: np.ndarray, count: int) -> np.ndarra
             root = root[root]
 
 
-def _settle_in_one_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    parts = list(batches)
-    if parts:
-        edges = pd.concat(parts)
-        nodes, position = np.unique(edges[["a", "b"]].to_numpy(), return_inverse=True)
-        first, second = position.reshape(-1, 2).T
-        yield pd.DataFrame({"node": nodes, "root": nodes[merged_roots(first, second, len(nodes))]})
-
-
-def connected_components(
-    edges: DataFrame, max_rounds: int = MAX_ROUNDS, single_task_edges: int = SINGLE_TASK_EDGES
-) -> DataFrame:
+def connected_components(edges: DataFrame, max_rounds: int | None = None) -> DataFrame:
     """Columns ``node`` and ``root``, the smallest node of its component, for every node of an edge.
 
-    ``edges`` has ``a`` and ``b``.  A graph of few edges, by count, is settled by one task.  In a
-    larger one each round hangs every tree under the smallest root seen by any of its nodes and
-    then halves the paths, so the number of rounds grows with the logarithm of the component size.
-    Popular nodes and popular roots are looked up with a salt, and smallest roots are combined
+    ``edges`` has ``a`` and ``b``.  Each round hangs every tree under the smallest root seen by any
+    of its nodes and then halves the paths, so the number of rounds grows with the logarithm of the
+    component size.  Rounds go on until nothing changes, or for ``max_rounds`` if given.  Popular nodes and popular roots are looked up with a salt, and smallest roots are combined
     before the shuffle.  Every round is written out, which cuts the lineage.
     """
     links = settled(edges.select("a", "b").dropDuplicates(), "edges")
-    if links.count() <= single_task_edges:
-        return links.coalesce(1).mapInPandas(_settle_in_one_task, "node bigint, root bigint")
-
     both = links.filter("a <> b").select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     state = settled(both.select(F.col("a").alias("node")).dropDuplicates().withColumn("root", F.col("node")), "roots")
     before = None
-    for _ in range(max_rounds):
+    for _ in itertools.count() if max_rounds is None else range(max_rounds):
         after = state.agg(F.sum(F.col("root").cast("decimal(38,0)"))).first()[0]
         if after == before:
             return state
