@@ -65,3 +65,50 @@ def cut(blocks: Column, start: Column, end: Column) -> Column:
     count = F.floor(end / BLOCK).cast("int") - first + 1
     joined = F.array_join(F.slice(blocks, first + 1, count), "")
     return F.when(end > start, F.substring(joined, (start - first * BLOCK + 1).cast("int"), (end - start).cast("int"))).otherwise("")
+
+
+# ---- groups of rows in a sorted partition ----
+
+
+def runs_of(batches, keys: list[str]):
+    """Tables of rows with equal ``keys`` from Arrow batches sorted by them; one group at a time is held."""
+    import numpy as np
+    import pyarrow as pa
+
+    held, last = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+        new = np.zeros(batch.num_rows, dtype=bool)
+        for c in columns:
+            new[1:] |= c[1:] != c[:-1]
+        first = tuple(c[0] for c in columns)
+        bounds = [0, *np.flatnonzero(new).tolist(), batch.num_rows]
+        if last is not None and first != last:
+            yield pa.Table.from_batches(held)
+            held = []
+        for start, end in zip(bounds[:-2], bounds[1:-1]):
+            yield pa.Table.from_batches([*held, batch.slice(start, end - start)])
+            held = []
+        held.append(batch.slice(bounds[-2]))
+        last = tuple(c[-1] for c in columns)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def rooted(first, second):
+    """Node and smallest node of its group, for every node of the links ``first[i]`` to ``second[i]`` (numpy arrays)."""
+    import numpy as np
+
+    nodes, at = np.unique(np.concatenate([first, second]), return_inverse=True)
+    a, b = at[: len(first)], at[len(first) :]
+    root = np.arange(len(nodes))
+    while True:
+        x, y = root[a], root[b]
+        apart = x != y
+        if not apart.any():
+            return nodes, nodes[root]
+        np.minimum.at(root, np.maximum(x, y)[apart], np.minimum(x, y)[apart])
+        while (root[root] != root).any():
+            root = root[root]

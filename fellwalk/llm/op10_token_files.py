@@ -116,12 +116,12 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str, sequence: int = S
     return settled(dealt.select("part", "doc_id", "text").mapInArrow(write, INDEX), "token-index")
 
 
-def stream_starts(index: DataFrame) -> DataFrame:
-    """``index`` with ``start``, the ids of all documents before each one: the parts before (one row per part) and ``at``."""
+def stream_starts(rows: DataFrame, index: DataFrame) -> DataFrame:
+    """``rows`` with ``start``, the ids of all documents before each one: those of the parts before (one row per part) and ``at``."""
     sums = index.groupBy("part").agg(F.sum("n_tokens").alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     offsets = sums.select("part", before.alias("_before"))
-    return index.join(F.broadcast(offsets), "part").withColumn("start", F.col("_before") + F.col("at")).drop("_before")
+    return rows.join(F.broadcast(offsets), "part").withColumn("start", F.col("_before") + F.col("at")).drop("_before")
 
 
 def read_tokens(index: DataFrame, folder: str, tokens: bool = False) -> DataFrame:
@@ -175,4 +175,4 @@ def token_files(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE) -> Da
     folder = fresh_path(docs.sparkSession, "token-files")
     folder = folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
     index = write_tokens(docs, tokenizer, folder, sequence)
-    return stream_starts(read_tokens(index, folder)).select("doc_id", "start", "n_tokens", "ids_crc32", "part", "at")
+    return stream_starts(read_tokens(index, folder), index).select("doc_id", "start", "n_tokens", "ids_crc32", "part", "at")
