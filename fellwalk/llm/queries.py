@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fellwalk.llm import op1_chat_format, op2_personal_data, op3_near_dedup, op4_mixing, op9_packing, op10_token_files
+from fellwalk.llm import op1_chat_format, op2_personal_data, op3_near_dedup, op4_mixing, op6_language, op9_packing, op10_token_files
 from fellwalk.llm.common import documents, settle_llm
 
 QUERIES = {}
@@ -112,3 +112,8 @@ def mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op3_near_dedup")
 def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op3_near_dedup.groups(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@_query("op6_language")
+def language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op6_language.identify(documents(spark, sf_dir)).select("doc_id", "held_out", "lang_pred", "score", "n_words")
