@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fellwalk.llm import op1_chat_format, op2_personal_data, op3_near_dedup, op4_mixing, op6_language, op9_packing, op10_token_files
+from fellwalk.llm import op1_chat_format, op2_personal_data, op3_near_dedup, op4_mixing, op5_vantage_search, op6_language, op8_embedding_dedup, op9_packing, op10_token_files
 from fellwalk.llm.common import documents, settle_llm
 
 QUERIES = {}
@@ -117,3 +117,14 @@ def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op6_language")
 def language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op6_language.identify(documents(spark, sf_dir)).select("doc_id", "held_out", "lang_pred", "score", "n_words")
+
+
+@_query("op5_vantage_search")
+def vantage_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return op5_vantage_search.search(vectors, vectors.filter("vec_id % 50 = 0"), 5)
+
+
+@_query("op8_embedding_dedup")
+def embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op8_embedding_dedup.groups(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
