@@ -24,8 +24,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from fellwalk.llm.common import cut, text_blocks
-from fellwalk.llm.op2_personal_data import bound
+from fellwalk.llm.common import bound, cut, text_blocks
 
 # The template (fixed values): marks of a turn, and the control strings that texts must not contain unescaped.
 OPEN, ROLE_END, CLOSE = "<s>[INST] ", " [/INST]", "</s>"

@@ -25,12 +25,11 @@ Nulls and odd input: a null or empty text has no spans and stays as it is; long
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fellwalk.llm.common import cut, text_blocks
+from fellwalk.llm.common import bound, cut, text_blocks
 
 MIN_SCORE = 0.5
 CONTEXT_CHARS = 60
@@ -61,11 +60,6 @@ KINDS = (
 BASE_KINDS = 4
 
 
-def bound(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with ``value`` computed once, however often ``use`` refers to it."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def _characters(text: Column) -> Column:
     return F.filter(F.split(text, ""), lambda c: c != "")
 
