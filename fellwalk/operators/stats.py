@@ -10,7 +10,8 @@ from fellwalk.functions.numbers import INFINITY, finite, general_format
 from fellwalk.operators.joins import same_group_join
 from fellwalk.workspace import settled
 
-DISTINCT_LIMIT = 1_000_000
+# a bracket with more different values is narrowed once more; one task ranks the values of a bracket
+BRACKET_VALUES = 1_000_000
 SKETCH_ACCURACY = 10000
 MARKS = 1000
 
@@ -20,62 +21,55 @@ def exact_quantiles(
     value: str,
     probabilities: Sequence[float],
     by: Sequence[str] = (),
-    distinct_limit: int = DISTINCT_LIMIT,
+    bracket_values: int = BRACKET_VALUES,
 ) -> DataFrame:
     """Exact quantiles with linear interpolation; columns ``by``, ``probability``, ``quantile``.
 
-    The exact percentile aggregate holds every distinct value of a group in one buffer, so it
-    is used only where a sketch of the distinct values shows that they fit ``distinct_limit``.
-    Otherwise each wanted rank is first narrowed to a bracket of values that does fit.
+    NULL and NaN are left out; infinities are values.  Equal values are counted before they are
+    moved.  A bracket around each wanted rank, at first all values, is narrowed until it holds
+    at most ``bracket_values`` different values or narrows no further, and is then read off.
+    Every round is one scan of the counts with a bounded sketch per bracket.  The bracket holds
+    the wanted rank and the next one, because the rows below it are counted exactly.
     """
     by = list(by)
-    rows = df.select(*by, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    wanted = [float(p) for p in probabilities]
-    groups = rows.groupBy(*by).agg(F.approx_count_distinct("_v").alias("d"))
-    if (groups.agg(F.max("d")).first()[0] or 0) > distinct_limit:
-        return _narrowed_quantiles(rows, wanted, by, distinct_limit)
-    found = rows.groupBy(*by).agg(F.percentile("_v", wanted).alias("_q")).filter(F.col("_q").isNotNull())
-    pairs = [F.struct(F.lit(p).alias("probability"), F.col("_q")[i].alias("quantile")) for i, p in enumerate(wanted)]
-    return found.select(*by, F.explode(F.array(*pairs)).alias("_p")).select(*by, "_p.*")
-
-
-def _narrowed_quantiles(rows: DataFrame, wanted: list[float], by: list[str], distinct_limit: int) -> DataFrame:
-    """Narrow a bracket around each wanted rank until its distinct values fit the limit, then read it off.
-
-    Every round is one scan with a bounded sketch per bracket.  The bracket holds the wanted
-    rank and the next one, because the rows below it are counted exactly.
-    """
     keys = [*by, "probability"]
+    wanted = [float(p) for p in probabilities]
+    number = F.col(value).cast("double")
+    # adding zero makes the two zeros one value
+    rows = df.select(*by, (number + 0.0).alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    rows = settled(rows.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("c")), "counted")
     position = F.col("probability") * (F.col("n") - 1)
     targets = F.explode(F.array(*[F.lit(p) for p in wanted])).alias("probability")
     brackets = (
-        rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).select(*by, "n", targets)
+        rows.groupBy(*by).agg(F.sum("c").alias("n")).filter("n > 0").select(*by, "n", targets)
         .withColumn("rank", F.floor(position))
         .withColumn("part", position - F.floor(position))
         .withColumn("low", F.lit(-INFINITY))
         .withColumn("high", F.lit(INFINITY))
     )
-    brackets = settled(brackets, "bracket")
+    brackets, before = settled(brackets, "bracket"), None
     inside = F.col("_v") >= F.col("low")
-    share = lambda rank: (rank - F.col("below")) / F.col("here") * F.lit(MARKS)
-    mark = lambda at: F.get("marks", F.least(F.greatest(at, F.lit(0)), F.lit(MARKS)).cast("int"))
     while True:
         candidates = _in_bracket(rows, brackets, by)
-        if candidates.filter(inside).groupBy(*keys).agg(F.approx_count_distinct("_v").alias("d")).agg(
-            F.max("d")
-        ).first()[0] <= distinct_limit:
+        held = candidates.filter(inside).groupBy(*keys).agg(F.count(F.lit(1)).alias("d")).agg(F.max("d")).first()[0] or 0
+        if held <= bracket_values or held == before:
             return _read_off(candidates, keys, by)
-        sketch = candidates.groupBy(*keys).agg(
-            F.count_if(~inside).alias("below"),
-            F.count_if(inside).alias("here"),
-            F.percentile_approx(
-                F.when(inside, F.col("_v")), [i / MARKS for i in range(MARKS + 1)], SKETCH_ACCURACY
-            ).alias("marks"),
+        before = held
+        # marks over the different values, each mark with the rows below it, so that ranks find their place among the marks
+        sketch = candidates.filter(inside).groupBy(*keys).agg(
+            F.percentile_approx("_v", [i / MARKS for i in range(MARKS + 1)], SKETCH_ACCURACY).alias("marks")
         )
-        narrower = same_group_join(brackets, sketch, keys).select(
-            *keys, "n", "rank", "part",
-            mark(F.floor(share(F.col("rank"))) - 2).alias("low"),
-            mark(F.ceil(share(F.col("rank") + 1)) + 2).alias("high"),
+        placed = same_group_join(candidates, sketch, keys).withColumn(
+            "mark", F.when(inside, F.size(F.filter("marks", lambda m: m < F.col("_v")))).otherwise(-1)
+        )
+        filled = placed.groupBy(*keys, "mark").agg(F.sum("c").alias("c"))
+        running = Window.partitionBy(*keys).orderBy("mark")
+        upto = filled.withColumn("upto", F.sum("c").over(running)).withColumn("start", F.col("upto") - F.col("c"))
+        met = same_group_join(same_group_join(upto, brackets, keys), sketch, keys)
+        reached = met.filter((F.col("upto") > F.col("rank")) & (F.col("start") <= F.col("rank") + 1))
+        narrower = reached.groupBy(*keys, "n", "rank", "part").agg(
+            F.min(F.coalesce(F.get("marks", F.col("mark") - 1), F.col("low"))).alias("low"),
+            F.max(F.coalesce(F.get("marks", F.col("mark")), F.col("high"))).alias("high"),
         )
         brackets = settled(narrower, "bracket")
 
@@ -90,14 +84,14 @@ def _in_bracket(rows: DataFrame, brackets: DataFrame, by: list[str]) -> DataFram
         return same_group_join(rows, brackets, by).filter(F.col("_v") <= F.col("high"))
     listed = brackets.agg(F.collect_list(F.struct(*brackets.columns)).alias("b")).scalar()
     reached = F.filter(F.col("_b"), lambda b: F.col("_v") <= b["high"])
-    return rows.withColumn("_b", listed).select("_v", F.explode(reached).alias("_b")).select("_v", "_b.*")
+    return rows.withColumn("_b", listed).select("_v", "c", F.explode(reached).alias("_b")).select("_v", "c", "_b.*")
 
 
 def _read_off(candidates: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
     """Rank the distinct values inside each bracket and interpolate at the wanted rank."""
     state = ["n", "rank", "part"]
     inside = F.when(F.col("_v") >= F.col("low"), F.col("_v"))
-    distinct = candidates.groupBy(*keys, *state, inside.alias("_v")).agg(F.count(F.lit(1)).alias("c"))
+    distinct = candidates.groupBy(*keys, *state, inside.alias("_v")).agg(F.sum("c").alias("c"))
     running = Window.partitionBy(*keys).orderBy(F.col("_v").asc_nulls_first())
     ranked = distinct.withColumn("upto", F.sum("c").over(running)).withColumn("start", F.col("upto") - F.col("c"))
     holds = lambda rank: F.col("_v").isNotNull() & (F.col("start") <= rank) & (rank < F.col("upto"))
@@ -107,7 +101,10 @@ def _read_off(candidates: DataFrame, keys: list[str], by: list[str]) -> DataFram
     )
     outside = F.col("at").isNull() | F.col("next").isNull()
     message = F.raise_error(F.lit("a wanted rank lies outside its bracket")).cast("double")
-    quantile = F.when(outside, message).otherwise(F.col("at") + (F.col("next") - F.col("at")) * F.col("part"))
+    between = F.when((F.col("part") == 0) | (F.col("at") == F.col("next")), F.col("at")).otherwise(
+        (1 - F.col("part")) * F.col("at") + F.col("part") * F.col("next")
+    )
+    quantile = F.when(outside, message).otherwise(between)
     return picked.select(*keys, quantile.alias("quantile"))
 
 

@@ -43,7 +43,7 @@ def test_histogram_counts_every_value_for_any_partitioning(spark):
 POINTS = [0.0, 0.1, 0.5, 0.95, 0.99, 1.0]
 
 
-@pytest.mark.parametrize("kind", ["normal", "hot", "outlier", "two"])
+@pytest.mark.parametrize("kind", ["normal", "hot", "outlier", "two", "equal", "not numbers"])
 def test_narrowed_quantiles_are_exact(spark, kind):
     rng = np.random.default_rng(3)
     values = {
@@ -51,15 +51,28 @@ def test_narrowed_quantiles_are_exact(spark, kind):
         "hot": np.concatenate([np.full(2000, 4.5), rng.normal(4, 3, 2000)]),
         "outlier": np.concatenate([rng.normal(size=3000), [1e300, -1e300]]),
         "two": np.array([1.0, 2.0]),
+        "equal": np.full(900, 7.25),
+        "not numbers": np.concatenate([rng.normal(size=500), np.full(60, math.nan)]),
     }[kind]
     df = numbers(spark, values)
-    expected = np.quantile(values, POINTS)
+    expected = np.quantile(values[~np.isnan(values)], POINTS)
     for limit in (10**6, 40):
-        found = stats.exact_quantiles(df, "x", POINTS, distinct_limit=limit).collect()
+        found = stats.exact_quantiles(df, "x", POINTS, bracket_values=limit).collect()
         got = {r["probability"]: r["quantile"] for r in found}
         assert [got[p] for p in POINTS] == pytest.approx(list(expected), rel=1e-12)
 
 
+@pytest.mark.parametrize("limit", [10**6, 5])
+def test_infinities_are_values_and_giant_groups_narrow(spark, limit):
+    ends = numbers(spark, [-math.inf, 1.0, 2.0, math.inf, math.inf])
+    assert [r["quantile"] for r in stats.exact_quantiles(ends, "x", [0.0, 0.5, 1.0], bracket_values=limit).orderBy("probability").collect()] == [-math.inf, 2.0, math.inf]
+    group = F.when(F.col("id") % 10 == 0, F.col("id")).otherwise(-1)
+    df = spark.range(4000).select(group.alias("g"), (F.col("id") * 0.5).alias("x"))
+    found = {r["g"]: r["quantile"] for r in stats.exact_quantiles(df, "x", [0.25], ["g"], limit).collect()}
+    assert found[-1] == np.quantile([i * 0.5 for i in range(4000) if i % 10], 0.25) and found[20] == 10.0 and len(found) == 401
+    assert stats.exact_quantiles(df.filter("x < 0"), "x", [0.5], ["g"], limit).collect() == []
+
+
 def test_quantiles_per_group(spark):
     df = spark.range(3000).select((F.col("id") % 3).alias("g"), (F.col("id") * 1.0).alias("x"))
     for limit in (10**6, 50):
