@@ -113,14 +113,20 @@ def warp(
     )
     if method == "nearest":
         source = cells.select(F.col("col").alias("sc"), F.col("row").alias("sr"), "z")
-        return keyed.join(source, ["sc", "sr"], "left").select("col", "row", "z")
+        met = keyed.filter("sx IS NOT NULL").join(source, ["sc", "sr"], "left").select("col", "row", "z")
+        return met.unionByName(_uncovered(keyed, "col", "row"))
     if method != "bilinear":
         raise ValueError("method is 'bilinear' or 'nearest'")
 
     source = quads(cells).withColumnsRenamed({"col": "sc", "row": "sr"})
-    met = keyed.join(source, ["sc", "sr"], "left")
+    met = keyed.filter("sx IS NOT NULL").join(source, ["sc", "sr"], "left")
     fx, fy = F.col("sx") + shape.col0 - F.col("sc"), F.col("sy") + shape.row0 - F.col("sr")
-    return met.select("col", "row", mixed(fx, fy).alias("z"))
+    return met.select("col", "row", mixed(fx, fy).alias("z")).unionByName(_uncovered(keyed, "col", "row"))
+
+
+def _uncovered(keyed: DataFrame, *names: str) -> DataFrame:
+    """Target cells outside the source: they have no place there and take no part in the join, where they would share one key."""
+    return keyed.filter("sx IS NULL").select(*names, F.lit(None).cast("double").alias("z"))
 
 
 def tile_utm(tiles: DataFrame) -> DataFrame:
@@ -180,8 +186,9 @@ def warp_tiles(tiles: DataFrame, cell_size: float) -> DataFrame:
         *TILE, (F.col("at") % F.col("cols")).cast("int").alias("col"), F.floor(F.col("at") / F.col("cols")).cast("int").alias("row"), "z"
     )
     source = quads(own, by=TILE).withColumnsRenamed({"col": "sc", "row": "sr"})
-    met = keyed.join(source, [*TILE, "sc", "sr"], "left")
-    return met.select(*TILE, "col", "row", mixed(F.col("sx") - F.col("sc"), F.col("sy") - F.col("sr")).alias("z"))
+    met = keyed.filter("sx IS NOT NULL").join(source, [*TILE, "sc", "sr"], "left")
+    value = mixed(F.col("sx") - F.col("sc"), F.col("sy") - F.col("sr")).alias("z")
+    return met.select(*TILE, "col", "row", value).unionByName(_uncovered(keyed, *TILE, "col", "row"))
 
 
 def projected_slopes(tiles: DataFrame, cell_size: float) -> DataFrame:

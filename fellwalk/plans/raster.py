@@ -60,9 +60,8 @@ def tile_offset(spark, d):
     "occupancy_grid",
     t.with_views(
         """SELECT r.r::INT AS row, string_agg(CASE WHEN k.col IS NULL THEN '□' ELSE '■' END, '' ORDER BY c.c) AS picture
-FROM b CROSS JOIN range(0, 1000) r(r) CROSS JOIN range(0, 1000) c(c)
-LEFT JOIN (SELECT DISTINCT col, row FROM keys_v) k ON k.col = c.c + c0 AND k.row = r.r + r0
-WHERE r.r <= r1 - r0 AND c.c <= c1 - c0 GROUP BY 1""",
+FROM b CROSS JOIN (SELECT unnest(range(0, r1 - r0 + 1)) AS r FROM b) r CROSS JOIN (SELECT unnest(range(0, c1 - c0 + 1)) AS c FROM b) c
+LEFT JOIN (SELECT DISTINCT col, row FROM keys_v) k ON k.col = c.c + c0 AND k.row = r.r + r0 GROUP BY 1""",
         "keys_v",
         extra={"b": "SELECT min(col) AS c0, max(col) AS c1, min(row) AS r0, max(row) AS r1 FROM keys_v"},
     ),
@@ -75,11 +74,21 @@ def occupancy_grid(spark, d):
 
 ORIGIN = layers.Georeference(86.9, 28.03, 1 / 3600, 1 / 3600, "EPSG:4326")
 PIECE = 64
+
+
+
+def _boxed(source: str) -> str:
+    """A tile holds every cell of its box; cells that the layer lacks are without data."""
+    return f"""(SELECT c AS col, r AS row, z FROM (SELECT *, unnest(range(r0, r1 + 1)) AS r FROM (SELECT *, unnest(range(c0, c1 + 1)) AS c FROM (
+  SELECT min(col) AS c0, max(col) AS c1, min(row) AS r0, max(row) AS r1 FROM {source} GROUP BY col // {PIECE}, row // {PIECE})))
+LEFT JOIN (SELECT col AS c, row AS r, z FROM {source}) USING (c, r))"""
+
+
 _TILES_SQL = f"""SELECT (col // {PIECE})::INT AS tile_col, (row // {PIECE})::INT AS tile_row,
   (max(col) - min(col) + 1)::INT AS cols, (max(row) - min(row) + 1)::INT AS rows, count(z) AS data_cells,
   86.9::DOUBLE + min(col) * {ps.num(1 / 3600)} AS xmin, 28.03::DOUBLE - min(row) * {ps.num(1 / 3600)} AS ymax,
   md5(string_agg(coalesce(CAST(round(z * 1000)::BIGINT AS VARCHAR), 'NA'), ',' ORDER BY row, col)) AS cells_md5
-FROM dem_v GROUP BY 1, 2"""
+FROM {_boxed('dem_v')} GROUP BY 1, 2"""
 
 
 def _tiles(spark, d):
@@ -99,9 +108,9 @@ def dem_tiles(spark, d):
     )
 
 
-@job("dem_cells", t.with_views("SELECT col, row, round(z, 6) AS z FROM dem_v", "dem_v"))
+@job("dem_cells", t.with_views(f"SELECT col::INT AS col, row::INT AS row, round(z, 6) AS z FROM {_boxed('dem_v')}", "dem_v"))
 def dem_cells(spark, d):
-    """The cell table recovered from the tiles by their extents."""
+    """The cell table recovered from the tiles by their extents; absent cells of a tile come back without data."""
     return rounded(layers.pieces_to_cells(_tiles(spark, d)))
 
 
@@ -131,9 +140,10 @@ def window_sample(spark, d):
     "layer_catalog",
     t.with_views(
         """SELECT z.zoom::INT AS zoom, count(*) AS cells, count(v) AS data_cells, round(avg(v), 6) AS mean FROM (
-  SELECT 0 AS zoom, col, row, z AS v FROM dem_v
-  UNION ALL SELECT 1, col // 2, row // 2, avg(z) FROM dem_v GROUP BY 2, 3) z GROUP BY 1""",
+  SELECT 0 AS zoom, z AS v FROM """ + _boxed("dem_v") + """
+  UNION ALL SELECT 1, z FROM """ + _boxed("half") + """) z GROUP BY 1""",
         "dem_v",
+        extra={"half": "SELECT (col // 2)::INT AS col, (row // 2)::INT AS row, avg(z) AS z FROM dem_v GROUP BY 1, 2"},
     ),
 )
 def layer_catalog(spark, d):
@@ -368,11 +378,12 @@ SMALL = 50
   SELECT c.i::INT AS col, r.i::INT AS row, x.o + floor(c.s)::INT AS sc, y.o + floor(r.s)::INT AS sr,
     (CASE x.o WHEN 0 THEN 1 - (c.s - floor(c.s)) ELSE c.s - floor(c.s) END)
     * (CASE y.o WHEN 0 THEN 1 - (r.s - floor(r.s)) ELSE r.s - floor(r.s) END) AS w
-  FROM axis c, axis r, range(2) x(o), range(2) y(o)) g JOIN dem_v d ON d.col = g.sc AND d.row = g.sr WHERE w > 0 GROUP BY 1, 2""",
+  FROM axis c, down r, range(2) x(o), range(2) y(o)) g JOIN dem_v d ON d.col = g.sc AND d.row = g.sr WHERE w > 0 GROUP BY 1, 2""",
         "dem_v",
         extra={
-            "axis": f"""SELECT i, (i + 0.5::DOUBLE) * (n / t) - 0.5::DOUBLE AS s FROM range({SMALL}) a(i),
-  (SELECT (max(col) + 1)::DOUBLE AS n, least({SMALL}, max(col) + 1)::DOUBLE AS t FROM dem_v) WHERE i < t"""
+            name: f"""SELECT i, (i + 0.5::DOUBLE) * (n / t) - 0.5::DOUBLE AS s FROM range({SMALL}) a(i),
+  (SELECT (max({axis}) + 1)::DOUBLE AS n, least({SMALL}, max({axis}) + 1)::DOUBLE AS t FROM dem_v) WHERE i < t"""
+            for name, axis in (("axis", "col"), ("down", "row"))
         },
     ),
 )
@@ -397,20 +408,20 @@ def pyramid(spark, d):
 UTM45 = TransverseMercator.utm(45)
 _CORNER = ps.num(1 / 3600)
 _OUTLINE_SQL = f"""SELECT 86.9::DOUBLE + c * {_CORNER} AS lon, 28.03::DOUBLE - r * {_CORNER} AS lat
-FROM (SELECT c, r FROM side, range(0, 100000) a(c), (VALUES (0), (1)) e(e), LATERAL (SELECT e * n AS r) WHERE c <= n
-  UNION ALL SELECT e * n AS c, r FROM side, range(0, 100000) a(r), (VALUES (0), (1)) e(e) WHERE r <= n)"""
+FROM (SELECT c, e * m AS r FROM (SELECT *, unnest(range(0, n + 1)) AS c FROM side), (VALUES (0), (1)) e(e)
+  UNION ALL SELECT e * n AS c, r FROM (SELECT *, unnest(range(0, m + 1)) AS r FROM side), (VALUES (0), (1)) e(e))"""
 _XY = ps.tm_xy()
 _WARP_VIEWS = {
-    "side": "SELECT max(col) + 1 AS n FROM dem_v",
+    "side": "SELECT max(col) + 1 AS n, max(row) + 1 AS m FROM dem_v",
     "outline": f"SELECT {_XY[0]} AS x, {_XY[1]} AS y FROM ({ps.tm_sphere(_OUTLINE_SQL, '87')})",
     "frame": """SELECT x0, y0, ceil((x1 - x0) / 30)::INT AS cols, ceil((y0 - y1) / 30)::INT AS rows FROM (
   SELECT floor(min(x) / 30) * 30 AS x0, ceil(max(y) / 30) * 30 AS y0, max(x) AS x1, min(y) AS y1 FROM outline)""",
     "target": """SELECT c.c::INT AS col, r.r::INT AS row, x0 + (c.c + 0.5::DOUBLE) * 30 AS x, y0 - (r.r + 0.5::DOUBLE) * 30 AS y
-FROM frame, range(0, 10000) c(c), range(0, 10000) r(r) WHERE c.c < cols AND r.r < rows""",
+FROM frame, (SELECT unnest(range(0, cols)) AS c FROM frame) c, (SELECT unnest(range(0, rows)) AS r FROM frame) r""",
     "degree": ps.tm_inverse("SELECT * FROM target", "87.0::DOUBLE"),
-    "placed": f"""SELECT col, row, CASE WHEN ok THEN least(greatest(sx, 0), n - 1) END AS sx, CASE WHEN ok THEN least(greatest(sy, 0), n - 1) END AS sy
-FROM (SELECT *, sx >= -0.5 AND sx < n - 0.5 AND sy >= -0.5 AND sy < n - 0.5 AS ok FROM (
-  SELECT col, row, (lon - 86.9::DOUBLE) / {_CORNER} - 0.5::DOUBLE AS sx, (28.03::DOUBLE - lat) / {_CORNER} - 0.5::DOUBLE AS sy, n
+    "placed": f"""SELECT col, row, CASE WHEN ok THEN least(greatest(sx, 0), n - 1) END AS sx, CASE WHEN ok THEN least(greatest(sy, 0), m - 1) END AS sy
+FROM (SELECT *, sx >= -0.5 AND sx < n - 0.5 AND sy >= -0.5 AND sy < m - 0.5 AS ok FROM (
+  SELECT col, row, (lon - 86.9::DOUBLE) / {_CORNER} - 0.5::DOUBLE AS sx, (28.03::DOUBLE - lat) / {_CORNER} - 0.5::DOUBLE AS sy, n, m
   FROM degree, side))""",
 }
 
@@ -478,7 +489,8 @@ _PIECE_VIEWS = {
     "frame": """SELECT *, ceil((x1 - x0) / 30) AS tcols, ceil((y0 - y1) / 30) AS trows FROM (
   SELECT tile_col, tile_row, floor(min(x) / 30) * 30 AS x0, ceil(max(y) / 30) * 30 AS y0, max(x) AS x1, min(y) AS y1 FROM outline GROUP BY 1, 2)""",
     "target": """SELECT p.*, c.c::INT AS col, r.r::INT AS row, x0 + (c.c + 0.5::DOUBLE) * 30 AS x, y0 - (r.r + 0.5::DOUBLE) * 30 AS y
-FROM pieces p JOIN frame USING (tile_col, tile_row), range(0, 1000) c(c), range(0, 1000) r(r) WHERE c.c < tcols AND r.r < trows""",
+FROM pieces p JOIN frame USING (tile_col, tile_row), (SELECT unnest(range(0, max(tcols)::BIGINT)) AS c FROM frame) c,
+  (SELECT unnest(range(0, max(trows)::BIGINT)) AS r FROM frame) r WHERE c.c < tcols AND r.r < trows""",
     "degree": ps.tm_inverse("SELECT * FROM target", "lon0"),
     "placed": f"""SELECT tile_col, tile_row, col, row, CASE WHEN ok THEN least(greatest(sx, 0), cols - 1) END AS sx,
   CASE WHEN ok THEN least(greatest(sy, 0), rows - 1) END AS sy
@@ -574,11 +586,12 @@ def slope_regions(spark, d):
 
 _VIEWSHED_VIEWS = {
     "peak": PEAK_SQL,
+    "q": "SELECT max(col) AS m, max(row) AS d FROM dem_v",
     "ends": """SELECT c.c - p.col AS dc, r.r - p.row AS dr, greatest(abs(c.c - p.col), abs(r.r - p.row)) AS n, c.c * 100000 + r.r AS ray
-FROM (SELECT max(col) AS m FROM dem_v) q, range(0, 10000) c(c), range(0, 10000) r(r), peak p
-WHERE c.c <= m AND r.r <= m AND (c.c IN (0, m) OR r.r IN (0, m))""",
+FROM q, (SELECT unnest(range(0, m + 1)) AS c FROM q) c, (SELECT unnest(range(0, d + 1)) AS r FROM q) r, peak p
+WHERE c.c IN (0, m) OR r.r IN (0, d)""",
     "steps": """SELECT ray, k.k, floor((2.0::DOUBLE * dc * k.k + n) / (2.0::DOUBLE * n))::INT AS dc,
-  floor((2.0::DOUBLE * dr * k.k + n) / (2.0::DOUBLE * n))::INT AS dr FROM ends, range(1, 10000) k(k) WHERE k.k <= n""",
+  floor((2.0::DOUBLE * dr * k.k + n) / (2.0::DOUBLE * n))::INT AS dr FROM ends, (SELECT unnest(range(1, greatest(m, d) + 1)) AS k FROM q) k WHERE k.k <= n""",
     "angles": f"""SELECT ray, k, d.col, d.row, (d.z - p.z) / (sqrt((d.col - p.col)::DOUBLE * (d.col - p.col) + (d.row - p.row)::DOUBLE * (d.row - p.row))
   * {CELL}::DOUBLE) AS t FROM steps s, peak p, dem_v d WHERE d.col = p.col + s.dc AND d.row = p.row + s.dr""",
     "viewshed": """SELECT col, row, max(seen)::INT AS visible FROM (

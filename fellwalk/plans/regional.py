@@ -154,7 +154,8 @@ _SAMPLES = {
   ceil((x1 + 1e-12 - x0) / {STEP}::DOUBLE) AS nx, ceil((y1 + 1e-12 - y0) / {STEP}::DOUBLE) AS ny
 FROM (SELECT region, min(x) AS x0, min(y) AS y0, max(x) AS x1, max(y) AS y1 FROM ring GROUP BY 1)""",
     "grid": """SELECT region, i.i AS i, j.j AS j, x0 + i.i * dx AS lon, y0 + j.j * dy AS lat
-FROM box, range(0, 1000) i(i), range(0, 1000) j(j) WHERE i.i < nx AND j.j < ny""",
+FROM box, (SELECT unnest(range(0, max(nx)::BIGINT)) AS i FROM box) i, (SELECT unnest(range(0, max(ny)::BIGINT)) AS j FROM box) j
+WHERE i.i < nx AND j.j < ny""",
     "samples": """SELECT region, lon, lat FROM grid JOIN edges USING (region) GROUP BY region, i, j, lon, lat
 HAVING count(*) FILTER ((y1 <= lat) <> (y2 <= lat) AND x1 + (lat - y1) * (x2 - x1) / (y2 - y1) < lon) % 2 = 1
   AND NOT bool_or(coalesce(lat BETWEEN least(y1, y2) AND greatest(y1, y2) AND lon BETWEEN least(x1, x2) AND greatest(x1, x2)
@@ -254,7 +255,7 @@ def crs_distortion(spark, d):
 
 
 _OWN = """SELECT *, (floor((lon + 180) / 6)::INT % 60) * 6.0::DOUBLE - 177 AS lon0, (floor((lon + 180) / 6)::INT % 60 + 1) AS zone,
-  CASE WHEN lat >= 0 THEN 0.0::DOUBLE ELSE 1e7 END AS south FROM (SELECT region, x AS lon, y AS lat FROM ring WHERE seq = 0)"""
+  CASE WHEN lat >= 0 THEN 0.0::DOUBLE ELSE 1e7 END AS south FROM (SELECT region, (min(x) + max(x)) / 2 AS lon, (min(y) + max(y)) / 2 AS lat FROM ring GROUP BY 1)"""
 _OWN_XY = ps.tm_xy("south")
 
 
@@ -267,8 +268,10 @@ _OWN_XY = ps.tm_xy("south")
     ),
 )
 def utm_zone(spark, d):
-    """UTM zone and coordinates of the first corner of every region, each in its own zone."""
-    corner = world_regions(spark, d).select("region", F.col("rings")[0][0]["x"].alias("lon"), F.col("rings")[0][0]["y"].alias("lat"))
+    """UTM zone and coordinates of the centre of every region's extent, each in its own zone."""
+    along = lambda axis: F.transform(F.flatten("rings"), lambda p: p[axis])
+    middle = lambda axis: (F.array_min(along(axis)) + F.array_max(along(axis))) / 2
+    corner = world_regions(spark, d).select("region", middle("x").alias("lon"), middle("y").alias("lat"))
     lon, lat = F.col("lon"), F.col("lat")
     easting, northing = proj.own_utm(lon, lat).forward(lon, lat)
     placed = corner.select(
@@ -329,9 +332,10 @@ def zone_statistics(spark, d):
         """SELECT DISTINCT c + floor((2.0::DOUBLE * dc * k.k + m) / (2.0::DOUBLE * m))::INT AS col, r + floor((2.0::DOUBLE * dr * k.k + m) / (2.0::DOUBLE * m))::INT AS row
 FROM (SELECT floor(x1)::INT AS c, floor(y1)::INT AS r, floor(x2)::INT - floor(x1)::INT AS dc, floor(y2)::INT - floor(y1)::INT AS dr,
     greatest(abs(floor(x2)::INT - floor(x1)::INT), abs(floor(y2)::INT - floor(y1)::INT)) AS n, greatest(n, 1) AS m FROM edges),
-  range(0, 1000) k(k), (SELECT max(col) AS w FROM dem_v)
+  (SELECT unnest(range(0, max(greatest(abs(floor(x2) - floor(x1)), abs(floor(y2) - floor(y1))))::BIGINT + 1)) AS k FROM edges) k,
+  (SELECT max(col) AS w, max(row) AS d FROM dem_v)
 WHERE k.k <= n AND c + floor((2.0::DOUBLE * dc * k.k + m) / (2.0::DOUBLE * m)) BETWEEN 0 AND w
-  AND r + floor((2.0::DOUBLE * dr * k.k + m) / (2.0::DOUBLE * m)) BETWEEN 0 AND w""",
+  AND r + floor((2.0::DOUBLE * dr * k.k + m) / (2.0::DOUBLE * m)) BETWEEN 0 AND d""",
         "dem_v",
         extra=FIELDS,
     ),

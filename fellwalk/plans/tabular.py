@@ -185,7 +185,7 @@ TRIP_SCHEMA = T.StructType(
 def _drifting_parts(spark, d):
     """The trips as three parts whose names, types and column order differ, one per group of zones."""
     rows = t.trips(spark, d)
-    low = rows.filter("PULocationID < 8")
+    low = rows.filter("PULocationID < 8 OR PULocationID IS NULL")
     middle = rows.filter("PULocationID >= 8 AND PULocationID < 16").select(
         F.col("trip_id").alias("Trip-ID"),
         F.col("PULocationID").cast("bigint").alias("pu_location_id"),
@@ -203,7 +203,7 @@ def _drifting_parts(spark, d):
         F.col("DOLocationID").cast("double").alias("DOLocationID"),
         F.col("trip_distance").cast("decimal(10,1)").alias("trip_distance"),
         F.col("fare_amount").alias("fare_amount"),
-        F.col("trip_id").cast("int").alias("tripid"),
+        F.col("trip_id").cast("decimal(20,0)").alias("tripid"),
     )
     return low, middle, high
 
