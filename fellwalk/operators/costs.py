@@ -8,6 +8,7 @@ of rounds follows the blocks crossed, not the cells, and the state is a small pa
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,11 +17,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from fellwalk.operators.joins import salted_lookup
 from fellwalk.operators.layers import TILE_SIZE
-from fellwalk.workspace import settled
+from fellwalk.workspace import fresh_path, settled
 
 STRAIGHT = ((0, -1), (-1, 0), (1, 0), (0, 1))
 DIAGONAL = ((-1, -1), (1, -1), (-1, 1), (1, 1))
-MAX_ROUNDS = 10_000
 ARRIVAL_SCHEMA = "bc int, br int, col int, row int, distance double"
 CELL_SCHEMA = "col int, row int, distance double, from_col int, from_row int"
 
@@ -168,7 +168,7 @@ def _cell_results(size: int, moves, cell_size: float):
 
 
 def cost_distance(
-    costs: DataFrame, sources: DataFrame, cell_size: float = 1.0, connectivity: int = 8, block: int = TILE_SIZE, max_rounds: int = MAX_ROUNDS
+    costs: DataFrame, sources: DataFrame, cell_size: float = 1.0, connectivity: int = 8, block: int = TILE_SIZE, max_rounds: int | None = None
 ) -> DataFrame:
     """Least accumulated cost from the nearest source to every reachable cell, and where it comes from.
 
@@ -184,7 +184,7 @@ def cost_distance(
     home = lambda axis: F.floor(F.col(axis) / block).cast("int")
     starts = open_sources.dropDuplicates().select(home("col").alias("bc"), home("row").alias("br"), "col", "row")
     arrivals = settled(starts.select("*", F.lit(0.0).alias("distance"), F.lit(True).alias("fresh")), "arrivals")
-    for _ in range(max_rounds):
+    for _ in itertools.count() if max_rounds is None else range(max_rounds):
         active = arrivals.filter("fresh").select("bc", "br").dropDuplicates()
         if active.isEmpty():
             return _with_arrivals(blocks, arrivals).mapInPandas(_cell_results(block, moves, cell_size), CELL_SCHEMA)
@@ -204,7 +204,7 @@ def _with_arrivals(blocks: DataFrame, arrivals: DataFrame) -> DataFrame:
     return blocks.join(listed, ["bc", "br"])
 
 
-def least_cost_paths(reached: DataFrame, destinations: DataFrame, block: int = TILE_SIZE, max_rounds: int = MAX_ROUNDS) -> DataFrame:
+def least_cost_paths(reached: DataFrame, destinations: DataFrame, block: int = TILE_SIZE, max_rounds: int | None = None) -> DataFrame:
     """The cells from each destination back to its source: ``destination``, ``step``, ``col``, ``row``.
 
     ``reached`` is a cost-distance result, ``destinations`` has ``destination``, ``col``, ``row``.
@@ -216,8 +216,10 @@ def least_cost_paths(reached: DataFrame, destinations: DataFrame, block: int = T
     moves = settled(reached.select("col", "row", "from_col", "from_row", home("col").alias("bc"), home("row").alias("br")), "reached")
     heads = destinations.select("destination", "col", "row").join(moves.select("col", "row"), ["col", "row"], "left_semi")
     heads = settled(heads.withColumn("step", F.lit(0)), "heads")
-    done = []
-    for _ in range(max_rounds):
+    # every round adds its part to one folder, so the plan does not grow with the rounds
+    folder, schema = fresh_path(reached.sparkSession, "paths"), heads.select("destination", "step", "col", "row").schema
+    heads.select("destination", "step", "col", "row").limit(0).write.parquet(folder)
+    for _ in itertools.count() if max_rounds is None else range(max_rounds):
         if heads.isEmpty():
             break
         entries = heads.select("col", "row", home("col").alias("bc"), home("row").alias("br")).dropDuplicates()
@@ -235,14 +237,11 @@ def least_cost_paths(reached: DataFrame, destinations: DataFrame, block: int = T
             ),
             "walked",
         )
-        done.append(walked.filter(~F.col("leaves")))
+        walked.filter(~F.col("leaves")).select("destination", "step", "col", "row").write.mode("append").parquet(folder)
         heads = walked.filter("leaves").select("destination", "col", "row", "step")
     else:
         raise RuntimeError(f"paths did not reach their source in {max_rounds} rounds")
-    path = done[0] if done else heads.withColumn("leaves", F.lit(False))
-    for part in done[1:]:
-        path = path.unionByName(part)
-    return path.select("destination", "step", "col", "row")
+    return reached.sparkSession.read.schema(schema).parquet(folder)
 
 
 def _ways(starts: pd.DataFrame, cells: pd.DataFrame, block: int) -> pd.DataFrame:

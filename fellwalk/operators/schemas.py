@@ -25,6 +25,7 @@ def normal_name(name: str) -> str:
 def enforce(df: DataFrame, target: T.StructType) -> DataFrame:
     """Rename, cast and order the columns of ``df`` to ``target``; extra columns are dropped.
 
+    A value that its target type cannot hold becomes NULL; :func:`lost_values` counts them.
     Columns are matched by normalised name; if two source names normalise alike, the last one
     is taken.  A target field without a source is an error.
     """
@@ -39,11 +40,23 @@ def enforce(df: DataFrame, target: T.StructType) -> DataFrame:
         column = df[f"`{found.name}`"]
         if found.dataType != field.dataType:
             log.info("casting %s from %s to %s", field.name, found.dataType, field.dataType)
-            column = column.cast(field.dataType)
+            column = column.try_cast(field.dataType)
         columns.append(column.alias(field.name))
     return df.select(*columns)
 
 
+def lost_values(df: DataFrame, target: T.StructType) -> DataFrame:
+    """``name``, ``lost``: the values of each target field that :func:`enforce` turns into NULL."""
+    source = {normal_name(f.name): f.name for f in df.schema}
+    before = df.select(*[df[f"`{source[normal_name(f.name)]}`"].isNotNull().alias(f"_had_{i}") for i, f in enumerate(target)], *df.columns)
+    after = enforce(before, target).columns
+    typed = before.select(*[F.col(f"_had_{i}") for i in range(len(after))], *[
+        before[f"`{source[normal_name(f.name)]}`"].try_cast(f.dataType).isNull().alias(f"_gone_{i}") for i, f in enumerate(target)])
+    counts = typed.agg(*[F.count_if(F.col(f"_had_{i}") & F.col(f"_gone_{i}")).alias(f"_{i}") for i in range(len(after))])
+    pairs = F.array(*[F.struct(F.lit(name).alias("name"), F.col(f"_{i}").alias("lost")) for i, name in enumerate(after)])
+    return counts.select(F.explode(pairs).alias("p")).select("p.*")
+
+
 def enforced_union(frames: Iterable[DataFrame], target: T.StructType) -> DataFrame:
     """All frames brought to ``target`` and stacked by name."""
     return functools.reduce(DataFrame.unionByName, [enforce(df, target) for df in frames])

@@ -23,7 +23,7 @@ def sight_lines(spark, shape: Shape, col: int, row: int) -> DataFrame:
     last_col, last_row = shape.col0 + shape.cols - 1, shape.row0 + shape.rows - 1
     across, down = shape.cols, max(shape.rows - 2, 0)
     rays = 2 * across + 2 * down if shape.rows > 1 else across
-    tasks = max(1, min(parallelism(spark) * 64, rays * max(shape.cols, shape.rows) // STEPS_PER_TASK + parallelism(spark)))
+    tasks = max(1, rays * max(shape.cols, shape.rows) // STEPS_PER_TASK + parallelism(spark))
     ray = F.col("id")
     side = ray - 2 * across
     border_col = (
