@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fellwalk.llm import op1_chat_format, op2_personal_data, op3_near_dedup, op4_mixing, op5_vantage_search, op6_language, op8_embedding_dedup, op9_packing, op10_token_files
+from fellwalk.llm import op1_chat_format, op2_personal_data, op3_near_dedup, op4_mixing, op5_vantage_search, op6_language, op7_licences, op8_embedding_dedup, op9_packing, op10_token_files
 from fellwalk.llm.common import documents, settle_llm
 
 QUERIES = {}
@@ -128,3 +128,38 @@ def vantage_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op8_embedding_dedup")
 def embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op8_embedding_dedup.groups(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+LICENCE_SQL = r"""
+WITH templates AS (
+    SELECT license, words, greatest(len(words) - 4, 1) AS span, greatest(greatest(len(words) - 4, 1) // 4, 1) AS stride,
+        list_distinct(list_transform(range(0, greatest(len(words) - 5, 0) + 1), lambda i: array_to_string(words[i + 1 : i + 5], ' '))) AS shingles
+    FROM (SELECT license, list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+          FROM (VALUES %s) AS t(license, text))
+), texts AS (
+    SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+    FROM documents
+), shingled AS (
+    SELECT doc_id, list_transform(range(0, greatest(len(words) - 5, 0) + 1), lambda i: array_to_string(words[i + 1 : i + 5], ' ')) AS there
+    FROM texts WHERE len(words) > 0
+), windows AS (
+    SELECT doc_id, license, shingles, unnest(range(0, len(there), stride)) AS start, there, span, stride
+    FROM shingled, templates WHERE list_has_any(there, shingles)
+), judged AS (
+    SELECT doc_id, license, start, len(shingles) AS size,
+        len(list_intersect(shingles, there[greatest(start - stride, 0) + 1 : start + span + stride])) AS matched
+    FROM windows WHERE list_has_any(shingles, there[start + 1 : start + span])
+), best AS (
+    SELECT doc_id, license, max({'matched': matched, 'start': -start, 'size': size}) AS best FROM judged WHERE matched >= 0.8 * size GROUP BY doc_id, license
+)
+SELECT doc_id, license, CAST(best.matched AS BIGINT) AS matched, best.matched / CAST(best.size AS DOUBLE) AS containment, -best.start AS first_shingle FROM best
+""" % ", ".join(f"({_quoted(name)}, {_quoted(text)})" for name, text in op7_licences.TEMPLATES.items())
+
+
+@_query("op7_licences", LICENCE_SQL)
+def licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op7_licences.scan(documents(spark, sf_dir))
