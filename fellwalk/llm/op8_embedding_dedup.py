@@ -1,10 +1,10 @@
 """Embedding near-deduplication by a robust-pruned flat graph, label by label.
 
 1. Equal vectors of a label are one **class**; a class stands for its copies from here on.
-2. **Overlapping shards.** A label is a shard; a shard with more than ``SHARD_MOST`` classes is parted by pivots, classes drawn
-   by hash, and every class joins its ``OVERLAP`` nearest pivots; shards that are still too large are parted again.
+2. **Overlapping shards.** A label with more than ``SPLIT_FROM`` classes is parted by pivots, classes drawn by hash, and every
+   class joins its ``OVERLAP`` nearest pivots; a shard that still has more than ``SHARD_MOST`` is parted again.
 3. **Graph.** In a shard every class gets its nearest and some random classes as candidates; robust pruning keeps one unless a
-   kept one is nearer to it by the factor ``ALPHA``, which leaves long edges between clusters. Edges lead both ways; those of all shards are united.
+   kept one is nearer to it by the factor ``ALPHA``, which leaves long edges between clusters. The lists of all shards are united, and edges lead both ways.
 4. **Search.** In every shard, each class walks the united graph from the shard's medoids to its own neighbourhood, best first,
    and then expands every class found in range until no new one turns up. All cosines are taken in double precision, so a
    link is verified as it is found. A pair that shares several shards counts in the first of them.
@@ -32,9 +32,9 @@ from fellwalk.operators.components import connected_components
 from fellwalk.workspace import settled
 
 SIMILAR = 0.93
-SHARD_MOST, SHARD_AIM, OVERLAP = 4096, 768, 3
-NEAR, RANDOM, DEGREE, ALPHA = 40, 16, 24, 1.2
-BEAM, EXPANDED, MEDOIDS = 24, 8, 48
+SPLIT_FROM, SHARD_MOST, SHARD_AIM, OVERLAP = 896, 4096, 128, 5
+NEAR, RANDOM, DEGREE, ALPHA = 32, 8, 16, 1.2
+BEAM, MEDOIDS = 12, 24
 ASSIGN_ROWS = 8192
 
 
@@ -79,24 +79,24 @@ def _shards(classes: DataFrame) -> DataFrame:
     """``node, cell``: the overlapping shards of every class."""
     spark = classes.sparkSession
     placed, done = classes.select("node", F.xxhash64("label", "dim").alias("cell")), []
-    before = None
+    before, most = None, SPLIT_FROM
     while True:
         sizes = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("_size"))
         sized = settled(placed.join(sizes, "cell"), "cells")
         largest = sized.agg(F.max("_size")).first()[0] or 0
-        stuck = before is not None and largest > 0.9 * before
-        done.append(sized if largest <= SHARD_MOST or stuck else sized.filter(F.col("_size") <= SHARD_MOST))
-        if largest <= SHARD_MOST or stuck:
+        if largest <= most or (before is not None and largest > 0.9 * before):  # small enough, or nothing parts them
+            done.append(sized)
             break
+        done.append(sized.filter(F.col("_size") <= most))
         before = largest
-        crowded = sized.filter(F.col("_size") > SHARD_MOST).join(classes.select("node", "vector"), "node")
+        crowded = sized.filter(F.col("_size") > most).join(classes.select("node", "vector"), "node")
         salts = F.ceil(F.col("_size") / ASSIGN_ROWS).cast("int")
         drawn = F.pmod(F.xxhash64(F.lit(len(done)), "node"), F.lit(1 << 30)) < F.lit(float(1 << 30)) * F.least(F.lit(256.0), F.col("_size") / SHARD_AIM) / F.col("_size")
         pivots = crowded.filter(drawn).select("cell", F.explode(F.sequence(F.lit(0).cast("long"), salts.cast("long") - 1)).alias("salt"), F.lit(0).cast("long").alias("kind"), "node", "vector")
         members = crowded.select("cell", F.pmod(F.xxhash64("node"), salts).cast("long").alias("salt"), F.lit(1).cast("long").alias("kind"), "node", "vector")
         dealt = pivots.unionByName(members).repartition(width(spark), "cell", "salt").sortWithinPartitions("cell", "salt", "kind")
         assigned = dealt.mapInArrow(_nearest_pivots, "node bigint, cell bigint, pivot bigint")
-        placed = assigned.select("node", F.xxhash64("cell", "pivot").alias("cell"))
+        placed, most = assigned.select("node", F.xxhash64("cell", "pivot").alias("cell")), SHARD_MOST
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
@@ -138,50 +138,47 @@ def pruned_neighbours(points: np.ndarray) -> np.ndarray:
 
 
 def _graph(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges ``node, to`` of the graph of each shard."""
+    """``node, neighbours`` of every class of each shard."""
     for table in runs_of(batches, ["cell"]):
         nodes = table.column("node").to_numpy()
         found = pruned_neighbours(unit(matrix(table.column("vector"))))
-        start, place = np.nonzero(found >= 0)
-        end = found[start, place]
-        # both directions, so that no class is without a way in
-        edges = np.unique(np.concatenate([start * len(nodes) + end, end * len(nodes) + start]))
-        yield pa.RecordBatch.from_arrays([pa.array(nodes[edges // len(nodes)]), pa.array(nodes[edges % len(nodes)])], names=["node", "to"])
+        lists = [nodes[row[row >= 0]].tolist() for row in found]
+        yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(lists, pa.list_(pa.int64()))], names=["node", "neighbours"])
 
 
-def in_range(points: np.ndarray, neighbours: np.ndarray, queries: np.ndarray, entries: np.ndarray) -> np.ndarray:
+def in_range(points: np.ndarray, start: np.ndarray, neighbours: np.ndarray, queries: np.ndarray, entries: np.ndarray) -> np.ndarray:
     """Cosines of the ``queries`` (rows of ``points``) to the rows their walks have met; -inf elsewhere.
 
-    Best first from the entries with a beam of ``BEAM``; whatever is in range is expanded, whatever its rank.
+    Row ``i`` has the neighbours ``neighbours[start[i] : start[i + 1]]``. From the entries on, a walk expands what is among the
+    ``BEAM`` best it has met, and whatever is in range, until it has expanded all of them.
     """
     count, n = len(queries), len(points)
     seen = np.full((count, n), -np.inf)
-    expanded = np.zeros((count, n), dtype=bool)
+    open_ = np.zeros((count, n), dtype=bool)
     seen[:, entries] = cosines(points[queries], points[entries])
-    active = np.arange(count)
+    open_[:, entries] = True
+    beam, active = max(0, n - BEAM), np.arange(count)
     while len(active):
-        open_ = np.where(expanded[active], -np.inf, seen[active])
-        most = min(EXPANDED, n)
-        best = np.argpartition(-open_, most - 1, axis=1)[:, :most]
-        value = np.take_along_axis(open_, best, axis=1)
-        nth = min(BEAM, n) - 1
-        border = -np.partition(-seen[active], nth, axis=1)[:, nth]
-        wanted = (value > -np.inf) & ((value >= border[:, None]) | (value >= SIMILAR))
-        row, col = np.nonzero(wanted)
+        some = seen[active]
+        border = np.partition(some, beam, axis=1)[:, beam]
+        row, node = np.nonzero(open_[active] & ((some >= border[:, None]) | (some >= SIMILAR)))
         if not len(row):
             break
-        who, node = active[row], best[row, col]
-        expanded[who, node] = True
-        who, met = np.repeat(who, neighbours.shape[1]), neighbours[node].ravel()
-        new = met >= 0
-        who, met = who[new], met[new]
-        fresh = np.isneginf(seen[who, met])
-        key = np.unique(who[fresh] * n + met[fresh])
-        who, met = key // n, key % n
-        for start in range(0, len(key), 1 << 16):
-            a, b = who[start : start + (1 << 16)], met[start : start + (1 << 16)]
+        open_[active[row], node] = False
+        degree = np.diff(start)[node]
+        new = np.zeros((len(active), n), dtype=bool)
+        cuts = np.searchsorted(np.cumsum(degree), np.arange(0, int(degree.sum()) + 1, 1 << 20))
+        for a, b in zip(cuts, [*cuts[1:], len(node)]):
+            d = degree[a:b]
+            met = neighbours[np.repeat(start[node[a:b]] - (np.cumsum(d) - d), d) + np.arange(int(d.sum()))]
+            new[np.repeat(row[a:b], d), met] = True
+        who, met = np.nonzero(new & np.isneginf(some))
+        who = active[who]
+        for at in range(0, len(who), 1 << 15):
+            a, b = who[at : at + (1 << 15)], met[at : at + (1 << 15)]
             seen[a, b] = np.einsum("nd,nd->n", points[queries[a]], points[b])
-        active = active[wanted.any(axis=1)]
+        open_[who, met] = True
+        active = active[np.unique(row)]
     return seen
 
 
@@ -200,9 +197,9 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         here = nodes[order][place] == flat  # neighbours of other shards are not here
         owner = np.repeat(np.arange(n), np.diff(ends))[here]
         local = order[place][here]
-        degree = np.bincount(owner, minlength=n)
-        neighbours = np.full((n, max(1, int(degree.max()))), -1)
-        neighbours[owner, np.arange(len(owner)) - np.repeat(np.cumsum(degree) - degree, degree)] = local
+        # both directions, so that no class is without a way in
+        edges = np.unique(np.concatenate([owner * n + local, local * n + owner]))
+        start, neighbours = np.searchsorted(edges, np.arange(n + 1) * n), edges % n
         # medoids: the class nearest to the middle, and those nearest to the middles of hash-like slices
         slices = np.array_split(np.argsort(nodes * 1), min(MEDOIDS, n))
         middles = np.stack([points.mean(axis=0), *[points[s].mean(axis=0) for s in slices]])
@@ -216,9 +213,9 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counted = np.asarray([[not (a & b) for b in names] for a in names])
         linked, first, second = np.zeros(n, dtype=np.int64), [], []
         rows = max(1, min(512, (1 << 22) // n))
-        for start in range(0, n, rows):
-            queries = np.arange(start, min(n, start + rows))
-            near = in_range(points, neighbours, queries, entries) >= SIMILAR
+        for first_query in range(0, n, rows):
+            queries = np.arange(first_query, min(n, first_query + rows))
+            near = in_range(points, start, neighbours, queries, entries) >= SIMILAR
             near[np.arange(len(queries)), queries] = False
             linked[queries] = (near & counted[kind[queries]][:, kind]) @ copies
             a, b = np.nonzero(near)
@@ -240,7 +237,8 @@ def class_links(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     placed = settled(_shards(classes), "shards")
     in_shards = placed.join(classes.select("node", "vector", "copies"), "node")
     dealt = in_shards.select("cell", "node", "vector").repartition(width(spark), "cell").sortWithinPartitions("cell")
-    united = dealt.mapInArrow(_graph, "node bigint, to bigint").dropDuplicates().groupBy("node").agg(F.collect_list("to").alias("neighbours"))
+    lists = dealt.mapInArrow(_graph, "node bigint, neighbours array<bigint>")
+    united = lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("neighbours"))).alias("neighbours"))
     cells = placed.groupBy("node").agg(F.collect_list("cell").alias("cells"))
     described = classes.select("node", "vector", "copies").join(cells, "node").join(united, "node", "left")
     filled = described.withColumn("neighbours", F.coalesce("neighbours", F.array().cast("array<bigint>")))

@@ -43,6 +43,7 @@ def planted(n=2500, dim=32, seed=3):
 
 @pytest.mark.parametrize("most", [4096, 300])
 def test_links_agree_with_brute_force(spark, monkeypatch, most):
+    monkeypatch.setattr(op, "SPLIT_FROM", most)
     monkeypatch.setattr(op, "SHARD_MOST", most)
     monkeypatch.setattr(op, "SHARD_AIM", most // 5)
     rows = planted()
