@@ -1,7 +1,7 @@
 """Map projections as column expressions: forward, inverse and point scale on the WGS 84 ellipsoid.
 
-All three projections are conformal: the scale at a point is the same in every direction, so one
-number gives all distortion factors.  Formulas: J. P. Snyder, *Map Projections: A Working Manual*
+Three projections are conformal: the scale at a point is the same in every direction.  Albers'
+conic is equal-area: its scales along meridian and parallel are inverse to each other.  Formulas: J. P. Snyder, *Map Projections: A Working Manual*
 (1987), and L. Krueger's series for the transverse Mercator projection in the third flattening.
 """
 
@@ -60,8 +60,8 @@ def _step(name: str) -> Column:
     return F.col(f"_step_{name}")
 
 
-def with_scale(df: DataFrame, projection: "Projection", name: str, lon: str = "lon", lat: str = "lat") -> DataFrame:
-    """``df`` with the point scale of a projection.
+def with_scales(df: DataFrame, projection: "Projection", along: str, across: str, lon: str = "lon", lat: str = "lat") -> DataFrame:
+    """``df`` with the scales of a projection along the meridian and along the parallel, which meet at right angles.
 
     The formula is laid out in steps that use each other's columns, because one expression
     would repeat its parts until the generated code is too long to compile.
@@ -70,7 +70,7 @@ def with_scale(df: DataFrame, projection: "Projection", name: str, lon: str = "l
     steps = projection.scale_steps(F.col(lon), F.col(lat))
     for step in steps:
         df = df.select("*", *[c.alias(f"_step_{n}") for n, c in step.items()])
-    return df.select(*columns, _step("k").alias(name))
+    return df.select(*columns, _step("h" if "h" in steps[-1] else "k").alias(along), _step("k").alias(across))
 
 
 @dataclass(frozen=True)
@@ -160,6 +160,45 @@ class LambertConformalConic:
         return [{"k": F.pow(_t_column(phi), F.lit(n)) * (f * n) * F.sqrt(F.lit(1.0) - s * s * E2) / F.cos(phi)}]
 
 
+def _q(phi: float) -> float:
+    s = math.sin(phi)
+    return (1 - E2) * (s / (1 - E2 * s * s) + math.atanh(E * s) / E)
+
+
+@dataclass(frozen=True)
+class AlbersEqualArea:
+    """Albers' equal-area conic with two standard parallels."""
+
+    lat1: float
+    lat2: float
+    lat0: float
+    lon0: float
+
+    def _cone(self) -> tuple[float, float, float]:
+        a, b = math.radians(self.lat1), math.radians(self.lat2)
+        n = math.sin(a) if a == b else (_m(a) ** 2 - _m(b) ** 2) / (_q(b) - _q(a))
+        c = _m(a) ** 2 + n * _q(a)
+        return n, c, SEMI_MAJOR * math.sqrt(c - n * _q(math.radians(self.lat0))) / n
+
+    def _radius(self, lat: Column) -> Column:
+        """Distance from the cone's tip in semi-major axes, times n."""
+        n, c, _ = self._cone()
+        s = F.sin(F.radians(lat))
+        q = (s / (F.lit(1.0) - s * s * E2) + F.atanh(s * E) / E) * (1 - E2)
+        return F.sqrt(F.lit(c) - q * n)
+
+    def forward(self, lon: Column, lat: Column) -> tuple[Column, Column]:
+        n, _, rho0 = self._cone()
+        rho = self._radius(lat) * (SEMI_MAJOR / n)
+        theta = F.radians(lon - self.lon0) * n
+        return rho * F.sin(theta), F.lit(rho0) - rho * F.cos(theta)
+
+    def scale_steps(self, lon: Column, lat: Column) -> Steps:
+        s = F.sin(F.radians(lat))
+        k = self._radius(lat) * F.sqrt(F.lit(1.0) - s * s * E2) / F.cos(F.radians(lat))
+        return [{"k_": k}, {"h": F.lit(1.0) / _step("k_"), "k": _step("k_")}]
+
+
 @dataclass(frozen=True)
 class ObliqueMercator:
     """Oblique Mercator whose centre line goes through two points."""
@@ -230,7 +269,7 @@ class ObliqueMercator:
         return [{"along": along, "angle": angle}, {"k": k / (F.cos(phi) * F.cos(_step("angle")))}]
 
 
-Projection = TransverseMercator | LambertConformalConic | ObliqueMercator
+Projection = TransverseMercator | LambertConformalConic | ObliqueMercator | AlbersEqualArea
 
 
 def utm_zone(lon: Column) -> Column:
@@ -252,6 +291,12 @@ def own_utm(lon: Column, lat: Column) -> TransverseMercator:
 FACTORS = ("k_mer", "k_par", "k_dist", "anisotropy", "angular_distortion", "k_areal")
 
 
-def distortion_factors(k: Column) -> dict[str, Column]:
-    """Distortion factors of a conformal projection from its point scale, by name."""
-    return dict(zip(FACTORS, (k, k, k, F.lit(1.0), F.lit(0.0), k * k)))
+def distortion_factors(h: Column, k: Column) -> dict[str, Column]:
+    """Distortion factors by name, from the scales along meridian and parallel, which meet at right angles.
+
+    The half axes of the indicatrix are half the sum and half the difference of two roots; the largest turn of an
+    angle follows from their ratio.
+    """
+    total, apart = F.sqrt(h * h + k * k + 2 * h * k), F.sqrt(F.greatest(h * h + k * k - 2 * h * k, F.lit(0.0)))
+    angular = F.degrees(F.asin(apart / total) * 2)
+    return dict(zip(FACTORS, (h, k, F.sqrt(h * k), (total + apart) / (total - apart), angular, h * k)))

@@ -300,10 +300,11 @@ def line_cells(lines: DataFrame, cols: int, rows: int) -> DataFrame:
     return cells.filter(inside).dropDuplicates()
 
 
-def zone_statistics(cells: DataFrame, slopes: DataFrame, zones: DataFrame) -> DataFrame:
-    """Mean and variance of the height and the largest slope per region, roughest first.
+def zone_statistics(cells: DataFrame, slopes: DataFrame, zones: DataFrame, regions: DataFrame | None = None) -> DataFrame:
+    """Mean and variance of the height, the largest slope, and the rank by roughness per region, roughest first.
 
-    ``zones`` is the result of :func:`rasterised`; the three cell tables meet by equi-joins on
+    Regions of equal variance (to nine places) share a rank.  With ``regions`` (column ``region``)
+    those without a cell are kept, with a count of 0 and the last rank.  ``zones`` is the result of :func:`rasterised`; the three cell tables meet by equi-joins on
     the cell, which no region can skew.
     """
     joined = zones.join(cells.select("col", "row", "z"), ["col", "row"]).join(slopes.select("col", "row", "slope"), ["col", "row"])
@@ -313,4 +314,8 @@ def zone_statistics(cells: DataFrame, slopes: DataFrame, zones: DataFrame) -> Da
         F.var_pop("z").alias("var_z"),
         F.max("slope").alias("max_slope"),
     )
-    return stats.orderBy(F.col("var_z").desc_nulls_last(), "region")
+    if regions is not None:
+        stats = regions.select("region").dropDuplicates().join(stats, "region", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    # one row per region, so the window is as small as the result
+    rank = F.rank().over(Window.orderBy(F.round("var_z", 9).desc_nulls_last())).alias("rank")
+    return stats.select("*", rank).orderBy("rank", "region")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from fellwalk.functions.projections import (
-    ALPHA, BETA, DELTA, E, E2, N3, RECTIFYING, SEMI_MAJOR, LambertConformalConic, ObliqueMercator,
+    ALPHA, BETA, DELTA, E, E2, N3, RECTIFYING, SEMI_MAJOR, AlbersEqualArea, LambertConformalConic, ObliqueMercator,
 )
 
 
@@ -66,6 +66,15 @@ def lcc_scale(p: LambertConformalConic) -> str:
     return f"({num(f * n)} * pow({small_t(phi)}, {num(n)}) * sqrt(1 - {num(E2)} * pow(sin({phi}), 2)) / cos({phi}))"
 
 
+def albers_scale(p: AlbersEqualArea) -> str:
+    """Scale along the parallel, with the cone's constants worked out in SQL."""
+    m2 = lambda phi: f"(pow(cos({phi}), 2) / (1 - {num(E2)} * pow(sin({phi}), 2)))"
+    q = lambda phi: f"({num(1 - E2)} * (sin({phi}) / (1 - {num(E2)} * pow(sin({phi}), 2)) - ln((1 - {num(E)} * sin({phi})) / (1 + {num(E)} * sin({phi}))) / {num(2 * E)}))"
+    a, b, phi = f"radians({num(p.lat1)})", f"radians({num(p.lat2)})", "radians(lat)"
+    n = f"(({m2(a)} - {m2(b)}) / ({q(b)} - {q(a)}))"
+    return f"sqrt(({m2(a)} + {n} * {q(a)} - {n} * {q(phi)}) / {m2(phi)})"
+
+
 def omerc_scale(p: ObliqueMercator) -> str:
     import math
 

@@ -11,7 +11,9 @@ from fellwalk.plans import projection_sql as ps
 from fellwalk.plans import tables as t
 from fellwalk.plans.raster import CELL, TERRAIN
 from fellwalk.plans.registry import job, rounded
+from fellwalk.sources import files
 from fellwalk.sources.regions import parse_regions
+from fellwalk.workspace import fresh_path
 
 # A concave ring around the origin, in units of the region's size.
 ARROW = ((0.0, 0.0), (2.0, 0.3), (1.2, 1.0), (1.6, 2.0), (0.5, 1.5))
@@ -147,6 +149,18 @@ def tiles_missing(spark, d):
     return polygons.missing_tiles(cover.select("tile", "lon", "lat").dropDuplicates(), present)
 
 
+@job("tile_features", t.with_views("SELECT DISTINCT tile, lon::DOUBLE AS xmin, lat::DOUBLE AS ymin, lon + 1::DOUBLE AS xmax, lat + 1::DOUBLE AS ymax FROM named", extra=_COVER))
+def tile_features(spark, d):
+    """The covering tiles written as GeoJSON features and read back: name and bounds."""
+    tiles, path = _named_cover(spark, d).select("tile", "lon", "lat").dropDuplicates(), fresh_path(spark, "features")
+    files.write_features(polygons.tile_rings(tiles), path, ["tile"], "ring")
+    shape = "properties struct<tile:string>, geometry struct<coordinates:array<array<array<double>>>>"
+    ring = F.col("f.geometry.coordinates")[0]
+    along = lambda axis: F.transform(ring, lambda p: p[axis])
+    return spark.read.text(path).select(F.from_json("value", shape).alias("f")).select(
+        "f.properties.tile", F.array_min(along(0)).alias("xmin"), F.array_min(along(1)).alias("ymin"), F.array_max(along(0)).alias("xmax"), F.array_max(along(1)).alias("ymax"))
+
+
 STEP = 0.05
 _SAMPLES = {
     **STRIP,
@@ -214,19 +228,25 @@ def points_in_regions(spark, d):
 LCC = proj.LambertConformalConic(28.0, 32.0, 30.0, 85.0)
 OMERC = proj.ObliqueMercator(75.0, 32.0, 95.0, 28.0, 0.9996)
 UTM45 = proj.TransverseMercator.utm(45)
-PROJECTIONS = {"lcc": LCC, "omerc": OMERC, "utm45": UTM45}
+ALBERS = proj.AlbersEqualArea(28.0, 32.0, 30.0, 85.0)
+PROJECTIONS = {"lcc": LCC, "omerc": OMERC, "utm45": UTM45, "albers": ALBERS}
 _SCALED = {
     **_SAMPLES,
-    "scaled": f"""SELECT region, lon, lat, unnest(['lcc', 'omerc', 'utm45']) AS projection,
-  unnest([{ps.lcc_scale(LCC)}, {ps.omerc_scale(OMERC)}, {ps.tm_scale()}]) AS k FROM ({ps.tm_sphere('SELECT * FROM samples', '87')})""",
+    "scaled": f"""SELECT *, CASE projection WHEN 'albers' THEN 1 / k ELSE k END AS h FROM (
+  SELECT region, lon, lat, unnest(['lcc', 'omerc', 'utm45', 'albers']) AS projection,
+    unnest([{ps.lcc_scale(LCC)}, {ps.omerc_scale(OMERC)}, {ps.tm_scale()}, {ps.albers_scale(ALBERS)}]) AS k
+  FROM ({ps.tm_sphere('SELECT * FROM samples', '87')}))""",
+    "factors": """SELECT region, lon, lat, projection, h AS k_mer, k AS k_par, sqrt(h * k) AS k_dist, greatest(h, k) / least(h, k) AS anisotropy,
+  degrees(2 * asin(abs(h - k) / (h + k))) AS angular_distortion, h * k AS k_areal FROM scaled""",
 }
 
 
 @job(
     "point_distortion",
     t.with_views(
-        """SELECT region, round(lon, 6) AS lon, round(lat, 6) AS lat, projection, round(k, 6) AS k_mer, round(k, 6) AS k_par, round(k, 6) AS k_dist,
-  1.0::DOUBLE AS anisotropy, 0.0::DOUBLE AS angular_distortion, round(k * k, 6) AS k_areal FROM scaled""",
+        """SELECT region, round(lon, 6) AS lon, round(lat, 6) AS lat, projection, round(k_mer, 6) AS k_mer, round(k_par, 6) AS k_par,
+  round(k_dist, 6) AS k_dist, round(anisotropy, 6) AS anisotropy, round(angular_distortion, 6) AS angular_distortion, round(k_areal, 6) AS k_areal
+FROM factors""",
         extra=_SCALED,
     ),
 )
@@ -236,17 +256,15 @@ def point_distortion(spark, d):
 
 _QUANTILES = """round(min({0}), 6) AS min, round(quantile_cont({0}, 0.5), 6) AS p50, round(quantile_cont({0}, 0.95), 6) AS p95,
   round(quantile_cont({0}, 0.99), 6) AS p99, round(max({0}), 6) AS max, round(max(abs({0} - 1)) * 100, 6) AS max_abs_pct"""
-_FIXED = "{0}::DOUBLE AS min, {0}::DOUBLE AS p50, {0}::DOUBLE AS p95, {0}::DOUBLE AS p99, {0}::DOUBLE AS max, NULL::DOUBLE AS max_abs_pct"
+_UNSCALED = _QUANTILES.replace("round(max(abs({0} - 1)) * 100, 6) AS max_abs_pct", "NULL::DOUBLE AS max_abs_pct")
 
 
 @job(
     "crs_distortion",
     t.with_views(
-        f"""SELECT projection, unnest(['k_mer', 'k_par', 'k_dist']) AS metric, * EXCLUDE projection FROM (
-  SELECT projection, {_QUANTILES.format('k')} FROM scaled GROUP BY 1)
-UNION ALL SELECT projection, 'k_areal', {_QUANTILES.format('(k * k)')} FROM scaled GROUP BY 1
-UNION ALL SELECT DISTINCT projection, 'anisotropy', {_FIXED.format('1.0')} FROM scaled
-UNION ALL SELECT DISTINCT projection, 'angular_distortion', {_FIXED.format('0.0')} FROM scaled""",
+        " UNION ALL ".join(
+            f"SELECT projection, '{n}' AS metric, {_QUANTILES.format(n) if n.startswith('k') else _UNSCALED.format(n)} FROM factors GROUP BY 1" for n in proj.FACTORS
+        ),
         extra=_SCALED,
     ),
 )
@@ -313,8 +331,9 @@ def rasterised_regions(spark, d):
 @job(
     "zone_statistics",
     t.with_views(
-        """SELECT region, count(z) AS n, round(avg(z), 6) AS mean_z, round(var_pop(z), 6) AS var_z, round(max(slope), 6) AS max_slope
-FROM zone_cells JOIN dem_v USING (col, row) JOIN slope_v USING (col, row) GROUP BY 1""",
+        """SELECT * EXCLUDE v, rank() OVER (ORDER BY v DESC NULLS LAST)::INT AS rank FROM (
+  SELECT s_suppkey AS region, count(z) AS n, round(avg(z), 6) AS mean_z, round(var_pop(z), 6) AS var_z, round(max(slope), 6) AS max_slope,
+    round(var_pop(z), 9) AS v FROM supplier LEFT JOIN zone_cells ON region = s_suppkey LEFT JOIN dem_v USING (col, row) LEFT JOIN slope_v USING (col, row) GROUP BY 1)""",
         "dem_v",
         extra={**TERRAIN, **_RASTERISED},
     ),
@@ -323,7 +342,8 @@ def zone_statistics(spark, d):
     cells = t.dem(spark, d)
     shape = layers.shape_of(cells)
     zones = polygons.rasterised(field_edges(spark, d, shape.cols), shape.cols, shape.rows)
-    return rounded(polygons.zone_statistics(cells, terrain.slope(cells, CELL), zones))
+    every = t.table(spark, d, "supplier").select(F.col("s_suppkey").alias("region"))
+    return rounded(polygons.zone_statistics(cells, terrain.slope(cells, CELL), zones, every))
 
 
 @job(

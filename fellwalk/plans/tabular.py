@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import Window, functions as F, types as T
 
 from fellwalk.functions.numbers import ieee_ratio
 from fellwalk.operators import records, schemas, stats, trips
@@ -396,10 +396,40 @@ def page_sizes(spark, d):
     return records.body_sizes(t.table(spark, d, "pages"))
 
 
-@job("file_sizes")
+@job("file_sizes", "SELECT o_orderpriority AS priority, count(*) * 21 AS bytes FROM orders GROUP BY 1")
 def file_sizes(spark, d):
-    listed = files.list_files(spark, f"{d}/*.parquet")
-    return listed.select(F.element_at(F.split("path", "/"), -1).alias("file"), "length")
+    """Sizes of the files of each priority, into which the orders were written as lines of one width."""
+    folder = fresh_path(spark, "lines")
+    lines = t.table(spark, d, "orders").select("o_orderpriority", F.lpad(F.col("o_orderkey").cast("string"), 20, " ").alias("value"))
+    lines.write.partitionBy("o_orderpriority").text(folder)
+    listed = files.list_files(spark, f"{folder}/*/*.txt")
+    priority = F.url_decode(F.regexp_extract("path", "o_orderpriority=([^/]*)/", 1))
+    return listed.groupBy(priority.alias("priority")).agg(F.sum("length").alias("bytes"))
+
+
+@job(
+    "flow_report",
+    t.with_views(
+        TOP_FLOWS_SQL + " ORDER BY count DESC, f.PULocationID, f.DOLocationID",
+        "trips_v", "zones_v", extra={"hours": WEEKDAY_SQL, "rush": RUSH_SQL, "flows": FLOW_SQL.format(where=IN_RUSH)},
+    ),
+)
+def flow_report(spark, d):
+    """The top flows written to one sorted CSV file and read back."""
+    flows, path = rounded(trips.trip_flows(*_trips_and_zones(spark, d))), fresh_path(spark, "report")
+    files.write_report(flows, path, [F.col("count").desc(), "PULocationID", "DOLocationID"], single_file=True)
+    return spark.read.schema(flows.schema).option("header", True).csv(path)
+
+
+@job("hour_report", t.with_views("SELECT row_number() OVER (ORDER BY n DESC, h, PULocationID) AS line, * FROM (" + ZONE_HOURS_SQL + ")", "trips_v"))
+def hour_report(spark, d):
+    """Counts per zone and hour written as a report of several files in order, and the order in which they are read back."""
+    counts = t.trips(spark, d).groupBy("PULocationID", F.hour("tpep_pickup_datetime").cast("bigint").alias("h")).agg(F.count(F.lit(1)).alias("n"))
+    path = fresh_path(spark, "report")
+    files.write_report(counts, path, [F.col("n").desc(), "h", "PULocationID"])
+    read = spark.read.schema(counts.schema).option("header", True).csv(path).select("*", "_metadata.file_name", "_metadata.file_block_start", F.monotonically_increasing_id().alias("at"))
+    in_order = Window.orderBy("file_name", "file_block_start", "at")
+    return read.select(F.row_number().over(in_order).cast("bigint").alias("line"), "PULocationID", "h", "n")
 
 
 # --- statistics --------------------------------------------------------------------------

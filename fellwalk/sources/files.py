@@ -3,33 +3,49 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+import re
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from fellwalk.operators.schemas import enforced_union
-
-REPORT_ROWS = 1_000_000
-
+from fellwalk.session import parallelism
 
 def list_files(spark: SparkSession, pattern: str) -> DataFrame:
     """Path and size in bytes of every file that matches; the contents are not read."""
     return spark.read.format("binaryFile").load(pattern).select("path", "length")
 
 
+def _footer_schemas(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The schema of each parquet file as Spark's JSON, from the file's footer alone."""
+    import pyarrow.parquet as pq
+    from pyarrow import fs
+    from pyspark.sql.pandas.types import from_arrow_schema
+
+    for batch in batches:
+        schemas = []
+        for path in batch["path"]:
+            store, name = fs.FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", path))
+            with store.open_input_file(name) as file:
+                found = pq.read_schema(file)
+            own = (found.metadata or {}).get(b"org.apache.spark.sql.parquet.row.metadata")
+            schemas.append(own.decode() if own else from_arrow_schema(found, prefer_timestamp_ntz=True).json())
+        yield pd.DataFrame({"schema": schemas, "path": batch["path"]})
+
+
 def read_drifting_parts(spark: SparkSession, pattern: str, target: T.StructType) -> DataFrame:
     """All parquet files that match, brought to ``target`` and stacked.
 
-    Types differ between files, so they cannot be read as one table.  Files with the same
-    schema are read together: the plan grows with the number of schemas, not of files.
+    Types differ between files, so they cannot be read as one table.  The footers are read in
+    tasks; files with the same schema are then read together, so the plan grows with the number
+    of schemas, not of files.
     """
-    paths = [r.path for r in list_files(spark, pattern).select("path").orderBy("path").toLocalIterator()]
-    by_schema: dict[str, list[str]] = {}
-    for path in paths:
-        by_schema.setdefault(spark.read.parquet(path).schema.json(), []).append(path)
+    listed = list_files(spark, pattern).select("path").repartition(parallelism(spark))
+    groups = listed.mapInPandas(_footer_schemas, "schema string, path string").groupBy("schema").agg(F.sort_array(F.collect_list("path")).alias("paths"))
     frames = [
-        spark.read.schema(T.StructType.fromJson(json.loads(schema))).parquet(*group)
-        for schema, group in by_schema.items()
+        spark.read.schema(T.StructType.fromJson(json.loads(row["schema"]))).parquet(*row["paths"])
+        for row in groups.orderBy("schema").collect()
     ]
     if not frames:
         raise FileNotFoundError(f"no parquet file matches {pattern}")
@@ -70,10 +86,12 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_report(df: DataFrame, path: str, order: Sequence = (), single_file_rows: int = REPORT_ROWS) -> None:
-    """A sorted CSV report: one file when it is small, else files whose names follow the order."""
-    small = df.limit(single_file_rows + 1).count() <= single_file_rows
-    if small:
+def write_report(df: DataFrame, path: str, order: Sequence = (), single_file: bool = False) -> None:
+    """A sorted CSV report: files whose names follow the order, or one file, which one task writes.
+
+    One file suits results that are small by what they are, such as the top rows of a table.
+    """
+    if single_file:
         df = df.coalesce(1)
         df = df.sortWithinPartitions(*order) if order else df
     elif order:

@@ -24,18 +24,20 @@ def parse_regions(documents: DataFrame, text: str = "value", on_missing_crs: str
     ``documents`` has a ``document`` id and the text.  A region is one feature, numbered within its
     document, with its rings as arrays of ``(x, y)`` structs in degrees.  A
     document without a reference system fails (``on_missing_crs="error"``) or is taken as
-    longitude and latitude (``"assume"``).  UTM coordinates are converted; other systems fail.
+    longitude and latitude (``"assume"``).  UTM coordinates are converted; other systems fail, and
+    so do a document without features and a geometry that is not a polygon.  A feature without a
+    geometry is left out.
     """
     if on_missing_crs not in ("error", "assume"):
         raise ValueError("on_missing_crs is 'error' or 'assume'")
     parsed = documents.select("document", F.from_json(text, COLLECTION_SCHEMA).alias("d"))
-    features = parsed.select(
-        "document", F.col("d.crs.properties.name").alias("crs"), F.posexplode("d.features").alias("region", "f")
-    )
+    empty = F.raise_error(F.concat(F.lit("no geometries in "), F.col("document").cast("string"))).cast(parsed.schema["d"].dataType["features"].dataType)
+    listed = F.when(F.size("d.features") > 0, F.col("d.features")).otherwise(empty)
+    features = parsed.select("document", F.col("d.crs.properties.name").alias("crs"), F.posexplode(listed).alias("region", "f"))
     shape, coordinates = F.col("f.geometry.type"), F.col("f.geometry.coordinates")
     polygons = F.when(shape == "Polygon", F.array(F.from_json(coordinates, POLYGON))).when(
         shape == "MultiPolygon", F.from_json(coordinates, MULTI_POLYGON)
-    )
+    ).when(shape.isNotNull(), F.raise_error(F.concat(F.lit("not a polygon: "), shape)).cast(MULTI_POLYGON))
     rings = features.select("document", "region", "crs", F.flatten(polygons).alias("rings")).filter(F.col("rings").isNotNull())
     known = rings.withColumn("crs", _checked_crs(F.col("crs"), on_missing_crs))
     degrees = lambda ring: F.transform(ring, lambda p: _to_degrees(p[0], p[1], F.col("crs")))

@@ -64,7 +64,7 @@ def test_scale_is_the_local_stretch(spark, projection):
     df = spark.createDataFrame([(86.3, 28.4), (78.1, 31.2), (90.9, 27.5)], "lon double, lat double")
     x0, y0 = projection.forward(F.col("lon"), F.col("lat") - step)
     x1, y1 = projection.forward(F.col("lon"), F.col("lat") + step)
-    found = proj.with_scale(df.withColumn("d", F.sqrt((x1 - x0) ** 2 + (y1 - y0) ** 2)), projection, "k").collect()
+    found = proj.with_scales(df.withColumn("d", F.sqrt((x1 - x0) ** 2 + (y1 - y0) ** 2)), projection, "h", "k").collect()
     for r in found:
         s = math.sin(math.radians(r["lat"]))
         meridian = proj.SEMI_MAJOR * (1 - proj.E2) / (1 - proj.E2 * s * s) ** 1.5 * math.radians(2 * step)
@@ -134,3 +134,23 @@ def test_tiles_get_the_zone_of_their_centre(raster):
     assert sorted(r["utm_epsg"] for r in warping.tile_utm(tiles).collect()) == [32645, 32646]
     flat = warping.projected_slopes(tiles, 150.0).filter("slope IS NOT NULL").agg({"slope": "max"}).first()[0]
     assert flat == 0.0
+
+
+def test_albers_scales_follow_from_its_formulas(spark):
+    albers, step = proj.AlbersEqualArea(28.0, 32.0, 30.0, 85.0), 1e-5
+    df = spark.createDataFrame([(lon + 0.3, lat + 0.2) for lon in range(76, 94, 4) for lat in range(22, 40, 4)], "lon double, lat double")
+    moved = lambda a, b: F.array(*albers.forward(F.col("lon") + a, F.col("lat") + b))
+    ends = df.select("*", moved(-step, 0).alias("w"), moved(step, 0).alias("e"), moved(0, -step).alias("s"), moved(0, step).alias("n"))
+    found = distortion.distortion(ends, {"p": albers}).collect()
+    for r in found:
+        phi, d = math.radians(r["lat"]), math.radians(2 * step)
+        squeeze = 1 - proj.E2 * math.sin(phi) ** 2
+        along = math.hypot(r["n"][0] - r["s"][0], r["n"][1] - r["s"][1]) / d / (proj.SEMI_MAJOR * (1 - proj.E2) / squeeze**1.5)
+        across = math.hypot(r["e"][0] - r["w"][0], r["e"][1] - r["w"][1]) / d / (proj.SEMI_MAJOR * math.cos(phi) / math.sqrt(squeeze))
+        assert (r["k_mer"], r["k_par"]) == pytest.approx((along, across), abs=1e-7)
+        assert r["k_areal"] == pytest.approx(1.0, abs=1e-12)
+        assert r["anisotropy"] == pytest.approx(max(along, across) / min(along, across), abs=1e-6)
+        assert r["angular_distortion"] == pytest.approx(math.degrees(2 * math.asin(abs(along - across) / (along + across))), abs=1e-5)
+    assert max(r["anisotropy"] for r in found) > 1.001
+    on_parallel = distortion.distortion(df.filter("lon < 77").withColumn("lat", F.lit(28.0)), {"p": albers}).first()
+    assert on_parallel["k_par"] == pytest.approx(1.0, abs=1e-12)

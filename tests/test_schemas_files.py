@@ -37,6 +37,18 @@ def test_drifting_files(spark, tmp_path):
         files.read_drifting_parts(spark, f"{tmp_path}/none-*/*.parquet", TARGET)
 
 
+def test_files_of_other_writers_and_unreadable_values(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    pq.write_table(pa.table({"vendorId": ["5", "no number", None], "AIRPORT_FEE": ["1.5", "x", "2"]}), tmp_path / "a.parquet")
+    pq.write_table(pa.table({"VendorID": [2**40, 6], "airport-fee": [0.5, 0.25]}), tmp_path / "b.parquet")
+    found = files.read_drifting_parts(spark, f"{tmp_path}/*.parquet", TARGET).collect()
+    assert sorted(found, key=str) == sorted([(5, 1.5), (None, None), (None, 2.0), (None, 0.5), (6, 0.25)], key=str)
+    lost = schemas.lost_values(spark.read.parquet(f"{tmp_path}/a.parquet"), TARGET).collect()
+    assert [(r["name"], r["lost"]) for r in lost] == [("VendorID", 1), ("airport_fee", 1)]
+
+
 def test_schema_diff(spark):
     base = spark.createDataFrame([], "a int, b string, c double")
     other = spark.createDataFrame([], "a bigint, b string, d date")
@@ -67,16 +79,16 @@ def test_zone_csv(spark, tmp_path):
     assert files.read_zones(spark, str(tmp_path / "z.csv")).collect() == [(1, "EWR", "Newark"), (None, "Q", "Y")]
 
 
-def test_small_report_is_one_sorted_file(spark, tmp_path):
+def test_report_in_one_sorted_file(spark, tmp_path):
     df = spark.range(100).select((F.col("id") * 37 % 100).alias("n")).repartition(5)
-    files.write_report(df, f"{tmp_path}/r", [F.col("n").desc()])
+    files.write_report(df, f"{tmp_path}/r", [F.col("n").desc()], single_file=True)
     (part,) = (tmp_path / "r").glob("part-*.csv")
     assert part.read_text().split() == ["n", *[str(n) for n in range(99, -1, -1)]]
 
 
-def test_large_report_is_in_order_over_its_files(spark, tmp_path):
+def test_report_is_in_order_over_its_files(spark, tmp_path):
     df = spark.range(1000).select((F.col("id") * 37 % 1000).alias("n")).repartition(5)
-    files.write_report(df, f"{tmp_path}/r", ["n"], single_file_rows=10)
+    files.write_report(df, f"{tmp_path}/r", ["n"])
     lines = [int(x) for part in sorted((tmp_path / "r").glob("part-*.csv")) for x in part.read_text().split()[1:]]
     assert lines == list(range(1000))
 
