@@ -28,7 +28,7 @@ from fellwalk.llm.vectors import cosines, matrix, unit, usable_vectors
 from fellwalk.workspace import settled
 
 SHARD_ROWS = 4096
-LEAF = 48
+LEAF = 128
 FACTOR = 0.9
 QUERY_BLOCK = 512
 ROUNDING = 1e-7  # chords of nearly equal vectors lose about half the digits
@@ -61,13 +61,23 @@ class VantageTree:
 
         def offer(active: np.ndarray, rows: np.ndarray) -> None:
             self.compared += len(active) * len(rows)
-            new = cosines(queries[active], self.points[rows])
-            ids = np.broadcast_to(self.ids[rows], new.shape)
-            new = np.where(ids == own[active, None], -np.inf, new)
-            all_scores, all_ids = np.hstack([scores[active], new]), np.hstack([found[active], ids])
+            # a fast product finds what may enter the best; the scores that are kept are summed in one order for all
+            row, col = np.nonzero(queries[active] @ self.points[rows].T >= scores[active, -1:] - ROUNDING)
+            others = own[active[row]] != self.ids[rows[col]]
+            row, col = row[others], col[others]
+            if not len(row):
+                return
+            exact = np.einsum("nd,nd->n", queries[active[row]], self.points[rows[col]])
+            hit, place = np.unique(row, return_inverse=True)
+            count = np.bincount(place)
+            wide = (len(hit), k + int(count.max()))
+            all_scores, all_ids = np.full(wide, -np.inf), np.full(wide, np.iinfo(np.int64).max)
+            all_scores[:, :k], all_ids[:, :k] = scores[active[hit]], found[active[hit]]
+            at = k + np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+            all_scores[place, at], all_ids[place, at] = exact, self.ids[rows[col]]
             best = np.lexsort((all_ids, -all_scores), axis=1)[:, :k]
-            scores[active] = np.take_along_axis(all_scores, best, axis=1)
-            found[active] = np.take_along_axis(all_ids, best, axis=1)
+            scores[active[hit]] = np.take_along_axis(all_scores, best, axis=1)
+            found[active[hit]] = np.take_along_axis(all_ids, best, axis=1)
 
         def visit(node, active: np.ndarray) -> None:
             if not len(active):
