@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from fellwalk.operators.joins import salted_lookup
-from fellwalk.workspace import settled
+from fellwalk.workspace import drop_table, settled, settled_at
 
 def merged_roots(first: np.ndarray, second: np.ndarray, count: int) -> np.ndarray:
     """Smallest member of each group when ``first[i]`` and ``second[i]`` belong together."""
@@ -33,7 +33,7 @@ def connected_components(edges: DataFrame, max_rounds: int | None = None) -> Dat
     """
     links = settled(edges.select("a", "b").dropDuplicates(), "edges")
     both = links.filter("a <> b").select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    state = settled(both.select(F.col("a").alias("node")).dropDuplicates().withColumn("root", F.col("node")), "roots")
+    state, path = settled_at(both.select(F.col("a").alias("node")).dropDuplicates().withColumn("root", F.col("node")), "roots")
     before = None
     for _ in itertools.count() if max_rounds is None else range(max_rounds):
         after = state.agg(F.sum(F.col("root").cast("decimal(38,0)"))).first()[0]
@@ -48,5 +48,7 @@ def connected_components(edges: DataFrame, max_rounds: int | None = None) -> Dat
         hung = offer.select(targets, "offer").groupBy("node").agg(F.min("offer").alias("root"))
         parents = hung.select(F.col("node").alias("root"), F.col("root").alias("up"))
         halved = salted_lookup(hung, parents, ["root"], F.col("node"))
-        state = settled(halved.select("node", F.col("up").alias("root")), "roots")
+        old = path
+        state, path = settled_at(halved.select("node", F.col("up").alias("root")), "roots")
+        drop_table(edges.sparkSession, old)
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from fellwalk.operators.joins import salted_lookup
 from fellwalk.operators.layers import TILE_SIZE
-from fellwalk.workspace import fresh_path, settled
+from fellwalk.workspace import drop_table, fresh_path, settled, settled_at
 
 STRAIGHT = ((0, -1), (-1, 0), (1, 0), (0, 1))
 DIAGONAL = ((-1, -1), (1, -1), (-1, 1), (1, 1))
@@ -183,7 +183,7 @@ def cost_distance(
     open_sources = sources.select("col", "row").join(costs.filter(F.col("cost").isNotNull()), ["col", "row"], "left_semi")
     home = lambda axis: F.floor(F.col(axis) / block).cast("int")
     starts = open_sources.dropDuplicates().select(home("col").alias("bc"), home("row").alias("br"), "col", "row")
-    arrivals = settled(starts.select("*", F.lit(0.0).alias("distance"), F.lit(True).alias("fresh")), "arrivals")
+    arrivals, path = settled_at(starts.select("*", F.lit(0.0).alias("distance"), F.lit(True).alias("fresh")), "arrivals")
     for _ in itertools.count() if max_rounds is None else range(max_rounds):
         active = arrivals.filter("fresh").select("bc", "br").dropDuplicates()
         if active.isEmpty():
@@ -194,7 +194,9 @@ def cost_distance(
         offered = sent.select(*keys, F.lit(None).cast("double").alias("old"), F.col("distance").alias("offer"))
         best = known.unionByName(offered).groupBy(*keys).agg(F.min("old").alias("old"), F.min("offer").alias("offer"))
         fresh = F.coalesce(F.col("offer") < F.col("old"), F.col("old").isNull())
-        arrivals = settled(best.select(*keys, F.least("old", "offer").alias("distance"), fresh.alias("fresh")), "arrivals")
+        old = path
+        arrivals, path = settled_at(best.select(*keys, F.least("old", "offer").alias("distance"), fresh.alias("fresh")), "arrivals")
+        drop_table(costs.sparkSession, old)
     raise RuntimeError(f"cost distance did not settle in {max_rounds} rounds")
 
 
@@ -215,7 +217,8 @@ def least_cost_paths(reached: DataFrame, destinations: DataFrame, block: int = T
     home = lambda axis: F.floor(F.col(axis) / block).cast("int")
     moves = settled(reached.select("col", "row", "from_col", "from_row", home("col").alias("bc"), home("row").alias("br")), "reached")
     heads = destinations.select("destination", "col", "row").join(moves.select("col", "row"), ["col", "row"], "left_semi")
-    heads = settled(heads.withColumn("step", F.lit(0)), "heads")
+    heads, old = heads.withColumn("step", F.lit(0)), None
+    heads = settled(heads, "heads")
     # every round adds its part to one folder, so the plan does not grow with the rounds
     folder, schema = fresh_path(reached.sparkSession, "paths"), heads.select("destination", "step", "col", "row").schema
     heads.select("destination", "step", "col", "row").limit(0).write.parquet(folder)
@@ -231,14 +234,15 @@ def least_cost_paths(reached: DataFrame, destinations: DataFrame, block: int = T
         renamed = heads.withColumnsRenamed({"col": "entry_col", "row": "entry_row"})
         packed = ways.groupBy("entry_col", "entry_row").agg(F.collect_list(F.struct("k", "col", "row", "leaves")).alias("way"))
         walked = salted_lookup(renamed, packed, ["entry_col", "entry_row"], F.col("destination"))
-        walked = settled(
+        walked, walked_path = settled_at(
             walked.select("destination", "step", F.explode("way").alias("w")).select(
                 "destination", (F.col("step") + F.col("w.k")).alias("step"), "w.col", "w.row", "w.leaves"
             ),
             "walked",
         )
         walked.filter(~F.col("leaves")).select("destination", "step", "col", "row").write.mode("append").parquet(folder)
-        heads = walked.filter("leaves").select("destination", "col", "row", "step")
+        drop_table(reached.sparkSession, old)
+        heads, old = walked.filter("leaves").select("destination", "col", "row", "step"), walked_path
     else:
         raise RuntimeError(f"paths did not reach their source in {max_rounds} rounds")
     return reached.sparkSession.read.schema(schema).parquet(folder)

@@ -286,13 +286,28 @@ def rasterised(edges: DataFrame, cols: int, rows: int) -> DataFrame:
 
 
 def line_cells(lines: DataFrame, cols: int, rows: int) -> DataFrame:
-    """Distinct cells of a layer that lines pass through, for lines given as an edge table in cells."""
+    """Distinct cells of a layer that lines pass through, for lines given as an edge table in cells.
+
+    Only the steps of a line near the layer are made, and lines are dealt out before that.
+    """
     cell = lambda c: F.floor(c).cast("int")
     ends = lines.select(
         cell(F.col("x1")).alias("c1"), cell(F.col("y1")).alias("r1"),
         (cell(F.col("x2")) - cell(F.col("x1"))).alias("dc"), (cell(F.col("y2")) - cell(F.col("y1"))).alias("dr"),
     ).withColumn("n", F.greatest(F.abs("dc"), F.abs("dr")))
-    stepped = ends.select("*", F.explode(F.sequence(F.lit(0), F.col("n"))).alias("k"))
+
+    def reach(start: str, delta: str, size: int) -> tuple[Column, Column]:
+        """First and last step near the layer along one axis, with a cell to spare."""
+        step = F.col("n") / F.abs(delta)
+        before = F.when(F.col(delta) > 0, -1 - F.col(start)).otherwise(F.col(start) - size) * step
+        behind = F.when(F.col(delta) > 0, size - F.col(start)).otherwise(F.col(start) + 1) * step
+        still = F.col(delta) == 0
+        return F.when(still, 0).otherwise(F.floor(before) - 1), F.when(still, F.col("n")).otherwise(F.ceil(behind) + 1)
+
+    (col_from, col_to), (row_from, row_to) = reach("c1", "dc", cols), reach("r1", "dr", rows)
+    ends = ends.withColumns({"k1": F.greatest(F.lit(0), col_from, row_from).cast("int"), "k2": F.least("n", col_to, row_to).cast("int")})
+    near = spread(ends.filter("k1 <= k2"), "c1", "r1", "dc", "dr")
+    stepped = near.select("*", F.explode(F.sequence("k1", "k2")).alias("k"))
     share = F.greatest(F.col("n"), F.lit(1))
     at = lambda start, delta: (F.col(start) + F.floor((2.0 * F.col(delta) * F.col("k") + share) / (2.0 * share))).cast("int")
     cells = stepped.select(at("c1", "dc").alias("col"), at("r1", "dr").alias("row"))

@@ -31,7 +31,19 @@ def settled(df: DataFrame, label: str = "table") -> DataFrame:
     The returned frame has no lineage, and its known file size lets the planner pick a
     broadcast only where the written table is small.
     """
+    return settled_at(df, label)[0]
+
+
+def settled_at(df: DataFrame, label: str = "table") -> tuple[DataFrame, str]:
+    """:func:`settled` with the path of the table, for tables that a later round replaces."""
     spark = df.sparkSession
     path = fresh_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def drop_table(spark: SparkSession, path: str | None) -> None:
+    """Remove a table of :func:`settled_at` that nothing reads any more."""
+    if path:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
