@@ -282,13 +282,14 @@ RESULT = "lang_pred string, score double, n_words bigint, shares map<string,doub
 def predict(docs: DataFrame, model: Model, columns: list[str]) -> DataFrame:
     """``columns`` of the documents with the language of their ``text``, its score, and every language's share of the words."""
     settle_llm(docs.sparkSession)
-    carried = docs.sparkSession.sparkContext.broadcast(model)
+    # plain values: what is broadcast does not travel with its class
+    carried = docs.sparkSession.sparkContext.broadcast((model.labels, model.weights, model.transitions, model.lexicon))
     kept = docs.select(*columns, "text").schema
     passed = [f for f in kept if f.name in columns]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in passed] + [RESULT])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model_ = carried.value
+        model_ = Model(*carried.value)
         label = _labeller(model_)
         for batch in batches:
             texts = batch.column("text").to_pylist()
