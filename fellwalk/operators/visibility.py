@@ -12,6 +12,7 @@ from fellwalk.operators.terrain import slope
 from fellwalk.session import parallelism
 
 STEPS_PER_TASK = 2_000_000
+NEAR = 32  # at most 65 x 65 cells
 
 
 def sight_lines(spark, shape: Shape, col: int, row: int) -> DataFrame:
@@ -56,7 +57,11 @@ def viewshed(cells: DataFrame, col: int, row: int, cell_size: float, shape: Shap
     """
     shape = shape or shape_of(cells)
     observer = cells.filter((F.col("col") == col) & (F.col("row") == row)).agg(F.max("z")).scalar()
-    lines = sight_lines(cells.sparkSession, shape, col, row).join(cells.select("col", "row", "z"), ["col", "row"])
+    # all lines pass the few cells around the observer, so these are given to every task; step k lies k cells away
+    steps, heights = sight_lines(cells.sparkSession, shape, col, row), cells.select("col", "row", "z")
+    around = heights.filter(F.greatest(F.abs(F.col("col") - col), F.abs(F.col("row") - row)) <= NEAR)
+    near = steps.filter(F.col("step") <= NEAR).join(F.broadcast(around), ["col", "row"])
+    lines = near.unionByName(steps.filter(F.col("step") > NEAR).join(heights, ["col", "row"]))
     dx, dy = (F.col("col") - col).cast("double"), (F.col("row") - row).cast("double")
     tangent = (F.col("z") - observer) / (F.sqrt(dx * dx + dy * dy) * cell_size)
     nearer = Window.partitionBy("ray").orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
