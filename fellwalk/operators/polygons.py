@@ -166,6 +166,23 @@ def region_samples(edges: DataFrame, step: float, require_points: bool = False)
     return points
 
 
+def united_samples(regions: DataFrame, step: float) -> DataFrame:
+    """Sample points of whole region files: ``document``, ``lon``, ``lat``.
+
+    ``regions`` has ``document``, ``region`` and ``rings``, as region files are read.  The grid of a file
+    starts at the lower left corner of all its features; a point counts once, if it lies strictly
+    inside any of them.
+    """
+    edges = ring_edges(regions.select(F.struct("document", "region").alias("region"), "rings"))
+    placed = edges.drop(*BOX).withColumn("document", F.col("region.document"))
+    boxed = salted_lookup(placed, bounds(edges.withColumn("document", F.col("region.document")), "document"), ["document"], F.col("seq"))
+    inside = grid_inside(sample_grid(boxed, step)).withColumn("document", F.col("region.document"))
+    points = inside.dropDuplicates(["document", "i", "j"])
+    return points.select(
+        "document", (F.col("gx") + F.col("i") * F.col("gdx")).alias("lon"), (F.col("gy") + F.col("j") * F.col("gdy")).alias("lat")
+    )
+
+
 def sample_counts(edges: DataFrame, step: float) -> DataFrame:
     """Grid candidates and points inside, per region."""
     gridded = sample_grid(edges, step)

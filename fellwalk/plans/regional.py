@@ -12,7 +12,7 @@ from fellwalk.plans import tables as t
 from fellwalk.plans.raster import CELL, TERRAIN
 from fellwalk.plans.registry import job, rounded
 from fellwalk.sources import files
-from fellwalk.sources.regions import parse_regions
+from fellwalk.sources.regions import parse_regions, read_regions
 from fellwalk.workspace import fresh_path
 
 # A concave ring around the origin, in units of the region's size.
@@ -197,6 +197,39 @@ def region_sample_counts(spark, d):
     return polygons.sample_counts(polygons.ring_edges(strip_regions(spark, d)), STEP)
 
 
+WIDE_STEP = 0.1
+_UNITED = {
+    **STRIP,
+    "box": f"""SELECT doc, x0, y0, (x0 + {WIDE_STEP}::DOUBLE) - x0 AS dx, (y0 + {WIDE_STEP}::DOUBLE) - y0 AS dy,
+  ceil((x1 + 1e-12 - x0) / {WIDE_STEP}::DOUBLE) AS nx, ceil((y1 + 1e-12 - y0) / {WIDE_STEP}::DOUBLE) AS ny
+FROM (SELECT region // 8 AS doc, min(x) AS x0, min(y) AS y0, max(x) AS x1, max(y) AS y1 FROM ring GROUP BY 1)""",
+    "grid": """SELECT doc, i.i AS i, j.j AS j, x0 + i.i * dx AS lon, y0 + j.j * dy AS lat
+FROM box, (SELECT unnest(range(0, max(nx)::BIGINT)) AS i FROM box) i, (SELECT unnest(range(0, max(ny)::BIGINT)) AS j FROM box) j
+WHERE i.i < nx AND j.j < ny""",
+    "samples": _SAMPLES["samples"].replace("SELECT region, lon, lat FROM grid JOIN edges USING (region) GROUP BY region, i, j, lon, lat",
+                                           "SELECT DISTINCT doc, lon, lat FROM grid JOIN edges ON region // 8 = doc GROUP BY doc, region, i, j, lon, lat"),
+}
+
+
+@job("file_region_samples", t.with_views("SELECT doc, round(lon, 6) AS lon, round(lat, 6) AS lat FROM samples", extra=_UNITED))
+def file_region_samples(spark, d):
+    """Sample points of region files of up to eight features that overlap: written, read back, and taken as one region each."""
+    closed = lambda ring: F.concat(ring, F.slice(ring, 1, 1))
+    pairs = lambda ring: F.transform(closed(ring), lambda p: F.array(p["x"], p["y"]))
+    feature = F.struct(
+        F.lit("Feature").alias("type"),
+        F.struct(F.lit("Polygon").alias("type"), F.transform("rings", pairs).alias("coordinates")).alias("geometry"),
+    )
+    doc = F.floor(F.col("region") / 8).cast("bigint").alias("doc")
+    named = F.struct(F.struct(F.lit("EPSG:4326").alias("name")).alias("properties")).alias("crs")
+    collected = strip_regions(spark, d).groupBy(doc).agg(F.collect_list(feature).alias("features"))
+    text = F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), named, "features"))
+    path = fresh_path(spark, "regions")
+    collected.select("doc", text.alias("value")).write.partitionBy("doc").text(path)
+    found = polygons.united_samples(read_regions(spark, f"{path}/*/*.txt", on_missing_crs="error"), WIDE_STEP)
+    return rounded(found.select(F.regexp_extract("document", "doc=([0-9]+)/", 1).cast("bigint").alias("doc"), "lon", "lat"))
+
+
 _PLACE = {
     "place": """SELECT o_orderkey AS point, 76.0::DOUBLE + (o_orderkey * 7919 % 18000) / 1000.0::DOUBLE AS x,
   27.0::DOUBLE + (o_orderkey * 104729 % 6000) / 1000.0::DOUBLE AS y FROM orders"""
