@@ -9,6 +9,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# The other fields of a trip record, in terms both engines read alike.
+TRIP_EXTRAS = {
+    "VendorID": "CAST(event_id % 2 + 1 AS INT)",
+    "passenger_count": "event_id % 6",
+    "RatecodeID": "event_id % 5 + 1",
+    "store_and_fwd_flag": "CASE WHEN event_id % 3 = 0 THEN 'Y' ELSE 'N' END",
+    "payment_type": "event_id % 4 + 1",
+    "extra": "CAST(event_id % 3 AS DOUBLE) / 2",
+    "mta_tax": "CAST(event_id % 7 AS DOUBLE) / 2",
+    "tip_amount": "CAST(event_id % 11 AS DOUBLE) / 4",
+    "tolls_amount": "CASE WHEN event_id % 10 = 0 THEN CAST(6.5 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END",
+    "improvement_surcharge": "CAST(event_id % 2 AS DOUBLE)",
+    "total_amount": "value + CAST(event_id % 11 AS DOUBLE) / 4",
+    "congestion_surcharge": "CAST(event_id % 2 AS DOUBLE) * 5 / 2",
+    "airport_fee": "CASE WHEN event_id % 20 = 0 THEN CAST(1.25 AS DOUBLE) END",
+}
+
+
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     minutes = F.make_dt_interval(F.lit(0), F.lit(0), (F.col("event_id") % 40).cast("int"), F.lit(0))
     return table(spark, sf_dir, "events").select(
@@ -19,14 +37,16 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("value").alias("fare_amount"),
         (F.col("user_id") % 25).cast("int").alias("PULocationID"),
         (F.col("event_id") % 26).cast("int").alias("DOLocationID"),
+        *[F.expr(value).alias(name) for name, value in TRIP_EXTRAS.items()],
     )
 
 
-TRIPS_SQL = """
+TRIPS_SQL = f"""
 SELECT event_id AS trip_id, ts AS tpep_pickup_datetime,
        ts + to_minutes(CAST(event_id % 40 AS INT)) AS tpep_dropoff_datetime,
        CAST(event_id % 17 AS DOUBLE) / 2 AS trip_distance, value AS fare_amount,
-       CAST(user_id % 25 AS INT) AS PULocationID, CAST(event_id % 26 AS INT) AS DOLocationID
+       CAST(user_id % 25 AS INT) AS PULocationID, CAST(event_id % 26 AS INT) AS DOLocationID,
+       {", ".join(f"{value} AS {name}" for name, value in TRIP_EXTRAS.items())}
 FROM events"""
 
 
