@@ -62,6 +62,17 @@ SELECT n_nationkey AS LocationID, r_name AS Borough, n_name AS Zone
 FROM nation JOIN region ON n_regionkey = r_regionkey"""
 
 
+# The other fields of a customer record, with commas and quotes, in terms both engines read alike.
+CUSTOMER_EXTRAS = {
+    "first_name": "concat('First', c_custkey % 97)",
+    "last_name": "concat('Last, \"Jr\" ', c_custkey % 89)",
+    "phone1": "concat('+1-', c_custkey % 1000, '-555x', c_custkey % 10)",
+    "phone2": "concat('(', c_custkey % 900, ')5550100')",
+    "email": "concat('user', c_custkey, '@example.com')",
+    "website": "concat('https://www.example.com/', c_custkey % 31, '/')",
+}
+
+
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer, nation, region = (table(spark, sf_dir, n) for n in ("customer", "nation", "region"))
     placed = customer.join(nation, customer.c_nationkey == nation.n_nationkey).join(
@@ -74,15 +85,21 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_name").alias("city"),
         F.col("r_name").alias("country"),
         F.date_add(F.lit("2020-01-31").cast("date"), (F.col("c_custkey") * 37 % 900).cast("int")).alias("subscription_date"),
+        *[F.expr(value).alias(name) for name, value in CUSTOMER_EXTRAS.items()],
     )
 
 
-CUSTOMERS_SQL = """
+CUSTOMERS_SQL = f"""
 SELECT c_custkey AS idx, lower(to_hex(c_custkey)) AS customer_hex, c_mktsegment AS company, n_name AS city,
-       r_name AS country, DATE '2020-01-31' + CAST(c_custkey * 37 % 900 AS INT) AS subscription_date
+       r_name AS country, DATE '2020-01-31' + CAST(c_custkey * 37 % 900 AS INT) AS subscription_date,
+       {", ".join(f"{value} AS {name}" for name, value in CUSTOMER_EXTRAS.items())}
 FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"""
 
 
+CUSTOMER_HEADINGS = {
+    "first_name": "First Name", "last_name": "Last Name", "phone1": "Phone 1", "phone2": "Phone 2", "email": "Email", "website": "Website"}
+
+
 def customer_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as text columns under the headings of a CSV export, with damaged records."""
     damaged = lambda at, value, good: F.when(F.col("idx") % 50 == at, F.lit(value)).otherwise(good)
@@ -93,6 +110,7 @@ def customer_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("city").alias("City"),
         F.col("country").alias("Country"),
         damaged(11, "2021-13-01", F.date_format("subscription_date", "yyyy-MM-dd")).alias("Subscription Date"),
+        *[F.col(name).alias(heading) for name, heading in CUSTOMER_HEADINGS.items()],
     )
 
 
@@ -100,7 +118,7 @@ CUSTOMER_TEXT_SQL = """
 SELECT CASE WHEN idx % 50 = 13 THEN '' ELSE CAST(idx AS VARCHAR) END AS index_text,
        CASE WHEN idx % 50 = 7 THEN '12zz' ELSE customer_hex END AS hex_text,
        CASE WHEN idx % 50 = 11 THEN '2021-13-01' ELSE CAST(subscription_date AS VARCHAR) END AS date_text,
-       company, city, country
+       company, city, country, first_name, last_name, phone1, phone2, email, website
 FROM customers_v"""
 
 

@@ -298,10 +298,12 @@ CUSTOMER_FIELDS = {
     "city": ("City", "string"),
     "country": ("Country", "string"),
     "subscription_date": ("Subscription Date", "date"),
+    **{name: (heading, "string") for name, heading in t.CUSTOMER_HEADINGS.items()},
 }
 _TYPED_SQL = """SELECT TRY_CAST(index_text AS INT) AS idx,
   CASE WHEN regexp_full_match(hex_text, '[0-9a-f]{1,16}') THEN CAST('0x' || hex_text AS BIGINT) END AS customer_id,
-  company, city, country, TRY_CAST(date_text AS DATE) AS subscription_date FROM customer_text_v"""
+  company, city, country, TRY_CAST(date_text AS DATE) AS subscription_date, first_name, last_name, phone1, phone2, email, website
+FROM customer_text_v"""
 
 
 def _typed_customers(spark, d):
