@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from fellwalk.llm.common import settle_llm, width
+from fellwalk.llm.common import lean, settle_llm, width
 from fellwalk.llm.tokens import END_ID, encoder_of, pieces_of
 from fellwalk.workspace import fresh_path, settled
 
@@ -113,7 +113,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str, sequence: int = S
             store.move(attempt, f"{root}/part-{part:06d}.arrow")
 
     dealt = placed.repartitionById(parts, F.col("part")).sortWithinPartitions("doc_id")
-    return settled(dealt.select("part", "doc_id", "text").mapInArrow(write, INDEX), "token-index")
+    return settled(dealt.select("part", "doc_id", "text").mapInArrow(lean(write), INDEX), "token-index")
 
 
 def stream_starts(rows: DataFrame, index: DataFrame) -> DataFrame:
@@ -167,7 +167,7 @@ def read_tokens(index: DataFrame, folder: str, tokens: bool = False) -> DataFram
 
     spark = settle_llm(index.sparkSession)
     dealt = index.select("part", "doc_id", "at", "n_tokens").repartitionById(width(spark), F.pmod(F.col("part"), F.lit(width(spark))))
-    return dealt.sortWithinPartitions("part", "at").mapInArrow(read, parts)
+    return dealt.sortWithinPartitions("part", "at").mapInArrow(lean(read), parts)
 
 
 def token_files(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE) -> DataFrame:

@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fellwalk.llm.common import settle_llm
+from fellwalk.llm.common import lean, settle_llm
 from fellwalk.llm.tokens import pieces_of
 
 SAMPLE_DOCS = 1200
@@ -309,7 +309,7 @@ def predict(docs: DataFrame, model: Model, columns: list[str]) -> DataFrame:
                 [*[batch.column(f.name) for f in passed], *[pa.array(c, t) for c, t in zip(columns_, types)]],
                 names=[f.name for f in passed] + ["lang_pred", "score", "n_words", "shares"])
 
-    return docs.select(*dict.fromkeys([*columns, "text"])).mapInArrow(run, schema)
+    return docs.select(*dict.fromkeys([*columns, "text"])).mapInArrow(lean(run), schema)
 
 
 def identify(docs: DataFrame) -> DataFrame:

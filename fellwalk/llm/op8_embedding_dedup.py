@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from fellwalk.llm.common import rooted, runs_of, settle_llm, width
+from fellwalk.llm.common import lean, rooted, runs_of, settle_llm, width
 from fellwalk.llm.vectors import cosines, matrix, unit, usable
 from fellwalk.operators.components import connected_components
 from fellwalk.workspace import settled
@@ -237,13 +237,13 @@ def class_links(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     placed = settled(_shards(classes), "shards")
     in_shards = placed.join(classes.select("node", "vector", "copies"), "node")
     dealt = in_shards.select("cell", "node", "vector").repartition(width(spark), "cell").sortWithinPartitions("cell")
-    lists = dealt.mapInArrow(_graph, "node bigint, neighbours array<bigint>")
+    lists = dealt.mapInArrow(lean(_graph), "node bigint, neighbours array<bigint>")
     united = lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("neighbours"))).alias("neighbours"))
     cells = placed.groupBy("node").agg(F.collect_list("cell").alias("cells"))
     described = classes.select("node", "vector", "copies").join(cells, "node").join(united, "node", "left")
     filled = described.withColumn("neighbours", F.coalesce("neighbours", F.array().cast("array<bigint>")))
     full = placed.join(filled, "node").select("cell", "node", "vector", "copies", "cells", "neighbours")
-    found = settled(full.repartition(width(spark), "cell").sortWithinPartitions("cell").mapInArrow(_search, "node bigint, root bigint, n bigint"), "found")
+    found = settled(full.repartition(width(spark), "cell").sortWithinPartitions("cell").mapInArrow(lean(_search), "node bigint, root bigint, n bigint"), "found")
     counts = found.filter("n IS NOT NULL").groupBy("node").agg(F.sum("n").alias("n"))
     edges = found.filter("root IS NOT NULL").select(F.col("node").alias("a"), F.col("root").alias("b"))
     return counts, connected_components(edges)

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from fellwalk.llm.common import settle_llm
+from fellwalk.llm.common import lean, settle_llm
 from fellwalk.llm.tokens import END_ID, encoder_of, pieces_of
 from fellwalk.workspace import settled
 
@@ -100,7 +100,7 @@ def cut_documents(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE, end
                 [pa.array(c, t) for c, t in zip(columns, types)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
     settle_llm(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(pieces, PIECES)
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(lean(pieces), PIECES)
 
 
 def pack(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE) -> DataFrame:
@@ -123,6 +123,6 @@ def pack(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE) -> DataFrame
         yield from out.append_column("offset", pa.array(offsets, pa.int64())).combine_chunks().to_batches()
 
     # dealt row by row, not by a key, so every shard has its share whatever the ids are; the deal is repeatable
-    packed = rest.repartition(shards).mapInArrow(pack_shard, PACKED)
+    packed = rest.repartition(shards).mapInArrow(lean(pack_shard), PACKED)
     alone = whole.select("*", (F.lit(1 << 62) + F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
     return packed.unionByName(alone)

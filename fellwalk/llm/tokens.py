@@ -12,7 +12,7 @@ from fellwalk.llm.common import worker_memory
 
 END_ID = 1
 # Words a worker remembers; beyond that it starts again from those of the last texts. It bounds memory, not results.
-REMEMBERED = 1_000_000
+REMEMBERED = 500_000
 # A control character between new words, a token of its own where they meet, and marks that may close a word (fixed values).
 BETWEEN, CLOSING = "\x01", ".,;:!?"
 
@@ -132,7 +132,7 @@ def encoder_of(path: str) -> Callable[[], WordEncoder]:
     return get
 
 
-def pieces_of(texts: list, budget: int = 1 << 23) -> list[list[int]]:
+def pieces_of(texts: list, budget: int = 1 << 22) -> list[list[int]]:
     """Positions of ``texts`` in runs of at most ``budget`` characters (one text at least)."""
     runs, size = [], budget + 1
     for i, text in enumerate(texts):
