@@ -26,19 +26,19 @@ CELL_SCHEMA = "col int, row int, distance double, from_col int, from_row int"
 
 
 def cost_surface(
-    slopes: DataFrame, heights: DataFrame, per_degree: float = 0.1, max_slope: float | None = None, max_height: float | None = None
+    slopes: DataFrame, per_degree: float = 0.1, max_slope: float | None = None, max_height: float | None = None
 ) -> DataFrame:
     """Cost of crossing each cell: 1 on the flat, more with slope; NULL where a cell may not be entered.
 
-    Cells without data, steeper than ``max_slope`` or higher than ``max_height`` are forbidden.
+    ``slopes`` has ``col``, ``row``, ``slope`` and the height ``z``, which is passed on.  Cells
+    without data, steeper than ``max_slope`` or higher than ``max_height`` are forbidden.
     """
-    joined = slopes.select("col", "row", "slope").join(heights.select("col", "row", "z"), ["col", "row"])
     allowed = F.col("slope").isNotNull() & F.col("z").isNotNull()
     if max_slope is not None:
         allowed = allowed & (F.col("slope") <= max_slope)
     if max_height is not None:
         allowed = allowed & (F.col("z") <= max_height)
-    return joined.select("col", "row", F.when(allowed, 1.0 + F.col("slope") * per_degree).alias("cost"))
+    return slopes.select("col", "row", "z", F.when(allowed, 1.0 + F.col("slope") * per_degree).alias("cost"))
 
 
 def _moves(connectivity: int) -> tuple[tuple[int, int], ...]:

@@ -25,7 +25,8 @@ def salted_lookup(
     that differs between rows of the same key, such as a row id), and every lookup row is
     repeated once per salt.  The hot key is split before the shuffle, so the result does
     not depend on run-time skew handling.  A small lookup is still broadcast by the
-    planner, which measures it.
+    planner, which measures it; a partition that stays too large is split further by adaptive
+    execution, which measures it too.
     """
     left = probe.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
     right = lookup.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))

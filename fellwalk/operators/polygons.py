@@ -332,14 +332,15 @@ def line_cells(lines: DataFrame, cols: int, rows: int) -> DataFrame:
     return cells.filter(inside).dropDuplicates()
 
 
-def zone_statistics(cells: DataFrame, slopes: DataFrame, zones: DataFrame, regions: DataFrame | None = None) -> DataFrame:
+def zone_statistics(slopes: DataFrame, zones: DataFrame, regions: DataFrame | None = None) -> DataFrame:
     """Mean and variance of the height, the largest slope, and the rank by roughness per region, roughest first.
 
     Regions of equal variance (to nine places) share a rank.  With ``regions`` (column ``region``)
-    those without a cell are kept, with a count of 0 and the last rank.  ``zones`` is the result of :func:`rasterised`; the three cell tables meet by equi-joins on
+    those without a cell are kept, with a count of 0 and the last rank.  ``slopes`` has the
+    height ``z`` beside the slope, ``zones`` is the result of :func:`rasterised`; they meet by
     the cell, which no region can skew.
     """
-    joined = zones.join(cells.select("col", "row", "z"), ["col", "row"]).join(slopes.select("col", "row", "slope"), ["col", "row"])
+    joined = zones.join(slopes.select("col", "row", "z", "slope"), ["col", "row"])
     stats = joined.groupBy("region").agg(
         F.count("z").alias("n"),
         F.avg("z").alias("mean_z"),

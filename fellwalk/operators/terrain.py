@@ -84,11 +84,14 @@ def gradient(around: DataFrame, cell_size: float, z_factor: float = 1.0) -> Data
 
 
 def slope(
-    cells: DataFrame, cell_size: float, z_factor: float = 1.0, block: int = BLOCK, tile_local: bool = False, by: Sequence[str] = ()
+    cells: DataFrame, cell_size: float, z_factor: float = 1.0, block: int = BLOCK, tile_local: bool = False, by: Sequence[str] = (),
+    with_height: bool = False,
 ) -> DataFrame:
-    """Slope of every cell in degrees; NULL where the cell has no data."""
-    change = gradient(neighbourhood(cells, block, tile_local, by), cell_size, z_factor)
-    return change.select(*by, "col", "row", _steepness().alias("slope"))
+    """Slope of every cell in degrees; NULL where the cell has no data.  ``with_height`` adds the cell's own ``z``."""
+    around = neighbourhood(cells, block, tile_local, by)
+    height = ["z"] if with_height else []
+    change = gradient(around.withColumn("z", F.col("c")) if with_height else around, cell_size, z_factor)
+    return change.select(*by, "col", "row", *height, _steepness().alias("slope"))
 
 
 def _steepness() -> Column:

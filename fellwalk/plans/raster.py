@@ -12,7 +12,7 @@ from fellwalk.plans import projection_sql as ps
 from fellwalk.plans import tables as t
 from fellwalk.plans.registry import job, rounded
 from fellwalk.sources import files
-from fellwalk.workspace import fresh_path
+from fellwalk.workspace import fresh_path, settled
 
 CELL = 30.0
 
@@ -646,18 +646,17 @@ FROM reach r LEFT JOIN (SELECT l.to_col, l.to_row, f.col, f.row, f.distance + l.
 
 @job("cost_surface", t.with_views("SELECT col, row, round(cost, 6) AS cost FROM costs", "dem_v", extra=_COST_VIEWS, recursive=True))
 def cost_surface(spark, d):
-    return rounded(_costs(spark, d))
+    return rounded(_costs(spark, d).drop("z"))
 
 
 def _costs(spark, d):
-    cells = t.dem(spark, d)
-    return costs.cost_surface(terrain.slope(cells, CELL), cells, 0.1, MAX_SLOPE, MAX_HEIGHT)
+    return costs.cost_surface(terrain.slope(t.dem(spark, d), CELL, with_height=True), 0.1, MAX_SLOPE, MAX_HEIGHT)
 
 
 def _reached(spark, d):
     """Cost distance from the highest passable cell."""
-    surface = _costs(spark, d)
-    heights = t.dem(spark, d).join(surface.filter("cost IS NOT NULL").select("col", "row"), ["col", "row"], "left_semi")
+    surface = settled(_costs(spark, d), "surface")
+    heights = surface.filter("cost IS NOT NULL").select("col", "row", "z")
     return costs.cost_distance(surface, surfaces.peak_cell(heights), CELL, 8)
 
 

@@ -376,7 +376,7 @@ def zone_statistics(spark, d):
     shape = layers.shape_of(cells)
     zones = polygons.rasterised(field_edges(spark, d, shape.cols), shape.cols, shape.rows)
     every = t.table(spark, d, "supplier").select(F.col("s_suppkey").alias("region"))
-    return rounded(polygons.zone_statistics(cells, terrain.slope(cells, CELL), zones, every))
+    return rounded(polygons.zone_statistics(terrain.slope(cells, CELL, with_height=True), zones, every))
 
 
 @job(

@@ -148,10 +148,9 @@ def test_tile_names_and_missing_tiles(spark):
 
 
 def test_zone_statistics(spark):
-    cells = spark.createDataFrame([(c, 0, float(c)) for c in range(4)], "col int, row int, z double")
-    slopes = spark.createDataFrame([(c, 0, 10.0 * c) for c in range(4)], "col int, row int, slope double")
+    slopes = spark.createDataFrame([(c, 0, float(c), 10.0 * c) for c in range(4)], "col int, row int, z double, slope double")
     zones = spark.createDataFrame([("a", 0, 0), ("a", 1, 0), ("b", 1, 0), ("b", 3, 0)], "region string, col int, row int")
     expected = [("b", 2, 2.0, 1.0, 30.0, 1), ("a", 2, 0.5, 0.25, 10.0, 2)]
-    assert polygons.zone_statistics(cells, slopes, zones).collect() == expected
+    assert polygons.zone_statistics(slopes, zones).collect() == expected
     every = spark.createDataFrame([("a",), ("b",), ("no cell",)], "region string")
-    assert polygons.zone_statistics(cells, slopes, zones, every).collect() == [*expected, ("no cell", 0, None, None, None, 3)]
+    assert polygons.zone_statistics(slopes, zones, every).collect() == [*expected, ("no cell", 0, None, None, None, 3)]

@@ -186,7 +186,7 @@ def test_unreachable_land_is_absent(spark, raster):
 
 
 def test_cost_surface(spark):
-    slopes = spark.createDataFrame([(0, 0, 0.0), (1, 0, 20.0), (2, 0, 50.0), (3, 0, 5.0), (4, 0, None)], "col int, row int, slope double")
-    heights = spark.createDataFrame([(c, 0, 100.0 * c) for c in range(5)], "col int, row int, z double")
-    found = costs.cost_surface(slopes, heights, 0.1, max_slope=40.0, max_height=250.0).orderBy("col").collect()
+    slopes = spark.createDataFrame(
+        [(c, 0, 100.0 * c, s) for c, s in enumerate([0.0, 20.0, 50.0, 5.0, None])], "col int, row int, z double, slope double")
+    found = costs.cost_surface(slopes, 0.1, max_slope=40.0, max_height=250.0).orderBy("col").collect()
     assert [r["cost"] for r in found] == [1.0, 3.0, None, None, None]
