@@ -1,7 +1,7 @@
 """Personal data: patterns propose spans, checksums confirm them, context words adjust the score; spans can be masked.
 
 SQL functions alone. A kind's matches and the texts between them come from one pattern (``regexp_extract_all`` and
-``split`` see the same leftmost matches), so positions are running sums of lengths and every step is linear in the text.
+``split`` see the same leftmost matches), so positions are running sums of lengths, and the text is gone through once per kind.
 
 Kinds, in the order that settles equal starts:
 
@@ -19,8 +19,8 @@ characters before it, and must reach ``MIN_SCORE``. The first four kinds are kep
 for ``ssn`` only. Spans of different kinds may overlap; those of one kind do not.
 
 Nulls and odd input: a null or empty text has no spans and stays as it is; long runs of digits or letters cost linear time
-(quantifiers do not backtrack and matches start where a run starts); repeated rows and null ids are treated row by row; columns of other names are kept by
-:func:`redact` and ignored by :func:`find_spans`; an empty table gives an empty result.
+(quantifiers do not backtrack and matches start where a run starts); repeated rows and null ids are treated row by row; columns
+of other names are kept by :func:`redact` and ignored by :func:`find_spans`; an empty table gives an empty result.
 """
 
 from __future__ import annotations
