@@ -10,10 +10,13 @@ email       local part, @, labels parted by dots                   always kept
 ip          four numbers parted by dots                            each at most 255
 card        digits with single blanks or hyphens                   12 to 19 digits that pass Luhn
 phone       + and digits with blanks, dots, brackets, hyphens      9 to 15 digits
-iban        two letters, two digits, 11 to 30 letters and digits   mod-97 is 1
+iban        two letters, two digits, 11 to 30 letters and digits   mod-97 is 1; ends at any word of the run
 ssn         three, two and four digits parted by hyphens           a context word nearby
 ==========  =====================================================  =======================================================
 
+A run of upper-case words may go on after an IBAN, so each word's end is tried; the registered length of the country goes
+first, then the longest that passes.
+
 A span's score starts at what its kind alone is worth, rises when one of the kind's context words stands in the 60
 characters before it, and must reach ``MIN_SCORE``. The first four kinds are kept whatever their context; context decides
 for ``ssn`` only. Spans of different kinds may overlap; those of one kind do not.
@@ -54,10 +57,23 @@ KINDS = (
     Kind("ip", r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", ".", 0.8, "ip|host|server|address|adresse"),
     Kind("card", r"[0-9](?:[\x20-]?[0-9]){11,}+", "", 0.8, "card|visa|mastercard|credit|carte|karte|tarjeta"),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "+", 0.7, "phone|tel|call|mobile|fax|telefon|téléphone"),
-    Kind("iban", r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}\b", "", 0.8, "iban|account|bank|konto|compte|cuenta"),
+    # only the country is consumed, so that every start is tried, whatever the run after another one holds
+    Kind("iban", r"\b(?=([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}\b))[A-Z]{2}", "", 0.8, "iban|account|bank|konto|compte|cuenta"),
     Kind("ssn", r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b", "-", 0.3, "ssn|social security|security number"),
 )
 BASE_KINDS = 4
+IBAN_LEAST = 15
+
+# Lengths of registered IBANs by country (fixed values).
+IBAN_LENGTHS = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR",
+        27: "FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC",
+    }.items()
+    for country in countries.split()
+}
 
 
 def _characters(text: Column) -> Column:
@@ -79,6 +95,17 @@ def _mod97(text: Column) -> Column:
     return F.aggregate(values, F.lit(0), lambda rest, v: (F.when(v > 9, rest * 100).otherwise(rest * 10) + v) % 97) == 1
 
 
+def _iban(run: Column) -> Column:
+    """The IBAN at the start of a run of words: of those that pass, the one of its country's length, or else the longest; or null."""
+    words = F.split(run, r"\x20")
+    begins = F.transform(F.sequence(F.size(words), F.lit(1), F.lit(-1)), lambda n: F.array_join(F.slice(words, 1, n), " "))
+    size = lambda p: F.length(F.regexp_replace(p, r"\x20", ""))
+    passing = F.filter(begins, lambda p: (size(p) >= IBAN_LEAST) & _mod97(p))
+    lengths = F.create_map(*[F.lit(x) for pair in IBAN_LENGTHS.items() for x in pair])
+    wanted = lambda p: F.coalesce(size(p) == F.try_element_at(lengths, F.substring(p, 1, 2)), F.lit(False))
+    return bound(passing, lambda some: F.coalesce(F.get(F.filter(some, wanted), F.lit(0)), F.get(some, F.lit(0))))
+
+
 def _confirmed(kind: Kind, text: Column) -> Column:
     if kind.name == "ip":
         parts = F.transform(F.split(text, r"\."), lambda p: F.regexp_replace(p, "^0+(?=.)", ""))
@@ -88,19 +115,22 @@ def _confirmed(kind: Kind, text: Column) -> Column:
         if kind.name == "phone":
             return F.length(digits).between(9, 15)
         return F.length(digits).between(12, 19) & _luhn(digits)
-    return _mod97(text) if kind.name == "iban" else F.lit(True)
+    return F.lit(True)
 
 
 def _spans_of(rank: int, kind: Kind, text: Column) -> Column:
     """The kept spans of one kind, in order: starts are running sums over the lengths of matches and of what lies between."""
     found = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
     between = F.split(text, kind.pattern, -1)  # one more than the matches
-    pairs = F.filter(F.arrays_zip(between.alias("before"), found.alias("match")), lambda p: p["match"].isNotNull())
+    iban = kind.name == "iban"
+    runs = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(1)) if iban else found
+    pairs = F.filter(F.arrays_zip(between.alias("before"), found.alias("match"), runs.alias("run")), lambda p: p["match"].isNotNull())
+    whole = lambda run: _iban(run) if iban else F.when(_confirmed(kind, run), run)
     nearby = lambda before: F.lower(F.right(before, F.lit(CONTEXT_CHARS))).rlike(rf"\b(?:{kind.context})")
     judged = F.transform(pairs, lambda p: F.struct(
         F.length(p["before"]).alias("gap"),
-        F.length(p["match"]).alias("size"),
-        _confirmed(kind, p["match"]).alias("confirmed"),
+        F.length(p["match"]).alias("taken"),
+        F.length(whole(p["run"])).alias("size"),
         (F.lit(kind.score) + F.when(nearby(p["before"]), F.lit(CONTEXT_WEIGHT)).otherwise(F.lit(0.0))).alias("score"),
     ))
 
@@ -108,11 +138,13 @@ def _spans_of(rank: int, kind: Kind, text: Column) -> Column:
         start = state["at"] + match["gap"]
         span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), (start + match["size"]).alias("end"),
                         F.lit(kind.name).alias("kind"), match["score"].alias("score"))
-        kept = match["confirmed"] & (match["score"] >= MIN_SCORE)
-        return F.struct(span["end"].alias("at"), F.when(kept, F.array_append(state["out"], span)).otherwise(state["out"]).alias("out"))
+        kept = match["size"].isNotNull() & (match["score"] >= MIN_SCORE) & (start >= state["free"])
+        return F.struct((start + match["taken"]).alias("at"), F.when(kept, start + match["size"]).otherwise(state["free"]).alias("free"),
+                        F.when(kept, F.array_append(state["out"], span)).otherwise(state["out"]).alias("out"))
 
     nothing = F.array().cast(SPANS)
-    spans = F.aggregate(judged, F.struct(F.lit(0).alias("at"), nothing.alias("out")), step, lambda state: state["out"])
+    begin = F.struct(F.lit(0).alias("at"), F.lit(0).alias("free"), nothing.alias("out"))
+    spans = F.aggregate(judged, begin, step, lambda state: state["out"])
     return F.when(F.contains(text, F.lit(kind.needs)), spans).otherwise(nothing)
 
 

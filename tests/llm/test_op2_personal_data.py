@@ -35,6 +35,17 @@ def test_checksum_and_context_decide_the_added_kinds(spark):
     assert got[10] == "ssn:30:41" and got[11] == ""
 
 
+def test_ibans_end_before_upper_case_words_and_numbers(spark):
+    de, gb, no = "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32", "NO9386011117947"
+    cases = [
+        (f"IBAN {de} BIC COBADEFF", [de]), (f"{gb} EUR 500", [gb]), (f"{de} {gb} {no}", [de, gb, no]), (f"REF GB12 {de} 2024 AB", [de]), (f"{no} 12", [no]),
+        (f"{de}7", []), (f"{de} {'AB12 ' * 40}", [de]), ("DE89 3704 0044 0532 0130 01 BIC COBADEFF", []), (f"{gb.replace(' ', '')} X", [gb.replace(" ", "")]),
+    ]
+    got = {r.doc_id: r.spans for r in op.find_spans(frame(spark, [t for t, _ in cases])).collect()}
+    for i, (text, wanted) in enumerate(cases):
+        assert [text[s.start : s.end] for s in got[i] if s.kind == "iban"] == wanted, text
+
+
 def test_redaction_masks_every_span_and_nothing_else(spark):
     docs = frame(spark, ODD).withColumn("n_chars", F.length("text").cast("bigint")).withColumn("_at", F.lit("kept")).withColumn("spans", F.lit(1))
     got = {r.doc_id: r for r in op.redact(docs).collect()}
