@@ -59,7 +59,8 @@ KINDS = (
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "+", 0.7, "phone|tel|call|mobile|fax|telefon|téléphone"),
     # only the country is consumed, so that every start is tried, whatever the run after another one holds
     Kind("iban", r"\b(?=([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}\b))[A-Z]{2}", "", 0.8, "iban|account|bank|konto|compte|cuenta"),
-    Kind("ssn", r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b", "-", 0.3, "ssn|social security|security number"),
+    # a number that goes on after a hyphen is of another kind, unless it goes on with a whole one
+    Kind("ssn", r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b(?!-(?![0-9]{3}-[0-9]{2}-[0-9]{4}\b)[0-9])", "-", 0.3, "ssn|social security|security number"),
 )
 BASE_KINDS = 4
 IBAN_LEAST = 15
@@ -126,24 +127,27 @@ def _spans_of(rank: int, kind: Kind, text: Column) -> Column:
     runs = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(1)) if iban else found
     pairs = F.filter(F.arrays_zip(between.alias("before"), found.alias("match"), runs.alias("run")), lambda p: p["match"].isNotNull())
     whole = lambda run: _iban(run) if iban else F.when(_confirmed(kind, run), run)
-    nearby = lambda before: F.lower(F.right(before, F.lit(CONTEXT_CHARS))).rlike(rf"\b(?:{kind.context})")
+    last = lambda text: F.right(text, F.lit(CONTEXT_CHARS))
+    score = lambda around: F.lit(kind.score) + F.when(F.lower(around).rlike(rf"\b(?:{kind.context})"), F.lit(CONTEXT_WEIGHT)).otherwise(F.lit(0.0))
     judged = F.transform(pairs, lambda p: F.struct(
         F.length(p["before"]).alias("gap"),
         F.length(p["match"]).alias("taken"),
         F.length(whole(p["run"])).alias("size"),
-        (F.lit(kind.score) + F.when(nearby(p["before"]), F.lit(CONTEXT_WEIGHT)).otherwise(F.lit(0.0))).alias("score"),
+        last(p["before"]).alias("before"),
+        last(p["match"]).alias("match"),
     ))
 
     def step(state: Column, match: Column) -> Column:
         start = state["at"] + match["gap"]
+        around = last(F.concat(state["tail"], match["before"]))
         span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), (start + match["size"]).alias("end"),
-                        F.lit(kind.name).alias("kind"), match["score"].alias("score"))
-        kept = match["size"].isNotNull() & (match["score"] >= MIN_SCORE) & (start >= state["free"])
-        return F.struct((start + match["taken"]).alias("at"), F.when(kept, start + match["size"]).otherwise(state["free"]).alias("free"),
+                        F.lit(kind.name).alias("kind"), score(around).alias("score"))
+        kept = match["size"].isNotNull() & (span["score"] >= MIN_SCORE) & (start >= state["free"])
+        return F.struct(last(F.concat(around, match["match"])).alias("tail"), (start + match["taken"]).alias("at"), F.when(kept, start + match["size"]).otherwise(state["free"]).alias("free"),
                         F.when(kept, F.array_append(state["out"], span)).otherwise(state["out"]).alias("out"))
 
     nothing = F.array().cast(SPANS)
-    begin = F.struct(F.lit(0).alias("at"), F.lit(0).alias("free"), nothing.alias("out"))
+    begin = F.struct(F.lit("").alias("tail"), F.lit(0).alias("at"), F.lit(0).alias("free"), nothing.alias("out"))
     spans = F.aggregate(judged, begin, step, lambda state: state["out"])
     return F.when(F.contains(text, F.lit(kind.needs)), spans).otherwise(nothing)
 

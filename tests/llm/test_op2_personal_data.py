@@ -1,4 +1,5 @@
 import random
+import re
 
 from brute_personal_data import base_sha256, base_spans
 from pyspark.sql import functions as F
@@ -46,6 +47,17 @@ def test_ibans_end_before_upper_case_words_and_numbers(spark):
         assert [text[s.start : s.end] for s in got[i] if s.kind == "iban"] == wanted, text
 
 
+def test_context_is_the_text_before_a_span_whatever_matches_in_it(spark):
+    word, number = re.compile(r"\b(?:ssn|social security|security number)", re.IGNORECASE), re.compile(r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b")
+    texts = ["SSN: 078-05-1120, 219-09-9999", "SSN " + "078-05-1120 " * 9, "ssn" + " " * 57 + "078-05-1120", "ssn" + " " * 58 + "078-05-1120",
+             "078-05-1120 ssn 078-05-1120" + "-" * 40 + " 078-05-1120 " + "\U0001F600" * 9 + " 078-05-1120", "078-05-1120 " * 4 + "ssn " + "078-05-1120 " * 4, "ssn 078-05-1120-219-09-9999"]
+    got = {r.doc_id: r.spans for r in op.find_spans(frame(spark, texts)).collect()}
+    for i, text in enumerate(texts):
+        wanted = [m.start() for m in number.finditer(text) if word.search(text[max(0, m.start() - op.CONTEXT_CHARS) : m.start()])]
+        assert [s.start for s in got[i] if s.kind == "ssn"] == wanted, text
+    assert op.redact(frame(spark, texts[:1])).first().text == "SSN: [SSN], [SSN]"
+
+
 def test_redaction_masks_every_span_and_nothing_else(spark):
     docs = frame(spark, ODD).withColumn("n_chars", F.length("text").cast("bigint")).withColumn("_at", F.lit("kept")).withColumn("spans", F.lit(1))
     got = {r.doc_id: r for r in op.redact(docs).collect()}
