@@ -2,12 +2,15 @@
 
 1. Equal vectors of a label are one **class**; a class stands for its copies from here on.
 2. **Overlapping shards.** A label with more than ``SPLIT_FROM`` classes is parted by pivots, classes drawn by hash, and every
-   class joins its ``OVERLAP`` nearest pivots; a shard that still has more than ``SHARD_MOST`` is parted again.
+   class joins its ``OVERLAP`` nearest pivots; a shard that still has more than ``SHARD_MOST`` is parted again. Of pivots within
+   ``THIN`` of each other one stays, so a dense group is not cut between its own members; a shard whose parts would not take
+   clearly fewer comparisons (``PART_GAIN``) stays whole.
 3. **Graph.** In a shard every class gets its nearest and some random classes as candidates; robust pruning keeps one unless a
    kept one is nearer to it by the factor ``ALPHA``, which leaves long edges between clusters. The lists of all shards are united, and edges lead both ways.
 4. **Search.** In every shard, each class walks the united graph from the shard's medoids to its own neighbourhood, best first,
    and then expands every class found in range until no new one turns up. All cosines are taken in double precision, so a
-   link is verified as it is found. A pair that shares several shards counts in the first of them.
+   link is verified as it is found. A pair that shares several shards counts in the first of them. Whole shards of more than
+   ``SHARD_MOST`` classes have no graph: they are compared block by block, a task for every two blocks of ``COMPARED``.
 5. Counts are summed per class, a shard gives a spanning forest of its links, and connected components close them.
 6. :func:`audit` holds the links of hash-drawn classes against all classes of their label and gives the recall.
 
@@ -36,6 +39,9 @@ SPLIT_FROM, SHARD_MOST, SHARD_AIM, OVERLAP = 896, 4096, 128, 5
 NEAR, RANDOM, DEGREE, ALPHA = 32, 8, 16, 1.2
 BEAM, MEDOIDS = 12, 24
 ASSIGN_ROWS = 8192
+THIN, PART_GAIN = 0.6, 0.25
+COMPARED = 8192  # classes of a block of a dense shard
+REACH = float(np.sqrt(2 - 2 * SIMILAR))  # between unit vectors
 
 
 def _classes(df: DataFrame) -> DataFrame:
@@ -46,9 +52,19 @@ def _classes(df: DataFrame) -> DataFrame:
     return grouped.select(F.xxhash64("label", "vector").alias("node"), "label", F.size("vector").alias("dim"), "vector", "copies")
 
 
+def _thinned(pivots: np.ndarray, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pivots, in the order of their names, that are not within ``THIN`` of one before."""
+    order, kept = np.argsort(names), []
+    likeness = pivots @ pivots.T
+    for i in order:
+        if not kept or likeness[i, kept].max() < THIN:
+            kept.append(i)
+    return pivots[kept], names[kept]
+
+
 def _nearest_pivots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``node, cell``: the new shards of each class; a group's pivots come before its classes."""
-    group, pivots, names = None, [], []
+    group, pivots, names, around = None, [], [], None
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -57,50 +73,64 @@ def _nearest_pivots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         for start, end in zip(cuts, cuts[1:]):
             some = batch.slice(start, end - start)
             if tuple(keys[start, :2]) != group:
-                group, pivots, names = tuple(keys[start, :2]), [], []
+                group, pivots, names, around = tuple(keys[start, :2]), [], [], None
             vectors, nodes = unit(matrix(some.column("vector"))), some.column("node").to_numpy()
             if not keys[start, 2]:
                 pivots.append(vectors)
                 names.append(nodes)
                 continue
             if pivots:
-                around, called = np.concatenate(pivots), np.concatenate(names)
+                if len(pivots) > 1 or around is None:
+                    around, called = _thinned(np.concatenate(pivots), np.concatenate(names))
+                    pivots, names = [around], [called]
                 wanted = min(OVERLAP, len(called))
-                nearest = np.argsort(-(vectors @ around.T), axis=1, kind="stable")[:, :wanted]
-                cells = called[nearest]
+                likeness = vectors @ around.T
+                nearest = np.argsort(-likeness, axis=1, kind="stable")[:, :wanted]
+                # with every pivot at hand, one is joined only if a partner can be nearest to it: by the distance to the plane between
+                joined = np.ones(nearest.shape, dtype=bool)
+                if wanted == len(called):
+                    there = np.take_along_axis(likeness, nearest, axis=1)
+                    apart = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * around @ around.T))[nearest[:, :1], nearest]
+                    joined = there[:, :1] - there <= REACH * apart + 1e-9
+                row, place = np.nonzero(joined)
+                cells = called[nearest[row, place]]
             else:  # no pivot was drawn: the shard stays whole
-                cells = np.zeros((len(nodes), 1), dtype=np.int64)
+                row, cells = np.arange(len(nodes)), np.zeros(len(nodes), dtype=np.int64)
             yield pa.RecordBatch.from_arrays([
-                pa.array(np.repeat(nodes, cells.shape[1])), pa.array(np.repeat(keys[start:end, 0], cells.shape[1])), pa.array(cells.ravel())],
+                pa.array(nodes[row]), pa.array(keys[start:end, 0][row]), pa.array(cells)],
                 names=["node", "cell", "pivot"])
 
 
 def _shards(classes: DataFrame) -> DataFrame:
-    """``node, cell``: the overlapping shards of every class."""
+    """``node, cell, size``: the overlapping shards of every class, and how many classes each shard has."""
     spark = classes.sparkSession
     placed, done = classes.select("node", F.xxhash64("label", "dim").alias("cell")), []
-    before, most = None, SPLIT_FROM
+    most = SPLIT_FROM
     while True:
         sizes = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("_size"))
         sized = settled(placed.join(sizes, "cell"), "cells")
         largest = sized.agg(F.max("_size")).first()[0] or 0
-        if largest <= most or (before is not None and largest > 0.9 * before):  # small enough, or nothing parts them
+        if largest <= most:
             done.append(sized)
             break
         done.append(sized.filter(F.col("_size") <= most))
-        before = largest
-        crowded = sized.filter(F.col("_size") > most).join(classes.select("node", "vector"), "node")
+        large = sized.filter(F.col("_size") > most)
+        crowded = large.join(classes.select("node", "vector"), "node")
         salts = F.ceil(F.col("_size") / ASSIGN_ROWS).cast("int")
         drawn = F.pmod(F.xxhash64(F.lit(len(done)), "node"), F.lit(1 << 30)) < F.lit(float(1 << 30)) * F.least(F.lit(256.0), F.col("_size") / SHARD_AIM) / F.col("_size")
         pivots = crowded.filter(drawn).select("cell", F.explode(F.sequence(F.lit(0).cast("long"), salts.cast("long") - 1)).alias("salt"), F.lit(0).cast("long").alias("kind"), "node", "vector")
         members = crowded.select("cell", F.pmod(F.xxhash64("node"), salts).cast("long").alias("salt"), F.lit(1).cast("long").alias("kind"), "node", "vector")
         dealt = pivots.unionByName(members).repartition(width(spark), "cell", "salt").sortWithinPartitions("cell", "salt", "kind")
-        assigned = dealt.mapInArrow(_nearest_pivots, "node bigint, cell bigint, pivot bigint")
-        placed, most = assigned.select("node", F.xxhash64("cell", "pivot").alias("cell")), SHARD_MOST
+        assigned = settled(dealt.mapInArrow(_nearest_pivots, "node bigint, cell bigint, pivot bigint"), "assigned")
+        # a shard stays whole unless its parts take clearly fewer comparisons, so every round makes shards smaller
+        parts = assigned.groupBy("cell", "pivot").agg(F.count(F.lit(1)).cast("double").alias("n")).groupBy("cell").agg(F.sum(F.col("n") * F.col("n")).alias("cost"))
+        whole = parts.join(sizes, "cell").filter(F.col("cost") > PART_GAIN * F.col("_size") * F.col("_size")).select("cell")
+        done.append(large.join(whole, "cell", "left_semi"))
+        placed, most = assigned.join(whole, "cell", "left_anti").select("node", F.xxhash64("cell", "pivot").alias("cell")), SHARD_MOST
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
-    return out.select("node", "cell").dropDuplicates()
+    return out.select("node", "cell", F.col("_size").alias("size")).dropDuplicates()
 
 
 def pruned_neighbours(points: np.ndarray) -> np.ndarray:
@@ -231,19 +261,68 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(nodes[some]), pa.nulls(len(some), pa.int64()), pa.array(linked[some])], names=["node", "root", "n"])
 
 
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """As :func:`_search`, for two blocks of a dense shard: every class of one against every class of the other."""
+    for table in runs_of(batches, ["cell", "first", "second"]):
+        cell, one, two = (table.column(n)[0].as_py() for n in ("cell", "first", "second"))
+        block = table.column("block").to_numpy()
+        nodes, copies = table.column("node").to_numpy(), table.column("copies").to_numpy().astype(float)
+        points = unit(matrix(table.column("vector")))
+        left, right = np.flatnonzero(block == one), np.flatnonzero(block == two)
+        earlier = [[c for c in cells if c < cell] for cells in table.column("cells").to_pylist()]
+        columns = {c: i for i, c in enumerate(sorted({c for cells in earlier for c in cells}))}
+        in_earlier = np.zeros((len(nodes), len(columns)), dtype=np.float32)
+        for i, cells in enumerate(earlier):
+            in_earlier[i, [columns[c] for c in cells]] = 1
+        linked, group = np.zeros(len(nodes)), np.arange(len(nodes))
+        others, other_copies = points[right], copies[right]
+        for start in range(0, len(left), 512):
+            own = left[start : start + 512]
+            likeness = points[own] @ others.T
+            near = likeness >= SIMILAR
+            a, b = np.nonzero(np.abs(likeness - SIMILAR) < 1e-9)  # summed in the order of all other cosines
+            near[a, b] = np.einsum("nd,nd->n", points[own[a]], others[b]) >= SIMILAR
+            if one == two:
+                near[np.arange(len(own)), np.arange(start, start + len(own))] = False
+            a, b = np.nonzero(near & (group[own][:, None] != group[right][None, :]))
+            if len(a):
+                name, root = rooted(group[own[a]], group[right[b]])
+                new = np.arange(len(nodes))
+                new[name] = root
+                group = new[group]
+            if columns:  # a pair that shares an earlier shard counts there
+                near &= (in_earlier[own] @ in_earlier[right].T) == 0
+            near = near.astype(float)
+            linked[own] += near @ other_copies
+            if one != two:
+                linked[right] += copies[own] @ near
+        apart, some = np.flatnonzero(group != np.arange(len(nodes))), np.flatnonzero(linked)
+        yield pa.RecordBatch.from_arrays([pa.array(nodes[apart]), pa.array(nodes[group[apart]]), pa.nulls(len(apart), pa.int64())], names=["node", "root", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(nodes[some]), pa.nulls(len(some), pa.int64()), pa.array(linked[some].astype(np.int64))], names=["node", "root", "n"])
+
+
 def class_links(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``node, n`` (copies of other classes linked to each class) and ``node, root`` (components of the links)."""
     spark = classes.sparkSession
     placed = settled(_shards(classes), "shards")
-    in_shards = placed.join(classes.select("node", "vector", "copies"), "node")
+    small, dense = placed.filter(F.col("size") <= SHARD_MOST), placed.filter(F.col("size") > SHARD_MOST)
+    in_shards = small.join(classes.select("node", "vector", "copies"), "node")
     dealt = in_shards.select("cell", "node", "vector").repartition(width(spark), "cell").sortWithinPartitions("cell")
     lists = dealt.mapInArrow(lean(_graph), "node bigint, neighbours array<bigint>")
     united = lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("neighbours"))).alias("neighbours"))
     cells = placed.groupBy("node").agg(F.collect_list("cell").alias("cells"))
-    described = classes.select("node", "vector", "copies").join(cells, "node").join(united, "node", "left")
+    described = classes.select("node", "vector", "copies").join(cells, "node")
+    blocks = F.ceil(F.col("size") / COMPARED).cast("int")
+    blocked = dense.join(described, "node").withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+    paired = blocked.withColumn("_other", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
+        "cell", F.least("block", "_other").alias("first"), F.greatest("block", "_other").alias("second"), "block", "node", "vector", "copies", "cells")
+    facing = paired.repartition(width(spark), "cell", "first", "second").sortWithinPartitions("cell", "first", "second")
+    compared = facing.mapInArrow(lean(_compare), "node bigint, root bigint, n bigint")
+    described = described.join(united, "node", "left")
     filled = described.withColumn("neighbours", F.coalesce("neighbours", F.array().cast("array<bigint>")))
-    full = placed.join(filled, "node").select("cell", "node", "vector", "copies", "cells", "neighbours")
-    found = settled(full.repartition(width(spark), "cell").sortWithinPartitions("cell").mapInArrow(lean(_search), "node bigint, root bigint, n bigint"), "found")
+    full = small.join(filled, "node").select("cell", "node", "vector", "copies", "cells", "neighbours")
+    searched = full.repartition(width(spark), "cell").sortWithinPartitions("cell").mapInArrow(lean(_search), "node bigint, root bigint, n bigint")
+    found = settled(searched.unionByName(compared), "found")
     counts = found.filter("n IS NOT NULL").groupBy("node").agg(F.sum("n").alias("n"))
     edges = found.filter("root IS NOT NULL").select(F.col("node").alias("a"), F.col("root").alias("b"))
     return counts, connected_components(edges)

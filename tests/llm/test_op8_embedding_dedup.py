@@ -56,6 +56,22 @@ def test_links_agree_with_brute_force(spark, monkeypatch, most):
     assert op.audit(frame_, result, 0.2) >= 0.99
 
 
+@pytest.mark.parametrize("n", [5000, 20000])
+def test_a_label_of_near_copies_loses_no_link(spark, monkeypatch, n):
+    monkeypatch.setattr(op, "COMPARED", 3000)
+    rng = np.random.default_rng(n)
+    centre = rng.normal(size=64)
+    points = (centre + 0.27 * rng.normal(size=(n, 64))).astype(np.float32)
+    frame_ = spark.createDataFrame([(i, v.tolist(), 1, 3, "x") for i, v in enumerate(points)], SCHEMA).repartition(8)
+    found = op.groups(frame_).cache()
+    units, expected = unit(points.astype(float)), 0
+    for start in range(0, n, 1000):
+        expected += int((units[start : start + 1000] @ units.T >= op.SIMILAR).sum())
+    got = found.agg({"n_links": "sum"}).first()[0]
+    assert 0.9 * (expected - n) <= got <= expected - n and expected > 20 * n
+    assert op.audit(frame_, found, 0.05) >= 0.9
+
+
 def test_odd_rows(spark):
     rows = [(0, [1, 0], 1), (1, [2, 0], 1), (2, [1, 0], 1), (2, [1, 0], 1), (3, [1, 0], 2), (4, [1, 0], None), (5, None, 1), (6, [], 1), (7, [0, 0], 1), (8, [None, 1], 1),
             (9, [float("nan"), 0], 1), (10, [float("-inf"), 0], 1), (11, [1, 0, 0], 1), (None, [1, 0], 2)]
