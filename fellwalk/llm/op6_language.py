@@ -5,9 +5,10 @@ features: the word itself if it is in the lexicon, its first and last one to thr
 Learned transitions tie neighbours. Forward-backward gives the probability of every language at every word, so code-switched
 text is labelled word by word; a document's language is the one with the largest mean, its score that mean.
 
-Training reads a bounded sample: ``SAMPLE_DOCS`` different texts at most, those with the smallest hash, from rows that
-:func:`learnable` allows (a text, a language, and crc32 of the id, modulo 3, not 1), and of each a window of ``SAMPLE_CHARS``
-characters at a place drawn by the hash. Their words are cut into segments, and segments of different documents are joined
+Training reads a bounded sample from rows that :func:`learnable` allows (a text, a language, and crc32 of the id, modulo 3, not
+1): of every language the different texts with the smallest hash (modulo ``2 ** 40``), as many as its equal part of ``SAMPLE_DOCS``, and
+``LEAST_DOCS`` at least; of each a window of ``SAMPLE_CHARS`` characters at a place drawn by the hash. So every language of
+these rows is a label, however rare. Their words are cut into segments, and segments of different documents are joined
 to sequences that switch languages, from which emissions and transitions are learned together by gradient steps on the
 likelihood. The sample is fixed by the data, so reruns learn the same model. The
 model is a table of ``2 ** FEATURE_BITS`` rows per language, whatever the corpus, and travels with the task function.
@@ -27,12 +28,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fellwalk.llm.common import lean, settle_llm
 from fellwalk.llm.tokens import pieces_of
+from fellwalk.workspace import settled
 
 SAMPLE_DOCS = 1200
+LEAST_DOCS = 20  # of every language, however many there are
 SAMPLE_CHARS = 2000
 FEATURE_BITS = 17
 LEXICON_FLOOR = 3  # a word seen less often in the sample is judged by its letters alone
@@ -234,13 +237,21 @@ def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = S
     """The model of a corpus, from its bounded sample; the driver holds no more than the sample."""
     settle_llm(docs.sparkSession)
     ranked = learnable(docs).select("lang", "text", F.xxhash64("text").alias("_hash"))
-    last = ranked.select("_hash").distinct().orderBy("_hash").limit(sample_docs).agg(F.max("_hash")).first()[0]
-    if last is None:
+    texts = ranked.select("lang", "_hash").distinct()
+    counts = settled(texts.groupBy("lang").agg(F.count(F.lit(1)).alias("_n")), "languages")
+    languages = counts.count()
+    if not languages:
         return Model([], np.zeros((1, 1), dtype=np.float32), np.zeros((1, 1)), {})
+    each = max(LEAST_DOCS, sample_docs // languages)
+    # four times as many as wanted lie below a language's bound, so no task ranks all of its texts; languages are labels, so few
+    place, most = F.pmod("_hash", F.lit(1 << 40)), F.lit(float(1 << 40))
+    below = texts.join(F.broadcast(counts), "lang").filter(place <= most * F.least(F.lit(1.0), F.lit(4.0 * each) / F.col("_n")))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(place, "_hash"))
+    drawn = below.withColumn("_rank", rank).filter(F.col("_rank") <= each).select("lang", "_hash")
     room = F.greatest(F.length("text") - sample_chars, F.lit(0))
     window = F.substr("text", (F.pmod("_hash", room + 1) + 1).cast("int"), F.lit(sample_chars))
-    sample = ranked.filter(F.col("_hash") <= last).select("_hash", "lang", window.alias("text"))
-    rows = sample.groupBy("_hash").agg(F.min(F.struct("lang", "text")).alias("_row")).select("_hash", "_row.*").orderBy("_hash").collect()
+    sample = ranked.join(F.broadcast(drawn), ["lang", "_hash"]).select("_hash", "lang", window.alias("text"))
+    rows = sample.groupBy("_hash", "lang").agg(F.min("text").alias("text")).orderBy("_hash", "lang").collect()
     return fit([r.text for r in rows], [r.lang for r in rows])
 
 

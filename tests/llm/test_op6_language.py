@@ -52,6 +52,15 @@ def test_switched_text_is_labelled_word_by_word():
     assert model.transitions[0, 0] > model.transitions[0, 1]
 
 
+def test_rare_languages_are_labels(spark):
+    ids = [i for i in range(9000) if zlib.crc32(str(i).encode()) % 3 != 1]
+    rare = {f"r{k}": f"{chr(97 + k) * 3} {chr(98 + k) * 4} {chr(97 + k) * 2}{chr(99 + k) * 2}" for k in range(12)}
+    rows = [(i, f"the cat number w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)} sat with the dog", "en") for i in ids[12:]]
+    rows += [(i, text, lang) for i, (lang, text) in zip(ids, rare.items())]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    assert op.learn(docs).labels == sorted(["en", *rare])
+
+
 def test_odd_rows(spark):
     rows = [(i, t, l, 1, "x") for i, (t, l) in enumerate([("the cat and the dog", "en"), ("der hund und die katze", "de")] * 40)]
     rows += [(900, None, "en", 1, "x"), (901, "", None, 1, "x"), (902, "123 !!", "de", 1, "x"), (None, "der hund und", None, 1, "x"), (903, "und " * 50_000, "de", 1, "x"), (903, "und " * 50_000, "de", 1, "x"), (904, "a" * 100_000, "en", 1, "x")]
