@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fellwalk.llm import op1_chat_format, op2_personal_data, op3_near_dedup, op4_mixing, op5_vantage_search, op6_language, op7_licences, op8_embedding_dedup, op9_packing, op10_token_files
+from fellwalk.llm import op1_chat_format, op2_personal_data, op3_near_dedup, op4_mixing, op5_vantage_search, op6_language, op7_licences, op8_embedding_dedup, op9_packing, op10_token_files, op13_lexical_search
 from fellwalk.llm.common import documents, settle_llm
 
 QUERIES = {}
@@ -163,3 +163,36 @@ SELECT doc_id, license, CAST(best.matched AS BIGINT) AS matched, best.matched /
 @_query("op7_licences", LICENCE_SQL)
 def licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op7_licences.scan(documents(spark, sf_dir))
+
+
+LEXICAL_SQL = r"""
+WITH terms AS (
+    SELECT doc_id, row_number() OVER () AS doc, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words
+    FROM documents
+), docs AS (
+    SELECT doc, doc_id, words, CAST(len(words) AS BIGINT) AS n FROM terms WHERE len(words) > 0
+), sums AS (
+    SELECT CAST(count(*) AS BIGINT) AS total, CAST(sum(n) AS BIGINT) AS length FROM docs
+), tfs AS (
+    SELECT doc, doc_id, n, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT doc, doc_id, n, unnest(words) AS term FROM docs) GROUP BY ALL
+), weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * total + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w FROM tfs, sums GROUP BY term, total
+), items AS (
+    SELECT item_id, term, count(*) AS times
+    FROM (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+    GROUP BY ALL
+), parts AS (
+    SELECT item_id, doc, doc_id, times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * total) // length))) AS part
+    FROM items JOIN tfs USING (term) JOIN weights USING (term), sums
+), scored AS (
+    SELECT item_id, doc_id, CAST(sum(part) AS BIGINT) AS score FROM parts GROUP BY item_id, doc, doc_id HAVING sum(part) > 0
+), ranked AS (
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score FROM scored
+)
+SELECT * FROM ranked WHERE rank <= 20
+"""
+
+
+@_query("op13_lexical_search", LEXICAL_SQL)
+def lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13_lexical_search.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
