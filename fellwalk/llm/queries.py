@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fellwalk.llm import op1_chat_format, op2_personal_data, op3_near_dedup, op4_mixing, op5_vantage_search, op6_language, op7_licences, op8_embedding_dedup, op9_packing, op10_token_files, op13_lexical_search
+from fellwalk.llm import op1_chat_format, op2_personal_data, op3_near_dedup, op4_mixing, op5_vantage_search, op6_language, op7_licences, op8_embedding_dedup, op9_packing, op10_token_files, op11_prefix_trie, op13_lexical_search
 from fellwalk.llm.common import documents, settle_llm
 
 QUERIES = {}
@@ -196,3 +196,41 @@ SELECT * FROM ranked WHERE rank <= 20
 @_query("op13_lexical_search", LEXICAL_SQL)
 def lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op13_lexical_search.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+TRIE_SQL = r"""
+WITH turns AS (
+    SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos
+    FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)
+), convs AS (
+    SELECT conv_id, turns, conv_id - conv_id % 5 AS base,
+        xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(conv_id::VARCHAR, ''), lambda s: ascii(s)::BIGINT)),
+            lambda x, y: list_reduce(list_concat([xor(x, y)], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda a, b: xor(a >> 1, (a & 1) * 3988292384)))) % 9 AS most
+    FROM (SELECT conv_id, count(*) AS turns FROM turns GROUP BY conv_id)
+), rebuilt AS (
+    SELECT c.conv_id, t.pos, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.base AND t.pos <= c.most
+    UNION ALL
+    SELECT t.conv_id, t.pos - greatest(c.most - coalesce(b.turns, 0), 0), t.role, t.text
+    FROM turns t JOIN convs c ON t.conv_id = c.conv_id LEFT JOIN convs b ON b.conv_id = c.base WHERE t.pos > c.most
+), rows AS (
+    SELECT conv_id, 0 AS depth, '' AS path, 0 AS bytes FROM convs
+    UNION ALL
+    SELECT conv_id, pos, string_agg(sha256(role) || sha256(text), '') OVER (PARTITION BY conv_id ORDER BY pos), strlen(text) FROM rebuilt
+), nodes AS (
+    SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(bytes) AS bytes,
+        coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE depth = longest), '') AS ends
+    FROM (SELECT *, max(depth) OVER (PARTITION BY conv_id) AS longest FROM rows) GROUP BY path, depth
+), below AS (
+    SELECT *, (SELECT count(*) FROM nodes c WHERE c.depth = n.depth + 1 AND starts_with(c.path, n.path)) AS n_children FROM nodes n
+)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children,
+    (SELECT count(*) FROM below s WHERE s.n_children = 0 AND starts_with(s.path, n.path)) AS n_leaves,
+    CAST((SELECT sum((s.n_convs - 1) * s.bytes) FROM nodes s WHERE starts_with(s.path, n.path)) AS BIGINT) AS saved_tokens,
+    sha256(n.ends) AS ends_sha256
+FROM below n LEFT JOIN nodes p ON p.depth = n.depth - 1 AND starts_with(n.path, p.path)
+"""
+
+
+@_query("op11_prefix_trie", TRIE_SQL)
+def prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11_prefix_trie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
