@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fellwalk.llm import op1_chat_format, op2_personal_data, op3_near_dedup, op4_mixing, op5_vantage_search, op6_language, op7_licences, op8_embedding_dedup, op9_packing, op10_token_files, op11_prefix_trie, op13_lexical_search
+from fellwalk.llm import op1_chat_format, op2_personal_data, op3_near_dedup, op4_mixing, op5_vantage_search, op6_language, op7_licences, op8_embedding_dedup, op9_packing, op10_token_files, op11_prefix_trie, op12_toxicity, op13_lexical_search
 from fellwalk.llm.common import documents, settle_llm
 
 QUERIES = {}
@@ -234,3 +234,8 @@ FROM below n LEFT JOIN nodes p ON p.depth = n.depth - 1 AND starts_with(n.path,
 @_query("op11_prefix_trie", TRIE_SQL)
 def prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op11_prefix_trie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+@_query("op12_toxicity")
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12_toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
