@@ -10,10 +10,8 @@ from fellwalk.functions.numbers import INFINITY, finite, general_format
 from fellwalk.operators.joins import same_group_join
 from fellwalk.workspace import settled
 
-# a bracket with more different values is narrowed once more; one task ranks the values of a bracket
-BRACKET_VALUES = 1_000_000
-SKETCH_ACCURACY = 10000
-MARKS = 1000
+# values of a digit: a pass tells so many parts of each range apart, so four passes settle any double
+DIGITS = 1 << 16
 
 
 def exact_quantiles(
@@ -21,91 +19,90 @@ def exact_quantiles(
     value: str,
     probabilities: Sequence[float],
     by: Sequence[str] = (),
-    bracket_values: int = BRACKET_VALUES,
+    digits: int = DIGITS,
 ) -> DataFrame:
     """Exact quantiles with linear interpolation; columns ``by``, ``probability``, ``quantile``.
 
-    NULL and NaN are left out; infinities are values.  Equal values are counted before they are
-    moved.  A bracket around each wanted rank, at first all values, is narrowed until it holds
-    at most ``bracket_values`` different values or narrows no further, and is then read off.
-    Every round is one scan of the counts with a bounded sketch per bracket.  The bracket holds
-    the wanted rank and the next one, because the rows below it are counted exactly.
+    NULL and NaN are left out; infinities are values.  Radix selection: every pass counts the values by
+    their next digit, for all wanted ranks at once, and keeps of each rank the one digit that holds
+    it.  The first digit is the sign and the logarithm, the later ones are equal parts of the range
+    that the values with the digits so far span; digits keep the order of the values, so counts
+    decide.  A rank is settled when all values left to it are equal.  A pass moves at most ``digits``
+    rows a task and range, whatever the values and however many of them are equal, and passes after
+    the first see only the values in ranges still open.
     """
     by = list(by)
-    keys = [*by, "probability"]
-    wanted = [float(p) for p in probabilities]
     number = F.col(value).cast("double")
     # adding zero makes the two zeros one value
-    rows = df.select(*by, (number + 0.0).alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    rows = settled(rows.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("c")), "counted")
+    rows = settled(df.select(*by, (number + 0.0).alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v")), "values")
+    counts = _digit_counts(rows.withColumn("_from", F.lit(0.0)), by, _magnitude(digits))
+    wanted = F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("probability")
     position = F.col("probability") * (F.col("n") - 1)
-    targets = F.explode(F.array(*[F.lit(p) for p in wanted])).alias("probability")
-    brackets = (
-        rows.groupBy(*by).agg(F.sum("c").alias("n")).filter("n > 0").select(*by, "n", targets)
-        .withColumn("rank", F.floor(position))
-        .withColumn("part", position - F.floor(position))
-        .withColumn("low", F.lit(-INFINITY))
-        .withColumn("high", F.lit(INFINITY))
-    )
-    brackets, before = settled(brackets, "bracket"), None
-    inside = F.col("_v") >= F.col("low")
+    sides = F.explode(F.array(F.floor(position), F.least(F.floor(position) + 1, F.col("n") - 1)))
+    totals = counts.groupBy(*by).agg(F.sum("c").alias("n")).filter("n > 0").select(*by, "n", wanted)
+    ranks = totals.select(*by, "probability", (position - F.floor(position)).alias("part"), sides.alias("rank")).dropDuplicates()
+    # whether a rank is the wanted one or the next, it keeps its place under its first number
+    targets = ranks.select("*", F.col("rank").alias("place"), F.lit(0.0).alias("_from"))
     while True:
-        candidates = _in_bracket(rows, brackets, by)
-        held = candidates.filter(inside).groupBy(*keys).agg(F.count(F.lit(1)).alias("d")).agg(F.max("d")).first()[0] or 0
-        if held <= bracket_values or held == before:
-            return _read_off(candidates, keys, by)
-        before = held
-        # marks over the different values, each mark with the rows below it, so that ranks find their place among the marks
-        sketch = candidates.filter(inside).groupBy(*keys).agg(
-            F.percentile_approx("_v", [i / MARKS for i in range(MARKS + 1)], SKETCH_ACCURACY).alias("marks")
-        )
-        placed = same_group_join(candidates, sketch, keys).withColumn(
-            "mark", F.when(inside, F.size(F.filter("marks", lambda m: m < F.col("_v")))).otherwise(-1)
-        )
-        filled = placed.groupBy(*keys, "mark").agg(F.sum("c").alias("c"))
-        running = Window.partitionBy(*keys).orderBy("mark")
-        upto = filled.withColumn("upto", F.sum("c").over(running)).withColumn("start", F.col("upto") - F.col("c"))
-        met = same_group_join(same_group_join(upto, brackets, keys), sketch, keys)
-        reached = met.filter((F.col("upto") > F.col("rank")) & (F.col("start") <= F.col("rank") + 1))
-        narrower = reached.groupBy(*keys, "n", "rank", "part").agg(
-            F.min(F.coalesce(F.get("marks", F.col("mark") - 1), F.col("low"))).alias("low"),
-            F.max(F.coalesce(F.get("marks", F.col("mark")), F.col("high"))).alias("high"),
-        )
-        brackets = settled(narrower, "bracket")
+        targets = settled(_narrowed(targets, counts, by), "targets")
+        open_ranges = targets.filter("lo < hi")
+        if open_ranges.isEmpty():
+            return _between(targets, by)
+        inside = _in_ranges(rows, open_ranges.groupBy(*by).agg(F.collect_set(F.struct("lo", "hi")).alias("_ranges")), by)
+        share = (F.col("_v") - F.col("r.lo")) / (F.col("r.hi") - F.col("r.lo"))
+        counts = _digit_counts(inside.withColumn("_from", F.col("r.lo")), by, F.floor(share * digits).cast("bigint"))
+        settled_ones = targets.filter("lo = hi").select(*by, "lo", "hi").dropDuplicates()
+        # a rank that is settled already is found again in the one value it has
+        done = settled_ones.select(*by, F.col("lo").alias("_from"), F.lit(0).cast("bigint").alias("digit"), F.lit(None).cast("bigint").alias("c"), "lo", "hi")
+        counts = counts.unionByName(done)
+        targets = targets.select(*by, "probability", "part", "place", "rank", F.col("lo").alias("_from"))
+
+
+def _magnitude(digits: int) -> Column:
+    """The first digit: sign and logarithm.  Logarithms are semi-monotonic, so the digit never falls as values rise."""
+    v, half = F.col("_v"), digits // 2
+    # natural logarithms of doubles lie between -745 and 710
+    size = F.floor((F.ln(F.abs(v)) + 746) / 1456 * half).cast("bigint") + 1
+    finite_digit = F.when(v == 0, 0).when(v > 0, size).otherwise(-size)
+    return F.when(v == INFINITY, half + 2).when(v == -INFINITY, -half - 2).otherwise(finite_digit)
+
+
+def _digit_counts(rows: DataFrame, by: list[str], digit: Column) -> DataFrame:
+    """``by``, ``_from`` (where the range starts), ``digit``, with the count and the span of its values."""
+    ends = [F.min("_v").alias("lo"), F.max("_v").alias("hi")]
+    return rows.groupBy(*by, "_from", digit.alias("digit")).agg(F.count(F.lit(1)).alias("c"), *ends)
+
+
+def _narrowed(targets: DataFrame, counts: DataFrame, by: list[str]) -> DataFrame:
+    """Each rank with the digit that holds it: what is left of the rank in it, and the span of its values.
+
+    Counts of a range that one value fills are NULL: its ranks stay as they are.
+    """
+    running = Window.partitionBy(*by, "_from").orderBy("digit")
+    upto = counts.withColumn("_upto", F.sum("c").over(running)).withColumn("_start", F.col("_upto") - F.col("c"))
+    met = same_group_join(targets, upto, [*by, "_from"])
+    held = F.col("c").isNull() | ((F.col("_start") <= F.col("rank")) & (F.col("rank") < F.col("_upto")))
+    return met.filter(held).select(
+        *by, "probability", "part", "place", (F.col("rank") - F.coalesce("_start", F.lit(0))).alias("rank"), "lo", "hi")
 
 
-def _in_bracket(rows: DataFrame, brackets: DataFrame, by: list[str]) -> DataFrame:
-    """Rows up to the upper end of each bracket of their group.
+def _in_ranges(rows: DataFrame, ranges: DataFrame, by: list[str]) -> DataFrame:
+    """The values in a range of their group that is still open, with that range as ``r``.
 
-    Without groups there is one bracket per wanted probability; they come as one scalar array.
-    With groups the planner decides on the join by the size of the written brackets.
+    Without groups the ranges are one scalar, two for each probability at most.  With groups there is one row of
+    ranges for each group, and the planner decides on the join by the size of the written targets.
     """
-    if by:
-        return same_group_join(rows, brackets, by).filter(F.col("_v") <= F.col("high"))
-    listed = brackets.agg(F.collect_list(F.struct(*brackets.columns)).alias("b")).scalar()
-    reached = F.filter(F.col("_b"), lambda b: F.col("_v") <= b["high"])
-    return rows.withColumn("_b", listed).select("_v", "c", F.explode(reached).alias("_b")).select("_v", "c", "_b.*")
-
-
-def _read_off(candidates: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
-    """Rank the distinct values inside each bracket and interpolate at the wanted rank."""
-    state = ["n", "rank", "part"]
-    inside = F.when(F.col("_v") >= F.col("low"), F.col("_v"))
-    distinct = candidates.groupBy(*keys, *state, inside.alias("_v")).agg(F.sum("c").alias("c"))
-    running = Window.partitionBy(*keys).orderBy(F.col("_v").asc_nulls_first())
-    ranked = distinct.withColumn("upto", F.sum("c").over(running)).withColumn("start", F.col("upto") - F.col("c"))
-    holds = lambda rank: F.col("_v").isNotNull() & (F.col("start") <= rank) & (rank < F.col("upto"))
-    value_at = lambda rank: F.max(F.when(holds(rank), F.col("_v")))
-    picked = ranked.groupBy(*keys, "part").agg(
-        value_at(F.col("rank")).alias("at"), value_at(F.least(F.col("rank") + 1, F.col("n") - 1)).alias("next")
-    )
-    outside = F.col("at").isNull() | F.col("next").isNull()
-    message = F.raise_error(F.lit("a wanted rank lies outside its bracket")).cast("double")
-    between = F.when((F.col("part") == 0) | (F.col("at") == F.col("next")), F.col("at")).otherwise(
-        (1 - F.col("part")) * F.col("at") + F.col("part") * F.col("next")
-    )
-    quantile = F.when(outside, message).otherwise(between)
-    return picked.select(*keys, quantile.alias("quantile"))
+    ranged = same_group_join(rows, ranges, by) if by else rows.withColumn("_ranges", ranges.scalar())
+    holding = F.filter("_ranges", lambda r: F.col("_v").between(r["lo"], r["hi"]))
+    return ranged.select(*by, "_v", F.explode(holding).alias("r"))
+
+
+def _between(targets: DataFrame, by: list[str]) -> DataFrame:
+    """The quantile between the values at the wanted rank and the next."""
+    picked = targets.groupBy(*by, "probability", "part").agg(F.min("lo").alias("at"), F.max("lo").alias("next"))
+    between = (1 - F.col("part")) * F.col("at") + F.col("part") * F.col("next")
+    quantile = F.when((F.col("part") == 0) | (F.col("at") == F.col("next")), F.col("at")).otherwise(between)
+    return picked.select(*by, "probability", quantile.alias("quantile"))
 
 
 def quantile_columns(

@@ -56,8 +56,8 @@ def test_narrowed_quantiles_are_exact(spark, kind):
     }[kind]
     df = numbers(spark, values)
     expected = np.quantile(values[~np.isnan(values)], POINTS)
-    for limit in (10**6, 40):
-        found = stats.exact_quantiles(df, "x", POINTS, bracket_values=limit).collect()
+    for limit in (1 << 16, 40):
+        found = stats.exact_quantiles(df, "x", POINTS, digits=limit).collect()
         got = {r["probability"]: r["quantile"] for r in found}
         assert [got[p] for p in POINTS] == pytest.approx(list(expected), rel=1e-12)
 
@@ -65,7 +65,7 @@ def test_narrowed_quantiles_are_exact(spark, kind):
 @pytest.mark.parametrize("limit", [10**6, 5])
 def test_infinities_are_values_and_giant_groups_narrow(spark, limit):
     ends = numbers(spark, [-math.inf, 1.0, 2.0, math.inf, math.inf])
-    assert [r["quantile"] for r in stats.exact_quantiles(ends, "x", [0.0, 0.5, 1.0], bracket_values=limit).orderBy("probability").collect()] == [-math.inf, 2.0, math.inf]
+    assert [r["quantile"] for r in stats.exact_quantiles(ends, "x", [0.0, 0.5, 1.0], digits=limit).orderBy("probability").collect()] == [-math.inf, 2.0, math.inf]
     group = F.when(F.col("id") % 10 == 0, F.col("id")).otherwise(-1)
     df = spark.range(4000).select(group.alias("g"), (F.col("id") * 0.5).alias("x"))
     found = {r["g"]: r["quantile"] for r in stats.exact_quantiles(df, "x", [0.25], ["g"], limit).collect()}
@@ -121,3 +121,13 @@ def test_summary_text(spark):
     assert (row["min"], row["max"]) == ("0.999394(-0.0606%)", "1.00174(+0.174%)")
     zero = stats.summary_text(stats.numeric_summary(numbers(spark, [0.0]), "x"), baseline=0.0).first()
     assert zero["max"] == "0(+0%)"
+
+
+def test_four_passes_settle_any_doubles(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    values = np.concatenate([rng.normal(size=3000) * 10.0 ** rng.integers(-320, 300, 3000), 1 + np.arange(3000) * 2.0**-52, [0.0, -0.0, 5e-324, -5e-324]])
+    passes, counted = [], stats._digit_counts
+    monkeypatch.setattr(stats, "_digit_counts", lambda *a: passes.append(1) or counted(*a))
+    found = {r["probability"]: r["quantile"] for r in stats.exact_quantiles(numbers(spark, values), "x", POINTS).collect()}
+    assert [found[p] for p in POINTS] == pytest.approx(list(np.quantile(values, POINTS)), rel=1e-15)
+    assert len(passes) <= 4
