@@ -12,10 +12,14 @@ outline and the size of the result, and one large region is spread over its line
 
 from __future__ import annotations
 
+import functools
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fellwalk.operators.joins import salted_lookup
 from fellwalk.session import spread
+from fellwalk.workspace import settled
 
 BOX = ("xmin", "ymin", "xmax", "ymax")
 SIDES = ("x1", "y1", "x2", "y2")
@@ -191,11 +195,21 @@ def sample_counts(edges: DataFrame, step: float) -> DataFrame:
     return candidates.join(inside, "region", "left").select("region", "candidates", F.coalesce("inside", F.lit(0)).alias("inside"))
 
 
-def _walk(edges: DataFrame, size: float) -> DataFrame:
-    """Each side with every tile of the given size that it touches, as ``tx`` and ``ty``."""
-    touch = lambda low, high: F.sequence(F.ceil(low / size) - 1, F.floor(high / size))
+def _walk(edges: DataFrame, size: float, parts: int = 0) -> DataFrame:
+    """Each side with every tile of the given size that it touches, as ``tx`` and ``ty``.
+
+    With ``parts`` the sides have a tile already, of ``parts`` times the size, and only its own parts are walked.
+    """
+    def touch(low: Column, high: Column, tile: str) -> Column:
+        first, last = F.ceil(low / size) - 1, F.floor(high / size)
+        if parts:
+            first, last = F.greatest(first, F.col(tile) * parts), F.least(last, F.col(tile) * parts + parts - 1)
+        return F.when(first <= last, F.sequence(first, last))
+
     left, right = F.least("x1", "x2"), F.greatest("x1", "x2")
-    walked = edges.select("*", F.explode(touch(left, right)).alias("tx"))
+    outer = [f"_{t}" for t in ("tx", "ty") if parts]
+    edges = edges.withColumnsRenamed({t: f"_{t}" for t in ("tx", "ty")}) if parts else edges
+    walked = edges.select("*", F.explode(touch(left, right, "_tx")).alias("tx"))
     low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
 
     def height_at(x: Column) -> Column:
@@ -208,7 +222,7 @@ def _walk(edges: DataFrame, size: float) -> DataFrame:
     ya = F.when(upright, F.col("y1")).otherwise(height_at(enter))
     yb = F.when(upright, F.col("y2")).otherwise(height_at(leave))
     heights = walked.withColumn("_a", ya).withColumn("_b", yb)
-    return heights.select("*", F.explode(touch(F.least("_a", "_b"), F.greatest("_a", "_b"))).alias("ty")).drop("_a", "_b")
+    return heights.select("*", F.explode(touch(F.least("_a", "_b"), F.greatest("_a", "_b"), "_ty")).alias("ty")).drop("_a", "_b", *outer)
 
 
 def tile_cover(edges: DataFrame) -> DataFrame:
@@ -242,52 +256,133 @@ def tile_rings(tiles: DataFrame) -> DataFrame:
     return tiles.withColumn("ring", F.array(*[corner(dx, dy) for dx, dy in ((0, 0), (1, 0), (1, 1), (0, 1), (0, 0))]))
 
 
-def points_within(points: DataFrame, edges: DataFrame, size: float = 0.25) -> DataFrame:
-    """Pairs of point and region where the point is strictly inside: ``point``, ``region``.
+# A tile is split into 8 x 8 parts while more sides touch it, down to parts so small that only a common corner can be left.
+SIDES_MOST, PARTS, LEVELS = 64, 8, 7
 
-    ``points`` has ``point``, ``x``, ``y``.  Points and sides meet by square tiles, so a point
-    sees only the sides that touch its own tile.  Whether the lower left corner of a tile is
-    inside is decided once per region; going from there along the left edge of the tile to the
-    height of the point, and then across to the point, every side that is crossed changes the
-    answer.  A tile that no side touches is inside as a whole or not at all.  The points of a
-    busy tile are salted.
+
+def _climbs(edge_x: Column, base_y: Column, y: Column) -> Column:
+    """Whether a side is crossed on the way up along the left edge of a tile, from ``base_y`` to ``y``."""
+    x1, y1, x2, y2 = (F.col(c) for c in SIDES)
+    start, stop = F.greatest(base_y, F.least(y1, y2)), F.least(y, F.greatest(y1, y2))
+    return F.when(y1 == y2, (base_y < y1) & (y1 <= y) & ((x1 < edge_x) != (x2 < edge_x))).otherwise(
+        (start <= stop) & ((_side_at(start) < edge_x) != (_side_at(stop) < edge_x)))
+
+
+def _spans(y: Column) -> Column:
+    """Whether a side crosses a height, its upper end left out."""
+    y1, y2 = F.col("y1"), F.col("y2")
+    return (y1 != y2) & (F.least(y1, y2) <= y) & (y < F.greatest(y1, y2))
+
+
+def _corner_turns(size: float) -> Column:
+    """64 bits, one for the lower left corner of each part of a tile: whether a side is crossed on the way there from the tile's own.
+
+    ``size`` is that of a part.  The way goes up along the left edge and then across, so the bits of a row of parts are
+    turned as a whole by the climb, and from the first part beyond the crossing on.
     """
-    sides = _walk(edges, size).select("region", *SIDES, "tx", "ty")
+    edge_x, base_y = F.col("tx") * PARTS * size, F.col("ty") * PARTS * size
+    every = (1 << PARTS) - 1
+    turns = F.lit(0).cast("bigint")
+    for j in range(PARTS):
+        y = base_y + j * size
+        here = _side_at(y)
+        beyond = F.least(F.greatest(_first_beyond(here, edge_x, F.lit(size)), F.lit(0)), F.lit(PARTS)).cast("int")
+        crossed = F.when(_spans(y) & (here >= edge_x), F.call_function("shiftleft", F.lit(every), beyond).bitwiseAND(every)).otherwise(0)
+        row = crossed.bitwiseXOR(F.when(_climbs(edge_x, base_y, y), every).otherwise(0)).cast("bigint")
+        turns = turns.bitwiseOR(F.shiftleft(row, PARTS * j))
+    return turns
+
+
+def _known(corners: DataFrame, sides: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """From the tiles of each region whose corner is inside: those that no side touches, which are inside as a whole, and the
+    touched ones with the state of their corner."""
+    touched = sides.select("region", "tx", "ty").dropDuplicates().withColumn("touched", F.lit(True))
+    state = corners.withColumn("corner", F.lit(1)).join(touched, ["region", "tx", "ty"], "full_outer")
+    whole = state.filter(F.col("touched").isNull()).select("region", "tx", "ty")
+    return whole, state.filter("touched").select("region", "tx", "ty", F.coalesce("corner", F.lit(0)).alias("corner"))
+
+
+def side_tree(edges: DataFrame, size: float = 0.25, most: int = SIDES_MOST) -> tuple[DataFrame, DataFrame, DataFrame, int]:
+    """A quadtree over the sides of regions: its leaves' sides, its whole leaves, its split tiles, and its deepest level.
+
+    The tiles of level 0 have ``size`` (a power of two), those of the next level an eighth of it.  A tile that more than
+    ``most`` sides touch is split; its sides go on to the parts they touch, and the sides crossed on the way to the corner of a
+    part tell whether that is inside.  Leaves have ``level``, ``tx``, ``ty``, ``region``, the side, and ``corner``, the state of the
+    lower left corner; whole leaves are inside and touched by no side of that region.
+    """
+    if math.frexp(size)[0] != 0.5:
+        raise ValueError("the size must be a power of two")
     west, south = F.floor(F.col("xmin") / size), F.floor(F.col("ymin") / size)
     across, up = F.floor(F.col("xmax") / size) - west + 1, F.floor(F.col("ymax") / size) - south + 1
-    cornered = with_grid(edges, west * size, size, across, south * size, size, up)
-    corners = grid_inside(cornered, strict=False).select(
+    corners = grid_inside(with_grid(edges, west * size, size, across, south * size, size, up), strict=False).select(
         "region", F.round(F.col("gx") / size + F.col("i")).cast("bigint").alias("tx"),
         F.round(F.col("gy") / size + F.col("j")).cast("bigint").alias("ty"),
     )
-    touched = sides.select("region", "tx", "ty").dropDuplicates().withColumn("touched", F.lit(True))
-    state = corners.withColumn("corner", F.lit(1)).join(touched, ["region", "tx", "ty"], "full_outer")
-    whole = state.filter(F.col("touched").isNull()).select("region", "tx", "ty")
-    on_outline = state.filter("touched").select("region", "tx", "ty", F.coalesce("corner", F.lit(0)).alias("corner"))
-
-    tile = lambda axis: F.floor(F.col(axis) / size).cast("bigint")
-    placed = points.select("point", "x", "y", tile("x").alias("tx"), tile("y").alias("ty"))
-    certain = salted_lookup(placed, whole, ["tx", "ty"], F.col("point")).select("point", "region")
-    judged = salted_lookup(sides, on_outline, ["region", "tx", "ty"], F.struct(*SIDES))
-    met = salted_lookup(placed, judged, ["tx", "ty"], F.col("point"))
+    sides = _walk(edges, size).select("region", *SIDES, "tx", "ty")
+    leaves, wholes, split = [], [], []
+    for level in range(LEVELS + 1):
+        sides = settled(sides, "sides")
+        whole, outline = _known(corners, sides)
+        at = F.lit(level).alias("level")
+        wholes.append(whole.select(at, "*"))
+        busy = sides.groupBy("tx", "ty").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > most).select("tx", "ty", F.lit(True).alias("busy"))
+        busy = settled(busy, "busy")
+        last = level == LEVELS or busy.isEmpty()
+        flagged = sides.withColumn("busy", F.lit(None).cast("boolean")) if last else salted_lookup(sides, busy, ["tx", "ty"], F.struct(*SIDES), "left")
+        kept = flagged.filter(F.col("busy").isNull()).drop("busy")
+        leaves.append(salted_lookup(kept, outline, ["region", "tx", "ty"], F.struct(*SIDES)).select(at, "tx", "ty", "region", *SIDES, "corner"))
+        if last:
+            break
+        split.append(busy.select(at, "tx", "ty"))
+        size /= PARTS
+        inner = settled(flagged.filter("busy").drop("busy"), "split-sides")
+        turns = inner.groupBy("region", "tx", "ty").agg(F.bit_xor(_corner_turns(size)).alias("turns"))
+        states = outline.join(turns, ["region", "tx", "ty"]).withColumn("states", F.col("turns").bitwiseXOR(F.when(F.col("corner") == 1, -1).otherwise(0).cast("bigint")))
+        parts = states.select("*", F.explode(F.sequence(F.lit(0), F.lit(PARTS**2 - 1))).alias("k")).filter(F.expr("getbit(states, k)") == 1)
+        corners = settled(parts.select(
+            "region", (F.col("tx") * PARTS + F.col("k") % PARTS).alias("tx"), (F.col("ty") * PARTS + F.floor(F.col("k") / PARTS)).alias("ty")), "corners")
+        sides = _walk(inner, size, PARTS).select("region", *SIDES, "tx", "ty")
+    union = lambda frames: functools.reduce(DataFrame.unionByName, frames)
+    none = leaves[0].select("level", "tx", "ty").limit(0)
+    return union(leaves), union(wholes), union([none, *split]), level
+
+
+def points_and_sides(points: DataFrame, edges: DataFrame, size: float = 0.25, most: int = SIDES_MOST) -> tuple[DataFrame, DataFrame]:
+    """Points with the sides in their leaf of the :func:`side_tree` and its corner's state, and points with the regions that
+    cover their tile.  A point meets at most ``most`` sides, unless more meet in one corner."""
+    leaves, wholes, split, depth = side_tree(edges, size, most)
+    tile = lambda axis, level: F.floor(F.col(axis) / (F.lit(size) / F.pow(F.lit(float(PARTS)), level))).cast("bigint")
+    placed = points.select("point", "x", "y", F.lit(0).alias("level"))
+    with_tile = lambda df: df.withColumn("tx", tile("x", F.col("level"))).withColumn("ty", tile("y", F.col("level")))
+    reached = [with_tile(placed)]
+    for level in range(depth):  # on with the points in split tiles
+        deeper = salted_lookup(reached[-1], split.filter(F.col("level") == level), ["level", "tx", "ty"], F.col("point"))
+        reached.append(with_tile(settled(deeper.select("point", "x", "y", F.lit(level + 1).alias("level")), "points")))
+    placed = functools.reduce(DataFrame.unionByName, reached)
+    certain = salted_lookup(placed, wholes, ["level", "tx", "ty"], F.col("point")).select("point", "region")
+    return salted_lookup(placed, leaves, ["level", "tx", "ty"], F.col("point")), certain
+
+
+def points_within(points: DataFrame, edges: DataFrame, size: float = 0.25, most: int = SIDES_MOST) -> DataFrame:
+    """Pairs of point and region where the point is strictly inside: ``point``, ``region``.
 
+    ``points`` has ``point``, ``x``, ``y``.  Points and sides meet in the leaves of a quadtree over the sides, so a
+    point sees few sides however fine the outlines are.  Whether the lower left corner of a leaf is
+    inside is known for each region; going from there along the left edge of the leaf to the
+    height of the point, and then across to the point, every side that is crossed changes the
+    answer.  A leaf that no side touches is inside as a whole or not at all.  The points of a
+    busy tile are salted.
+    """
+    met, certain = points_and_sides(points, edges, size, most)
     x, y, x1, y1, x2, y2 = (F.col(c) for c in ("x", "y", *SIDES))
-    edge_x, base_y = F.col("tx") * size, F.col("ty") * size
-    low, high, left, right = F.least(y1, y2), F.greatest(y1, y2), F.least(x1, x2), F.greatest(x1, x2)
-
-    # along the left edge of the tile, from its corner up to the height of the point
-    start, stop = F.greatest(base_y, low), F.least(y, high)
-    level = y1 == y2
-    climbs = F.when(level, (base_y < y1) & (y1 <= y) & ((x1 < edge_x) != (x2 < edge_x))).otherwise(
-        (start <= stop) & ((_side_at(start) < edge_x) != (_side_at(stop) < edge_x))
-    )
-    # across to the point
+    extent = F.lit(size) / F.pow(F.lit(float(PARTS)), F.col("level"))
+    edge_x, base_y = F.col("tx") * extent, F.col("ty") * extent
     here = _side_at(y)
-    spans = ~level & (low <= y) & (y < high)
-    crosses = spans & (here >= edge_x) & (here < x)
-    on_side = F.when(level, (y == y1) & x.between(left, right)).otherwise(y.between(low, high) & (here == x))
+    crosses = _spans(y) & (here >= edge_x) & (here < x)
+    on_side = F.when(y1 == y2, (y == y1) & x.between(F.least(x1, x2), F.greatest(x1, x2))).otherwise(
+        y.between(F.least(y1, y2), F.greatest(y1, y2)) & (here == x))
     verdict = met.groupBy("point", "region").agg(
-        F.max("corner").alias("corner"), F.count_if(climbs).alias("climbs"), F.count_if(crosses).alias("crosses"), F.max(on_side).alias("on")
+        F.max("corner").alias("corner"), F.count_if(_climbs(edge_x, base_y, y)).alias("climbs"), F.count_if(crosses).alias("crosses"), F.max(on_side).alias("on")
     )
     inside = ((F.col("corner") + F.col("climbs") + F.col("crosses")) % 2 == 1) & ~F.col("on")
     return verdict.filter(inside).select("point", "region").unionByName(certain)

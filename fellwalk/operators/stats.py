@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -35,27 +36,22 @@ def exact_quantiles(
     number = F.col(value).cast("double")
     # adding zero makes the two zeros one value
     rows = settled(df.select(*by, (number + 0.0).alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v")), "values")
-    counts = _digit_counts(rows.withColumn("_from", F.lit(0.0)), by, _magnitude(digits))
-    wanted = F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("probability")
     position = F.col("probability") * (F.col("n") - 1)
-    sides = F.explode(F.array(F.floor(position), F.least(F.floor(position) + 1, F.col("n") - 1)))
-    totals = counts.groupBy(*by).agg(F.sum("c").alias("n")).filter("n > 0").select(*by, "n", wanted)
-    ranks = totals.select(*by, "probability", (position - F.floor(position)).alias("part"), sides.alias("rank")).dropDuplicates()
-    # whether a rank is the wanted one or the next, it keeps its place under its first number
-    targets = ranks.select("*", F.col("rank").alias("place"), F.lit(0.0).alias("_from"))
+    wanted = F.array(*[F.struct(F.lit(float(p)).alias("probability"), F.lit(side).alias("side")) for p in probabilities for side in (0, 1)])
+    counts = _running(_digit_counts(rows.withColumn("_from", F.lit(0.0)), by, _magnitude(digits)), by)
+    counts = counts.withColumn("n", F.sum("c").over(Window.partitionBy(*by, "_from"))).select("*", F.inline(wanted))
+    ranked = counts.withColumn("rank", F.least(F.floor(position) + F.col("side"), F.col("n") - 1)).withColumn("part", position - F.floor(position))
+    found = []
     while True:
-        targets = settled(_narrowed(targets, counts, by), "targets")
-        open_ranges = targets.filter("lo < hi")
-        if open_ranges.isEmpty():
-            return _between(targets, by)
-        inside = _in_ranges(rows, open_ranges.groupBy(*by).agg(F.collect_set(F.struct("lo", "hi")).alias("_ranges")), by)
+        found.append(settled(_held(ranked, by), "targets"))
+        open_ranks = found[-1].filter("lo < hi")
+        if open_ranks.isEmpty():
+            return _between(functools.reduce(DataFrame.unionByName, [f.filter("lo = hi") for f in found]), by)
+        inside = _in_ranges(rows, open_ranks.groupBy(*by).agg(F.collect_set(F.struct("lo", "hi")).alias("_ranges")), by)
         share = (F.col("_v") - F.col("r.lo")) / (F.col("r.hi") - F.col("r.lo"))
-        counts = _digit_counts(inside.withColumn("_from", F.col("r.lo")), by, F.floor(share * digits).cast("bigint"))
-        settled_ones = targets.filter("lo = hi").select(*by, "lo", "hi").dropDuplicates()
-        # a rank that is settled already is found again in the one value it has
-        done = settled_ones.select(*by, F.col("lo").alias("_from"), F.lit(0).cast("bigint").alias("digit"), F.lit(None).cast("bigint").alias("c"), "lo", "hi")
-        counts = counts.unionByName(done)
-        targets = targets.select(*by, "probability", "part", "place", "rank", F.col("lo").alias("_from"))
+        counts = _running(_digit_counts(inside.withColumn("_from", F.col("r.lo")), by, F.floor(share * digits).cast("bigint")), by)
+        wanted_ranks = open_ranks.select(*by, "probability", "side", "part", "rank", F.col("lo").alias("_from"))
+        ranked = same_group_join(wanted_ranks, counts, [*by, "_from"])
 
 
 def _magnitude(digits: int) -> Column:
@@ -73,17 +69,16 @@ def _digit_counts(rows: DataFrame, by: list[str], digit: Column) -> DataFrame:
     return rows.groupBy(*by, "_from", digit.alias("digit")).agg(F.count(F.lit(1)).alias("c"), *ends)
 
 
-def _narrowed(targets: DataFrame, counts: DataFrame, by: list[str]) -> DataFrame:
-    """Each rank with the digit that holds it: what is left of the rank in it, and the span of its values.
-
-    Counts of a range that one value fills are NULL: its ranks stay as they are.
-    """
+def _running(counts: DataFrame, by: list[str]) -> DataFrame:
+    """The counts with the values of the range before each digit: ``_start``, and with it: ``_upto``."""
     running = Window.partitionBy(*by, "_from").orderBy("digit")
-    upto = counts.withColumn("_upto", F.sum("c").over(running)).withColumn("_start", F.col("_upto") - F.col("c"))
-    met = same_group_join(targets, upto, [*by, "_from"])
-    held = F.col("c").isNull() | ((F.col("_start") <= F.col("rank")) & (F.col("rank") < F.col("_upto")))
-    return met.filter(held).select(
-        *by, "probability", "part", "place", (F.col("rank") - F.coalesce("_start", F.lit(0))).alias("rank"), "lo", "hi")
+    return counts.withColumn("_upto", F.sum("c").over(running)).withColumn("_start", F.col("_upto") - F.col("c"))
+
+
+def _held(ranked: DataFrame, by: list[str]) -> DataFrame:
+    """Each rank with the digit that holds it: what is left of the rank in it, and the span of its values."""
+    here = (F.col("_start") <= F.col("rank")) & (F.col("rank") < F.col("_upto"))
+    return ranked.filter(here).select(*by, "probability", "side", "part", (F.col("rank") - F.col("_start")).alias("rank"), "lo", "hi")
 
 
 def _in_ranges(rows: DataFrame, ranges: DataFrame, by: list[str]) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from fellwalk.operators.layers import TILE_SIZE
 from fellwalk.operators.stats import exact_quantiles
+from fellwalk.workspace import settled
 
 
 def cell_statistics(cells: DataFrame, value: str = "z") -> DataFrame:
@@ -17,6 +18,8 @@ def cell_statistics(cells: DataFrame, value: str = "z") -> DataFrame:
     the exact quantile job, because both aggregates would otherwise hold all distinct values.
     """
     x = F.col(value)
+    # three jobs read the values, which may be dear to derive
+    cells = settled(cells.select(value), "cells")
     simple = cells.agg(
         F.count(x).alias("data_cells"),
         F.avg(x).alias("mean"),

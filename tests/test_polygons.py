@@ -61,11 +61,35 @@ def test_points_within(spark, regions):
     points = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(places)], "point int, x double, y double")
     expected = {(i, name) for i, (x, y) in enumerate(places) for name, rings in regions.items() if strictly_inside(rings, x, y)}
     edges = polygons.ring_edges(frame(spark, regions))
-    for size in (0.25, 1.0, 16.0):
-        found = polygons.points_within(points, edges, size).collect()
+    for size, most in ((0.25, 64), (1.0, 64), (16.0, 12)):
+        found = polygons.points_within(points, edges, size, most).collect()
         assert len(found) == len(expected) and set(map(tuple, found)) == expected
 
 
+def test_points_see_few_sides_of_a_fine_outline(spark):
+    """A ring of 20,000 sides within one tile: a point meets at most the sides of its leaf, and the answers are exact."""
+    rng = np.random.default_rng(4)
+    turn = np.arange(20_000) * (2 * math.pi / 20_000)
+    radius = 0.09 + 0.02 * np.sin(37 * turn) + 0.0005 * rng.random(20_000)
+    ring = list(zip((0.125 + radius * np.cos(turn)).tolist(), (0.125 + radius * np.sin(turn)).tolist()))
+    edges = polygons.ring_edges(frame(spark, {"fine": [ring], "wide": [[(0.01, 0.01), (0.24, 0.01), (0.24, 0.24)]]}))
+    at = np.concatenate([rng.random((1500, 2)) * 0.25, np.asarray(ring[:100]), np.asarray(ring[:400]) + rng.normal(0, 2e-5, (400, 2))])
+    points = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(at.tolist())], "point int, x double, y double")
+    x1, y1 = np.asarray(ring).T
+    x2, y2 = np.roll(x1, -1), np.roll(y1, -1)
+    expected = set()
+    for i, (x, y) in enumerate(at.tolist()):
+        spans = (y1 <= y) != (y2 <= y)
+        cross = x1[spans] + (y - y1[spans]) * (x2[spans] - x1[spans]) / (y2[spans] - y1[spans])
+        if i not in range(1500, 1600) and (cross < x).sum() % 2:
+            expected.add((i, "fine"))
+        if 0.01 < y < x < 0.24:
+            expected.add((i, "wide"))
+    assert set(map(tuple, polygons.points_within(points, edges).collect())) == expected
+    met, _ = polygons.points_and_sides(points, edges)
+    assert met.groupBy("point").count().agg(F.max("count")).first()[0] <= polygons.SIDES_MOST
+
+
 @pytest.mark.parametrize("step", [0.5, 0.37])
 def test_region_samples(spark, regions, step):
     expected = set()
