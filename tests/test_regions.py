@@ -99,6 +99,30 @@ def test_viewshed(raster, observer):
     assert np.array_equal(found, seen_from(z, *observer, 30.0), equal_nan=True)
 
 
+@pytest.mark.parametrize("observer", [(17, 11), (0, 0), (29, 3), (5, 20)])
+def test_viewshed_over_many_blocks(raster, monkeypatch, observer):
+    """Lines through blocks of any size, in short runs, see what whole lines see."""
+    monkeypatch.setattr(visibility, "MOST_STEPS", 40)
+    z = np.random.default_rng(6).normal(0, 20, (21, 30))
+    z[4:8, 6:11] = np.nan
+    expected = seen_from(z, *observer, 30.0)
+    for block in (4, 7):
+        monkeypatch.setattr(visibility, "BLOCK", block)
+        found = grid_of(visibility.viewshed(raster(z), *observer, 30.0), "visible", z.shape)
+        assert np.array_equal(found, expected, equal_nan=True)
+
+
+def test_lines_leave_one_row_a_block():
+    """What is shuffled follows the rims of blocks: of each block at most as many rows as lines pass it."""
+    handed = []
+    lines = visibility.Lines(visibility.Shape(0, 0, 512, 512), 256, 256)
+    for west, north in ((128, -64), (-256, -256), (192, 191)):
+        passing = sum(len(number) for number, *_ in lines.steps(west, north, west + 63, north + 63))
+        handed.append(passing)
+        assert passing <= 6 * 64
+    assert all(handed)
+
+
 def test_flat_land_is_seen_whole(raster):
     assert grid_of(visibility.viewshed(raster(np.zeros((6, 11))), 3, 2, 30.0), "visible", (6, 11)).min() == 1
 
