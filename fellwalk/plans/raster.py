@@ -621,6 +621,29 @@ def visible_regions(spark, d):
     return visibility.visible_regions(t.dem(spark, d), CELL, min_visible_percent=5.0, tile_size=PIECE)
 
 
+COARSE = 4
+
+
+@job(
+    "visible_regions_third",
+    t.with_views(
+        """SELECT col, row, region FROM regions WHERE region IN (
+  SELECT region FROM regions JOIN viewshed USING (col, row) WHERE visible IS NOT NULL GROUP BY 1 HAVING sum(visible) >= count(*) * 0.3::DOUBLE)""",
+        extra={
+            "fine_v": t.DEM_SQL,
+            "dem_v": f"SELECT (col // {COARSE})::INT AS col, (row // {COARSE})::INT AS row, round(avg(z), 6) AS z FROM fine_v GROUP BY 1, 2",
+            **TERRAIN, **_REGION_VIEWS, **_VIEWSHED_VIEWS,
+        },
+        recursive=True,
+    ),
+)
+def visible_regions_third(spark, d):
+    """The default share of 30 percent, over the raster in coarser cells, whose means are smooth enough to be seen."""
+    coarse = lambda c: F.floor(F.col(c) / COARSE).cast("int").alias(c)
+    cells = t.dem(spark, d).groupBy(coarse("col"), coarse("row")).agg(F.round(F.avg("z"), 6).alias("z"))
+    return visibility.visible_regions(settled(cells, "coarse"), CELL, tile_size=PIECE)
+
+
 # --- costs -------------------------------------------------------------------------------
 
 MAX_SLOPE, MAX_HEIGHT = 40.0, 3990.0
