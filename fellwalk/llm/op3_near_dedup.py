@@ -2,11 +2,13 @@
 
 1. **Sketch.** Every text becomes its set of five-word shingles (64-bit hashes), a 128-bit key of the set, and a signature of
    ``TREES * DEPTH`` MinHash values. Texts with equal sets are one class from here on, so copies are never compared.
-2. **Forest.** Each tree orders the signatures by its own ``DEPTH`` values. Classes that share the first ``LEAST_DEPTH`` values
-   are a region; a region with more than ``REGION`` classes is parted by one more value, and so on, so the depth follows
-   the density. Within a region those whose whole signatures agree in ``LIKELY`` of their values are candidates. A region
-   gives a spanning forest, not its pairs; a region still crowded at full depth is parted by hash, and every crowded one
-   also ties its classes to its first class when they agree.
+2. **Forest.** Each tree orders the signatures by its own ``DEPTH`` values, then by those of the trees after it. Classes that share
+   the first values, as many as :class:`Forest` says, are a region; a region with more than ``REGION`` classes is parted by
+   one more value, and so on, so the depth follows the density. Within a region those whose whole signatures agree in a likely
+   share of their values are candidates. A region still crowded at full depth is sorted by the whole order, over as many
+   tasks as it takes, and every class is held against the ``REGION`` or more on each side of it that have the longest common
+   prefixes with it. A region gives a spanning forest, not its pairs; every crowded one also ties its classes to its first
+   class when they agree.
 3. **Groups.** The connected components of the candidates over all trees hold every link (up to the forest's misses).
 4. **Confirmation.** Inside a group all pairs are held against each other on their full sets, in blocks of ``BLOCK`` classes
    per task. A group of several blocks first meets its pivot, the class nearest to the group's most common signature; the
@@ -14,7 +16,9 @@
    its two classes are known to be connected, and a block gives a spanning forest of its links.
 5. **Components** of the links, and the smallest ``doc_id`` of each.
 
-At similarity 0.85 a tree misses a pair with probability 0.56 and all 24 with less than one in a million.
+The similarity is a parameter; depth, trees and the likely share follow from it, so that a pair at that similarity is missed by all
+trees with a probability below ``MISS``: 24 trees from depth 5 at 0.85, 27 from depth 4 at 0.8. In regions crowded at full depth
+neighbours in the order take the place of shared prefixes; there is no such bound, but families so dense are chains of neighbours.
 
 Nulls and odd input: a null text, or one without words, has the empty set, is linked with nothing and is kept; a text of
 fewer than five words is one shingle; rows with a null ``doc_id`` take part and are kept only where their whole component has
@@ -24,6 +28,8 @@ null ids; repeated rows are copies of each other; an empty table gives no rows;
 
 from __future__ import annotations
 
+import dataclasses
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,13 +45,39 @@ from fellwalk.workspace import settled
 
 SHINGLE = 5
 SIMILAR = (85, 100)  # links have 100 * intersection >= 85 * union
-TREES, DEPTH, LEAST_DEPTH = 24, 8, 5
+DEPTH, MISS, DEVIATIONS = 8, 1e-6, 5.8
 REGION = 64
-LIKELY = 0.70  # more than five standard deviations below 0.85 for 192 values
 BLOCK = 128
 RUN = 256
 SKETCHED_CHARS = 1 << 21  # characters sketched at a time
 
+
+
+@dataclasses.dataclass(frozen=True)
+class Forest:
+    """What follows from the similarity of links, a fraction of two integers."""
+
+    similar: tuple[int, int]
+
+    @property
+    def share(self) -> float:
+        return self.similar[0] / self.similar[1]
+
+    @property
+    def least(self) -> int:
+        """The first depth: the deepest at which a tree holds two fifths of the pairs at the similarity."""
+        return max(1, min(DEPTH, math.floor(math.log(0.4) / math.log(min(self.share, 0.99)))))
+
+    @property
+    def trees(self) -> int:
+        return math.ceil(math.log(MISS) / math.log(1 - self.share**self.least))
+
+    @property
+    def likely(self) -> float:
+        """The share of equal values that a pair at the similarity hardly ever falls below."""
+        return self.share - DEVIATIONS * math.sqrt(self.share * (1 - self.share) / (self.trees * DEPTH))
+
+
 SKETCH = "doc_id bigint, text_hash bigint, n_shingles bigint, node bigint, key bigint, signature binary"
 EDGE = "a bigint, b bigint"
 
@@ -79,13 +111,13 @@ def shingle_sets(texts: list[str]) -> list[np.ndarray]:
         if b - a >= SHINGLE:
             out.append(np.unique(shingles[a : b - SHINGLE + 1]))
         else:
-            short = (words[a:b] * factors[: b - a]).sum(dtype=np.uint64) + np.uint64(b - a) * factors[-1]
-            out.append(_mixed(np.asarray([short] * (b > a), dtype=np.uint64)))
+            short = np.append(words[a:b] * factors[: b - a], np.asarray([b - a], dtype=np.uint64) * factors[-1:])
+            out.append(_mixed(short.sum(dtype=np.uint64, keepdims=True)[: b > a]))
     return out
 
 
-def _multipliers() -> np.ndarray:
-    return np.random.default_rng(20_240_229).integers(0, 1 << 32, size=TREES * DEPTH, dtype=np.uint32) | np.uint32(1)
+def _multipliers(forest: Forest) -> np.ndarray:
+    return np.random.default_rng(20_240_229).integers(0, 1 << 32, size=forest.trees * DEPTH, dtype=np.uint32) | np.uint32(1)
 
 
 def signature(shingles: np.ndarray, multipliers: np.ndarray) -> np.ndarray:
@@ -99,14 +131,14 @@ def signature(shingles: np.ndarray, multipliers: np.ndarray) -> np.ndarray:
     return (low ^ (low >> np.uint32(16))).astype("<u2")
 
 
-def sketches(docs: DataFrame) -> DataFrame:
+def sketches(docs: DataFrame, forest: Forest) -> DataFrame:
     """One row per document, settled: its set's size, node (64 bits of the set's key), the other 64 bits, and signature."""
     settle_llm(docs.sparkSession)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        multipliers = _multipliers()
+        multipliers = _multipliers(forest)
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             sizes, nodes, keys, signatures = [], [], [], []
@@ -126,7 +158,7 @@ def sketches(docs: DataFrame) -> DataFrame:
     return settled(rows.mapInArrow(lean(sketch), SKETCH), "sketches")
 
 
-def _region_keys(depth: int):
+def _region_keys(depth: int, trees_: int):
     """A task function from ``node, signature`` (and trees) to regions at a depth."""
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,16 +167,16 @@ def _region_keys(depth: int):
             if not batch.num_rows:
                 continue
             node = batch.column("node").to_numpy()
-            values = np.frombuffer(b"".join(batch.column("signature").to_pylist()), dtype="<u2").reshape(len(node), TREES, DEPTH)
+            values = np.frombuffer(b"".join(batch.column("signature").to_pylist()), dtype="<u2").reshape(len(node), trees_, DEPTH)
             sums = (values[:, :, :depth].astype(np.uint64) + np.uint64(1)) @ factors[:depth]
-            trees = np.arange(TREES, dtype=np.uint64)
+            trees = np.arange(trees_, dtype=np.uint64)
             region = _mixed(sums + (trees + np.uint64(1)) * factors[-1]).view(np.int64)
             if "tree" in batch.schema.names:
                 tree = batch.column("tree").to_numpy()
                 region = region[np.arange(len(node)), tree]
                 nodes = node
             else:
-                tree, nodes, region = np.tile(np.arange(TREES), len(node)), np.repeat(node, TREES), region.reshape(-1)
+                tree, nodes, region = np.tile(np.arange(trees_), len(node)), np.repeat(node, trees_), region.reshape(-1)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(tree.astype(np.int32)), pa.array(region), pa.array(nodes)], names=["tree", "region", "node"])
 
@@ -156,53 +188,121 @@ def _agreements(values: np.ndarray) -> np.ndarray:
     return np.stack([(values == row).mean(axis=1) for row in values])
 
 
-def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spanning forests of the likely pairs in each region, joined over all regions of the task."""
-    first, second = [], []
-    for table in runs_of(batches, ["region", "part"]):
-        if table.num_rows < 2:
-            continue
-        nodes = table.column("node").to_numpy()
-        values = np.frombuffer(b"".join(table.column("signature").to_pylist()), dtype="<u2").reshape(len(nodes), -1)
-        for start in range(0, len(nodes), 512):  # a part is about REGION classes; a longer one goes in slices
-            part = slice(start, start + 512)
-            a, b = np.nonzero(np.triu(_agreements(values[part]) >= LIKELY, 1))
-            if len(a):
-                node, root = rooted(nodes[part][a], nodes[part][b])
-                apart = node != root
-                first.append(node[apart])
-                second.append(root[apart])
+def _forest_of(first: list[np.ndarray], second: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """A spanning forest of edges given in pieces."""
     if first:
         node, root = rooted(np.concatenate(first), np.concatenate(second))
         apart = node != root
-        yield pa.RecordBatch.from_arrays([pa.array(node[apart]), pa.array(root[apart])], names=["a", "b"])
+        if apart.any():
+            yield pa.RecordBatch.from_arrays([pa.array(node[apart]), pa.array(root[apart])], names=["a", "b"])
+
+
+def _likely_pairs(table: pa.Table, likely: float) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the likely pairs among some classes."""
+    nodes = table.column("node").to_numpy()
+    values = np.frombuffer(b"".join(table.column("signature").to_pylist()), dtype="<u2").reshape(len(nodes), -1)
+    a, b = np.nonzero(np.triu(_agreements(values) >= likely, 1))
+    if not len(a):
+        return nodes[:0], nodes[:0]
+    node, root = rooted(nodes[a], nodes[b])
+    return node[node != root], root[node != root]
+
+
+def _candidates(likely: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Spanning forests of the likely pairs in each region, joined over all regions of the task."""
+        first, second = [], []
+        for table in runs_of(batches, ["region"]):
+            if table.num_rows > 1:
+                a, b = _likely_pairs(table, likely)
+                first.append(a)
+                second.append(b)
+        yield from _forest_of(first, second)
+
+    return run
+
+
+def _orders(trees_: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The place of a class in its tree's order: all values, from the tree's own on, as bytes that sort like them."""
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            tree = batch.column("tree").to_numpy()
+            values = np.frombuffer(b"".join(batch.column("signature").to_pylist()), dtype="<u2").reshape(len(tree), trees_ * DEPTH)
+            turned = values[np.arange(len(tree))[:, None], (np.arange(trees_ * DEPTH) + tree[:, None] * DEPTH) % (trees_ * DEPTH)].astype(">u2")
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("region"), pa.array([row.tobytes() for row in turned], pa.binary()), batch.column("node"), batch.column("signature")],
+                names=["region", "place", "node", "signature"])
+
+    return run
 
 
-def candidate_edges(classes: DataFrame) -> DataFrame:
+def _neighbours(likely: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Likely pairs among classes near each other in the order of their region: windows of three ``REGION``, each a ``REGION`` on."""
+        first, second, held, region = [], [], None, None
+
+        def take(table: pa.Table) -> None:
+            a, b = _likely_pairs(table, likely)
+            first.append(a)
+            second.append(b)
+
+        for batch in batches:
+            key = batch.column("region").to_numpy()
+            bounds = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(key)] if len(key) else [0]
+            for start, end in zip(bounds[:-1], bounds[1:]):
+                some = pa.Table.from_batches([batch.slice(start, end - start).select(["node", "signature"])])
+                if region == key[start] and held is not None:
+                    held = pa.concat_tables([held, some])
+                else:
+                    if held is not None and held.num_rows > 1:
+                        take(held)
+                    held, region = some, key[start]
+                while held.num_rows > 3 * REGION:
+                    take(held.slice(0, 3 * REGION))
+                    held = held.slice(REGION).combine_chunks()
+        if held is not None and held.num_rows > 1:
+            take(held)
+        yield from _forest_of(first, second)
+
+    return run
+
+
+def candidate_edges(classes: DataFrame, forest: Forest) -> DataFrame:
     """Edges ``a, b`` whose components hold the likely pairs of ``classes`` (``node, signature``)."""
     spark = classes.sparkSession
-    placed, found = classes.mapInArrow(_region_keys(LEAST_DEPTH), "tree int, region bigint, node bigint"), []
-    for depth in range(LEAST_DEPTH, DEPTH + 1):
-        counts = placed.groupBy("region").agg(F.count(F.lit(1)).alias("_n"), F.min("node").alias("_first")).filter("_n > 1")
-        members = settled(placed.join(counts, "region"), "regions")
-        ready = members if depth == DEPTH else members.filter(F.col("_n") <= REGION)
-        parts = F.ceil(F.col("_n") / REGION).cast("int")
-        part = F.when(F.col("_n") > REGION, F.pmod(F.xxhash64("node"), parts)).otherwise(F.lit(0)).cast("int")
-        found.append(ready.select("region", part.alias("part"), "node"))
-        crowded = members.filter(F.col("_n") > REGION)
-        # a class and the first class of its crowded region make a region of two
-        tied = crowded.filter("node <> _first").select(
-            F.xxhash64("region", "node").alias("region"), F.explode(F.array("node", "_first")).alias("node"))
-        found.append(tied.select("region", F.lit(0).alias("part"), "node"))
-        if depth == DEPTH or crowded.isEmpty():
+    keys = "tree int, region bigint, node bigint"
+    placed, found, edges = classes.mapInArrow(_region_keys(forest.least, forest.trees), keys), [], []
+    for depth in range(forest.least, DEPTH + 1):
+        placed = settled(placed, "regions")
+        counts = settled(placed.groupBy("region").agg(F.count(F.lit(1)).alias("_n"), F.min("node").alias("_first")).filter("_n > 1"), "region-counts")
+        # popular regions are few and looked up with a salt; the join of all others then has no hot key
+        popular = counts.filter(F.col("_n") > REGION)
+        flagged = salted_lookup(placed, popular, ["region"], F.col("node"), "left")
+        found.append(flagged.filter("_n IS NULL").select("region", "node").join(counts.filter(F.col("_n") <= REGION).select("region"), "region", "left_semi"))
+        if popular.isEmpty():
             break
-        placed = crowded.select("tree", "node").join(classes, "node").mapInArrow(_region_keys(depth + 1), "tree int, region bigint, node bigint")
+        crowded = settled(flagged.filter("_n IS NOT NULL"), "crowded")
+        # a class and the first class of its crowded region make a region of two
+        found.append(crowded.filter("node <> _first").select(
+            F.xxhash64("region", "node").alias("region"), F.explode(F.array("node", "_first")).alias("node")))
+        signed = crowded.select("tree", "region", "node").join(classes, "node")
+        if depth < DEPTH:
+            placed = signed.mapInArrow(_region_keys(depth + 1, forest.trees), keys)
+        else:
+            ordered = signed.mapInArrow(lean(_orders(forest.trees)), "region bigint, place binary, node bigint, signature binary")
+            dealt = ordered.repartitionByRange(width(spark), "region", "place").sortWithinPartitions("region", "place")
+            edges.append(dealt.select("region", "node", "signature").mapInArrow(lean(_neighbours(forest.likely)), EDGE))
     regions = found[0]
     for more in found[1:]:
         regions = regions.unionByName(more)
-    signed = regions.join(classes, "node").select("region", "part", "node", "signature")
-    dealt = signed.repartition(width(spark), "region", "part").sortWithinPartitions("region", "part")
-    return dealt.mapInArrow(lean(_candidates), EDGE)
+    signed = regions.join(classes, "node").select("region", "node", "signature")
+    dealt = signed.repartition(width(spark), "region").sortWithinPartitions("region")
+    out = dealt.mapInArrow(lean(_candidates(forest.likely)), EDGE)
+    for more in edges:
+        out = out.unionByName(more)
+    return out
 
 
 def intersections(sets: list[np.ndarray], left: int, columns: int = 1 << 14) -> np.ndarray:
@@ -223,35 +323,34 @@ def intersections(sets: list[np.ndarray], left: int, columns: int = 1 << 14) ->
     return total
 
 
-def linked_pairs(sets: list[np.ndarray], left: int) -> tuple[np.ndarray, np.ndarray]:
+def linked_pairs(sets: list[np.ndarray], left: int, similar: tuple[int, int] = SIMILAR) -> tuple[np.ndarray, np.ndarray]:
     """Positions of linked sets, the first of each pair among the first ``left``."""
     shared = intersections(sets, left)
     size = np.asarray([len(s) for s in sets])
     union = size[:left, None] + size[None, :] - shared
-    return np.nonzero(SIMILAR[1] * shared >= SIMILAR[0] * union)
-
-
-def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spanning forests of the links between the ``left`` rows of each group and all its rows."""
-    for table in runs_of(batches, ["group", "i", "j"]):
-        left = table.column("left").to_numpy(zero_copy_only=False).astype(bool)
-        order = np.argsort(~left, kind="stable")
-        nodes = table.column("node").to_numpy()[order]
-        raw = table.column("shingles").to_pylist()
-        sets = [np.frombuffer(raw[k], dtype=np.uint64) for k in order]
-        if not left.any() or len(sets) < 2:
-            continue
-        a, b = linked_pairs(sets, int(left.sum()))
-        node, root = rooted(nodes[a], nodes[b])
-        apart = node != root
-        if apart.any():
-            yield pa.RecordBatch.from_arrays([pa.array(node[apart]), pa.array(root[apart])], names=["a", "b"])
+    return np.nonzero(similar[1] * shared >= similar[0] * union)
+
+
+def _confirm(similar: tuple[int, int]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Spanning forests of the links between the ``left`` rows of each group and all its rows."""
+        for table in runs_of(batches, ["group", "i", "j"]):
+            left = table.column("left").to_numpy(zero_copy_only=False).astype(bool)
+            order = np.argsort(~left, kind="stable")
+            nodes = table.column("node").to_numpy()[order]
+            raw = table.column("shingles").to_pylist()
+            sets = [np.frombuffer(raw[k], dtype=np.uint64) for k in order]
+            if left.any() and len(sets) > 1:
+                a, b = linked_pairs(sets, int(left.sum()), similar)
+                yield from _forest_of([nodes[a]], [nodes[b]])
+
+    return run
 
 
-def _in_groups(rows: DataFrame) -> DataFrame:
+def _in_groups(rows: DataFrame, similar: tuple[int, int]) -> DataFrame:
     """Links of rows ``group, i, j, left, node, shingles``."""
     dealt = rows.repartition(width(rows.sparkSession), "group", "i", "j").sortWithinPartitions("group", "i", "j")
-    return dealt.select("group", "i", "j", "left", "node", "shingles").mapInArrow(lean(_confirm), EDGE)
+    return dealt.select("group", "i", "j", "left", "node", "shingles").mapInArrow(lean(_confirm(similar)), EDGE)
 
 
 def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -307,13 +406,13 @@ def _pivots(members: DataFrame) -> DataFrame:
     return near.groupBy("group").agg(F.max_by("node", F.struct("agreement", "node")).alias("pivot"))
 
 
-def links(docs: DataFrame, sketched: DataFrame) -> DataFrame:
+def links(docs: DataFrame, sketched: DataFrame, forest: Forest) -> DataFrame:
     """Edges ``a, b`` between nodes, whose components are those of all links."""
     spark = docs.sparkSession
     filled = sketched.filter("n_shingles > 0")
     classes = settled(
         filled.groupBy("node", "key").agg(F.min(F.struct("doc_id", "text_hash")).alias("_doc"), F.first("signature").alias("signature")), "classes")
-    grouped = connected_components(candidate_edges(classes.select("node", "signature")))
+    grouped = connected_components(candidate_edges(classes.select("node", "signature"), forest))
     sizes = grouped.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
     members = settled(grouped.join(sizes, "root").select(F.col("root").alias("group"), "node", "members"), "members")
 
@@ -334,7 +433,7 @@ def links(docs: DataFrame, sketched: DataFrame) -> DataFrame:
 
     zero = F.lit(0)
     small = members.filter(F.col("members") <= BLOCK).join(full, "node")
-    edges = _in_groups(small.select("group", zero.alias("i"), zero.alias("j"), F.lit(True).alias("left"), "node", "shingles"))
+    edges = _in_groups(small.select("group", zero.alias("i"), zero.alias("j"), F.lit(True).alias("left"), "node", "shingles"), forest.similar)
     large = members.filter(F.col("members") > BLOCK)
     if large.isEmpty():
         return edges
@@ -345,7 +444,7 @@ def links(docs: DataFrame, sketched: DataFrame) -> DataFrame:
     first = pivots.join(large.groupBy("group").agg(F.max(blocks).alias("_blocks")), "group").join(full, F.col("pivot") == F.col("node"))
     at_pivot = first.select("group", zero.alias("i"), F.explode(F.sequence(zero, F.col("_blocks") - 1)).alias("j"), F.lit(True).alias("left"), "node", "shingles")
     others = with_sets.join(pivots, (with_sets["group"] == pivots["group"]) & (F.col("node") == F.col("pivot")), "left_anti")
-    star = settled(_in_groups(at_pivot.unionByName(others.select("group", zero.alias("i"), "j", F.lit(False).alias("left"), "node", "shingles"))), "stars")
+    star = settled(_in_groups(at_pivot.unionByName(others.select("group", zero.alias("i"), "j", F.lit(False).alias("left"), "node", "shingles")), forest.similar), "stars")
 
     core = star.select(F.explode(F.array("a", "b")).alias("node")).unionByName(pivots.select(F.col("pivot").alias("node"))).dropDuplicates()
     loose = settled(large.join(core, "node", "left_anti"), "loose")
@@ -355,14 +454,15 @@ def links(docs: DataFrame, sketched: DataFrame) -> DataFrame:
         "group", "i", F.explode(F.sequence(zero, F.ceil(F.col("members") / BLOCK).cast("int") - 1)).alias("j"), F.lit(True).alias("left"), "node", "shingles")
     right = with_sets.join(loose_blocks, "group").select(
         "group", F.explode(F.sequence(zero, F.col("_loose") - 1)).alias("i"), "j", F.lit(False).alias("left"), "node", "shingles")
-    rest = _in_groups(left.unionByName(right))
+    rest = _in_groups(left.unionByName(right), forest.similar)
     return edges.unionByName(star).unionByName(rest)
 
 
-def groups(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_hash, n_shingles, component_id, kept`` of every document."""
-    sketched = sketches(docs)
-    roots = connected_components(links(docs, sketched))
+def groups(docs: DataFrame, similar: tuple[int, int] = SIMILAR) -> DataFrame:
+    """``doc_id, text_hash, n_shingles, component_id, kept`` of every document; ``similar``, a fraction, is the least of a link."""
+    forest = Forest(similar)
+    sketched = sketches(docs, forest)
+    roots = connected_components(links(docs, sketched, forest))
     # thousands of copies share a node and a component; both lookups hold only what more than one text or row has
     rooted_rows = salted_lookup(sketched.filter("n_shingles > 0"), roots, ["node"], F.col("doc_id"), "left")
     filled = rooted_rows.withColumn("_component", F.coalesce("root", "node"))
@@ -374,9 +474,9 @@ def groups(docs: DataFrame) -> DataFrame:
     return found.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def deduplicate(docs: DataFrame) -> DataFrame:
+def deduplicate(docs: DataFrame, similar: tuple[int, int] = SIMILAR) -> DataFrame:
     """The documents with one of each component: that of the smallest ``doc_id``, then text hash. All columns stay."""
-    found = groups(docs).filter("n_shingles > 0")
+    found = groups(docs, similar).filter("n_shingles > 0")
     order = F.struct(F.col("doc_id").isNull().alias("_null"), "doc_id", "text_hash")
     keepers = settled(found.groupBy("_component").agg(F.min(order).alias("_keep")).select(
         F.col("_keep.doc_id").alias("_keep_id"), F.col("_keep.text_hash").alias("_keep_hash")), "keepers")

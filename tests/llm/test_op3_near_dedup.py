@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from brute_near_dedup import components, shingles
 
 from fellwalk.llm import op3_near_dedup as op
@@ -44,6 +45,42 @@ def test_components_agree_with_brute_force(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(d for d, (_, c) in expected.items() if d == c)
 
 
+@pytest.mark.parametrize("similar", [80, 85, 92])
+def test_every_similarity_agrees_with_brute_force(spark, similar):
+    """Planted pairs around the similarity asked for; near copies of 0.8 to 0.85 are links at 0.8 alone."""
+    rng = random.Random(similar)
+    rows = []
+    for k in range(150):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(rng.randrange(40, 160))]
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(edited(rng, base, rng.choice([0.008, 0.016, 0.02, 0.024, 0.03]))))]
+    got = sorted((r.doc_id, r.component_id) for r in op.groups(frame(spark, rows), (similar, 100)).collect())
+    assert got == [(doc, found) for (doc, _), (_, found) in zip(rows, components(rows, similar))]
+
+
+def test_misses_are_bounded_at_every_similarity():
+    for similar, least, trees in ((85, 5, 24), (80, 4, 27)):
+        forest = op.Forest((similar, 100))
+        assert (forest.least, forest.trees) == (least, trees)
+        assert (1 - forest.share**forest.least) ** forest.trees < op.MISS
+    assert 0.69 < op.Forest((85, 100)).likely < 0.71 and 0.62 < op.Forest((80, 100)).likely < 0.66
+
+
+def test_crowded_regions_lose_no_link(spark, monkeypatch):
+    """Hundreds of pages from one template, each with its own field or two: regions are crowded down to the full depth."""
+    monkeypatch.setattr(op, "REGION", 8)
+    rng = random.Random(8)
+    page = [f"p{i}" for i in range(120)]
+    texts = []
+    for k in range(400):
+        words = list(page)
+        for at in rng.sample(range(120), rng.choice([1, 2, 3, 4])):
+            words[at] = f"v{rng.randrange(10**6)}"
+        texts.append(" ".join(words))
+    rows = list(enumerate(texts))
+    got = sorted((r.doc_id, r.component_id) for r in op.groups(frame(spark, rows)).collect())
+    assert got == [(doc, found) for (doc, _), (_, found) in zip(rows, components(rows))]
+
+
 def test_sets_are_those_of_the_definition():
     texts = [t for _, t in corpus(9)][:200]
     for text, found in zip(texts, op.shingle_sets([t or "" for t in texts])):
