@@ -1,9 +1,11 @@
 """Language identification by a linear-chain conditional random field over the words of a text.
 
-Every word is a state of the chain, its label a language. The emission of a word is the sum of the learned weights of its
-features: the word itself if it is in the lexicon, its first and last one to three letters, and its letter pairs and triples.
-Learned transitions tie neighbours. Forward-backward gives the probability of every language at every word, so code-switched
-text is labelled word by word; a document's language is the one with the largest mean, its score that mean.
+Every word is a state of the chain, its label a language. A word is a letter (Unicode category L) and the letters and marks (M)
+that follow it; number signs such as a half, a circled one or a Roman numeral of one sign are no letters. The emission of a word
+is the sum of the learned weights of its features: the word itself if it is in the lexicon, its first and last one to three
+letters, and its letter pairs and triples. Learned transitions tie neighbours. Forward-backward gives the probability of every
+language at every word, so code-switched text is labelled word by word; a document's language is the one with the largest mean,
+its score that mean.
 
 Training reads a bounded sample from rows that :func:`learnable` allows (a text, a language, and crc32 of the id, modulo 3, not
 1): of every language the different texts with the smallest hash (modulo ``2 ** 40``), as many as its equal part of ``SAMPLE_DOCS``, and
@@ -23,11 +25,11 @@ an empty table gives no rows; columns of other names are kept by :func:`keep_ide
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fellwalk.llm.common import lean, settle_llm
@@ -44,7 +46,7 @@ PIECE = 64
 REMEMBERED = 300_000
 UNKNOWN = "und"
 MIN_SCORE = 0.35
-WORDS = re.compile(r"[^\W\d_]+")
+WORDS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 
 
 # ---- features ----

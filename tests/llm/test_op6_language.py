@@ -61,6 +61,19 @@ def test_rare_languages_are_labels(spark):
     assert op.learn(docs).labels == sorted(["en", *rare])
 
 
+def test_words_are_letters_with_their_marks():
+    assert op.words_of("½ ² ① Ⅷ 12 _ +") == []
+    assert op.words_of("हिन्दी ภาษาไทย العَرَبِيَّة e\u0301a x1y ²z") == ["हिन्दी", "ภาษาไทย", "العَرَبِيَّة", "e\u0301a", "x", "y", "z"]
+
+
+def test_number_signs_are_no_language(spark):
+    rows = [(i, t, l) for i, (t, l) in enumerate([("the cat and the dog", "en"), ("यह एक हिन्दी वाक्य है", "hi")] * 40)]
+    rows += [(900, "½ ² ①", "en"), (901, "Ⅷ", "en"), (902, "हिन्दी वाक्य है", None)]
+    got = {r.doc_id: r for r in op.identify(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()}
+    assert [(got[i].lang_pred, got[i].score, got[i].n_words) for i in (900, 901)] == [("und", 0.0, 0)] * 2
+    assert got[902].lang_pred == "hi" and got[902].n_words == 3
+
+
 def test_odd_rows(spark):
     rows = [(i, t, l, 1, "x") for i, (t, l) in enumerate([("the cat and the dog", "en"), ("der hund und die katze", "de")] * 40)]
     rows += [(900, None, "en", 1, "x"), (901, "", None, 1, "x"), (902, "123 !!", "de", 1, "x"), (None, "der hund und", None, 1, "x"), (903, "und " * 50_000, "de", 1, "x"), (903, "und " * 50_000, "de", 1, "x"), (904, "a" * 100_000, "en", 1, "x")]
