@@ -181,8 +181,11 @@ def find_spans(docs: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame) -> DataFrame:
     """The documents with personal data masked in ``text``, and ``n_chars``, if there, counted anew. All columns stay."""
-    out = docs.withColumn("_spans", span_column(F.col("text"))).withColumn("text", masked(F.col("text"), F.col("_spans"))).drop("_spans")
-    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+    found = docs.select(F.struct("*").alias("row"), span_column(F.col("text")).alias("spans"))
+    hidden = found.select("row", masked(F.col("row.text"), F.col("spans")).alias("text"))
+    anew = {"text": F.col("text"), "n_chars": F.length("text")}
+    kinds = {f.name: f.dataType for f in docs.schema}
+    return hidden.select(*[anew[c].cast(kinds[c]).alias(c) if c in anew else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -58,6 +58,13 @@ def test_context_is_the_text_before_a_span_whatever_matches_in_it(spark):
     assert op.redact(frame(spark, texts[:1])).first().text == "SSN: [SSN], [SSN]"
 
 
+def test_columns_of_any_name_stay(spark):
+    docs = spark.createDataFrame([(1, "to a@b.cd", [5], "r", 9, 0.5)], "doc_id bigint, text string, _spans array<int>, row string, n_chars int, spans double")
+    found = op.redact(docs)
+    assert found.dtypes == docs.dtypes
+    assert tuple(found.first()) == (1, "to [EMAIL]", [5], "r", 10, 0.5)
+
+
 def test_redaction_masks_every_span_and_nothing_else(spark):
     docs = frame(spark, ODD).withColumn("n_chars", F.length("text").cast("bigint")).withColumn("_at", F.lit("kept")).withColumn("spans", F.lit(1))
     got = {r.doc_id: r for r in op.redact(docs).collect()}
