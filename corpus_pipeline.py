@@ -15,15 +15,18 @@ from fellwalk.llm.queries import vocabulary
 from fellwalk.workspace import settled
 
 
+SIMILAR = (80, 100)
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, or without one language for most of their words, go."""
     return op6_language.keep_identified(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays."""
+    """One document of each group of near duplicates stays; four fifths of their shingles make documents alike."""
     settle_llm(spark)
-    return op3_near_dedup.deduplicate(docs)
+    return op3_near_dedup.deduplicate(docs, SIMILAR)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
