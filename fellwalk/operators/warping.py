@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fellwalk.functions.projections import Projection, TransverseMercator, utm_epsg, utm_zone
@@ -38,37 +40,95 @@ def target_frame(
     return Georeference(left, top, cell_size, cell_size, crs), Shape(0, 0, cols, rows)
 
 
-def quads(cells: DataFrame, block: int = BLOCK, by: Sequence[str] = ()) -> DataFrame:
-    """The 2x2 cells to the right of and below every position: ``col``, ``row``, ``z00 z10 z01 z11``.
+# ---- sampling by block ----
 
-    A position has a row if any of its four cells exists.  One shuffle by block serves the
-    whole step, with the first row and column of a block copied to the block before it.
-    """
-    by = list(by)
-    keys = [*by, "bc", "br"]
-    home = lambda axis: F.floor(axis / block).cast("int")
+REQUEST = "cells struct<col:array<int>,row:array<int>,x:array<double>,y:array<double>,sc:array<int>,sr:array<int>>"
+
+
+def _source_blocks(cells: DataFrame) -> DataFrame:
+    """One row for each block of ``BLOCK`` x ``BLOCK`` cells: ``bc``, ``br``, ``source``, with the first column and row after it."""
+    home = lambda axis: F.floor(axis / BLOCK).cast("int")
     reach = lambda axis: F.array_distinct(F.array(home(axis - 1), home(axis)))
-    placed = cells.select(*by, "col", "row", "z", F.explode(reach(F.col("col"))).alias("bc"))
-    placed = placed.select("*", F.explode(reach(F.col("row"))).alias("br")).repartition(*keys)
-    names = ("z00", "z10", "z01", "z11")
+    placed = cells.select("col", "row", "z", F.explode(reach(F.col("col"))).alias("bc")).select("*", F.explode(reach(F.col("row"))).alias("br"))
+    one = F.struct(F.col("col").cast("int").alias("col"), F.col("row").cast("int").alias("row"), F.col("z").cast("double").alias("z"))
+    return placed.groupBy("bc", "br").agg(F.collect_list(one).alias("source"))
+
 
-    def role(name: str):
-        left, up = int(name[1]), int(name[2])
-        values = [(F.col("z") if n == name else F.lit(None).cast("double")).alias(n) for n in names]
-        return F.struct((F.col("col") - left).alias("col"), (F.col("row") - up).alias("row"), *values)
+def _requests(located: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Target cells packed by ``keys``: one row for those of an Arrow batch that share them, with arrays as ``cells``.
 
-    sent = placed.select(*keys, F.explode(F.array(*[role(n) for n in names])).alias("q")).select(*keys, "q.*")
-    own = sent.filter((home(F.col("col")) == F.col("bc")) & (home(F.col("row")) == F.col("br")))
-    return own.groupBy(*keys, "col", "row").agg(*[F.max(n).alias(n) for n in names]).drop("bc", "br")
+    ``located`` has the integer ``keys``, the target cell ``col row``, its place in the source ``x y``, and the source cell
+    ``sc sr`` that place is counted from.  Neighbouring rows should share their keys; nothing is shuffled.
+    """
+    keys, names = list(keys), ("col", "row", "x", "y", "sc", "sr")
+
+    def pack(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            by = [batch.column(k).to_numpy() for k in keys]
+            values = [batch.column(n).to_numpy() for n in names]
+            order = np.lexsort(by[::-1])
+            new = np.zeros(len(order), dtype=bool)
+            for k in by:
+                new[1:] |= k[order][1:] != k[order][:-1]
+            starts = np.append(0, np.flatnonzero(new))
+            bounds = pa.array(np.append(starts, len(order)), pa.int32())
+            kinds = (pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.int32(), pa.int32())
+            lists = [pa.ListArray.from_arrays(bounds, pa.array(v[order], t)) for v, t in zip(values, kinds)]
+            yield pa.RecordBatch.from_arrays([*[pa.array(k[order][starts], pa.int32()) for k in by], pa.StructArray.from_arrays(lists, names=list(names))], names=[*keys, "cells"])
+
+    schema = ", ".join([f"{k} int" for k in keys] + [REQUEST])
+    return located.select(*[F.col(k).cast("int").alias(k) for k in keys], *names).mapInArrow(pack, schema)
+
+
+def _mixed(z: np.ndarray, known: np.ndarray, c: np.ndarray, r: np.ndarray, fx: np.ndarray, fy: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bilinear values at ``fx``, ``fy`` from the cells ``c``, ``r`` of a grid, over the cells with data, and whether there are any.
+
+    The grid has a column and a row without data after the last, which place -1 means too.
+    """
+    weight, value = np.zeros(len(c)), np.zeros(len(c))
+    for dc, dr, share in ((0, 0, (1 - fx) * (1 - fy)), (1, 0, fx * (1 - fy)), (0, 1, (1 - fx) * fy), (1, 1, fx * fy)):
+        here = known[r + dr, c + dc]
+        weight = weight + np.where(here, share, 0.0)
+        value = value + np.where(here, share * np.where(here, z[r + dr, c + dc], 0.0), 0.0)
+    there = weight > 0
+    return np.where(there, value, 0.0) / np.where(there, weight, 1.0), there
 
 
-def mixed(fx: Column, fy: Column) -> Column:
-    """Bilinear value within a quad at ``fx``, ``fy`` from its upper left cell, over the cells with data."""
-    weights = {"z00": (1 - fx) * (1 - fy), "z10": fx * (1 - fy), "z01": (1 - fx) * fy, "z11": fx * fy}
-    present = lambda name, value: F.when(F.col(name).isNotNull(), value).otherwise(F.lit(0.0))
-    weight = sum((present(n, w) for n, w in weights.items()), F.lit(0.0))
-    value = sum((present(n, w * F.col(n)) for n, w in weights.items()), F.lit(0.0))
-    return F.when(weight > 0, value / weight)
+def _sampled(met: DataFrame, keys: Sequence[str], method: str, whole: bool) -> DataFrame:
+    """Values of packed target cells from the source beside them: ``keys``, ``col``, ``row``, ``z``.
+
+    The source is the cells of a block at ``bc``, ``br`` as structs, or with ``whole`` a grid of ``cols`` x ``rows`` values.
+    """
+    keys = list(keys)
+
+    def sample(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                one = lambda name: batch.column(name)[i].as_py()  # noqa: B023, E731
+                asked = batch.column("cells").slice(i, 1)
+                col, row, x, y, sc, sr = (asked.field(n).flatten().to_numpy() for n in ("col", "row", "x", "y", "sc", "sr"))
+                source = batch.column("source").slice(i, 1).flatten()
+                if whole:
+                    c0 = r0 = 0
+                    z, known = np.zeros((one("rows") + 1, one("cols") + 1)), np.zeros((one("rows") + 1, one("cols") + 1), dtype=bool)
+                    known[:-1, :-1] = source.is_valid().to_numpy(zero_copy_only=False).reshape(one("rows"), one("cols"))
+                    z[:-1, :-1] = source.to_numpy(zero_copy_only=False).reshape(one("rows"), one("cols"))
+                else:
+                    c0, r0 = one("bc") * BLOCK, one("br") * BLOCK
+                    z, known = np.zeros((BLOCK + 1, BLOCK + 1)), np.zeros((BLOCK + 1, BLOCK + 1), dtype=bool)
+                    at = source.field("row").to_numpy() - r0, source.field("col").to_numpy() - c0
+                    known[at] = source.field("z").is_valid().to_numpy(zero_copy_only=False)
+                    z[at] = source.field("z").to_numpy(zero_copy_only=False)
+                c, r = sc - c0, sr - r0
+                value, there = (z[r, c], known[r, c]) if method == "nearest" else _mixed(z, known, c, r, x - sc, y - sr)
+                yield pa.RecordBatch.from_arrays(
+                    [*[pa.array(np.full(len(col), one(k)), pa.int32()) for k in keys], pa.array(col), pa.array(row), pa.array(value, mask=~there)],
+                    names=[*keys, "col", "row", "z"])
+
+    schema = ", ".join([f"{k} int" for k in keys] + ["col int", "row int", "z double"])
+    return met.mapInArrow(sample, schema)
 
 
 def warp(
@@ -84,16 +144,20 @@ def warp(
 
     Each target cell is placed in the source by the inverse projection.  ``bilinear`` mixes the
     four cells around that place, leaving out those without data; ``nearest`` takes the closest.
-    The target grid is generated in parallel and meets the source in one equi-join by position,
-    in which every key occurs once on the source side.
+    The target grid is generated in parallel, block by block, and its cells are packed by the source block they lie over.
+    Packed cells meet the source blocks, a row each, and are read off their arrays in one task.
     """
+    if method not in ("bilinear", "nearest"):
+        raise ValueError("method is 'bilinear' or 'nearest'")
     spark = cells.sparkSession
-    total = target_shape.cols * target_shape.rows
+    across, down = -(-target_shape.cols // BLOCK), -(-target_shape.rows // BLOCK)
+    total = across * down * BLOCK * BLOCK
     tasks = max(parallelism(spark), total // CELLS_PER_TASK + 1)
+    block, place = F.floor(F.col("id") / BLOCK**2), F.col("id") % BLOCK**2
     grid = spark.range(0, total, 1, tasks).select(
-        (F.col("id") % target_shape.cols).cast("int").alias("col"),
-        F.floor(F.col("id") / target_shape.cols).cast("int").alias("row"),
-    )
+        (block % across * BLOCK + place % BLOCK).cast("int").alias("col"),
+        (F.floor(block / across) * BLOCK + F.floor(place / BLOCK)).cast("int").alias("row"),
+    ).filter((F.col("col") < target_shape.cols) & (F.col("row") < target_shape.rows))
     x = target_geo.xmin + (F.col("col") + 0.5) * target_geo.cell_width
     y = target_geo.ymax - (F.col("row") + 0.5) * target_geo.cell_height
     lon, lat = projection.inverse(x, y)
@@ -106,27 +170,21 @@ def warp(
     clamp = lambda c, n: F.when(covered, F.least(F.greatest(F.col(c), F.lit(0.0)), F.lit(n - 1.0)))
     placed = placed.select("col", "row", clamp("sx", shape.cols).alias("sx"), clamp("sy", shape.rows).alias("sy"))
     nudge = 0.5 if method == "nearest" else 0.0
-    keyed = placed.select(
-        "col", "row", "sx", "sy",
-        (F.floor(F.col("sx") + nudge).cast("int") + shape.col0).alias("sc"),
-        (F.floor(F.col("sy") + nudge).cast("int") + shape.row0).alias("sr"),
+    # a target cell outside the source has a place far off, where there is no source block; dropping it by a filter would
+    # make the planner repeat the whole projection in the filter
+    far = lambda c: -F.lit(1 << 28) - F.floor(F.col(c) / BLOCK) * BLOCK
+    at = lambda c, first, away: F.coalesce(F.floor(F.col(c) + nudge) + first, far(away)).cast("int")
+    located = placed.select(
+        "col", "row", (F.col("sx") + shape.col0).alias("x"), (F.col("sy") + shape.row0).alias("y"),
+        at("sx", shape.col0, "col").alias("sc"), at("sy", shape.row0, "row").alias("sr"),
     )
-    if method == "nearest":
-        source = cells.select(F.col("col").alias("sc"), F.col("row").alias("sr"), "z")
-        met = keyed.filter("sx IS NOT NULL").join(source, ["sc", "sr"], "left").select("col", "row", "z")
-        return met.unionByName(_uncovered(keyed, "col", "row"))
-    if method != "bilinear":
-        raise ValueError("method is 'bilinear' or 'nearest'")
-
-    source = quads(cells).withColumnsRenamed({"col": "sc", "row": "sr"})
-    met = keyed.filter("sx IS NOT NULL").join(source, ["sc", "sr"], "left")
-    fx, fy = F.col("sx") + shape.col0 - F.col("sc"), F.col("sy") + shape.row0 - F.col("sr")
-    return met.select("col", "row", mixed(fx, fy).alias("z")).unionByName(_uncovered(keyed, "col", "row"))
-
-
-def _uncovered(keyed: DataFrame, *names: str) -> DataFrame:
-    """Target cells outside the source: they have no place there and take no part in the join, where they would share one key."""
-    return keyed.filter("sx IS NULL").select(*names, F.lit(None).cast("double").alias("z"))
+    located = located.withColumns({"x": F.coalesce("x", F.col("sc").cast("double")), "y": F.coalesce("y", F.col("sr").cast("double"))})
+    over = lambda c: F.floor(F.col(c) / BLOCK).cast("int")
+    asked = _requests(located.withColumns({"bc": over("sc"), "br": over("sr")}), ["bc", "br"])
+    # cells over blocks without any source cell keep a row without data
+    empty = F.array().cast("array<struct<col:int,row:int,z:double>>")
+    met = asked.join(_source_blocks(cells), ["bc", "br"], "left").withColumn("source", F.coalesce("source", empty))
+    return _sampled(met, [], method, whole=False)
 
 
 def tile_utm(tiles: DataFrame) -> DataFrame:
@@ -179,16 +237,13 @@ def warp_tiles(tiles: DataFrame, cell_size: float) -> DataFrame:
     within = lambda c, n: (F.col(c) >= -0.5) & (F.col(c) < F.col(n) - 0.5)
     clamp = lambda c, n: F.when(within("sx", "cols") & within("sy", "rows"), F.least(F.greatest(F.col(c), F.lit(0.0)), F.col(n) - 1.0))
     placed = placed.select(*TILE, "col", "row", clamp("sx", "cols").alias("sx"), clamp("sy", "rows").alias("sy"))
-    keyed = placed.select("*", F.floor("sx").cast("int").alias("sc"), F.floor("sy").cast("int").alias("sr"))
-
-    opened = tiles.select(*TILE, "cols", F.posexplode("cells").alias("at", "z"))
-    own = opened.select(
-        *TILE, (F.col("at") % F.col("cols")).cast("int").alias("col"), F.floor(F.col("at") / F.col("cols")).cast("int").alias("row"), "z"
-    )
-    source = quads(own, by=TILE).withColumnsRenamed({"col": "sc", "row": "sr"})
-    met = keyed.filter("sx IS NOT NULL").join(source, [*TILE, "sc", "sr"], "left")
-    value = mixed(F.col("sx") - F.col("sc"), F.col("sy") - F.col("sr")).alias("z")
-    return met.select(*TILE, "col", "row", value).unionByName(_uncovered(keyed, *TILE, "col", "row"))
+    # a target cell outside its tile lies on the empty margin of the tile's grid
+    outside = lambda c: F.coalesce(F.col(c), F.lit(-1.0))
+    located = placed.select(
+        *TILE, "col", "row", outside("sx").alias("x"), outside("sy").alias("y"),
+        F.floor(outside("sx")).cast("int").alias("sc"), F.floor(outside("sy")).cast("int").alias("sr"))
+    met = _requests(located, TILE).join(tiles.select(*TILE, "cols", "rows", F.col("cells").alias("source")), list(TILE))
+    return _sampled(met, TILE, "bilinear", whole=True)
 
 
 def projected_slopes(tiles: DataFrame, cell_size: float) -> DataFrame:
