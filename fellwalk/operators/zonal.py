@@ -1,14 +1,16 @@
 """Jobs over two aligned rasters: the values of one per zone of the other.
 
 Counts are combined before the shuffle, so a zone that holds a third of all cells costs one row
-per task and value.  Where zone results go back to the cells, the lookup is salted.
+per task and value.  Where zone results go back to the cells, the lookup is salted for the zones
+that hold many of them, and for no others.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from fellwalk.operators.joins import salted_lookup
+from fellwalk.operators.joins import balanced_lookup
+from fellwalk.workspace import settled
 
 
 def aligned(values: DataFrame, zones: DataFrame) -> DataFrame:
@@ -32,9 +34,9 @@ def zone_shares(histogram: DataFrame) -> DataFrame:
 def zonal_percentage(values: DataFrame, zones: DataFrame) -> DataFrame:
     """Each cell with the percentage its value has in its zone."""
     cells = aligned(values, zones)
-    shares = zone_shares(cells.groupBy("zone", "value").agg(F.count(F.lit(1)).alias("n")))
-    lookup = shares.select("zone", "value", "percentage")
-    joined = salted_lookup(cells, lookup, ["zone", "value"], F.struct("col", "row"))
+    histogram = settled(cells.groupBy("zone", "value").agg(F.count(F.lit(1)).alias("n")), "histogram")
+    lookup = zone_shares(histogram).select("zone", "value", "percentage")
+    joined = balanced_lookup(cells, lookup, ["zone", "value"], F.struct("col", "row"), counts=histogram)
     return joined.select("col", "row", "zone", "value", "percentage")
 
 
@@ -48,5 +50,5 @@ def zones_with_share(histogram: DataFrame, value: object, percent: float) -> Dat
 
 def keep_zones(zones: DataFrame, kept: DataFrame) -> DataFrame:
     """The cells of the kept zones; all others lose their zone."""
-    marked = salted_lookup(zones, kept.withColumn("_kept", F.lit(True)), ["zone"], F.struct("col", "row"), "left")
+    marked = balanced_lookup(zones, kept.withColumn("_kept", F.lit(True)), ["zone"], F.struct("col", "row"), "left")
     return marked.select("col", "row", F.when(F.col("_kept"), F.col("zone")).alias("zone"))
