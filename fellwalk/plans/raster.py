@@ -11,7 +11,7 @@ from fellwalk.operators import costs, layers, regions, resampling, surfaces, ter
 from fellwalk.plans import projection_sql as ps
 from fellwalk.plans import tables as t
 from fellwalk.plans.registry import job, rounded
-from fellwalk.sources import files
+from fellwalk.sources import files, grids
 from fellwalk.workspace import fresh_path, settled
 
 CELL = 30.0
@@ -136,6 +136,32 @@ def window_sample(spark, d):
     return rounded(layers.window_cells(t.dem(spark, d), (5, 20), (3, 12)))
 
 
+def _grid(spark, d):
+    """The raster of all orders written as a banded grid with its cell numbers as a second band, and opened."""
+    path = fresh_path(spark, "grid")
+    grids.write_grid(t.dem(spark, d).withColumn("number", (F.col("row") * 1000 + F.col("col")).cast("double")), path, ["z", "number"])
+    return grids.read_grid(spark, path)
+
+
+@job("grid_cells", t.with_views(f"SELECT col::INT AS col, row::INT AS row, round(z, 6) AS z FROM {_boxed('dem_v')}", "dem_v"))
+def grid_cells(spark, d):
+    """One band of a raster file, all windows of it."""
+    return rounded(_grid(spark, d).filter("band = 0").select("col", "row", "z"))
+
+
+@job(
+    "grid_window",
+    t.with_views(
+        """SELECT b.band, col, row, CASE b.band WHEN 0 THEN round(z, 6) ELSE row * 1000.0::DOUBLE + col END AS z
+FROM dem_v, (VALUES (0), (1)) b(band) WHERE col BETWEEN 5 AND 30 AND row >= 7 AND row < 19""",
+        "dem_v",
+    ),
+)
+def grid_window(spark, d):
+    """A window of a raster file in both bands: only its rows and columns are read."""
+    return rounded(_grid(spark, d).filter("col BETWEEN 5 AND 30 AND row >= 7 AND row < 19"))
+
+
 @job(
     "layer_catalog",
     t.with_views(
