@@ -7,48 +7,89 @@ import re
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from fellwalk.operators.schemas import enforced_union
+from fellwalk.operators.schemas import enforced_union, normal_name
 from fellwalk.session import parallelism
+from fellwalk.workspace import settled
+
+TASK_BYTES = 128 << 20  # bytes of files that a task reads
+
 
 def list_files(spark: SparkSession, pattern: str) -> DataFrame:
     """Path and size in bytes of every file that matches; the contents are not read."""
     return spark.read.format("binaryFile").load(pattern).select("path", "length")
 
 
-def _footer_schemas(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The schema of each parquet file as Spark's JSON, from the file's footer alone."""
-    import pyarrow.parquet as pq
+def _open(path: str):
+    """A stored file by the path that the listing gives."""
     from pyarrow import fs
+
+    store, name = fs.FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", path))
+    return store.open_input_file(name)
+
+
+def _footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The schema of each parquet file as Spark's JSON and its row groups, from the file's footer alone."""
+    import pyarrow.parquet as pq
     from pyspark.sql.pandas.types import from_arrow_schema
 
     for batch in batches:
-        schemas = []
+        schemas, groups = [], []
         for path in batch["path"]:
-            store, name = fs.FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", path))
-            with store.open_input_file(name) as file:
-                found = pq.read_schema(file)
+            with _open(path) as file:
+                footer = pq.ParquetFile(file)
+                found = footer.schema_arrow
+                groups.append(footer.num_row_groups)
             own = (found.metadata or {}).get(b"org.apache.spark.sql.parquet.row.metadata")
             schemas.append(own.decode() if own else from_arrow_schema(found, prefer_timestamp_ntz=True).json())
-        yield pd.DataFrame({"schema": schemas, "path": batch["path"]})
+        yield pd.DataFrame({"schema": schemas, "path": batch["path"], "length": batch["length"], "groups": groups})
+
+
+def manifest_of(spark: SparkSession, pattern: str) -> DataFrame:
+    """One written row per parquet file that matches: ``schema``, ``path``, ``length``, ``groups``.  Footers are read in tasks."""
+    listed = list_files(spark, pattern).repartition(parallelism(spark))
+    return settled(listed.mapInPandas(_footers, "schema string, path string, length bigint, groups int"), "manifest")
+
+
+def _read_groups(fields: T.StructType):
+    """A task function from ``path``, ``group`` to the rows of that row group, with the columns of ``fields`` alone."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    wanted, names = to_arrow_schema(fields), fields.names
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.parquet as pq
+
+        for batch in batches:
+            for path, group in zip(batch.column("path").to_pylist(), batch.column("group").to_pylist()):
+                with _open(path) as file:
+                    for rows in pq.ParquetFile(file, coerce_int96_timestamp_unit="us").iter_batches(row_groups=[group], columns=names):
+                        yield from pa.Table.from_batches([rows]).select(names).cast(wanted).to_batches()
+
+    return read
 
 
 def read_drifting_parts(spark: SparkSession, pattern: str, target: T.StructType) -> DataFrame:
     """All parquet files that match, brought to ``target`` and stacked.
 
-    Types differ between files, so they cannot be read as one table.  The footers are read in
-    tasks; files with the same schema are then read together, so the plan grows with the number
-    of schemas, not of files.
+    Types differ between files, so they cannot be read as one table.  The files are listed in a written manifest, whose
+    rows are dealt over the tasks by row group; a task reads the groups it holds, the columns of the target alone.  The
+    driver sees the distinct schemas and no path, and the plan grows with the number of schemas, not of files.
     """
-    listed = list_files(spark, pattern).select("path").repartition(parallelism(spark))
-    groups = listed.mapInPandas(_footer_schemas, "schema string, path string").groupBy("schema").agg(F.sort_array(F.collect_list("path")).alias("paths"))
-    frames = [
-        spark.read.schema(T.StructType.fromJson(json.loads(row["schema"]))).parquet(*row["paths"])
-        for row in groups.orderBy("schema").collect()
-    ]
-    if not frames:
+    manifest = manifest_of(spark, pattern)
+    schemas = manifest.groupBy("schema").agg(F.sum("length").alias("length")).orderBy("schema").collect()
+    if not schemas:
         raise FileNotFoundError(f"no parquet file matches {pattern}")
+    columns, frames = {normal_name(f.name) for f in target}, []
+    for row in schemas:
+        found = T.StructType.fromJson(json.loads(row["schema"]))
+        fields = T.StructType([f for f in found if normal_name(f.name) in columns])
+        groups = manifest.filter(F.col("schema") == row["schema"]).select("path", F.explode(F.when(F.col("groups") > 0, F.sequence(F.lit(0), F.col("groups") - 1))).alias("group"))
+        tasks = max(parallelism(spark), row["length"] // TASK_BYTES)
+        dealt = groups.repartition(tasks, "path", "group")
+        frames.append(dealt.mapInArrow(_read_groups(fields), fields))
     return enforced_union(frames, target)
 
 

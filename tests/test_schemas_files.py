@@ -49,6 +49,38 @@ def test_files_of_other_writers_and_unreadable_values(spark, tmp_path):
     assert [(r["name"], r["lost"]) for r in lost] == [("VendorID", 1), ("airport_fee", 1)]
 
 
+def test_drifting_files_of_every_type_by_row_group(spark, tmp_path):
+    """Values of all simple types come back as Spark itself reads them; many row groups, an empty file, columns left out."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    rows = spark.range(500).select(
+        "id", F.expr("timestamp'2024-03-01 10:00:00' + make_interval(0, 0, 0, 0, 0, 0, id)").alias("at"), F.expr("timestamp_ntz'2024-03-01 10:00:00'").alias("local"),
+        F.expr("date'2024-03-01' + CAST(id AS INT)").alias("day"), F.expr("CAST(id / 7 AS DECIMAL(12, 3))").alias("price"), F.expr("id % 2 = 0").alias("even"),
+        F.expr("CAST(id AS STRING)").alias("name"), F.expr("array(id)").alias("other"))
+    rows.coalesce(1).write.parquet(f"{tmp_path}/m-1")
+    pq.write_table(pa.table({"ID": pa.array(range(1000, 1300), pa.int32()), "AT": pa.array([None] * 300, pa.timestamp("us", "UTC")), "local": pa.array([0] * 300, pa.timestamp("us")),
+                             "day": pa.array([1] * 300, pa.date32()), "price": pa.array(["1.5"] * 300), "even": pa.array([True] * 300), "name": pa.array([None] * 300, pa.string())}),
+                   tmp_path / "m-2.parquet", row_group_size=64)
+    rows.limit(0).drop("other").write.parquet(f"{tmp_path}/m-3")
+    target = rows.drop("other").schema
+    found = files.read_drifting_parts(spark, f"{tmp_path}/{{m-1/*,m-2,m-3/*}}.parquet", target)
+    assert found.schema.names == target.names and found.count() == 800
+    first = found.filter("id < 500")
+    assert first.exceptAll(rows.drop("other")).isEmpty() and rows.drop("other").exceptAll(first).isEmpty()
+    assert found.filter("id >= 1000 AND price = 1.5 AND at IS NULL AND local = timestamp_ntz'1970-01-01 00:00:00'").count() == 300
+    assert files.manifest_of(spark, f"{tmp_path}/m-2.parquet").first()["groups"] == 5
+
+
+def test_no_path_reaches_the_plan(spark, tmp_path):
+    for i in range(30):
+        spark.range(i, i + 1).select(F.col("id").cast("int").alias("VendorID"), F.lit(0.5).alias("airport_fee")).coalesce(1).write.parquet(f"{tmp_path}/part-{i}")
+    found = files.read_drifting_parts(spark, f"{tmp_path}/part-*/*.parquet", TARGET)
+    plan = found._jdf.queryExecution().toString()
+    assert "part-" not in plan.replace("part-0000", "") and plan.count("MapInArrow") <= 4 * 1
+    assert sorted(r["VendorID"] for r in found.collect()) == list(range(30))
+
+
 def test_schema_diff(spark):
     base = spark.createDataFrame([], "a int, b string, c double")
     other = spark.createDataFrame([], "a bigint, b string, d date")
