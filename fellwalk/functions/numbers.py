@@ -50,3 +50,16 @@ def general_format(value: Column, digits: int = 6, sign: bool = False) -> Column
         .when((exponent >= -4) & (exponent < digits), trim(fixed))
         .otherwise(F.concat(short, F.regexp_extract(scientific, r"(e[+-]\d+)$", 1)))
     )
+
+
+def morton(col: Column, row: Column) -> Column:
+    """The place of a column and row, each from -2**30 to 2**30, on the Morton curve: their bits in turn."""
+
+    def apart(value: Column) -> Column:
+        spaced = (value + (1 << 30)).cast("bigint")
+        # the halves of each group of bits go apart, down to single bits (fixed values)
+        for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)):
+            spaced = spaced.bitwiseOR(F.shiftleft(spaced, shift)).bitwiseAND(F.lit(mask))
+        return spaced
+
+    return apart(col).bitwiseOR(F.shiftleft(apart(row), 1))

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, functions as F
 from fellwalk.llm.common import lean, rooted, runs_of, settle_llm, width
 from fellwalk.llm.tokens import pieces_of
 from fellwalk.operators.components import connected_components
-from fellwalk.operators.joins import salted_lookup
+from fellwalk.operators.joins import balanced_lookup, salted_lookup
 from fellwalk.workspace import settled
 
 SHINGLE = 5
@@ -277,13 +277,14 @@ def candidate_edges(classes: DataFrame, forest: Forest) -> DataFrame:
     for depth in range(forest.least, DEPTH + 1):
         placed = settled(placed, "regions")
         counts = settled(placed.groupBy("region").agg(F.count(F.lit(1)).alias("_n"), F.min("node").alias("_first")).filter("_n > 1"), "region-counts")
-        # popular regions are few and looked up with a salt; the join of all others then has no hot key
-        popular = counts.filter(F.col("_n") > REGION)
-        flagged = salted_lookup(placed, popular, ["region"], F.col("node"), "left")
-        found.append(flagged.filter("_n IS NULL").select("region", "node").join(counts.filter(F.col("_n") <= REGION).select("region"), "region", "left_semi"))
-        if popular.isEmpty():
+        # regions that hold many rows are looked up with salts of their own
+        members = balanced_lookup(placed, counts, ["region"], F.col("node"), counts=counts.select("region", F.col("_n").alias("n")))
+        if counts.filter(F.col("_n") > REGION).isEmpty():
+            found.append(members.select("region", "node"))
             break
-        crowded = settled(flagged.filter("_n IS NOT NULL"), "crowded")
+        members = settled(members, "members")
+        found.append(members.filter(F.col("_n") <= REGION).select("region", "node"))
+        crowded = members.filter(F.col("_n") > REGION)
         # a class and the first class of its crowded region make a region of two
         found.append(crowded.filter("node <> _first").select(
             F.xxhash64("region", "node").alias("region"), F.explode(F.array("node", "_first")).alias("node")))

@@ -162,6 +162,22 @@ def grid_window(spark, d):
     return rounded(_grid(spark, d).filter("col BETWEEN 5 AND 30 AND row >= 7 AND row < 19"))
 
 
+SMALL = 8
+
+
+@job("layer_window", t.with_views("SELECT col, row, round(z, 6) AS z FROM dem_v WHERE col BETWEEN 5 AND 20 AND row BETWEEN 3 AND 12", "dem_v"))
+def layer_window(spark, d):
+    """The same window from a layer in a catalog folder: files without a tile of it are not opened."""
+    path = fresh_path(spark, "layer")
+    files.write_layer(layers.to_tiles(t.dem(spark, d), ORIGIN, SMALL).withColumn("zoom", F.lit(0)), path)
+    tiles = files.read_layer(spark, path, 0, (5 // SMALL, 20 // SMALL), (3 // SMALL, 12 // SMALL))
+    opened = tiles.select("tile_col", "tile_row", "cols", F.posexplode("cells").alias("at", "z"))
+    cells = opened.select(
+        (F.col("tile_col") * SMALL + F.col("at") % F.col("cols")).cast("int").alias("col"),
+        (F.col("tile_row") * SMALL + F.floor(F.col("at") / F.col("cols"))).cast("int").alias("row"), "z")
+    return rounded(layers.window_cells(cells, (5, 20), (3, 12)))
+
+
 @job(
     "layer_catalog",
     t.with_views(

@@ -10,6 +10,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from fellwalk.functions.numbers import morton
 from fellwalk.operators.schemas import enforced_union, normal_name
 from fellwalk.session import parallelism
 from fellwalk.workspace import settled
@@ -150,12 +151,43 @@ def write_features(df: DataFrame, path: str, properties: Sequence[str], ring: st
     df.select(F.to_json(feature).alias("value")).write.mode("overwrite").text(path)
 
 
-def write_layer(tiles: DataFrame, path: str) -> None:
-    """A tile table written to a catalog folder, one sub-folder per zoom level."""
-    tiles.write.mode("overwrite").partitionBy("zoom").parquet(path)
+BOUNDS = "_bounds"  # the folder of a layer with the key bounds of its files; readers of the layer pass over it
+TILE_KEYS = ("tile_col", "tile_row")
 
 
-def read_layer(spark: SparkSession, path: str, zoom: int | None = None) -> DataFrame:
-    """A written layer, or one zoom level of it; only that level's folder is read."""
+def write_layer(tiles: DataFrame, path: str, files: int | None = None) -> None:
+    """A tile table written to a catalog folder, one sub-folder per zoom level.
+
+    The tiles of a level lie along a Morton curve, cut into about ``files`` files (the cores, if not given) in all, so a file
+    holds tiles that are near each other, and a written table of bounds says which ones.
+    """
+    on_curve = tiles.withColumn("_place", morton(*[F.col(k) for k in TILE_KEYS]))
+    dealt = on_curve.repartitionByRange(files or parallelism(tiles.sparkSession), "zoom", "_place").sortWithinPartitions("zoom", "_place")
+    dealt.drop("_place").write.mode("overwrite").partitionBy("zoom").parquet(path)
+    written = tiles.sparkSession.read.parquet(path)
+    limits = [f(k).alias(f"{name}_{k}") for k in TILE_KEYS for name, f in (("min", F.min), ("max", F.max))]
+    written.groupBy("zoom", F.col("_metadata.file_path").alias("file")).agg(*limits).write.mode("overwrite").parquet(f"{path}/{BOUNDS}")
+
+
+def layer_files(spark: SparkSession, path: str, zoom: int | None, cols: tuple[int, int], rows: tuple[int, int]) -> list[str]:
+    """The files of a written layer that may hold tiles of a window, both ends included: as many as the window has tiles, at most."""
+    bounds = spark.read.parquet(f"{path}/{BOUNDS}")
+    bounds = bounds if zoom is None else bounds.filter(F.col("zoom") == zoom)
+    for key, (first, last) in zip(TILE_KEYS, (cols, rows)):
+        bounds = bounds.filter((F.col(f"max_{key}") >= first) & (F.col(f"min_{key}") <= last))
+    return sorted(r["file"] for r in bounds.select("file").collect())
+
+
+def read_layer(
+    spark: SparkSession, path: str, zoom: int | None = None, cols: tuple[int, int] | None = None, rows: tuple[int, int] | None = None
+) -> DataFrame:
+    """A written layer, or one zoom level of it; only that level's folder is read.
+
+    With ``cols`` and ``rows``, ranges of tiles with both ends, only the files whose bounds meet that window are read.
+    """
     layer = spark.read.parquet(path)
+    if cols and rows:
+        found = layer_files(spark, path, zoom, cols, rows)
+        layer = spark.read.schema(layer.schema).option("basePath", path).parquet(*found) if found else layer.limit(0)
+        layer = layer.filter(F.col("tile_col").between(*cols) & F.col("tile_row").between(*rows))
     return layer if zoom is None else layer.filter(F.col("zoom") == zoom)

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from fellwalk.operators import layers, polygons, schemas
+from fellwalk.functions.numbers import morton
 from fellwalk.sources import files
 from fellwalk.sources.regions import read_regions
 
@@ -184,3 +185,31 @@ def test_feature_sink(spark, tmp_path):
     feature = json.loads(line)
     assert feature["properties"] == {"tile": "t"}
     assert feature["geometry"]["coordinates"] == [[[86.0, 27.0], [87.0, 27.0], [87.0, 28.0], [86.0, 28.0], [86.0, 27.0]]]
+
+
+def test_a_window_of_a_layer_reads_few_files(spark, tmp_path):
+    """Files along the curve are found by their bounds; the others are not read."""
+    tiles = spark.range(64 * 64).select(
+        (F.col("id") % 64 - 20).cast("int").alias("tile_col"), F.floor(F.col("id") / 64).cast("int").alias("tile_row"), F.lit(1.5).alias("z"), (F.col("id") % 2).cast("int").alias("zoom"))
+    path = f"{tmp_path}/layer"
+    files.write_layer(tiles, path, 64)
+    every = {r["file"] for r in spark.read.parquet(f"{path}/{files.BOUNDS}").collect()}
+    assert len(every) >= 60
+    found = files.read_layer(spark, path, 1, (3, 9), (30, 33))
+    assert sorted((r["tile_col"], r["tile_row"]) for r in found.collect()) == sorted((c, r) for c in range(3, 10) for r in range(30, 34) if (c + 20) % 2 == 1)
+    read = {r["f"] for r in found.select(F.input_file_name().alias("f")).collect()}
+    listed = files.layer_files(spark, path, 1, (3, 9), (30, 33))
+    assert 0 < len(read) <= len(listed) <= 8
+    assert found.inputFiles() and len(found.inputFiles()) == len(listed)
+    assert files.read_layer(spark, path, 0, (900, 901), (0, 1)).count() == 0
+    assert files.read_layer(spark, path).count() == 64 * 64
+
+
+def test_the_curve_goes_through_quarters(spark):
+    """Every square of four, sixteen and so on is one run of the curve, negative places too."""
+    frame = spark.range(256).select((F.col("id") % 16 - 8).cast("int").alias("c"), F.floor(F.col("id") / 16).cast("int").alias("r"))
+    order = [(r["c"], r["r"]) for r in frame.orderBy(morton(F.col("c"), F.col("r"))).collect()]
+    for size in (2, 4, 8):
+        for at in range(0, 256, size * size):
+            run = order[at : at + size * size]
+            assert len({(c // size, r // size) for c, r in run}) == 1
