@@ -56,9 +56,9 @@ def rebuild(events: DataFrame) -> DataFrame:
         F.max(F.when(setting, place)).alias("_set"),
         F.min_by("role", "seq").alias("_first_role"),
     )
-    texts = F.expr(
-        "aggregate(_parts, cast(array() AS array<string>), (said, p) -> IF(p.sets, array(p.text), array_append(said, p.text)))"
-    )
+    # from the last part that sets the text on; all of them if none does
+    last = F.coalesce(F.array_max(F.transform("_parts", lambda p, i: F.when(p["sets"], i))), F.lit(0))
+    texts = F.transform(F.slice("_parts", last + 1, F.size("_parts")), lambda p: p["text"])
     return per_message.select("conv_id", "message", F.coalesce("_set.role", "_first_role").alias("role"), F.array_join(texts, "").alias("text"))
 
 

@@ -1,4 +1,5 @@
 import hashlib
+import time
 
 from fellwalk.llm import op1_chat_format as op
 
@@ -48,5 +49,23 @@ def test_digest_of_long_and_repeated_turns(spark):
     assert row[0].loss_sha256 == hashlib.sha256(learned.encode()).hexdigest()
 
 
+def test_a_million_deltas_in_linear_time(spark):
+    """One message streamed in very many pieces, with a new start in the middle."""
+    many = 1_000_000
+    events = spark.range(many).selectExpr(
+        "1L AS conv_id", "id AS seq", "0L AS message", f"CASE id WHEN 0 THEN 'message' WHEN {many // 2} THEN 'edit' ELSE 'delta' END AS kind",
+        "'assistant' AS role", "CAST(id % 10 AS STRING) AS text")
+    start = time.monotonic()
+    row = op.format_chats(events).selectExpr("length(formatted) AS n", "n_turns").first()
+    assert row.n_turns == 1 and row.n == many // 2 + len("<s>[INST] assistant [/INST]</s>")
+    assert time.monotonic() - start < 60  # a copy for each delta takes hours
+
+
+def test_columns_of_any_name(spark):
+    rows = spark.createDataFrame([(1, 1, 0, "message", "user", "Hi", "x", 5)], EVENTS + ", _parts string, formatted int")
+    assert op.format_chats(rows).columns == ["conv_id", "formatted", "n_turns", "loss_spans"]
+    assert op.format_chats(rows).first().formatted == "<s>[INST] user [/INST]Hi</s>"
+
+
 def test_empty_log(spark):
     assert op.format_chats(chats(spark, [])).collect() == []
