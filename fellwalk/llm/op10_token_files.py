@@ -6,7 +6,7 @@ padding of a part's last sequence), so sequence ``i`` of a part lies at a comput
 ids are two bytes wide when the vocabulary allows it. A table beside the files says where each document lies.
 
 Nulls, ties and odd input: a null text is the empty text (its end id alone); a null ``doc_id`` comes first; rows that share a
-``doc_id`` follow one another in no stated order; an empty table gives no files and no rows; columns of other names are
+``doc_id`` follow one another by a hash of their texts; an empty table gives no files and no rows; columns of other names are
 ignored. Texts are encoded whole, a few at a time.
 """
 
@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from fellwalk.llm.common import lean, settle_llm, width
 from fellwalk.llm.tokens import END_ID, encoder_of, pieces_of
@@ -26,42 +26,32 @@ from fellwalk.workspace import fresh_path, settled
 
 SEQUENCE = 2048
 SEQUENCES_PER_BATCH = 64
+PART_BYTES = 256 << 20  # of text
 INDEX = "part int, doc_id bigint, at bigint, n_tokens bigint"
 
 
-def _place(spark, docs: DataFrame, parts: int) -> tuple[DataFrame, int]:
-    """Rows with the part they belong to: parts follow ``doc_id`` order and are about equally full.
-
-    The bounds are quantiles of the ids alone. A ``doc_id`` that fills several parts has equal bounds, and its rows are
-    dealt over all of them.
-    """
-    key = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63)))
-    shares = [i / parts for i in range(1, parts)]
-    bounds = docs.agg(F.percentile_approx(key, shares, 10_000) if shares else F.array().cast("array<bigint>")).first()[0] or []
-    if not bounds:
-        return docs.withColumn("part", F.lit(0)), 1
-    low = F.array(*[F.lit(b) for b in bounds])
-    below = F.size(F.filter(low, lambda b: b < F.col("_key")))
-    same = F.size(F.filter(low, lambda b: b == F.col("_key")))
-    dealt = F.pmod(F.xxhash64(F.spark_partition_id(), F.col("text")), same + 1).cast("int")
-    return docs.withColumn("_key", key).withColumn("part", below + dealt).drop("_key"), parts
+def _parts(docs: DataFrame) -> int:
+    """Part files for a corpus: one for each ``PART_BYTES`` of text, and at least one for each core."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(width(docs.sparkSession), -(-size // PART_BYTES))
 
 
 def write_tokens(docs: DataFrame, tokenizer: str, folder: str, sequence: int = SEQUENCE, end_id: int = END_ID) -> DataFrame:
     """Write ``docs`` (``doc_id``, ``text``) to part files under ``folder``, a URI all executors can write to.
 
     Returns ``part, doc_id, at, n_tokens``: the part file of each document, its first id there, and its ids with the end
-    id. The frame is settled, so the files are written when this returns. A part is written under a name of its attempt
-    and then renamed, so a task that runs again leaves the same files.
+    id. The frame is settled, so the files are written when this returns. Parts are ranges of ``doc_id``; rows that share
+    one are dealt over parts by their text where they fill several. A part is written under a name of its attempt and
+    then renamed, so a task that runs again leaves the same files.
     """
-    spark = settle_llm(docs.sparkSession)
-    placed, parts = _place(spark, docs.select("doc_id", "text"), width(spark))
+    settle_llm(docs.sparkSession)
     get = encoder_of(tokenizer)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
+        from pyspark import TaskContext
 
-        encoder = get()
+        encoder, number = get(), TaskContext.get().partitionId()
         store, root = fs.FileSystem.from_uri(folder)
         kind, end = pa.from_numpy_dtype(encoder.kind), np.asarray([end_id], dtype=encoder.kind)
         schema = pa.schema([("ids", pa.list_(kind, sequence)), ("mask", pa.list_(pa.bool_(), sequence))])
@@ -86,20 +76,20 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str, sequence: int = S
             waiting, count = [ids[whole:]], len(ids) - whole
 
         for batch in batches:
-            columns = [batch.column(n).to_pylist() for n in ("part", "doc_id", "text")]
+            columns = [batch.column(n).to_pylist() for n in ("doc_id", "text")]
             index = []
             if columns[0] and part is None:
-                part = columns[0][0]
+                part = number
                 store.create_dir(root, recursive=True)
                 attempt = f"{root}/_{part}-{uuid.uuid4().hex}"
                 sink = store.open_output_stream(attempt)
                 writer = pa.ipc.new_file(sink, schema)
-            texts = [t or "" for t in columns[2]]
+            texts = [t or "" for t in columns[1]]
             for run in pieces_of(texts):
                 for i, ids in zip(run, encoder.encode([texts[i] for i in run])):
                     n = len(ids) + 1
                     waiting += [ids, end]
-                    index.append((part, columns[1][i], at, n))
+                    index.append((part, columns[0][i], at, n))
                     at += n
                     count += n
                 if count >= sequence * SEQUENCES_PER_BATCH:
@@ -112,8 +102,10 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str, sequence: int = S
             sink.close()
             store.move(attempt, f"{root}/part-{part:06d}.arrow")
 
-    dealt = placed.repartitionById(parts, F.col("part")).sortWithinPartitions("doc_id")
-    return settled(dealt.select("part", "doc_id", "text").mapInArrow(lean(write), INDEX), "token-index")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
+    dealt = rows.repartitionByRange(_parts(rows), *order).sortWithinPartitions(*order)
+    return settled(dealt.mapInArrow(lean(write), INDEX), "token-index")
 
 
 def stream_starts(rows: DataFrame, index: DataFrame) -> DataFrame:

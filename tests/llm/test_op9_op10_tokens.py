@@ -6,6 +6,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from fellwalk.llm import op9_packing, op10_token_files
@@ -95,3 +96,15 @@ def test_segment_tree_finds_the_tightest():
 def test_empty_tables(spark):
     assert op10_token_files.token_files(frame(spark, []), vocabulary()).collect() == []
     assert op9_packing.pack(frame(spark, []), vocabulary()).collect() == []
+
+
+def test_parts_follow_the_bytes_of_the_texts(spark, monkeypatch):
+    """More text makes more parts, also where one doc_id holds half of it."""
+    docs = spark.createDataFrame([(i if i % 2 else 4, f"text number {i} " * 20, 1, "x") for i in range(400)], SCHEMA)
+    size = sum(len(r.text) for r in docs.collect())
+    monkeypatch.setattr(op10_token_files, "PART_BYTES", size // 40)
+    folder = fresh_path(spark, "many-parts")
+    index = op10_token_files.write_tokens(docs, vocabulary(), f"file://{folder.removeprefix('file:')}")
+    per_part = [r["n"] for r in index.groupBy("part").agg(F.sum("n_tokens").alias("n")).collect()]
+    assert len(per_part) >= 30 and max(per_part) < 5 * sum(per_part) / len(per_part)
+    assert index.filter("doc_id = 4").select("part").distinct().count() > 10
