@@ -1,7 +1,8 @@
 """Licence scans: MinHash bands over overlapping windows retrieve templates, exact shingle containment verifies them.
 
-SQL functions alone. A template is a licence notice; its length in shingles (five words, lower case) sets the length of the
-windows it is looked for in, each a quarter of a window after the one before. A window gets ``BANDS`` bands of ``ROWS``
+SQL functions alone. Words are lower-cased and end at blanks and ASCII punctuation, in texts and templates alike, so a header reads
+the same behind comment marks, in quotes or re-wrapped. A template is a licence notice, header or body; its length in shingles (five
+words) sets the length of the windows it is looked for in, each a quarter of a window after the one before. A window gets ``BANDS`` bands of ``ROWS``
 MinHash values and meets the templates of its length that share a band. Since a band can only agree on a shingle of the
 template, windows without any such shingle are left out beforehand, which loses nothing and ends most texts early.
 
@@ -21,12 +22,13 @@ import string
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fellwalk.llm.common import bound
+from fellwalk.workspace import settled
 
 SHINGLE, CONTAINED = 5, 0.8
 BANDS, ROWS = 32, 2
 MOST_BROADCAST = 5000  # templates; more are joined without a hint
 
-# Notices of public licences (fixed values).
+# Notices, headers and bodies of public licences (fixed values).
 TEMPLATES = {
     "MIT": "Released under the MIT License.",
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
@@ -40,12 +42,48 @@ TEMPLATES = {
     "GPL-2.0-or-later": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
     "Unlicense": "This is free and unencumbered software released into the public domain.",
     "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "MIT-body": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation
+        files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify,
+        merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished
+        to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all
+        copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED,
+        INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.""",
+    "ISC-body": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,
+        provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE
+        AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.""",
+    "BSD-conditions": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+        following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and
+        the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and
+        the following disclaimer in the documentation and/or other materials provided with the distribution.""",
+    "Apache-2.0-full-header": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance
+        with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable
+        law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR
+        CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations
+        under the License.""",
+    "GPL-3.0-or-later-header": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public
+        License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This
+        program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
+        MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.""",
+    "LGPL-2.1-or-later-header": """This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General
+        Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.
+        This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
+        MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.""",
+    "MPL-2.0-header": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not
+        distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+    "BSL-1.0-header": """Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at
+        http://www.boost.org/LICENSE_1_0.txt)""",
+    "Zlib": """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any
+        damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including
+        commercial applications, and to alter it and redistribute it freely, subject to the following restrictions""",
 }
 
+# Capitals become small letters; ASCII punctuation and blanks end a word, so comment marks and quotes are never part of one.
+MARKS = string.punctuation + "\t\n\x0b\x0c\r"
+PLAIN = string.ascii_uppercase + MARKS, string.ascii_lowercase + " " * len(MARKS)
+
 
 def _words(text: Column) -> Column:
-    lowered = F.translate(F.coalesce(text, F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
-    return F.filter(F.split(lowered, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    return F.filter(F.split(F.translate(F.coalesce(text, F.lit("")), *PLAIN), " +"), lambda w: w != "")
 
 
 def _shingled(words: Column, use) -> Column:
@@ -112,6 +150,8 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
         F.slice("hashes", F.col("start") + 1, F.col("span")).alias("inner"),
         F.slice("words", begin + 1, F.col("start") + F.col("span") + F.col("stride") - begin + SHINGLE - 1).alias("around"))
 
+    cut = settled(cut, "licence-windows")  # few texts have any; read twice below
+
     small = (lambda df: F.broadcast(df)) if len(templates) <= MOST_BROADCAST else (lambda df: df)
     bands = table.select("license", "span", F.explode("bands").alias("band"))
     met = cut.select("doc_id", "_text", "span", F.explode(_bands(F.col("inner"))).alias("band")).join(small(bands), ["span", "band"])

@@ -138,10 +138,10 @@ LICENCE_SQL = r"""
 WITH templates AS (
     SELECT license, words, greatest(len(words) - 4, 1) AS span, greatest(greatest(len(words) - 4, 1) // 4, 1) AS stride,
         list_distinct(list_transform(range(0, greatest(len(words) - 5, 0) + 1), lambda i: array_to_string(words[i + 1 : i + 5], ' '))) AS shingles
-    FROM (SELECT license, list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
-          FROM (VALUES %s) AS t(license, text))
+    FROM (SELECT license, list_filter(string_split_regex(translate(text, PLAIN), ' +'), lambda w: w <> '') AS words
+          FROM (VALUES TEMPLATES) AS t(license, text))
 ), texts AS (
-    SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+    SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), PLAIN), ' +'), lambda w: w <> '') AS words
     FROM documents
 ), shingled AS (
     SELECT doc_id, list_transform(range(0, greatest(len(words) - 5, 0) + 1), lambda i: array_to_string(words[i + 1 : i + 5], ' ')) AS there
@@ -157,7 +157,8 @@ WITH templates AS (
     SELECT doc_id, license, max({'matched': matched, 'start': -start, 'size': size}) AS best FROM judged WHERE matched >= 0.8 * size GROUP BY doc_id, license
 )
 SELECT doc_id, license, CAST(best.matched AS BIGINT) AS matched, best.matched / CAST(best.size AS DOUBLE) AS containment, -best.start AS first_shingle FROM best
-""" % ", ".join(f"({_quoted(name)}, {_quoted(text)})" for name, text in op7_licences.TEMPLATES.items())
+""".replace("PLAIN", ", ".join(map(_quoted, op7_licences.PLAIN))).replace(
+    "TEMPLATES", ", ".join(f"({_quoted(name)}, {_quoted(text)})" for name, text in op7_licences.TEMPLATES.items()))
 
 
 @_query("op7_licences", LICENCE_SQL)
