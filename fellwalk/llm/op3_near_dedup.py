@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, functions as F
 from fellwalk.llm.common import lean, rooted, runs_of, settle_llm, width
 from fellwalk.llm.tokens import pieces_of
 from fellwalk.operators.components import connected_components
-from fellwalk.operators.joins import balanced_lookup, salted_lookup
+from fellwalk.operators.joins import salted_lookup
 from fellwalk.workspace import settled
 
 SHINGLE = 5
@@ -277,8 +277,8 @@ def candidate_edges(classes: DataFrame, forest: Forest) -> DataFrame:
     for depth in range(forest.least, DEPTH + 1):
         placed = settled(placed, "regions")
         counts = settled(placed.groupBy("region").agg(F.count(F.lit(1)).alias("_n"), F.min("node").alias("_first")).filter("_n > 1"), "region-counts")
-        # regions that hold many rows are looked up with salts of their own
-        members = balanced_lookup(placed, counts, ["region"], F.col("node"), counts=counts.select("region", F.col("_n").alias("n")))
+        # popular regions are split over salts before the join
+        members = salted_lookup(placed, counts, ["region"], F.col("node"))
         if counts.filter(F.col("_n") > REGION).isEmpty():
             found.append(members.select("region", "node"))
             break
