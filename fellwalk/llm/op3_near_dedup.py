@@ -222,6 +222,21 @@ def _candidates(likely: float):
     return run
 
 
+def _ties(likely: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The classes that are likely linked to the other one of their row."""
+        first, second = [], []
+        for batch in batches:
+            if batch.num_rows:
+                mine, other = (np.frombuffer(b"".join(batch.column(n).to_pylist()), dtype="<u2").reshape(batch.num_rows, -1) for n in ("signature", "other"))
+                alike = (mine == other).mean(axis=1) >= likely
+                first.append(batch.column("node").to_numpy()[alike])
+                second.append(batch.column("_first").to_numpy()[alike])
+        yield from _forest_of(first, second)
+
+    return run
+
+
 def _orders(trees_: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The place of a class in its tree's order: all values, from the tree's own on, as bytes that sort like them."""
@@ -285,14 +300,15 @@ def candidate_edges(classes: DataFrame, forest: Forest) -> DataFrame:
         members = settled(members, "members")
         found.append(members.filter(F.col("_n") <= REGION).select("region", "node"))
         crowded = members.filter(F.col("_n") > REGION)
-        # a class and the first class of its crowded region make a region of two
-        found.append(crowded.filter("node <> _first").select(
-            F.xxhash64("region", "node").alias("region"), F.explode(F.array("node", "_first")).alias("node")))
-        signed = crowded.select("tree", "region", "node").join(classes, "node")
+        signed = crowded.select("tree", "region", "node", "_first").join(classes, "node")
+        # every class against the first class of its crowded region; those are few
+        firsts = classes.join(counts.filter(F.col("_n") > REGION).select(F.col("_first").alias("node")).dropDuplicates(), "node", "left_semi")
+        beside = salted_lookup(signed.filter("node <> _first"), firsts.select(F.col("node").alias("_first"), F.col("signature").alias("other")), ["_first"], F.col("node"))
+        edges.append(beside.select("node", "signature", "_first", "other").mapInArrow(lean(_ties(forest.likely)), EDGE))
         if depth < DEPTH:
-            placed = signed.mapInArrow(_region_keys(depth + 1, forest.trees), keys)
+            placed = signed.select("tree", "node", "signature").mapInArrow(_region_keys(depth + 1, forest.trees), keys)
         else:
-            ordered = signed.mapInArrow(lean(_orders(forest.trees)), "region bigint, place binary, node bigint, signature binary")
+            ordered = signed.drop("_first").mapInArrow(lean(_orders(forest.trees)), "region bigint, place binary, node bigint, signature binary")
             dealt = ordered.repartitionByRange(width(spark), "region", "place").sortWithinPartitions("region", "place")
             edges.append(dealt.select("region", "node", "signature").mapInArrow(lean(_neighbours(forest.likely)), EDGE))
     regions = found[0]
