@@ -58,18 +58,20 @@ def balanced_lookup(
     spread: Column,
     how: str = "inner",
     counts: DataFrame | None = None,
+    hint: str | None = None,
 ) -> DataFrame:
     """:func:`salted_lookup` in which only heavy keys are salted, each over as many salts as its rows call for.
 
     Rows of the lookup are written once, those of a heavy key once a salt: ``HITTERS`` rows a task more in all.  The heavy
-    keys are so few by construction that they are broadcast to the probe.
+    keys are so few by construction that they are broadcast to the probe.  ``hint`` goes to the lookup: a written table
+    can be a byte a row, and with ``"merge"`` the planner does not take such a file size for one to broadcast.
     """
     heavy = heavy_keys(probe, keys, counts)
     salted = lambda df, salt: same_group_join(df, F.broadcast(heavy), keys, "left").withColumn("_salt", salt).drop("salts")
     salts = F.coalesce("salts", F.lit(1))
     left = salted(probe, F.pmod(F.xxhash64(spread), salts).cast("int"))
     right = salted(lookup, F.explode(F.sequence(F.lit(0), salts - 1)))
-    return left.join(right, [*keys, "_salt"], how).drop("_salt")
+    return left.join(right.hint(hint) if hint else right, [*keys, "_salt"], how).drop("_salt")
 
 
 def same_group_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:

@@ -14,10 +14,11 @@ from __future__ import annotations
 
 import functools
 import math
+import operator
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from fellwalk.operators.joins import salted_lookup
+from fellwalk.operators.joins import balanced_lookup, salted_lookup
 from fellwalk.session import spread
 from fellwalk.workspace import settled
 
@@ -258,14 +259,7 @@ def tile_rings(tiles: DataFrame) -> DataFrame:
 
 # A tile is split into 8 x 8 parts while more sides touch it, down to parts so small that only a common corner can be left.
 SIDES_MOST, PARTS, LEVELS = 64, 8, 7
-
-
-def _climbs(edge_x: Column, base_y: Column, y: Column) -> Column:
-    """Whether a side is crossed on the way up along the left edge of a tile, from ``base_y`` to ``y``."""
-    x1, y1, x2, y2 = (F.col(c) for c in SIDES)
-    start, stop = F.greatest(base_y, F.least(y1, y2)), F.least(y, F.greatest(y1, y2))
-    return F.when(y1 == y2, (base_y < y1) & (y1 <= y) & ((x1 < edge_x) != (x2 < edge_x))).otherwise(
-        (start <= stop) & ((_side_at(start) < edge_x) != (_side_at(stop) < edge_x)))
+TILE = ("tx", "ty")
 
 
 def _spans(y: Column) -> Column:
@@ -274,41 +268,58 @@ def _spans(y: Column) -> Column:
     return (y1 != y2) & (F.least(y1, y2) <= y) & (y < F.greatest(y1, y2))
 
 
-def _corner_turns(size: float) -> Column:
-    """64 bits, one for the lower left corner of each part of a tile: whether a side is crossed on the way there from the tile's own.
+def _with_way(sides: DataFrame, edge_x: Column, base_y: Column, y: Column) -> DataFrame:
+    """Sides with ``here``, where they are at the height ``y``, and ``climbs``, whether they are crossed on the way up along the
+    left edge of a tile, from ``base_y`` to ``y``.
+
+    What is used more than once is a column of its own, so the plan holds it once.
+    """
+    x1, y1, x2, y2 = (F.col(c) for c in SIDES)
+    edge, base, top, start, stop = (F.col(c) for c in ("_edge", "_base", "_top", "_start", "_stop"))
+    ends = sides.withColumns({"_edge": edge_x, "_base": base_y, "_top": y}).withColumns(
+        {"_start": F.greatest(base, F.least(y1, y2)), "_stop": F.least(top, F.greatest(y1, y2))})
+    placed = ends.withColumns({"here": _side_at(top), "_from": _side_at(start), "_to": _side_at(stop)})
+    climbs = F.when(y1 == y2, (base < y1) & (y1 <= top) & ((x1 < edge) != (x2 < edge))).otherwise(
+        (start <= stop) & ((F.col("_from") < edge) != (F.col("_to") < edge)))
+    return placed.withColumn("climbs", climbs).drop("_edge", "_base", "_top", "_start", "_stop", "_from", "_to")
+
+
+def _corner_turns(sides: DataFrame, size: float) -> DataFrame:
+    """For each region and tile 64 bits, one for the lower left corner of each part: whether an odd number of sides is crossed on
+    the way there from the tile's own.
 
     ``size`` is that of a part.  The way goes up along the left edge and then across, so the bits of a row of parts are
-    turned as a whole by the climb, and from the first part beyond the crossing on.
+    turned as a whole by the climb, and from the first part beyond the crossing on.  Each side is a row for each row of parts.
     """
-    edge_x, base_y = F.col("tx") * PARTS * size, F.col("ty") * PARTS * size
     every = (1 << PARTS) - 1
-    turns = F.lit(0).cast("bigint")
-    for j in range(PARTS):
-        y = base_y + j * size
-        here = _side_at(y)
-        beyond = F.least(F.greatest(_first_beyond(here, edge_x, F.lit(size)), F.lit(0)), F.lit(PARTS)).cast("int")
-        crossed = F.when(_spans(y) & (here >= edge_x), F.call_function("shiftleft", F.lit(every), beyond).bitwiseAND(every)).otherwise(0)
-        row = crossed.bitwiseXOR(F.when(_climbs(edge_x, base_y, y), every).otherwise(0)).cast("bigint")
-        turns = turns.bitwiseOR(F.shiftleft(row, PARTS * j))
-    return turns
-
-
-def _known(corners: DataFrame, sides: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """From the tiles of each region whose corner is inside: those that no side touches, which are inside as a whole, and the
-    touched ones with the state of their corner."""
-    touched = sides.select("region", "tx", "ty").dropDuplicates().withColumn("touched", F.lit(True))
-    state = corners.withColumn("corner", F.lit(1)).join(touched, ["region", "tx", "ty"], "full_outer")
-    whole = state.filter(F.col("touched").isNull()).select("region", "tx", "ty")
-    return whole, state.filter("touched").select("region", "tx", "ty", F.coalesce("corner", F.lit(0)).alias("corner"))
-
-
-def side_tree(edges: DataFrame, size: float = 0.25, most: int = SIDES_MOST) -> tuple[DataFrame, DataFrame, DataFrame, int]:
-    """A quadtree over the sides of regions: its leaves' sides, its whole leaves, its split tiles, and its deepest level.
-
-    The tiles of level 0 have ``size`` (a power of two), those of the next level an eighth of it.  A tile that more than
-    ``most`` sides touch is split; its sides go on to the parts they touch, and the sides crossed on the way to the corner of a
-    part tell whether that is inside.  Leaves have ``level``, ``tx``, ``ty``, ``region``, the side, and ``corner``, the state of the
-    lower left corner; whole leaves are inside and touched by no side of that region.
+    rows = sides.select("*", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("j"))
+    rows = rows.withColumns({"edge_x": F.col("tx") * PARTS * size, "base_y": F.col("ty") * PARTS * size})
+    rows = rows.withColumn("y", F.col("base_y") + F.col("j") * size)
+    edge_x, here = F.col("edge_x"), F.col("here")
+    rows = _with_way(rows, edge_x, F.col("base_y"), F.col("y")).withColumn("beyond", _first_beyond(here, edge_x, F.lit(size)))
+    beyond = F.least(F.greatest("beyond", F.lit(0)), F.lit(PARTS)).cast("int")
+    crossed = F.when(_spans(F.col("y")) & (here >= edge_x), F.call_function("shiftleft", F.lit(every), beyond).bitwiseAND(every)).otherwise(0)
+    row = crossed.bitwiseXOR(F.when(F.col("climbs"), every).otherwise(0)).cast("bigint")
+    turns = F.call_function("shiftleft", row, F.col("j") * PARTS)
+    return rows.groupBy("region", *TILE).agg(F.bit_xor(turns).alias("turns"), F.max("parts").alias("parts"))
+
+
+def _states(corners: DataFrame, sides: DataFrame) -> DataFrame:
+    """The tiles of each region whose corner is inside or that a side touches, with ``corner`` and ``touched``."""
+    marked = lambda df, corner, touched: df.select("region", *TILE, F.lit(corner).alias("corner"), F.lit(touched).alias("touched"))
+    both = marked(corners, 1, False).unionByName(marked(sides, 0, True))
+    return both.groupBy("region", *TILE).agg(F.max("corner").alias("corner"), F.max("touched").alias("touched"))
+
+
+def side_tree(points: DataFrame, edges: DataFrame, size: float = 0.25, most: int = SIDES_MOST) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """A quadtree over the sides of regions, where there are points: the points with every tile they are in, the number of points
+    of these tiles, the sides of the leaves, and the whole leaves.
+
+    The tiles of level 0 have ``size`` (a power of two), those of the next level an eighth of it.  A tile with points that more than
+    ``most`` sides touch is split; its sides go on to the parts that they touch and that hold points, and the sides crossed on the
+    way to the corner of a part tell whether that is inside.  Sides that lie over each other are so followed to the places of
+    points and no further.  Leaves have ``level``, ``tx``, ``ty``, ``region``, the side, and ``corner``, the state of
+    the lower left corner; whole leaves are inside and touched by no side of that region.
     """
     if math.frexp(size)[0] != 0.5:
         raise ValueError("the size must be a power of two")
@@ -318,49 +329,54 @@ def side_tree(edges: DataFrame, size: float = 0.25, most: int = SIDES_MOST) -> t
         "region", F.round(F.col("gx") / size + F.col("i")).cast("bigint").alias("tx"),
         F.round(F.col("gy") / size + F.col("j")).cast("bigint").alias("ty"),
     )
-    sides = _walk(edges, size).select("region", *SIDES, "tx", "ty")
-    leaves, wholes, split = [], [], []
+    sides = _walk(edges, size).select("region", *SIDES, *TILE)
+    here = points.select("point", "x", "y")
+    part = lambda *tile: functools.reduce(operator.add, [F.pmod(t, F.lit(PARTS)) * PARTS**i for i, t in enumerate(tile)])
+    holds = lambda parts, k: F.call_function("getbit", parts, k) == 1
+    reached, peopled, leaves, wholes = [], [], [], []
     for level in range(LEVELS + 1):
-        sides = settled(sides, "sides")
-        whole, outline = _known(corners, sides)
         at = F.lit(level).alias("level")
-        wholes.append(whole.select(at, "*"))
-        busy = sides.groupBy("tx", "ty").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > most).select("tx", "ty", F.lit(True).alias("busy"))
-        busy = settled(busy, "busy")
-        last = level == LEVELS or busy.isEmpty()
-        flagged = sides.withColumn("busy", F.lit(None).cast("boolean")) if last else salted_lookup(sides, busy, ["tx", "ty"], F.struct(*SIDES), "left")
-        kept = flagged.filter(F.col("busy").isNull()).drop("busy")
-        leaves.append(salted_lookup(kept, outline, ["region", "tx", "ty"], F.struct(*SIDES)).select(at, "tx", "ty", "region", *SIDES, "corner"))
-        if last:
+        tile = lambda axis, size=size: F.floor(F.col(axis) / F.lit(size)).cast("bigint")
+        inner_tile = [tile(axis, size / PARTS) for axis in ("x", "y")]
+        placed = here.select(at, "point", "x", "y", *[tile(axis).alias(name) for axis, name in zip(("x", "y"), TILE)])
+        one = F.call_function("shiftleft", F.lit(1).cast("bigint"), part(*inner_tile).cast("int"))
+        places = settled(placed.groupBy(*TILE).agg(F.count(F.lit(1)).alias("n"), F.bit_or(one).alias("parts")), "places")
+        reached.append(placed)
+        peopled.append(places.select(at, *TILE, "n"))
+
+        sides = settled(sides, "sides")
+        states = settled(_states(corners, sides), "states")
+        wholes.append(states.filter(~F.col("touched")).select(at, *TILE, "region"))
+        outline = states.filter("touched").select("region", *TILE, "corner")
+        counted = sides.groupBy(*TILE).agg(F.count(F.lit(1)).alias("n"))
+        busy = (F.col("n") > most) & F.lit(level < LEVELS)
+        tiles = settled(counted.withColumn("busy", busy).join(places.select(*TILE, "parts").hint("merge"), [*TILE]), "tiles")
+        flagged = balanced_lookup(sides, tiles.drop("n"), TILE, F.struct(*SIDES), counts=tiles.select(*TILE, "n"), hint="merge")
+        kept = flagged.filter(~F.col("busy")).select("region", *SIDES, *TILE)
+        leaves.append(kept.join(outline.hint("merge"), ["region", *TILE]).select(at, *TILE, "region", *SIDES, "corner"))
+        split = tiles.filter("busy").select(*TILE)
+        if split.isEmpty():
             break
-        split.append(busy.select(at, "tx", "ty"))
         size /= PARTS
-        inner = settled(flagged.filter("busy").drop("busy"), "split-sides")
-        turns = inner.groupBy("region", "tx", "ty").agg(F.bit_xor(_corner_turns(size)).alias("turns"))
-        states = outline.join(turns, ["region", "tx", "ty"]).withColumn("states", F.col("turns").bitwiseXOR(F.when(F.col("corner") == 1, -1).otherwise(0).cast("bigint")))
-        parts = states.select("*", F.explode(F.sequence(F.lit(0), F.lit(PARTS**2 - 1))).alias("k")).filter(F.expr("getbit(states, k)") == 1)
-        corners = settled(parts.select(
-            "region", (F.col("tx") * PARTS + F.col("k") % PARTS).alias("tx"), (F.col("ty") * PARTS + F.floor(F.col("k") / PARTS)).alias("ty")), "corners")
-        sides = _walk(inner, size, PARTS).select("region", *SIDES, "tx", "ty")
+        inner = settled(flagged.filter("busy").select("region", *SIDES, *TILE, "parts"), "split-sides")
+        turned = outline.join(_corner_turns(inner, size).hint("merge"), ["region", *TILE]).withColumn(
+            "inside", F.col("turns").bitwiseXOR(F.when(F.col("corner") == 1, -1).otherwise(0).cast("bigint")).bitwiseAND(F.col("parts")))
+        parts = turned.select("region", *TILE, "inside", F.explode(F.sequence(F.lit(0), F.lit(PARTS**2 - 1))).alias("k")).filter(holds(F.col("inside"), F.col("k")))
+        corners = parts.select(
+            "region", (F.col("tx") * PARTS + F.col("k") % PARTS).alias("tx"), (F.col("ty") * PARTS + F.floor(F.col("k") / PARTS)).alias("ty"))
+        sides = _walk(inner, size, PARTS).filter(holds(F.col("parts"), part(*map(F.col, TILE)).cast("int"))).select("region", *SIDES, *TILE)
+        deeper = balanced_lookup(placed, split, TILE, F.col("point"), counts=places.select(*TILE, "n"), hint="merge")
+        here = settled(deeper.select("point", "x", "y"), "points")
     union = lambda frames: functools.reduce(DataFrame.unionByName, frames)
-    none = leaves[0].select("level", "tx", "ty").limit(0)
-    return union(leaves), union(wholes), union([none, *split]), level
+    return union(reached), union(peopled), union(leaves), union(wholes)
 
 
 def points_and_sides(points: DataFrame, edges: DataFrame, size: float = 0.25, most: int = SIDES_MOST) -> tuple[DataFrame, DataFrame]:
     """Points with the sides in their leaf of the :func:`side_tree` and its corner's state, and points with the regions that
     cover their tile.  A point meets at most ``most`` sides, unless more meet in one corner."""
-    leaves, wholes, split, depth = side_tree(edges, size, most)
-    tile = lambda axis, level: F.floor(F.col(axis) / (F.lit(size) / F.pow(F.lit(float(PARTS)), level))).cast("bigint")
-    placed = points.select("point", "x", "y", F.lit(0).alias("level"))
-    with_tile = lambda df: df.withColumn("tx", tile("x", F.col("level"))).withColumn("ty", tile("y", F.col("level")))
-    reached = [with_tile(placed)]
-    for level in range(depth):  # on with the points in split tiles
-        deeper = salted_lookup(reached[-1], split.filter(F.col("level") == level), ["level", "tx", "ty"], F.col("point"))
-        reached.append(with_tile(settled(deeper.select("point", "x", "y", F.lit(level + 1).alias("level")), "points")))
-    placed = functools.reduce(DataFrame.unionByName, reached)
-    certain = salted_lookup(placed, wholes, ["level", "tx", "ty"], F.col("point")).select("point", "region")
-    return salted_lookup(placed, leaves, ["level", "tx", "ty"], F.col("point")), certain
+    placed, counts, leaves, wholes = side_tree(points, edges, size, most)
+    meet = lambda lookup: balanced_lookup(placed, lookup, ["level", *TILE], F.col("point"), counts=counts, hint="merge")
+    return meet(leaves), meet(wholes).select("point", "region")
 
 
 def points_within(points: DataFrame, edges: DataFrame, size: float = 0.25, most: int = SIDES_MOST) -> DataFrame:
@@ -374,17 +390,19 @@ def points_within(points: DataFrame, edges: DataFrame, size: float = 0.25, most:
     busy tile are salted.
     """
     met, certain = points_and_sides(points, edges, size, most)
-    x, y, x1, y1, x2, y2 = (F.col(c) for c in ("x", "y", *SIDES))
+    x, y, x1, y1, x2, y2, here = (F.col(c) for c in ("x", "y", *SIDES, "here"))
     extent = F.lit(size) / F.pow(F.lit(float(PARTS)), F.col("level"))
-    edge_x, base_y = F.col("tx") * extent, F.col("ty") * extent
-    here = _side_at(y)
-    crosses = _spans(y) & (here >= edge_x) & (here < x)
+    crosses = _spans(y) & (here >= F.col("tx") * extent) & (here < x)
     on_side = F.when(y1 == y2, (y == y1) & x.between(F.least(x1, x2), F.greatest(x1, x2))).otherwise(
         y.between(F.least(y1, y2), F.greatest(y1, y2)) & (here == x))
-    verdict = met.groupBy("point", "region").agg(
-        F.max("corner").alias("corner"), F.count_if(_climbs(edge_x, base_y, y)).alias("climbs"), F.count_if(crosses).alias("crosses"), F.max(on_side).alias("on")
-    )
-    inside = ((F.col("corner") + F.col("climbs") + F.col("crosses")) % 2 == 1) & ~F.col("on")
+    # the way to the point keeps left of it and below
+    near = met.filter((F.col("corner") == 1) | ((F.least(x1, x2) <= x) & (F.least(y1, y2) <= y)))
+    passed = _with_way(near, F.col("tx") * extent, F.col("ty") * extent, y).select(
+        "point", "region", "corner", (F.col("climbs") != F.coalesce(crosses, F.lit(False))).alias("turns"), on_side.alias("on"))
+    # a side that is not crossed says nothing about a region whose corner is outside
+    telling = passed.filter((F.col("corner") == 1) | F.col("turns") | F.col("on"))
+    verdict = telling.groupBy("point", "region").agg(F.max("corner").alias("corner"), F.count_if("turns").alias("turns"), F.max("on").alias("on"))
+    inside = ((F.col("corner") + F.col("turns")) % 2 == 1) & ~F.col("on")
     return verdict.filter(inside).select("point", "region").unionByName(certain)
 
 

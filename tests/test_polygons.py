@@ -90,6 +90,30 @@ def test_points_see_few_sides_of_a_fine_outline(spark):
     assert met.groupBy("point").count().agg(F.max("count")).first()[0] <= polygons.SIDES_MOST
 
 
+def test_sides_over_each_other_are_followed_to_points_alone(spark, monkeypatch):
+    """More equal sides than a tile takes: they are written for the tiles of points, and no lookup is sent to the driver for its file size."""
+    triangle = [(0.01, 0.01), (0.23, 0.02), (0.12, 0.24)]
+    shapes = {f"t{i}": [triangle] for i in range(polygons.SIDES_MOST + 6)}
+    places = [(0.12, 0.1), (0.01, 0.01), (0.2, 0.2), (0.12, 0.24 - 2e-7), (5.0, 5.0)]
+    points = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(places)], "point int, x double, y double")
+    written, settled = [], polygons.settled
+
+    def counted(df, label="table"):
+        table = settled(df, label)
+        written.append(table.count())
+        assert written[-1] < 5_000, f"{written[-1]} rows of {label}"
+        return table
+
+    monkeypatch.setattr(polygons, "settled", counted)
+    monkeypatch.setattr(polygons, "LEVELS", 3)
+    found = polygons.points_within(points, polygons.ring_edges(frame(spark, shapes)))
+    lines = found._jdf.queryExecution().executedPlan().toString().splitlines()
+    assert not [line for line in lines if "BroadcastHashJoin" in line and "Inner" in line]
+    expected = {(i, name) for i, (x, y) in enumerate(places) for name, rings in shapes.items() if strictly_inside(rings, x, y)}
+    rows = found.collect()
+    assert len(rows) == len(expected) and set(map(tuple, rows)) == expected
+
+
 @pytest.mark.parametrize("step", [0.5, 0.37])
 def test_region_samples(spark, regions, step):
     expected = set()
