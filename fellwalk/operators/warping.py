@@ -201,7 +201,8 @@ def warp_tiles(tiles: DataFrame, cell_size: float) -> DataFrame:
     """Every tile reprojected on its own to the UTM zone of its centre: ``tile_col tile_row col row z``.
 
     Each tile gets its own target grid, on whole multiples of the cell size around its projected
-    outline, with cells counted from its upper left corner.  Tiles do not see each other.
+    outline, with cells counted from its upper left corner.  Tiles do not see each other.  Packed
+    target cells meet their tile in a shuffle, whatever their number.
     """
     lon = (F.col("extent.xmin") + F.col("extent.xmax")) / 2
     lat = (F.col("extent.ymin") + F.col("extent.ymax")) / 2
@@ -242,7 +243,9 @@ def warp_tiles(tiles: DataFrame, cell_size: float) -> DataFrame:
     located = placed.select(
         *TILE, "col", "row", outside("sx").alias("x"), outside("sy").alias("y"),
         F.floor(outside("sx")).cast("int").alias("sc"), F.floor(outside("sy")).cast("int").alias("sr"))
-    met = _requests(located, TILE).join(tiles.select(*TILE, "cols", "rows", F.col("cells").alias("source")), list(TILE))
+    # the planner knows the size of the frames, a row for each tile, and not that of their cells, so it would broadcast those
+    source = tiles.select(*TILE, "cols", "rows", F.col("cells").alias("source")).hint("merge")
+    met = _requests(located, TILE).join(source, list(TILE))
     return _sampled(met, TILE, "bilinear", whole=True)
 
 

@@ -136,6 +136,25 @@ def test_tiles_get_the_zone_of_their_centre(raster):
     assert flat == 0.0
 
 
+def sloping_tiles(raster, low=12):
+    """Two tiles on both sides of a zone border, rising to the south by 20 a row of cells of 0.002 degrees, one cell without data."""
+    values = np.repeat(20.0 * np.arange(12.0)[:, None], 12 + low, axis=1)
+    values[2, 3] = np.nan
+    return layers.to_tiles(raster(values), layers.Georeference(89.976, 28.0, 0.002, 0.002, "EPSG:4326"), 12)
+
+
+def test_projected_slopes_send_no_cells_to_the_driver(raster):
+    """Target cells come from one row for each tile: their number is not to be taken from the size of those rows."""
+    slopes = warping.projected_slopes(sloping_tiles(raster), 25.0)
+    rows = slopes.collect()
+    plan = slopes._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert {(r["tile_col"], r["tile_row"]) for r in rows} == {(0, 0), (1, 0)}
+    inner = [r["slope"] for r in rows if 40 < r["col"] < 60 and 60 < r["row"] < 80]
+    # 0.002 degrees of latitude are 221.7 m at 28 degrees
+    assert len(inner) == 2 * 19 * 19 and inner == pytest.approx([math.degrees(math.atan(20 / 221.7))] * len(inner), rel=0.01)
+
+
 def test_albers_scales_follow_from_its_formulas(spark):
     albers, step = proj.AlbersEqualArea(28.0, 32.0, 30.0, 85.0), 1e-5
     df = spark.createDataFrame([(lon + 0.3, lat + 0.2) for lon in range(76, 94, 4) for lat in range(22, 40, 4)], "lon double, lat double")
