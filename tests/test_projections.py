@@ -155,6 +155,18 @@ def test_projected_slopes_send_no_cells_to_the_driver(raster):
     assert len(inner) == 2 * 19 * 19 and inner == pytest.approx([math.degrees(math.atan(20 / 221.7))] * len(inner), rel=0.01)
 
 
+def test_warped_tiles_meet_their_cells_without_a_broadcast(spark, raster):
+    """Every tile gives the rows it gives alone, in tiles of unequal width, and neither cells nor tiles go to the driver."""
+    tiles = sloping_tiles(raster, 5)
+    together = warping.warp_tiles(tiles, 100.0)
+    rows = sorted(map(str, together.collect()))
+    plan = together._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    alone = [warping.warp_tiles(tiles.filter(F.col("tile_col") == c), 100.0).collect() for c in range(2)]
+    assert [len(a) > 0 for a in alone] == [True, True] and rows == sorted(str(r) for a in alone for r in a)
+    assert warping.warp_tiles(tiles.limit(0), 100.0).collect() == []
+
+
 def test_albers_scales_follow_from_its_formulas(spark):
     albers, step = proj.AlbersEqualArea(28.0, 32.0, 30.0, 85.0), 1e-5
     df = spark.createDataFrame([(lon + 0.3, lat + 0.2) for lon in range(76, 94, 4) for lat in range(22, 40, 4)], "lon double, lat double")
