@@ -451,15 +451,23 @@ def zone_statistics(slopes: DataFrame, zones: DataFrame, regions: DataFrame | No
     Regions of equal variance (to nine places) share a rank.  With ``regions`` (column ``region``)
     those without a cell are kept, with a count of 0 and the last rank.  ``slopes`` has the
     height ``z`` beside the slope, ``zones`` is the result of :func:`rasterised`; they meet by
-    the cell, which no region can skew.
+    the cell, which no region can skew.  The heights of a region are gathered line by line, so a row
+    holds at most one line of the layer.
     """
-    joined = zones.join(slopes.select("col", "row", "z", "slope"), ["col", "row"])
-    stats = joined.groupBy("region").agg(
-        F.count("z").alias("n"),
-        F.avg("z").alias("mean_z"),
-        F.var_pop("z").alias("var_z"),
-        F.max("slope").alias("max_slope"),
-    )
+    # the planner knows the size of the outlines and not that of the cells in them, so it would broadcast those
+    joined = zones.join(slopes.select("col", "row", "z", "slope").hint("merge"), ["col", "row"])
+    # sums run line by line, each in the order of its cells, so regions of the same cells have the same variance to the last bit
+    total = lambda values, of: F.aggregate(values, F.lit(0.0), lambda s, x: s + of(x))
+    gathered = lambda there, *names: F.sort_array(F.collect_list(F.when(there, F.struct(*names))))
+    lines = joined.groupBy("region", "row").agg(
+        gathered(F.col("z").isNotNull(), "col", F.col("z").cast("double").alias("z")).alias("cells"), F.max("slope").alias("max_slope"))
+    lines = lines.withColumn("n", F.size("cells")).withColumn("mean", F.when(F.col("n") > 0, total("cells", lambda c: c["z"]) / F.col("n")))
+    lines = lines.withColumn("squares", total("cells", lambda c: (c["z"] - F.col("mean")) * (c["z"] - F.col("mean"))))
+    whole = lines.groupBy("region").agg(
+        gathered(F.col("n") > 0, "row", "n", "mean", "squares").alias("lines"), F.sum("n").alias("n"), F.max("max_slope").alias("max_slope"))
+    whole = whole.withColumn("mean_z", F.when(F.col("n") > 0, total("lines", lambda k: k["n"] * k["mean"]) / F.col("n")))
+    squares = total("lines", lambda k: k["squares"] + k["n"] * (k["mean"] - F.col("mean_z")) * (k["mean"] - F.col("mean_z")))
+    stats = whole.select("region", "n", "mean_z", F.when(F.col("n") > 0, squares / F.col("n")).alias("var_z"), "max_slope")
     if regions is not None:
         stats = regions.select("region").dropDuplicates().join(stats, "region", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     # one row per region, so the window is as small as the result

@@ -202,3 +202,36 @@ def test_zone_statistics(spark):
     assert polygons.zone_statistics(slopes, zones).collect() == expected
     every = spark.createDataFrame([("a",), ("b",), ("no cell",)], "region string")
     assert polygons.zone_statistics(slopes, zones, every).collect() == [*expected, ("no cell", 0, None, None, None, 3)]
+
+
+def test_zone_cells_are_not_broadcast_for_the_size_of_their_outlines(spark):
+    """A few sides become many cells; regions that overlap count each cell for themselves."""
+    side = 40
+    height = lambda c, r: float((c * 7 + r * 3) % 11)
+    slopes = spark.createDataFrame([(c, r, height(c, r), float(c + r)) for c in range(side) for r in range(side)], "col int, row int, z double, slope double")
+    boxes = {"a": (2.0, 3.0, 30.0, 35.0), "b": (2.0, 3.0, 30.0, 35.0), "c": (10.0, 0.0, 40.0, 12.0)}
+    zones = polygons.rasterised(polygons.ring_edges(frame(spark, {n: [[(x1, y1), (x2, y1), (x2, y2), (x1, y2)]] for n, (x1, y1, x2, y2) in boxes.items()})), side, side)
+    found = polygons.zone_statistics(slopes, zones)
+    rows = {r["region"]: r for r in found.collect()}
+    lines = found._jdf.queryExecution().executedPlan().toString().splitlines()
+    assert not [line for line in lines if "BroadcastHashJoin" in line]
+    for name, (x1, y1, x2, y2) in boxes.items():
+        z = [height(c, r) for c in range(int(x1), int(x2)) for r in range(int(y1), int(y2))]
+        assert rows[name]["n"] == len(z) and rows[name]["max_slope"] == x2 + y2 - 2
+        assert rows[name]["mean_z"] == pytest.approx(np.mean(z)) and rows[name]["var_z"] == pytest.approx(np.var(z))
+    assert rows["a"]["rank"] == rows["b"]["rank"]
+
+
+def test_regions_of_the_same_cells_share_a_rank(spark):
+    """Large heights whose squares differ in the last bits: the order in which cells arrive is not to show in the ninth place."""
+    rng = np.random.default_rng(7)
+    heights = {(c, r): float(z) for (c, r), z in zip([(c, r) for c in range(12) for r in range(9)], rng.random(108) * 1e6)}
+    slopes = spark.createDataFrame([(c, r, None if (c, r) == (3, 3) else z, 1.0) for (c, r), z in heights.items()], "col int, row int, z double, slope double")
+    rows = [(f"r{k}", *cell) for k in range(40) for cell in rng.permutation(list(heights)).tolist()] + [("one", 4, 4), ("none", 3, 3)]
+    zones = spark.createDataFrame(rng.permutation(np.array(rows, dtype=object)).tolist(), "region string, col int, row int").repartition(7)
+    found = {r["region"]: r for r in polygons.zone_statistics(slopes, zones).collect()}
+    z = [z for cell, z in heights.items() if cell != (3, 3)]
+    same = [found[f"r{k}"] for k in range(40)]
+    assert {(r["n"], r["rank"], r["var_z"]) for r in same} == {(107, 1, same[0]["var_z"])}
+    assert same[0]["mean_z"] == pytest.approx(np.mean(z), rel=1e-12) and same[0]["var_z"] == pytest.approx(np.var(z), rel=1e-12)
+    assert found["one"][1:] == (1, heights[4, 4], 0.0, 1.0, 41) and found["none"][1:] == (0, None, None, 1.0, 42)
